@@ -40,4 +40,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from sluice.plans import q_logs  # noqa: F401
+    from sluice.plans import q_logs, q_weather  # noqa: F401

@@ -49,3 +49,77 @@ def event_log_lines(events: DataFrame) -> DataFrame:
                      F.col("user_id").cast("string"), F.lit(")"))
     lines = F.when(et == "error", F.array(line, trace)).otherwise(F.array(line))
     return events.select(F.explode(lines).alias("value"))
+
+
+# ---------------------------------------------------------- weather shapes
+
+# Fixed values of this project: the pressure layer that stands for each event
+# type in the humidity profile rendered from ``events``.
+EVENT_TYPE_LAYER = {"view": "1000mb", "click": "850mb", "purchase": "700mb", "signup": "500mb",
+                    "error": "300mb"}
+
+
+def _hour(ts="ts"):
+    return F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz")
+
+
+def event_hours(events: DataFrame) -> DataFrame:
+    """Scalar readings per hour (the ``dataseries`` entries), partially aggregated."""
+    et = F.col("event_type")
+    cents = F.round(F.col("value") * 100).cast("bigint")
+    return events.groupBy(_hour().alias("time_interval")).agg(
+        F.count(F.lit(1)).cast("int").alias("cloudcover"),
+        F.count_if(et == "view").cast("int").alias("highcloud"),
+        F.count_if(et == "click").cast("int").alias("midcloud"),
+        F.count_if(et == "purchase").cast("int").alias("lowcloud"),
+        F.floor(F.max("value")).cast("int").alias("temp2m"),
+        F.count_if(et == "error").cast("int").alias("lifted_index"),
+        F.count_if(et == "signup").cast("int").alias("rh2m"),
+        F.count_distinct("user_id").cast("int").alias("msl_pressure"),
+        F.max("event_type").alias("prec_type"),
+        F.floor(F.sum(cents) / 100).cast("int").alias("prec_amount"),
+        F.min("user_id").cast("int").alias("snow_depth"),
+        F.max("user_id").cast("string").alias("wind10m_direction"),
+        F.floor(F.min("value")).cast("int").alias("wind10m_speed"),
+    )
+
+
+def event_rh_layers(events: DataFrame) -> DataFrame:
+    """Humidity profile rows: events per hour and type, layer text like ``850mb``."""
+    layer = F.create_map(*[F.lit(x) for kv in EVENT_TYPE_LAYER.items() for x in kv])[F.col("event_type")]
+    agg = events.groupBy(_hour().alias("time_interval"), "event_type").agg(
+        F.count(F.lit(1)).cast("int").alias("rh"))
+    return agg.select("time_interval", layer.alias("layer"), "rh")
+
+
+def event_wind_layers(events: DataFrame) -> DataFrame:
+    """Wind profile rows: per hour and quarter hour, layer text like ``700mb``."""
+    quarter = F.floor(F.minute("ts") / 15).cast("int")
+    agg = events.groupBy(_hour().alias("time_interval"), quarter.alias("quarter")).agg(
+        F.count_distinct("user_id").cast("int").alias("direction"),
+        F.floor(F.max("value")).cast("int").alias("speed"))
+    layer = F.concat((F.lit(900) - F.lit(100) * F.col("quarter")).cast("string"), F.lit("mb"))
+    return agg.select("time_interval", layer.alias("layer"), "direction", "speed")
+
+
+def event_weather_documents(events: DataFrame) -> DataFrame:
+    """One forecast-shaped document per day: ``init`` plus up to 24 timepoints.
+
+    Profiles are nested from already aggregated rows (at most five types
+    and four quarter hours per hour), so every collected list is small and
+    bounded whatever the event volume.
+    """
+    rh = event_rh_layers(events).groupBy("time_interval").agg(
+        F.collect_list(F.struct("layer", "rh")).alias("rh_profile"))
+    wind = event_wind_layers(events).groupBy("time_interval").agg(
+        F.collect_list(F.struct("layer", "direction", "speed")).alias("wind_profile"))
+    pts = event_hours(events).join(rh, "time_interval").join(wind, "time_interval")
+    point = F.struct(
+        F.hour("time_interval").alias("timepoint"),
+        "cloudcover", "highcloud", "midcloud", "lowcloud", "rh_profile", "wind_profile",
+        "temp2m", "lifted_index", "rh2m", "msl_pressure", "prec_type", "prec_amount", "snow_depth",
+        F.struct(F.col("wind10m_direction").alias("direction"), F.col("wind10m_speed").alias("speed")).alias("wind10m"),
+    )
+    day = F.date_format("time_interval", "yyyyMMdd")
+    return (pts.groupBy(day.alias("day")).agg(F.collect_list(point).alias("dataseries"))
+            .select(F.lit("civil").alias("product"), F.concat("day", F.lit("00")).alias("init"), "dataseries"))
