@@ -123,3 +123,81 @@ def event_weather_documents(events: DataFrame) -> DataFrame:
     day = F.date_format("time_interval", "yyyyMMdd")
     return (pts.groupBy(day.alias("day")).agg(F.collect_list(point).alias("dataseries"))
             .select(F.lit("civil").alias("product"), F.concat("day", F.lit("00")).alias("init"), "dataseries"))
+
+
+# ---------------------------------------------------------- document shapes
+
+def customer_inspection_docs(customer: DataFrame) -> DataFrame:
+    """Inspection-style documents, one per customer, with a nested address.
+
+    ``_id`` is the zero-padded key (text that sorts in key order, like an
+    ObjectId); some address parts are ``''`` as in the source documents.
+    """
+    k = F.col("c_custkey")
+    address = F.struct(
+        F.when(F.col("c_nationkey") == 0, F.lit("")).otherwise(
+            F.concat(F.lit("City "), F.col("c_nationkey").cast("string"))).alias("city"),
+        F.when(F.col("c_acctbal") < 0, F.lit("")).otherwise(
+            F.lpad((F.col("c_nationkey") * 1000 + k % 1000).cast("string"), 5, "0")).alias("zip"),
+        F.concat(F.col("c_mktsegment"), F.lit(" Street")).alias("street"),
+        F.when(k % 7 == 0, F.lit("")).otherwise((k % 100).cast("string")).alias("number"),
+    )
+    return customer.select(
+        F.lpad(k.cast("string"), 10, "0").alias("_id"),
+        k.alias("certificate_number"),
+        F.col("c_name").alias("business_name"),
+        F.col("c_mktsegment").alias("sector"),
+        address.alias("address"),
+    )
+
+
+def event_trip_docs(events: DataFrame) -> DataFrame:
+    """Bike-trip documents: times as text with four fractional digits,
+    names with spaces and capitals as exported."""
+    dur = F.floor(F.col("value") * 10).cast("int")
+    fmt = "yyyy-MM-dd HH:mm:ss.SSSS"
+    return events.select(
+        F.col("event_id").cast("string").alias("_id"),
+        dur.alias("tripduration"),
+        F.date_format("ts", fmt).alias("starttime"),
+        F.date_format(F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), dur), fmt).alias("stoptime"),
+        F.col("user_id").cast("int").alias("start station id"),
+        F.concat(F.lit("Station "), F.col("user_id").cast("string")).alias("start station name"),
+        (F.col("user_id") + 1).cast("int").alias("end station id"),
+        F.col("event_id").cast("int").alias("bikeid"),
+        F.col("event_type").alias("usertype"),
+        (F.lit(1950) + F.col("user_id") % 50).cast("int").alias("birth year"),
+        (F.col("user_id") % 3).cast("int").alias("gender"),
+    )
+
+
+def part_spec_sheets(part: DataFrame) -> DataFrame:
+    """Scraped-style spec sheets as JSON text, one per part.
+
+    Shape: top-level lists and category objects of attribute -> list of
+    strings, with abbreviated keys, newlines, a ``Brief`` block, an
+    abbreviation with no expansion (``Pix. Density``) and a key collision
+    (``Cam. Res.`` expands to the existing ``Camera Res.``).
+    """
+    price = F.round(F.col("p_retailprice") * 100).cast("bigint").cast("string")
+    size = F.col("p_size").cast("string")
+    sheet = F.struct(
+        F.array(F.concat(F.lit("https://parts.example.com/p/"), F.col("p_partkey").cast("string"))).alias("url"),
+        F.create_map(F.lit("Name"), F.array("p_name")).alias("Brief"),
+        F.create_map(
+            F.lit("Brand"), F.array("p_brand"),
+            F.lit("Model"), F.array(F.concat(F.col("p_name"), F.lit("\n"))),
+            F.lit("Sec. Type"), F.array("p_type"),
+        ).alias("General"),
+        F.create_map(
+            F.lit("Min. Size"), F.array(size),
+            F.lit("Equiv. Price"), F.array(price, F.lit("USD\n, ")),
+            F.lit("Pix. Density"), F.array(F.lit("400 ppi")),
+        ).alias("Size"),
+        F.create_map(
+            F.lit("Aux. Cam."), F.array("p_type", "p_brand"),
+            F.lit("Cam. Res."), F.array(F.concat(size, F.lit("MP"))),
+            F.lit("Camera Res."), F.array(F.concat(F.lit("\n"), size, F.lit(" MP"))),
+        ).alias("Camera"),
+    )
+    return part.select(F.col("p_partkey").alias("doc_id"), F.to_json(sheet).alias("raw"))
