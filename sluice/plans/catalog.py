@@ -40,4 +40,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all() -> None:
     # Importing the modules registers their queries.
-    from sluice.plans import q_documents, q_incremental, q_logs, q_star, q_weather  # noqa: F401
+    from sluice.plans import q_documents, q_incremental, q_logs, q_sinks, q_star, q_weather  # noqa: F401

@@ -201,3 +201,40 @@ def part_spec_sheets(part: DataFrame) -> DataFrame:
         ).alias("Camera"),
     )
     return part.select(F.col("p_partkey").alias("doc_id"), F.to_json(sheet).alias("raw"))
+
+
+# -------------------------------------------------------------- sales rows
+
+def order_sales_rows(orders: DataFrame, customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Sales-record rows (the 14 CSV columns), one per order.
+
+    Money is decimal(18,2) computed in decimal arithmetic; dates are dates.
+    Customer, nation and region are small lookups joined to the orders.
+    """
+    from sluice.operators.joins import lookup_join
+
+    geo = lookup_join(nation.select("n_nationkey", "n_name", "n_regionkey"),
+                      region.select("r_regionkey", "r_name"), "n_regionkey", "r_regionkey")
+    cust = lookup_join(customer.select("c_custkey", "c_nationkey", "c_mktsegment"), geo, "c_nationkey", "n_nationkey")
+    o = lookup_join(orders, cust, "o_custkey", "c_custkey", how="inner")
+    units = (F.lit(1) + F.col("o_custkey") % 9).cast("int")
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    cost = (price * F.lit(0.6).cast("decimal(1,1)")).cast("decimal(18,2)")
+    revenue = (price * units).cast("decimal(18,2)")
+    total_cost = (cost * units).cast("decimal(18,2)")
+    return o.select(
+        F.col("r_name").alias("Region"),
+        F.col("n_name").alias("Country"),
+        F.col("c_mktsegment").alias("Item Type"),
+        F.when(F.col("o_orderstatus") == "O", "Online").otherwise("Offline").alias("Sales Channel"),
+        F.substring("o_orderpriority", 3, 1).alias("Order Priority"),
+        F.to_date("o_orderdate").alias("Order Date"),
+        F.col("o_orderkey").alias("Order ID"),
+        F.date_add(F.to_date("o_orderdate"), 14).alias("Ship Date"),
+        units.alias("Units Sold"),
+        price.alias("Unit Price"),
+        cost.alias("Unit Cost"),
+        revenue.alias("Total Revenue"),
+        total_cost.alias("Total Cost"),
+        (revenue - total_cost).cast("decimal(18,2)").alias("Total Profit"),
+    )
