@@ -90,28 +90,23 @@ def _rename_key(k: Column) -> Column:
     return k
 
 
-def _clean_values(v: Column) -> Column:
-    """JSON list text (or a bare scalar) to a cleaned ``array<string>``.
+def _parsed_values(v: Column) -> Column:
+    """JSON list text (or a bare scalar) to ``array<string>``."""
+    return F.coalesce(F.from_json(v, "array<string>", _JSON_OPTS), F.array(v))
 
-    A one-item list loses its newlines; items of a longer list lose
-    ``"\\n, "`` and then newlines.
-    """
-    arr = F.coalesce(F.from_json(v, "array<string>", _JSON_OPTS), F.array(v))
+
+def _cleaned_values(arr: Column) -> Column:
+    """A one-item list loses its newlines; items of a longer list lose
+    ``"\\n, "`` and then newlines."""
     single = F.array(F.replace(F.get(arr, 0), F.lit("\n"), F.lit("")))
     many = F.transform(arr, lambda x: F.replace(F.replace(x, F.lit("\n, "), F.lit("")), F.lit("\n"), F.lit("")))
     return F.when(F.size(arr) == 1, single).otherwise(many)
 
 
-def _clean_category(text: Column) -> Column:
-    """Category object text to ``map<string, array<string>>`` with renamed keys;
-    when two keys rename to the same name the later entry wins."""
-    entries = F.map_entries(F.from_json(text, "map<string,string>", _JSON_OPTS))
-    renamed = F.transform(entries, lambda e: F.struct(_rename_key(e["key"]).alias("key"),
-                                                      _clean_values(e["value"]).alias("value")))
-    keys = F.transform(renamed, lambda e: e["key"])
-    last = F.filter(renamed, lambda e, i: ~F.exists(F.slice(keys, i + 2, F.size(keys)),
-                                                   lambda k: k == e["key"]))
-    return F.map_from_entries(last)
+def _last_per_key(entries: Column) -> Column:
+    """Entries whose key does not occur again later: the later entry wins."""
+    return F.filter(entries, lambda e, i: ~F.exists(
+        F.slice(F.transform(entries, lambda x: x["key"]), i + 2, F.size(entries)), lambda k: k == e["key"]))
 
 
 def clean_spec_sheet(raw: DataFrame, raw_col: str = "raw", keep: Sequence[str] = ()) -> DataFrame:
@@ -121,30 +116,49 @@ def clean_spec_sheet(raw: DataFrame, raw_col: str = "raw", keep: Sequence[str] =
     (``fields``); an object is a category whose attribute keys are expanded
     (``Sec.`` -> ``Secondary`` ...) and whose values are cleaned lists
     (``specs``; a one-item list is the scalar case). Keys that look
-    abbreviated but have no expansion are kept with their values.
+    abbreviated but have no expansion are kept with their values; when two
+    keys expand to the same name the later entry wins.
     Output: ``keep + (fields map<string,string>, specs map<string,map<string,array<string>>>)``.
+
+    The work is staged in successive projections so each JSON text is
+    parsed once per row; nothing is exploded or shuffled.
     """
-    top = F.map_filter(F.from_json(F.col(raw_col), "map<string,string>", _JSON_OPTS),
-                       lambda k, v: k != EXCLUDED_TOP_KEY)
+    keep = list(keep)
     is_obj = lambda v: F.ltrim(v).startswith("{")
-    fields = F.transform_values(
-        F.map_filter(top, lambda k, v: ~is_obj(v)),
-        lambda k, v: F.coalesce(F.get(F.from_json(v, "array<string>", _JSON_OPTS), 0), v))
-    specs = F.transform_values(F.map_filter(top, lambda k, v: is_obj(v)), lambda k, v: _clean_category(v))
-    return raw.select(*keep, fields.alias("fields"), specs.alias("specs"))
+    top = raw.select(*keep, F.map_filter(F.from_json(F.col(raw_col), "map<string,string>", _JSON_OPTS),
+                                         lambda k, v: k != EXCLUDED_TOP_KEY).alias("__top"))
+    split = top.select(
+        *keep,
+        F.transform_values(F.map_filter("__top", lambda k, v: ~is_obj(v)),
+                           lambda k, v: F.coalesce(F.get(F.from_json(v, "array<string>", _JSON_OPTS), 0), v)
+                           ).alias("fields"),
+        F.transform_values(
+            F.map_filter("__top", lambda k, v: is_obj(v)),
+            lambda k, v: F.transform(F.map_entries(F.from_json(v, "map<string,string>", _JSON_OPTS)),
+                                     lambda e: F.struct(_rename_key(e["key"]).alias("key"),
+                                                        _parsed_values(e["value"]).alias("arr")))
+        ).alias("__cats"))
+    cleaned = split.select(*keep, "fields", F.transform_values(
+        "__cats", lambda k, es: F.transform(es, lambda e: F.struct(e["key"].alias("key"),
+                                                                   _cleaned_values(e["arr"]).alias("value")))
+    ).alias("__cats"))
+    return cleaned.select(*keep, "fields", F.transform_values(
+        "__cats", lambda k, es: F.map_from_entries(_last_per_key(es))).alias("specs"))
 
 
 def spec_entries(clean: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Long form of cleaned sheets: ``keep + (category, attribute, value_index, value, n_values)``.
 
-    Top-level fields have a NULL category and one value.
+    Top-level fields have a NULL category and one value. One pass: both
+    kinds of entry go into one array per row, exploded once.
     """
     keep = list(keep)
-    tops = clean.select(*keep, F.explode("fields").alias("attribute", "value")).select(
-        *keep, F.lit(None).cast("string").alias("category"), "attribute",
-        F.lit(0).alias("value_index"), "value", F.lit(1).alias("n_values"))
-    cats = clean.select(*keep, F.explode("specs").alias("category", "__attrs"))
-    attrs = cats.select(*keep, "category", F.explode("__attrs").alias("attribute", "__vals"))
-    vals = attrs.select(*keep, "category", "attribute", F.size("__vals").alias("n_values"),
-                        F.posexplode("__vals").alias("value_index", "value"))
-    return tops.unionByName(vals.select(*keep, "category", "attribute", "value_index", "value", "n_values"))
+    tops = F.transform(F.map_entries("fields"), lambda f: F.struct(
+        F.lit(None).cast("string").alias("category"), f["key"].alias("attribute"), F.array(f["value"]).alias("vals")))
+    cats = F.flatten(F.transform(F.map_entries("specs"), lambda c: F.transform(
+        F.map_entries(c["value"]), lambda a: F.struct(c["key"].alias("category"), a["key"].alias("attribute"),
+                                                      a["value"].alias("vals")))))
+    rows = clean.select(*keep, F.explode(F.concat(tops, cats)).alias("__e"))
+    vals = rows.select(*keep, F.col("__e.category").alias("category"), F.col("__e.attribute").alias("attribute"),
+                       F.size("__e.vals").alias("n_values"), F.posexplode("__e.vals").alias("value_index", "value"))
+    return vals.select(*keep, "category", "attribute", "value_index", "value", "n_values")

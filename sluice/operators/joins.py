@@ -23,14 +23,34 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) ->
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven small, else ``df`` unchanged."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def bounded_row_counts(dfs: dict[str, DataFrame], bound: int = DEFAULT_MAX_BROADCAST_ROWS) -> dict[str, int]:
+    """Row counts of several inputs, each capped at ``bound + 1``, in one job.
+
+    Used to decide, for all dimensions of a star at once, which ones are
+    proven small enough to broadcast.
+    """
+    parts = [df.limit(bound + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+             for name, df in dfs.items()]
+    union = parts[0]
+    for p in parts[1:]:
+        union = union.unionByName(p)
+    return {r["name"]: r["n"] for r in union.collect()}
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                      small: bool | None = None) -> DataFrame:
+    """``broadcast(df)`` when its row count is proven small, else ``df`` unchanged.
+
+    ``small`` passes in a check already made (see ``bounded_row_counts``).
+    """
+    if small is None:
+        small = fits_broadcast(df, max_rows)
+    return F.broadcast(df) if small else df
 
 
 def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str], dim_key: str | Sequence[str],
                 how: str = "left", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                drop_dim_key: bool = True) -> DataFrame:
+                drop_dim_key: bool = True, small: bool | None = None) -> DataFrame:
     """Join a fact to a dimension on ``fact_key = dim_key`` (left by default).
 
     The dimension key is dropped from the output so role-playing joins of
@@ -38,7 +58,7 @@ def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str | Sequence[str],
     """
     fk = [fact_key] if isinstance(fact_key, str) else list(fact_key)
     dk = [dim_key] if isinstance(dim_key, str) else list(dim_key)
-    d = checked_broadcast(dim, max_broadcast_rows)
+    d = checked_broadcast(dim, max_broadcast_rows, small)
     cond = [fact[a] == d[b] for a, b in zip(fk, dk)]
     joined = fact.join(d, cond, how)
     if drop_dim_key and how not in ("left_anti", "left_semi"):

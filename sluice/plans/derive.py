@@ -63,41 +63,60 @@ def _hour(ts="ts"):
     return F.date_trunc("hour", F.col(ts)).cast("timestamp_ntz")
 
 
-def event_hours(events: DataFrame) -> DataFrame:
-    """Scalar readings per hour (the ``dataseries`` entries), partially aggregated."""
-    et = F.col("event_type")
+def event_grain(events: DataFrame) -> DataFrame:
+    """Events pre-aggregated per hour, type, quarter hour and user.
+
+    The hourly readings and both profiles are roll-ups of this one partial
+    aggregate, so ``events`` is scanned and shuffled once (the three
+    branches share the exchange) and a hot user, type or hour is reduced
+    map-side before anything crosses the network.
+    """
     cents = F.round(F.col("value") * 100).cast("bigint")
-    return events.groupBy(_hour().alias("time_interval")).agg(
-        F.count(F.lit(1)).cast("int").alias("cloudcover"),
-        F.count_if(et == "view").cast("int").alias("highcloud"),
-        F.count_if(et == "click").cast("int").alias("midcloud"),
-        F.count_if(et == "purchase").cast("int").alias("lowcloud"),
-        F.floor(F.max("value")).cast("int").alias("temp2m"),
-        F.count_if(et == "error").cast("int").alias("lifted_index"),
-        F.count_if(et == "signup").cast("int").alias("rh2m"),
+    return events.groupBy(
+        _hour().alias("time_interval"), "event_type",
+        F.floor(F.minute("ts") / 15).cast("int").alias("quarter"), "user_id",
+    ).agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("vmax"), F.min("value").alias("vmin"),
+          F.sum(cents).alias("cents"))
+
+
+def _n_of(event_type: str):
+    return F.coalesce(F.sum(F.when(F.col("event_type") == event_type, F.col("n"))), F.lit(0))
+
+
+def event_hours(events: DataFrame, grain: DataFrame | None = None) -> DataFrame:
+    """Scalar readings per hour (the ``dataseries`` entries)."""
+    g = event_grain(events) if grain is None else grain
+    return g.groupBy("time_interval").agg(
+        F.sum("n").cast("int").alias("cloudcover"),
+        _n_of("view").cast("int").alias("highcloud"),
+        _n_of("click").cast("int").alias("midcloud"),
+        _n_of("purchase").cast("int").alias("lowcloud"),
+        F.floor(F.max("vmax")).cast("int").alias("temp2m"),
+        _n_of("error").cast("int").alias("lifted_index"),
+        _n_of("signup").cast("int").alias("rh2m"),
         F.count_distinct("user_id").cast("int").alias("msl_pressure"),
         F.max("event_type").alias("prec_type"),
-        F.floor(F.sum(cents) / 100).cast("int").alias("prec_amount"),
+        F.floor(F.sum("cents") / 100).cast("int").alias("prec_amount"),
         F.min("user_id").cast("int").alias("snow_depth"),
         F.max("user_id").cast("string").alias("wind10m_direction"),
-        F.floor(F.min("value")).cast("int").alias("wind10m_speed"),
+        F.floor(F.min("vmin")).cast("int").alias("wind10m_speed"),
     )
 
 
-def event_rh_layers(events: DataFrame) -> DataFrame:
+def event_rh_layers(events: DataFrame, grain: DataFrame | None = None) -> DataFrame:
     """Humidity profile rows: events per hour and type, layer text like ``850mb``."""
+    g = event_grain(events) if grain is None else grain
     layer = F.create_map(*[F.lit(x) for kv in EVENT_TYPE_LAYER.items() for x in kv])[F.col("event_type")]
-    agg = events.groupBy(_hour().alias("time_interval"), "event_type").agg(
-        F.count(F.lit(1)).cast("int").alias("rh"))
+    agg = g.groupBy("time_interval", "event_type").agg(F.sum("n").cast("int").alias("rh"))
     return agg.select("time_interval", layer.alias("layer"), "rh")
 
 
-def event_wind_layers(events: DataFrame) -> DataFrame:
+def event_wind_layers(events: DataFrame, grain: DataFrame | None = None) -> DataFrame:
     """Wind profile rows: per hour and quarter hour, layer text like ``700mb``."""
-    quarter = F.floor(F.minute("ts") / 15).cast("int")
-    agg = events.groupBy(_hour().alias("time_interval"), quarter.alias("quarter")).agg(
+    g = event_grain(events) if grain is None else grain
+    agg = g.groupBy("time_interval", "quarter").agg(
         F.count_distinct("user_id").cast("int").alias("direction"),
-        F.floor(F.max("value")).cast("int").alias("speed"))
+        F.floor(F.max("vmax")).cast("int").alias("speed"))
     layer = F.concat((F.lit(900) - F.lit(100) * F.col("quarter")).cast("string"), F.lit("mb"))
     return agg.select("time_interval", layer.alias("layer"), "direction", "speed")
 
@@ -109,11 +128,12 @@ def event_weather_documents(events: DataFrame) -> DataFrame:
     and four quarter hours per hour), so every collected list is small and
     bounded whatever the event volume.
     """
-    rh = event_rh_layers(events).groupBy("time_interval").agg(
+    grain = event_grain(events)
+    rh = event_rh_layers(events, grain).groupBy("time_interval").agg(
         F.collect_list(F.struct("layer", "rh")).alias("rh_profile"))
-    wind = event_wind_layers(events).groupBy("time_interval").agg(
+    wind = event_wind_layers(events, grain).groupBy("time_interval").agg(
         F.collect_list(F.struct("layer", "direction", "speed")).alias("wind_profile"))
-    pts = event_hours(events).join(rh, "time_interval").join(wind, "time_interval")
+    pts = event_hours(events, grain).join(rh, "time_interval").join(wind, "time_interval")
     point = F.struct(
         F.hour("time_interval").alias("timepoint"),
         "cloudcover", "highcloud", "midcloud", "lowcloud", "rh_profile", "wind_profile",

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.crawl import new_urls, page_links
-from sluice.operators.joins import lookup_join, role
+from sluice.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_row_counts, lookup_join, role
 from sluice.operators.reshape import empty_to_null
 from sluice.operators.sets import symmetric_difference
 from sluice.plans.catalog import register
@@ -26,19 +26,27 @@ def star_enrich(t: Tables):
     fact meets each dimension once. Every join is a left join on a checked
     broadcast or, above the bound, a skew-aware sort-merge join.
     """
+    bound = DEFAULT_MAX_BROADCAST_ROWS
+    n = bounded_row_counts({"nation": t.nation, "supplier": t.supplier, "customer": t.customer,
+                            "part": t.part, "orders": t.orders}, bound)
+    small = {k: v <= bound for k, v in n.items()}
+    # Left joins on a dimension's unique key keep the left row count, so a
+    # resolved dimension is as small as its base table.
     nation = t.nation.select("n_nationkey", "n_name")
     supp = lookup_join(t.supplier.select("s_suppkey", "s_name", "s_nationkey"),
                        role(nation, {"n_nationkey": "sn_nationkey", "n_name": "supp_nation"}),
-                       "s_nationkey", "sn_nationkey")
+                       "s_nationkey", "sn_nationkey", small=small["nation"])
     cust = lookup_join(t.customer.select("c_custkey", "c_name", "c_nationkey"),
                        role(nation, {"n_nationkey": "cn_nationkey", "n_name": "cust_nation"}),
-                       "c_nationkey", "cn_nationkey")
-    orders = lookup_join(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), cust, "o_custkey", "c_custkey")
+                       "c_nationkey", "cn_nationkey", small=small["nation"])
+    orders = lookup_join(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), cust, "o_custkey", "c_custkey",
+                         small=small["customer"])
     fact = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                              (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).alias("revenue"))
-    fact = lookup_join(fact, t.part.select("p_partkey", "p_name", "p_brand"), "l_partkey", "p_partkey")
-    fact = lookup_join(fact, supp, "l_suppkey", "s_suppkey")
-    fact = lookup_join(fact, orders, "l_orderkey", "o_orderkey")
+    fact = lookup_join(fact, t.part.select("p_partkey", "p_name", "p_brand"), "l_partkey", "p_partkey",
+                       small=small["part"])
+    fact = lookup_join(fact, supp, "l_suppkey", "s_suppkey", small=small["supplier"])
+    fact = lookup_join(fact, orders, "l_orderkey", "o_orderkey", small=small["orders"])
     return fact.select(*STAR_COLUMNS)
 
 

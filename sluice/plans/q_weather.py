@@ -17,6 +17,7 @@ from sluice.operators.weather import (
 )
 from sluice.plans.catalog import register
 from sluice.plans.derive import (
+    event_grain,
     event_hours,
     event_rh_layers,
     event_weather_documents,
@@ -80,9 +81,10 @@ def q_profile_explode(spark: SparkSession, sf_dir: str):
 
 
 def _flat_profiles(events):
-    series = event_hours(events).withColumn("wind10m_direction", F.col("wind10m_direction").try_cast("int"))
-    rh = event_rh_layers(events).select("time_interval", layer_number("layer").alias("rh_layer"), "rh")
-    wind = event_wind_layers(events).select(
+    grain = event_grain(events)
+    series = event_hours(events, grain).withColumn("wind10m_direction", F.col("wind10m_direction").try_cast("int"))
+    rh = event_rh_layers(events, grain).select("time_interval", layer_number("layer").alias("rh_layer"), "rh")
+    wind = event_wind_layers(events, grain).select(
         "time_interval", layer_number("layer").alias("wind_layer"),
         F.col("direction").alias("wind_direction"), F.col("speed").alias("wind_speed"))
     return series, rh, wind
