@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.session import materialize
+
 # ---------------------------------------------------------------- log lines
 
 def event_status(event_type) -> "F.Column":
@@ -67,8 +69,8 @@ def event_grain(events: DataFrame) -> DataFrame:
     """Events pre-aggregated per hour, type, quarter hour and user.
 
     The hourly readings and both profiles are roll-ups of this one partial
-    aggregate, so ``events`` is scanned and shuffled once (the three
-    branches share the exchange) and a hot user, type or hour is reduced
+    aggregate; callers materialize it once (``materialize``) so ``events``
+    is scanned and shuffled once, and a hot user, type or hour is reduced
     map-side before anything crosses the network.
     """
     cents = F.round(F.col("value") * 100).cast("bigint")
@@ -128,7 +130,7 @@ def event_weather_documents(events: DataFrame) -> DataFrame:
     and four quarter hours per hour), so every collected list is small and
     bounded whatever the event volume.
     """
-    grain = event_grain(events)
+    grain = materialize(event_grain(events))
     rh = event_rh_layers(events, grain).groupBy("time_interval").agg(
         F.collect_list(F.struct("layer", "rh")).alias("rh_profile"))
     wind = event_wind_layers(events, grain).groupBy("time_interval").agg(

@@ -24,6 +24,7 @@ from sluice.plans.derive import (
     event_wind_layers,
 )
 from sluice.plans.tables import Tables
+from sluice.session import materialize
 
 _HOURS_SQL = """
 h AS (
@@ -81,7 +82,7 @@ def q_profile_explode(spark: SparkSession, sf_dir: str):
 
 
 def _flat_profiles(events):
-    grain = event_grain(events)
+    grain = materialize(event_grain(events))
     series = event_hours(events, grain).withColumn("wind10m_direction", F.col("wind10m_direction").try_cast("int"))
     rh = event_rh_layers(events, grain).select("time_interval", layer_number("layer").alias("rh_layer"), "rh")
     wind = event_wind_layers(events, grain).select(

@@ -72,3 +72,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it from there.
+
+    Used where several branches of one plan consume the same intermediate:
+    the input is scanned once, and lineage is cut so a lost executor costs a
+    re-read of checkpoint files instead of a recomputation.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

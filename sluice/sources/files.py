@@ -21,6 +21,7 @@ SALES_HEADER = ["Region", "Country", "Item Type", "Sales Channel", "Order Priori
                 "Order ID", "Ship Date", "Units Sold", "Unit Price", "Unit Cost", "Total Revenue",
                 "Total Cost", "Total Profit"]
 MONEY = T.DecimalType(18, 2)
+CSV_KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 SALES_CSV_SCHEMA = T.StructType([
     T.StructField("Region", T.StringType()),
     T.StructField("Country", T.StringType()),
@@ -48,7 +49,8 @@ def read_sales_csv(spark: SparkSession, path: str | Sequence[str], schema: T.Str
     Quoted fields may contain commas. ``mode='FAILFAST'`` makes a malformed
     row fail the job instead of silently becoming NULLs.
     """
-    raw = spark.read.schema(schema).option("header", True).option("mode", mode).csv(path)
+    raw = (spark.read.schema(schema).option("header", True).option("mode", mode)
+           .options(**CSV_KEEP_SPACES).csv(path))
     return raw.select(*[
         (F.to_date(F.col(f"`{c}`"), date_format).alias(c) if c in date_columns else F.col(f"`{c}`"))
         for c in raw.columns])
@@ -60,7 +62,7 @@ def write_sales_csv(df: DataFrame, path: str, date_columns: Sequence[str] = SALE
     out = df.select(*[
         (F.date_format(F.col(f"`{c}`"), date_format).alias(c) if c in date_columns else F.col(f"`{c}`"))
         for c in df.columns])
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").option("header", True).options(**CSV_KEEP_SPACES).csv(path)
 
 
 def read_csv_offset_batch(df: DataFrame, order_by: Sequence[str], offset: int, n: int) -> DataFrame:

@@ -26,6 +26,10 @@ STATUS_TOKEN = 2
 # message that starts with "(" or a second space is kept intact.
 DESCRIPTION_PATTERN = r"\]\s\w.*?\:\s(.*)"
 
+# The CSV writer trims leading/trailing spaces unless told not to; a message
+# may start with a space, so both sides keep them.
+CSV_KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
 PARSED_FIELDS = ["timestamp", "status", "process", "action", "description"]
 PARSED_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True) for n in PARSED_FIELDS])
 
@@ -70,6 +74,7 @@ def run_log_stream(spark: SparkSession, input_dir: str, output_dir: str, checkpo
     """
     parsed = parse_log_lines(read_log_stream(spark, input_dir, max_files_per_trigger), legacy=legacy)
     writer = (parsed.writeStream.format("csv")
+              .options(**CSV_KEEP_SPACES)
               .option("path", output_dir)
               .option("checkpointLocation", checkpoint_dir)
               .outputMode("append"))
@@ -82,4 +87,4 @@ def run_log_stream(spark: SparkSession, input_dir: str, output_dir: str, checkpo
 
 def read_parsed_logs(spark: SparkSession, output_dir: str) -> DataFrame:
     """Batch view of the CSV sink; only files committed in its metadata log are read."""
-    return spark.read.schema(PARSED_SCHEMA).csv(output_dir)
+    return spark.read.schema(PARSED_SCHEMA).options(**CSV_KEEP_SPACES).csv(output_dir)
