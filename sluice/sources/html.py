@@ -61,8 +61,9 @@ def html_table(pages: DataFrame, table_index: int, keys: Sequence[str] = ("page_
     keys = list(keys)
     cells = html_table_cells(pages, table_index, keys, html_col)
     if header is None:
-        first = cells.where(F.col("row_idx") == 0).orderBy(*keys).select("cells").first()
-        header = list(first["cells"]) if first else []
+        first = (cells.where(F.col("row_idx") == 0)
+                 .agg(F.min_by("cells", F.struct(*keys)).alias("cells")).first())
+        header = list(first["cells"]) if first and first["cells"] is not None else []
     body = cells.where(F.col("row_idx") > 0)
     return body.select(*keys, (F.col("row_idx") - 1).alias("row_idx"),
                        *[F.get(F.col("cells"), i).alias(name) for i, name in enumerate(header)])

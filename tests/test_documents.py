@@ -86,3 +86,17 @@ def test_spec_entries_long_form(spark):
     assert got[(None, "url", 0)] == ("https://example.com/phone/1", 1)
     assert got[("Camera", "Auxilary Camera", 1)] == ("depth", 2)
     assert rows.where(F.col("category") == "Brief").count() == 0
+
+
+def test_json_array_of_documents_with_oid(spark, tmp_dir):
+    import os
+
+    from sluice.sources.files import oid_to_text, read_json_documents
+
+    docs = [{"_id": {"$oid": "5a0b8f1e2c6d4b3a1e9f0001"}, "tripduration": 5},
+            {"_id": {"$oid": "5a0b8f1e2c6d4b3a1e9f0002"}, "tripduration": 7}]
+    path = os.path.join(tmp_dir, "trips.json")
+    with open(path, "w") as f:
+        json.dump(docs, f, indent=1)
+    df = oid_to_text(read_json_documents(spark, path, "_id struct<`$oid`: string>, tripduration int"))
+    assert sorted((r._id[-4:], r.tripduration) for r in df.collect()) == [("0001", 5), ("0002", 7)]

@@ -99,3 +99,20 @@ def test_sales_csv_one_digit_dates_and_quoted_comma(spark, tmp_dir):
 
 def test_sales_csv_header_only(spark, tmp_dir):
     assert read_sales_csv(spark, _csv(tmp_dir, [])).count() == 0
+
+
+def test_incremental_extract_until_up_to_date(spark, tmp_dir):
+    from sluice.sinks.writers import incremental_extract
+
+    src = spark.createDataFrame([(i, f"v{i}") for i in [1, 2, 3, 5, 8, 9, 10]], "id long, v string")
+    p = tmp_dir + "/inc"
+    runs = []
+    while True:
+        r = incremental_extract(src, p, "id", 4)
+        runs.append((r["status"], r["rows_loaded"]))
+        if r["status"] != "load":
+            break
+    # Each run reads mark+1 .. mark+4 after the stored maximum:
+    # 1..4 -> 1,2,3; 4..7 -> 5; 6..9 -> 8,9; 10..13 -> 10; then up to date.
+    assert runs == [("load", 3), ("load", 1), ("load", 2), ("load", 1), ("up to date", 0)]
+    assert sorted(x.id for x in spark.read.parquet(p).collect()) == [1, 2, 3, 5, 8, 9, 10]
