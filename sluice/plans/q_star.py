@@ -63,6 +63,7 @@ LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 LEFT JOIN nation cn ON c.c_nationkey = cn.n_nationkey
 """)
 def q_star_enrich(spark: SparkSession, sf_dir: str):
+    """lineitem enriched with part, supplier, order and customer; nation in two roles."""
     return star_enrich(Tables(spark, sf_dir))
 
 
