@@ -23,13 +23,16 @@ def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) ->
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_row_counts(dfs: dict[str, DataFrame], bound: int = DEFAULT_MAX_BROADCAST_ROWS) -> dict[str, int]:
-    """Row counts of several inputs, each capped at ``bound + 1``, in one job.
-
-    Used to decide, for all dimensions of a star at once, which ones are
-    proven small enough to broadcast.
+def table_row_counts(dfs: dict[str, DataFrame]) -> dict[str, int]:
+    """Exact row counts of several stored tables in one job.
+
+    For scans (and narrow projections) of Parquet tables the count comes
+    from file footers, so this is cheap at any size; it decides, for all
+    dimensions of a star at once, which are proven small enough to
+    broadcast. For derived inputs use ``fits_broadcast``, which stops
+    counting at the bound.
     """
-    parts = [df.limit(bound + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+    parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
              for name, df in dfs.items()]
     union = parts[0]
     for p in parts[1:]:
@@ -41,7 +44,7 @@ def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                       small: bool | None = None) -> DataFrame:
     """``broadcast(df)`` when its row count is proven small, else ``df`` unchanged.
 
-    ``small`` passes in a check already made (see ``bounded_row_counts``).
+    ``small`` passes in a check already made (see ``table_row_counts``).
     """
     if small is None:
         small = fits_broadcast(df, max_rows)

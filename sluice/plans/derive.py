@@ -233,12 +233,15 @@ def order_sales_rows(orders: DataFrame, customer: DataFrame, nation: DataFrame,
     Money is decimal(18,2) computed in decimal arithmetic; dates are dates.
     Customer, nation and region are small lookups joined to the orders.
     """
-    from sluice.operators.joins import lookup_join
+    from sluice.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join, table_row_counts
 
+    n = table_row_counts({"customer": customer, "nation": nation, "region": region})
+    small = {k: v <= DEFAULT_MAX_BROADCAST_ROWS for k, v in n.items()}
     geo = lookup_join(nation.select("n_nationkey", "n_name", "n_regionkey"),
-                      region.select("r_regionkey", "r_name"), "n_regionkey", "r_regionkey")
-    cust = lookup_join(customer.select("c_custkey", "c_nationkey", "c_mktsegment"), geo, "c_nationkey", "n_nationkey")
-    o = lookup_join(orders, cust, "o_custkey", "c_custkey", how="inner")
+                      region.select("r_regionkey", "r_name"), "n_regionkey", "r_regionkey", small=small["region"])
+    cust = lookup_join(customer.select("c_custkey", "c_nationkey", "c_mktsegment"), geo, "c_nationkey", "n_nationkey",
+                       small=small["nation"])
+    o = lookup_join(orders, cust, "o_custkey", "c_custkey", how="inner", small=small["customer"])
     units = (F.lit(1) + F.col("o_custkey") % 9).cast("int")
     price = F.col("o_totalprice").cast("decimal(18,2)")
     cost = (price * F.lit(0.6).cast("decimal(1,1)")).cast("decimal(18,2)")

@@ -16,6 +16,7 @@ from sluice.operators.reshape import (
 from sluice.plans.catalog import register
 from sluice.plans.derive import customer_inspection_docs, event_trip_docs, part_spec_sheets
 from sluice.plans.tables import Tables
+from sluice.session import spread
 
 
 @register("conform_columns", """
@@ -107,7 +108,7 @@ FROM events
 """)
 def q_typed_trips(spark: SparkSession, sf_dir: str):
     """Trip documents: names normalised, times parsed, ids as text."""
-    return typed_trips(event_trip_docs(Tables(spark, sf_dir).events))
+    return typed_trips(event_trip_docs(spread(Tables(spark, sf_dir).events)))
 
 
 def _spec_rows(category, attribute, index, value, n):
@@ -135,5 +136,5 @@ _SPEC_SQL = "\nUNION ALL\n".join([
 @register("spec_clean", _SPEC_SQL)
 def q_spec_clean(spark: SparkSession, sf_dir: str):
     """Scraped spec sheets cleaned in-row, listed as (category, attribute, value) rows."""
-    raw = part_spec_sheets(Tables(spark, sf_dir).part)
+    raw = part_spec_sheets(spread(Tables(spark, sf_dir).part))
     return spec_entries(clean_spec_sheet(raw, keep=["doc_id"]), keep=["doc_id"])

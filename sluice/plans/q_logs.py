@@ -7,7 +7,7 @@ from pyspark.sql import SparkSession
 from sluice.plans.catalog import register
 from sluice.plans.derive import event_log_lines
 from sluice.plans.tables import Tables
-from sluice.session import scratch_path
+from sluice.session import scratch_path, spread
 from sluice.streaming.logs import parse_log_lines, read_parsed_logs, run_log_stream
 
 EVENT_LOG_SQL = r"""
@@ -24,7 +24,7 @@ FROM events
 @register("log_parse", EVENT_LOG_SQL)
 def log_parse(spark: SparkSession, sf_dir: str):
     """Render every event as a log line (plus stack-trace lines), parse, drop unparsed."""
-    return parse_log_lines(event_log_lines(Tables(spark, sf_dir).events))
+    return parse_log_lines(event_log_lines(spread(Tables(spark, sf_dir).events)))
 
 
 @register("log_stream", EVENT_LOG_SQL)
@@ -38,7 +38,7 @@ def log_stream(spark: SparkSession, sf_dir: str):
     """
     base = scratch_path(spark, "log_stream")
     in_dir, out_dir, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
-    event_log_lines(Tables(spark, sf_dir).events).write.mode("overwrite").text(in_dir)
+    event_log_lines(spread(Tables(spark, sf_dir).events)).write.mode("overwrite").text(in_dir)
     run_log_stream(spark, in_dir, out_dir, ckpt, max_files_per_trigger=4)
     run_log_stream(spark, in_dir, out_dir, ckpt, max_files_per_trigger=4)
     return read_parsed_logs(spark, out_dir)

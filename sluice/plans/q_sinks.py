@@ -16,7 +16,7 @@ from sluice.plans.derive import customer_inspection_docs, event_weather_document
 from sluice.plans.q_incremental import RUN_DATE, loaded_target
 from sluice.plans.q_weather import FACT_SQL, VALUE_BAND_SPEC, value_band_table
 from sluice.plans.tables import Tables
-from sluice.session import scratch_path
+from sluice.session import scratch_path, spread
 from sluice.sinks.writers import (
     WRITE_APPEND,
     WRITE_EMPTY,
@@ -62,7 +62,7 @@ t AS (
 def _sales_csv(spark: SparkSession, sf_dir: str) -> str:
     t = Tables(spark, sf_dir)
     path = scratch_path(spark, "sales_csv")
-    write_sales_csv(order_sales_rows(t.orders, t.customer, t.nation, t.region), path)
+    write_sales_csv(order_sales_rows(spread(t.orders), t.customer, t.nation, t.region), path)
     return path
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.crawl import new_urls, page_links
-from sluice.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, bounded_row_counts, lookup_join, role
+from sluice.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, table_row_counts, lookup_join, role
 from sluice.operators.reshape import empty_to_null
 from sluice.operators.sets import symmetric_difference
 from sluice.plans.catalog import register
@@ -27,8 +27,8 @@ def star_enrich(t: Tables):
     broadcast or, above the bound, a skew-aware sort-merge join.
     """
     bound = DEFAULT_MAX_BROADCAST_ROWS
-    n = bounded_row_counts({"nation": t.nation, "supplier": t.supplier, "customer": t.customer,
-                            "part": t.part, "orders": t.orders}, bound)
+    n = table_row_counts({"nation": t.nation, "supplier": t.supplier, "customer": t.customer,
+                          "part": t.part, "orders": t.orders})
     small = {k: v <= bound for k, v in n.items()}
     # Left joins on a dimension's unique key keep the left row count, so a
     # resolved dimension is as small as its base table.
@@ -76,9 +76,12 @@ LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 def q_inspection_zip(spark: SparkSession, sf_dir: str):
     """Parent to child on a 1:1 key, then child to a lookup table (left)."""
     t = Tables(spark, sf_dir)
+    n = table_row_counts({"customer": t.customer, "nation": t.nation})
     addr = lookup_join(t.customer.select("c_custkey", "c_name", "c_nationkey"),
-                       t.nation.select("n_nationkey", "n_name"), "c_nationkey", "n_nationkey")
-    return lookup_join(t.orders.select("o_orderkey", "o_custkey"), addr, "o_custkey", "c_custkey", how="inner")
+                       t.nation.select("n_nationkey", "n_name"), "c_nationkey", "n_nationkey",
+                       small=n["nation"] <= DEFAULT_MAX_BROADCAST_ROWS)
+    return lookup_join(t.orders.select("o_orderkey", "o_custkey"), addr, "o_custkey", "c_custkey", how="inner",
+                       small=n["customer"] <= DEFAULT_MAX_BROADCAST_ROWS)
 
 
 @register("missing_dims", """

@@ -83,3 +83,18 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df):
+    """Spread rows over the cluster's cores before CPU-heavy per-row work.
+
+    A stored table with fewer input splits than cores (one file with one
+    row group, say) is read by that few tasks; a round-robin repartition
+    (deterministic on retry: Spark sorts before it) lets every core work.
+    When the input already has enough splits, as at cluster scale, the
+    plan is returned unchanged and no shuffle is added.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
