@@ -81,3 +81,38 @@ def anti_join(candidates: DataFrame, ledger: DataFrame, on: str | Sequence[str],
     """Rows of ``candidates`` whose key is not in ``ledger`` (NOT EXISTS)."""
     keys = [on] if isinstance(on, str) else list(on)
     return candidates.join(checked_broadcast(ledger.select(*keys), max_broadcast_rows), keys, "left_anti")
+
+
+def hot_keys(df: DataFrame, key: str, min_rows: int) -> list:
+    """Keys holding at least ``min_rows`` rows (exact, from a partial aggregate).
+
+    At most ``rows / min_rows`` keys can qualify, so the list returned to
+    the driver is bounded by the chosen threshold, not by the data.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= min_rows)
+    return [r[key] for r in counts.select(key).collect()]
+
+
+def salted_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, hot: list,
+                buckets: int = 16, how: str = "left") -> DataFrame:
+    """Shuffled equi-join that splits hot keys over ``buckets`` sub-keys.
+
+    Fact rows of a hot key get a salt from a hash of the whole row
+    (deterministic, so a retried task routes rows the same way); dimension
+    rows of a hot key are replicated once per salt. Other keys keep salt 0.
+    For skew AQE cannot split on its own (a skewed build side, or when the
+    skew must be bounded before run time); results equal the plain join.
+    """
+    if not hot:
+        return lookup_join(fact, dim, fact_key, dim_key, how=how, small=False)
+    is_hot_f = F.col(fact_key).isin(hot)
+    salt_f = F.when(is_hot_f, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns]), F.lit(buckets)))
+    salted_fact = fact.withColumn("__salt", F.coalesce(salt_f, F.lit(0)).cast("int"))
+    salts = F.when(F.col(dim_key).isin(hot), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    salted_dim = dim.withColumn("__salt", F.explode(salts))
+    cond = (salted_fact[fact_key] == salted_dim[dim_key]) & (salted_fact["__salt"] == salted_dim["__salt"])
+    joined = salted_fact.join(salted_dim, cond, how)
+    out = joined.drop(salted_fact["__salt"]).drop(salted_dim["__salt"])
+    if dim_key != fact_key and how not in ("left_anti", "left_semi"):
+        out = out.drop(salted_dim[dim_key])
+    return out

@@ -87,3 +87,51 @@ def test_role_playing_and_symmetric_difference(spark):
     a = spark.createDataFrame([(1,), (2,), (2,)], "k int")
     b = spark.createDataFrame([(2,), (3,)], "k int")
     assert sorted(x.k for x in symmetric_difference(a, b).collect()) == [1, 3]
+
+
+def _skewed(spark):
+    # One key holds a third of the fact rows.
+    fact = spark.range(3000).select(F.col("id").alias("fid"),
+                                    F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 500).alias("k"))
+    dim = spark.range(500).select(F.col("id").alias("dk"), (F.col("id") * 10).alias("v"))
+    return fact, dim
+
+
+def test_salted_join_equals_plain_join_and_splits_hot_key(spark):
+    from sluice.operators.joins import hot_keys, salted_join
+
+    fact, dim = _skewed(spark)
+    hot = hot_keys(fact, "k", 500)
+    assert hot == [7]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        salted = salted_join(fact, dim, "k", "dk", hot, buckets=8)
+        plain = lookup_join(fact, dim, "k", "dk", small=False)
+        assert sorted(salted.collect()) == sorted(plain.collect())
+        sizes = [r.n for r in salted.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert max(sizes) < 1000   # the hot key no longer lands in one task
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_aqe_splits_skewed_partition_of_left_join(spark):
+    fact, dim = _skewed(spark)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        j = lookup_join(fact, dim, "k", "dk", small=False)
+        assert j.count() == 3000
+        j.collect()
+        assert "SortMergeJoin(skew=true)" in j._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
