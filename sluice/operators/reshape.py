@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.session import materialize
+
 
 def conform(df: DataFrame, columns: T.StructType | Sequence[tuple[str, str | T.DataType]],
             strict: bool = False) -> DataFrame:
@@ -114,20 +116,19 @@ def dense_index(df: DataFrame, order_by: Sequence[str], name: str = "index", sta
     """Consecutive ``start, start+1, ...`` over a total order, computed in parallel.
 
     Rows are range-partitioned and sorted on ``order_by`` (one shuffle),
-    tagged with their partition and in-partition position, and written to
-    the shared checkpoint folder so both uses below see identical rows even
-    if executors are lost. Per-partition counts (one row per partition,
+    tagged with their partition and in-partition position, and written once
+    to the shared checkpoint folder (``materialize``) so both uses below see
+    identical tags even if executors are lost. Per-partition counts (one row per partition,
     bounded by the partition count) are turned into offsets and broadcast
     back. ``order_by`` should be unique for a deterministic numbering.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(f"`{c}`") for c in order_by]
-    tagged = (df.repartitionByRange(n, *keys)
-              .sortWithinPartitions(*keys)
-              .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    tagged = materialize(df.repartitionByRange(n, *keys)
+                         .sortWithinPartitions(*keys)
+                         .withColumn("__pid", F.spark_partition_id())
+                         .withColumn("__mid", F.monotonically_increasing_id()), "dense_index")
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"), F.min("__mid").alias("__first"))
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__pid", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))

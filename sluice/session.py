@@ -74,15 +74,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and read it from there.
-
-    Used where several branches of one plan consume the same intermediate:
-    the input is scanned once, and lineage is cut so a lost executor costs a
-    re-read of checkpoint files instead of a recomputation.
+def materialize(df, name: str = "materialized"):
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder and
+    read it back.
+
+    Used where several branches of one plan consume the same intermediate
+    (the input is scanned once) and where later steps need rows that do not
+    change between evaluations. Lineage is cut: a lost executor costs a
+    re-read of committed files, not a recomputation. Parquet rather than an
+    RDD checkpoint keeps the copy columnar and compressed.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def spread(df):
