@@ -100,3 +100,12 @@ def test_json_array_of_documents_with_oid(spark, tmp_dir):
         json.dump(docs, f, indent=1)
     df = oid_to_text(read_json_documents(spark, path, "_id struct<`$oid`: string>, tripduration int"))
     assert sorted((r._id[-4:], r.tripduration) for r in df.collect()) == [("0001", 5), ("0002", 7)]
+
+
+def test_sheets_with_different_keys(spark):
+    a = {"url": ["u1"], "Display": {"Size": ["6.1 in"]}}
+    b = {"url": ["u2"], "Display": {"Size": ["6.5 in"], "Display Notch": ["Yes"]}, "NFC": {"Support": ["Yes"]}}
+    raw = spark.createDataFrame([(1, json.dumps(a)), (2, json.dumps(b))], "doc_id long, raw string")
+    rows = {r.doc_id: r for r in clean_spec_sheet(raw, keep=["doc_id"]).collect()}
+    assert rows[1].specs == {"Display": {"Size": ["6.1 in"]}}
+    assert rows[2].specs["Display"]["Display Notch"] == ["Yes"] and rows[2].specs["NFC"] == {"Support": ["Yes"]}

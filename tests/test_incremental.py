@@ -80,3 +80,10 @@ def test_latest_and_resume_key(spark):
         "ts", F.col("ts").cast("timestamp_ntz"))
     assert latest(src, "id").collect()[0].id == 4
     assert resume_key(src, "id", "ts", "2024-01-16").collect()[0].resume_key == 3
+
+
+def test_resume_key_absent_from_source(spark):
+    # The last stored id was deleted upstream: extraction continues after it.
+    src = _src(spark, [1, 2, 4, 6, 7])
+    assert [r.id for r in batch_after(src, "id", 3, 2).collect()] == [4, 6]
+    assert [r.id for r in next_id_range(src, "id", 3, 3).collect()] == [4, 6]
