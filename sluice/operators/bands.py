@@ -10,7 +10,7 @@ code, not by row position.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,7 +45,6 @@ class BandSpec:
     fill: float | int | None = None
     first: tuple = (None, None)
     last: tuple = (None, None)
-    extra: dict = field(default_factory=dict)
 
 
 # The six weather band dimensions, their variables, units,

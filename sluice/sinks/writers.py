@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators.incremental import read_target
+from sluice.operators.incremental import STATUS_LOAD, mark_value, next_id_range, read_target, reconcile
 from sluice.operators.reshape import conform
 
 WRITE_APPEND = "WRITE_APPEND"
@@ -137,8 +137,6 @@ def incremental_extract(source: DataFrame, target_path: str, key: str, batch: in
     ``mark+1 .. mark+batch`` after the target's high-water mark and append
     them. Returns the reconcile status plus what was loaded.
     """
-    from sluice.operators.incremental import mark_value, next_id_range, reconcile, STATUS_LOAD
-
     spark = source.sparkSession
     target = read_target(spark, target_path)
     status = reconcile(source, target).first()
