@@ -44,13 +44,29 @@ def get_spark(master: str | None = None, app: str = "sluice", shuffle_partitions
     return spark
 
 
+def _conf_checkpoint_dir(spark: SparkSession) -> str | None:
+    value = spark.conf.get("spark.checkpoint.dir", None)
+    if value:
+        return value
+    try:
+        return spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001 - no SparkContext on a Spark Connect session
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, creating a private one only if unset."""
-    sc = spark.sparkContext
+    conf_dir = _conf_checkpoint_dir(spark)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the setting
+        if not conf_dir:
+            conf_dir = tempfile.mkdtemp(prefix="sluice-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", conf_dir)
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
         conf_dir = tempfile.mkdtemp(prefix="sluice-ckpt-")
     sc.setCheckpointDir(conf_dir)
@@ -58,8 +74,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+    conf_dir = _conf_checkpoint_dir(spark)
     if conf_dir:
         return conf_dir.rstrip("/")
     return ensure_checkpoint_dir(spark).rstrip("/")
@@ -99,7 +114,11 @@ def spread(df):
     When the input already has enough splits, as at cluster scale, the
     plan is returned unchanged and no shuffle is added.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - Spark Connect exposes neither; leave the plan alone
+        return df
+    if splits >= cores:
         return df
     return df.repartition(cores)

@@ -78,7 +78,7 @@ def test_plan_shapes(spark):
     # The three weather roll-ups read one materialized pre-aggregate, not events.
     pp = qs["profile_product"](spark, SF)
     pp.collect()
-    assert "FileScan parquet" not in _plan(pp)
+    assert "events.parquet" not in _plan(pp) and "materialized" in _plan(pp)
 
 
 def test_spread_only_when_splits_are_fewer_than_cores(spark):
