@@ -97,7 +97,8 @@ def event_hours(events: DataFrame, grain: DataFrame | None = None) -> DataFrame:
         _n_of("error").cast("int").alias("lifted_index"),
         _n_of("signup").cast("int").alias("rh2m"),
         F.count_distinct("user_id").cast("int").alias("msl_pressure"),
-        F.max("event_type").alias("prec_type"),
+        # max over a small set: keeps the aggregate hash-based (a string max buffer forces a sort).
+        F.array_max(F.collect_set("event_type")).alias("prec_type"),
         F.floor(F.sum("cents") / 100).cast("int").alias("prec_amount"),
         F.min("user_id").cast("int").alias("snow_depth"),
         F.max("user_id").cast("string").alias("wind10m_direction"),
