@@ -116,3 +116,22 @@ def test_incremental_extract_until_up_to_date(spark, tmp_dir):
     # 1..4 -> 1,2,3; 4..7 -> 5; 6..9 -> 8,9; 10..13 -> 10; then up to date.
     assert runs == [("load", 3), ("load", 1), ("load", 2), ("load", 1), ("up to date", 0)]
     assert sorted(x.id for x in spark.read.parquet(p).collect()) == [1, 2, 3, 5, 8, 9, 10]
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_dir):
+    from sluice.operators.joins import lookup_join
+    from sluice.sinks.writers import write_bucketed_table
+
+    fact = spark.range(2000).select(F.col("id").alias("fid"), (F.col("id") % 300).alias("k"))
+    dim = spark.range(300).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    f = write_bucketed_table(fact, "t_fact_b", tmp_dir + "/fb", "k", 8)
+    d = write_bucketed_table(dim, "t_dim_b", tmp_dir + "/db", "k", 8)
+    # Emulate a dimension too large to broadcast.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lookup_join(f, d, "k", "k", small=False)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 2000 and joined.where(F.col("v").isNull()).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
