@@ -13,7 +13,7 @@ from sluice.operators.sales import load_sales
 from sluice.operators.weather import weather_fact
 from sluice.plans.catalog import register
 from sluice.plans.derive import customer_inspection_docs, event_weather_documents, order_sales_rows
-from sluice.plans.q_incremental import RUN_DATE, loaded_target
+from sluice.plans.q_incremental import BATCH, KEY, RUN_DATE, loaded_target
 from sluice.plans.q_weather import FACT_SQL, VALUE_BAND_SPEC, value_band_table
 from sluice.plans.tables import Tables
 from sluice.session import scratch_path, spread
@@ -23,6 +23,7 @@ from sluice.sinks.writers import (
     WRITE_TRUNCATE,
     load,
     load_star,
+    incremental_extract,
     load_with_metrics,
     staged_write,
     table_path,
@@ -221,3 +222,17 @@ def q_inspection_json_scan(spark: SparkSession, sf_dir: str):
     scanned = oid_to_text(read_json_documents(spark, path, INSPECTION_JSON_SCHEMA, multiline=False))
     inspection, _ = normalise_inspections(scanned)
     return inspection
+
+
+@register("incremental_load", f"""
+SELECT {EVENT_COLS} FROM events
+WHERE event_id <= (SELECT max(event_id) FROM events WHERE ts < {_RUN_TS}) + {BATCH}
+""")
+def q_incremental_load(spark: SparkSession, sf_dir: str):
+    """One incremental run into a stored target: counts reconciled, the next id
+    range after the target's high-water mark appended."""
+    ev = Tables(spark, sf_dir).events
+    path = scratch_path(spark, "incremental_load") + "/events"
+    load(loaded_target(ev), path, WRITE_TRUNCATE)
+    incremental_extract(ev, path, KEY, BATCH)
+    return spark.read.parquet(path)
