@@ -103,7 +103,11 @@ def staged_write(df: DataFrame, root: str, load_date, date_col: str = "load_date
     ``load_date`` is a run date (text) or a Column deriving the date per row.
     """
     col = F.lit(load_date).cast("date") if isinstance(load_date, str) else load_date.cast("date")
-    (df.withColumn(date_col, col).write.mode("overwrite")
+    # Rebalance on the partition column: each date's rows are written by a few
+    # tasks (few files per date), and AQE splits a date that holds a large
+    # share of the rows instead of leaving it to one task.
+    staged = df.withColumn(date_col, col).hint("rebalance", date_col)
+    (staged.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(root))
 
 
