@@ -27,12 +27,29 @@ DEFAULT_CONF = {
 }
 
 
+# Sizing for a large cluster (100 TB inputs): many shuffle partitions that AQE
+# coalesces to ~256 MB each, so no task holds more than it can sort in memory;
+# skewed partitions above 1 GB are split; input splits of 256 MB.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.broadcastTimeout": "900",
+}
+
+
 def get_spark(master: str | None = None, app: str = "sluice", shuffle_partitions: int | None = None,
-              extra: dict | None = None) -> SparkSession:
+              extra: dict | None = None, cluster: bool = False) -> SparkSession:
+    """A session with the library's defaults; ``cluster=True`` adds the
+    large-cluster sizing of ``CLUSTER_CONF``."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in DEFAULT_CONF.items():
+    for k, v in {**DEFAULT_CONF, **(CLUSTER_CONF if cluster else {})}.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
