@@ -111,6 +111,17 @@ def fill_constants(df: DataFrame, values: dict) -> DataFrame:
         for c in df.columns])
 
 
+def _range_partitions(df: DataFrame) -> int:
+    """Range partitions for a full re-sort: at least one per input split, so a
+    partition stays about the size of an input split at any scale (AQE does
+    not resize an explicit range partitioning)."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        return max(n, df.rdd.getNumPartitions())
+    except Exception:  # noqa: BLE001 - no RDD view on Spark Connect
+        return n
+
+
 def dense_index(df: DataFrame, order_by: Sequence[str], name: str = "index", start: int = 0,
                 num_partitions: int | None = None) -> DataFrame:
     """Consecutive ``start, start+1, ...`` over a total order, computed in parallel.
@@ -123,7 +134,7 @@ def dense_index(df: DataFrame, order_by: Sequence[str], name: str = "index", sta
     back. ``order_by`` should be unique for a deterministic numbering.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or _range_partitions(df)
     keys = [F.col(f"`{c}`") for c in order_by]
     tagged = materialize(df.repartitionByRange(n, *keys)
                          .sortWithinPartitions(*keys)
