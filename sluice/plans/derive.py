@@ -11,22 +11,22 @@ hours), never raw rows of an unbounded group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.session import materialize
 
 # ---------------------------------------------------------------- log lines
 
-def event_status(event_type) -> "F.Column":
+def event_status(event_type) -> Column:
     return F.when(event_type == "error", F.lit("ERROR")).otherwise(F.lit("INFO"))
 
 
-def event_action(event_type) -> "F.Column":
+def event_action(event_type) -> Column:
     return F.concat(F.lit("app."), F.initcap(event_type), F.lit("Handler"))
 
 
-def event_message(props, value) -> "F.Column":
+def event_message(props, value) -> Column:
     cents = F.round(value * 100).cast("bigint").cast("string")
     return F.concat(props, F.lit(" cents="), cents)
 
