@@ -1,7 +1,8 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS
-(default 8), BENCH_RUNS (default 3), BENCH_QUERIES (comma list).
+(default 8), BENCH_RUNS (default 3), BENCH_QUERIES (comma list),
+BENCH_EVENT_LOG_DIR (optional: write Spark's event log there).
 Each query is executed in full with the ``noop`` sink (every column is
 computed, nothing is collected), once untimed to warm the JVM, then
 BENCH_RUNS times; the reported time is the median run. A run includes
@@ -32,8 +33,12 @@ def main() -> None:
     from sluice.plans.catalog import queries
     from sluice.session import get_spark
 
-    spark = get_spark(f"local[{cpus}]", app="sluice-bench", shuffle_partitions=cpus * 2,
-                      extra={"spark.driver.memory": "16g"})
+    extra = {"spark.driver.memory": "16g"}
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if event_dir:  # stage and task times for offline reading; the UI stays off
+        os.makedirs(event_dir, exist_ok=True)
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
+    spark = get_spark(f"local[{cpus}]", app="sluice-bench", shuffle_partitions=cpus * 2, extra=extra)
     qs = queries()
     times: dict[str, float] = {}
     for name in names:
