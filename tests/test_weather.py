@@ -73,3 +73,16 @@ def test_fact_plan_has_no_shuffle(spark, tmp_dir):
     plan = weather_fact(_docs(spark, tmp_dir))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert "Generate" in plan
+
+
+def test_one_document_gives_the_logged_16384_rows(spark, tmp_dir):
+    # 64 timepoints x 16 humidity layers x 16 wind layers, as in the logged runs.
+    layers = [f"{1000 - 50 * i}mb" for i in range(16)]
+    doc = {"product": "civil", "init": "2024011500", "dataseries": [
+        _point(3 * t, [(x, 50) for x in layers], [(x, 180, 5) for x in layers]) for t in range(64)]}
+    path = os.path.join(tmp_dir, "full.json")
+    with open(path, "w") as f:
+        json.dump(doc, f)
+    fact = weather_fact(read_weather_json(spark, path))
+    assert fact.count() == 16384
+    assert fact.select("time_interval").distinct().count() == 64
