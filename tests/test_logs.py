@@ -74,3 +74,24 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_dir):
     run_log_stream(spark, in_dir, out, ckpt)
     assert read_parsed_logs(spark, out).count() == 10
     assert read_parsed_logs(spark, out).where(F.col("status") == "WARN").count() == 3
+
+
+def test_batches_follow_arriving_files(spark, tmp_dir):
+    # 28 files, then one new file per restart: batch 0 reads 28 files, batches 1-3 one each.
+    in_dir = os.path.join(tmp_dir, "in")
+    os.makedirs(in_dir)
+
+    def put(i):
+        with open(os.path.join(in_dir, f"container_{i:02d}.log"), "w") as f:
+            f.write(LINES[0] + "\n" + LINES[2] + "\n")
+
+    for i in range(28):
+        put(i)
+    out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
+    q = run_log_stream(spark, in_dir, out, ckpt)
+    assert (q.lastProgress["batchId"], q.lastProgress["numInputRows"]) == (0, 56)
+    for batch in (1, 2, 3):
+        put(27 + batch)
+        q = run_log_stream(spark, in_dir, out, ckpt)
+        assert (q.lastProgress["batchId"], q.lastProgress["numInputRows"]) == (batch, 2)
+    assert read_parsed_logs(spark, out).count() == 31
