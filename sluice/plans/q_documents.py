@@ -16,7 +16,8 @@ from sluice.operators.reshape import (
 from sluice.plans.catalog import register
 from sluice.plans.derive import customer_inspection_docs, event_trip_docs, part_spec_sheets
 from sluice.plans.tables import Tables
-from sluice.session import spread
+from sluice.session import scratch_path, spread
+from sluice.streaming.documents import read_stored_sheets, run_spec_sheet_stream
 
 
 @register("conform_columns", """
@@ -138,3 +139,21 @@ def q_spec_clean(spark: SparkSession, sf_dir: str):
     """Scraped spec sheets cleaned in-row, listed as (category, attribute, value) rows."""
     raw = part_spec_sheets(spread(Tables(spark, sf_dir).part))
     return spec_entries(clean_spec_sheet(raw, keep=["doc_id"]), keep=["doc_id"])
+
+
+@register("spec_stream", f"""
+SELECT 'https://parts.example.com/p/' || CAST(doc_id AS VARCHAR) AS url, category, attribute, value_index, value,
+       n_values
+FROM ({_SPEC_SQL})
+""")
+def q_spec_stream(spark: SparkSession, sf_dir: str):
+    """Scraped items as a stream: every sheet arrives twice (a re-crawl), is
+    cleaned per micro-batch, and stored once per URL."""
+    raw = part_spec_sheets(spread(Tables(spark, sf_dir).part)).select("raw")
+    base = scratch_path(spark, "spec_stream")
+    in_dir = f"{base}/in"
+    raw.write.mode("append").text(in_dir)
+    raw.write.mode("append").text(in_dir)
+    per_trigger = max(1, len(spark.read.text(in_dir).inputFiles()) // 4)
+    run_spec_sheet_stream(spark, in_dir, f"{base}/out", f"{base}/checkpoint", max_files_per_trigger=per_trigger)
+    return spec_entries(read_stored_sheets(spark, f"{base}/out"), keep=["url"])

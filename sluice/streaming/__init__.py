@@ -4,3 +4,8 @@ from sluice.streaming.logs import (  # noqa: F401
     read_parsed_logs,
     run_log_stream,
 )
+from sluice.streaming.documents import (  # noqa: F401
+    read_stored_sheets,
+    run_spec_sheet_stream,
+    store_new_sheets,
+)

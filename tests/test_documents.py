@@ -109,3 +109,30 @@ def test_sheets_with_different_keys(spark):
     rows = {r.doc_id: r for r in clean_spec_sheet(raw, keep=["doc_id"]).collect()}
     assert rows[1].specs == {"Display": {"Size": ["6.1 in"]}}
     assert rows[2].specs["Display"]["Display Notch"] == ["Yes"] and rows[2].specs["NFC"] == {"Support": ["Yes"]}
+
+
+def test_spec_sheet_stream_stores_each_url_once(spark, tmp_dir):
+    import os
+
+    from sluice.streaming.documents import read_stored_sheets, run_spec_sheet_stream
+
+    def sheet(u, brand):
+        return json.dumps({"url": [u], "Brief": {"x": ["y"]}, "General": {"Brand": [brand], "Sec. Cam.": ["8 MP"]}})
+
+    in_dir = os.path.join(tmp_dir, "in")
+    os.makedirs(in_dir)
+    with open(os.path.join(in_dir, "a.jsonl"), "w") as f:
+        f.write("\n".join([sheet("u1", "A"), sheet("u2", "B"), sheet("u1", "A")]) + "\n")
+    with open(os.path.join(in_dir, "b.jsonl"), "w") as f:
+        f.write("\n".join([sheet("u2", "B"), sheet("u3", "C")]) + "\n")
+    out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
+    run_spec_sheet_stream(spark, in_dir, out, ckpt, max_files_per_trigger=1)
+    stored = read_stored_sheets(spark, out)
+    assert sorted(r.url for r in stored.collect()) == ["u1", "u2", "u3"]
+    row = stored.where("url = 'u3'").first()
+    assert row.specs["General"] == {"Brand": ["C"], "Secondary Camera": ["8 MP"]}
+    # Restart with one new file: only the new URL is added.
+    with open(os.path.join(in_dir, "c.jsonl"), "w") as f:
+        f.write("\n".join([sheet("u3", "C"), sheet("u4", "D")]) + "\n")
+    run_spec_sheet_stream(spark, in_dir, out, ckpt)
+    assert sorted(r.url for r in read_stored_sheets(spark, out).collect()) == ["u1", "u2", "u3", "u4"]
