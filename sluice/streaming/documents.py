@@ -27,25 +27,35 @@ STORED_SCHEMA = T.StructType([
 ])
 
 
+LEDGER = "_urls"  # hidden folder: readers of the JSON output skip it
+
+
 def _stored_urls(spark: SparkSession, output_dir: str, before_batch: int) -> DataFrame | None:
+    """URLs stored by earlier batches, from the compact Parquet ledger
+    (one column, pruned to ``batch_id < before_batch`` by partition)."""
     try:
-        stored = spark.read.schema(STORED_SCHEMA).json(output_dir)
+        ledger = spark.read.schema("url string, batch_id long").parquet(f"{output_dir}/{LEDGER}")
     except Exception as e:  # noqa: BLE001 - nothing stored yet
         if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
             return None
         raise
-    return stored.where(F.col("batch_id") < F.lit(before_batch)).select("url")
+    return ledger.where(F.col("batch_id") < F.lit(before_batch)).select("url")
 
 
 def store_new_sheets(batch: DataFrame, batch_id: int, output_dir: str, raw_col: str = "value") -> None:
-    """One micro-batch: clean, drop URLs seen before, write this batch's folder."""
+    """One micro-batch: clean, drop URLs seen before, write this batch's folder
+    and its URLs to the ledger."""
     spark = batch.sparkSession
     clean = clean_spec_sheet(batch, raw_col=raw_col)
     keyed = (clean.withColumn("url", F.col("fields")[URL_FIELD]).where(F.col("url").isNotNull())
              .dropDuplicates(["url"]))
     stored = _stored_urls(spark, output_dir, batch_id)
     fresh = keyed if stored is None else anti_join(keyed, stored, "url")
-    fresh.select("url", "fields", "specs").write.mode("overwrite").json(f"{output_dir}/batch_id={batch_id}")
+    fresh = fresh.select("url", "fields", "specs")
+    fresh.write.mode("overwrite").json(f"{output_dir}/batch_id={batch_id}")
+    # The ledger is written from the stored sheets, so both hold the same URLs.
+    (spark.read.schema("url string, fields map<string,string>").json(f"{output_dir}/batch_id={batch_id}")
+     .select("url").write.mode("overwrite").parquet(f"{output_dir}/{LEDGER}/batch_id={batch_id}"))
 
 
 def run_spec_sheet_stream(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str,
