@@ -29,7 +29,8 @@ DEFAULT_CONF = {
 
 # Sizing for a large cluster (100 TB inputs): many shuffle partitions that AQE
 # coalesces to ~256 MB each, so no task holds more than it can sort in memory;
-# skewed partitions above 1 GB are split; input splits of 256 MB.
+# skewed partitions above 1 GB are split; input splits of 256 MB; broadcasts
+# only of sizes that were checked or measured.
 CLUSTER_CONF = {
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
@@ -37,7 +38,10 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    # No broadcast on planner estimates; only row-count-checked hints, or AQE
+    # on shuffle output sizes measured at run time.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.broadcastTimeout": "900",
 }
 
