@@ -22,6 +22,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Broadcast only proven sizes: explicit hints after a row-count check, or
+    # AQE's run-time conversion of a join whose measured side is small.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
