@@ -20,6 +20,7 @@ DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows; counting stops at ``max_rows + 1``."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 

@@ -37,6 +37,7 @@ def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def dots_to_underscores(df: DataFrame) -> DataFrame:
+    """``wind10m.speed`` -> ``wind10m_speed`` for every column name."""
     return df.toDF(*[c.replace(".", "_") for c in df.columns])
 
 
@@ -85,6 +86,7 @@ def array_to_columns(df: DataFrame, array_col: str, names: Sequence[str], drop:
 
 
 def string_columns(df: DataFrame) -> list[str]:
+    """Names of the top-level string columns."""
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 

@@ -24,6 +24,7 @@ WRITE_EMPTY = "WRITE_EMPTY"
 
 def write_parquet(df: DataFrame, path: str, compression: str | None = None, mode: str = "overwrite",
                   partition_by: Sequence[str] = ()) -> None:
+    """Parquet output with an optional codec (``gzip``, ``zstd``, ...) and partition columns."""
     w = df.write.mode(mode)
     if compression:
         w = w.option("compression", compression)
@@ -33,6 +34,7 @@ def write_parquet(df: DataFrame, path: str, compression: str | None = None, mode
 
 
 def is_empty(df: DataFrame | None) -> bool:
+    """A missing table or one without rows (reads at most one row)."""
     return df is None or df.limit(1).count() == 0
 
 
@@ -117,6 +119,7 @@ def write_documents(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def table_path(root: str, name: str) -> str:
+    """Location of table ``name`` below a warehouse root."""
     return f"{root.rstrip('/')}/{name}"
 
 

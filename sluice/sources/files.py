@@ -93,4 +93,5 @@ def read_weather_json(spark: SparkSession, path: str | Sequence[str], multiline:
 
 
 def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """One or several Parquet paths as one DataFrame."""
     return spark.read.parquet(*([path] if isinstance(path, str) else list(path)))

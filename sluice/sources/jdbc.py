@@ -21,6 +21,7 @@ def read_id_range(spark: SparkSession, url: str, table: str, key: str, lower: in
 
 
 def read_table(spark: SparkSession, url: str, table: str, properties: dict | None = None) -> DataFrame:
+    """A whole table in one query (small tables; use ``read_id_range`` for large ones)."""
     return spark.read.jdbc(url, table, properties=properties or {})
 
 

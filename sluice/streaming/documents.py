@@ -74,4 +74,5 @@ def run_spec_sheet_stream(spark: SparkSession, input_dir: str, output_dir: str,
 
 
 def read_stored_sheets(spark: SparkSession, output_dir: str) -> DataFrame:
+    """Every stored sheet with the batch that stored it (the ledger folder is skipped)."""
     return spark.read.schema(STORED_SCHEMA).json(output_dir)
