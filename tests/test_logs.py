@@ -95,3 +95,42 @@ def test_batches_follow_arriving_files(spark, tmp_dir):
         q = run_log_stream(spark, in_dir, out, ckpt)
         assert (q.lastProgress["batchId"], q.lastProgress["numInputRows"]) == (batch, 2)
     assert read_parsed_logs(spark, out).count() == 31
+
+
+def _brute_force(line, legacy):
+    import re
+
+    from sluice.streaming.logs import (
+        ACTION_PATTERN,
+        DESCRIPTION_PATTERN,
+        LEGACY_DESCRIPTION_PATTERN,
+        PROCESS_PATTERN,
+        TIMESTAMP_PATTERN,
+    )
+
+    def ext(p):
+        m = re.search(p, line)
+        return (m.group(1) or None) if m else None
+
+    parts = line.split(" ", 5)
+    status = parts[2] if len(parts) > 2 and parts[2] != "" else None
+    row = (ext(TIMESTAMP_PATTERN), status, ext(PROCESS_PATTERN), ext(ACTION_PATTERN),
+           ext(LEGACY_DESCRIPTION_PATTERN if legacy else DESCRIPTION_PATTERN))
+    return row if row[0] is not None else None
+
+
+def test_parser_matches_brute_force_on_random_lines(spark):
+    import random
+
+    rnd = random.Random(7)
+    words = ["INFO", "WARN", "[main]", "[IPC Server handler 3]", "org.apache.Foo:", "Task:", ":", "(EQUATOR)",
+             "done", "a:b", " ", "[x]", "java.io.IOException:", "\tat", "kvi", "2015-10-17", "18:14:59,542"]
+    lines = []
+    for _ in range(400):
+        head = rnd.choice(["2015-10-17 18:14:59,542 ", "2015-10-17 18:14:59 ", "", "\tat "])
+        lines.append(head + " ".join(rnd.choice(words) for _ in range(rnd.randint(0, 8))))
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    for legacy in (False, True):
+        got = sorted((tuple(r) for r in parse_log_lines(df, legacy=legacy).collect()), key=repr)
+        want = sorted((r for r in (_brute_force(x, legacy) for x in lines) if r is not None), key=repr)
+        assert got == want
