@@ -135,3 +135,19 @@ def test_aqe_splits_skewed_partition_of_left_join(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_dense_index_random(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=6, deadline=None)
+    @given(st.lists(st.integers(0, 5), min_size=1, max_size=120), st.integers(1, 9))
+    def check(groups, parts):
+        rows = [(i, g) for i, g in enumerate(groups)]
+        df = spark.createDataFrame(rows, "id long, g long")
+        got = {r.id: r.ix for r in dense_index(df, ["g", "id"], name="ix", start=1, num_partitions=parts).collect()}
+        want = {i: n + 1 for n, (i, _) in enumerate(sorted(rows, key=lambda t: (t[1], t[0])))}
+        assert got == want
+
+    check()

@@ -136,3 +136,46 @@ def test_spec_sheet_stream_stores_each_url_once(spark, tmp_dir):
         f.write("\n".join([sheet("u3", "C"), sheet("u4", "D")]) + "\n")
     run_spec_sheet_stream(spark, in_dir, out, ckpt)
     assert sorted(r.url for r in read_stored_sheets(spark, out).collect()) == ["u1", "u2", "u3", "u4"]
+
+
+def _clean_in_python(sheet):
+    """The documented cleaning rules, written plainly for comparison."""
+    from sluice.operators.documents import EXCLUDED_TOP_KEY, KEY_REPLACEMENTS
+
+    fields, specs = {}, {}
+    for top, val in sheet.items():
+        if top == EXCLUDED_TOP_KEY:
+            continue
+        if isinstance(val, dict):
+            out = {}
+            for k, items in val.items():
+                for old, new in KEY_REPLACEMENTS:
+                    k = k.replace(old, new)
+                if len(items) == 1:
+                    out[k] = [items[0].replace("\n", "")]
+                else:
+                    out[k] = [x.replace("\n, ", "").replace("\n", "") for x in items]
+            specs[top] = out
+        else:
+            fields[top] = val[0]
+    return fields, specs
+
+
+def test_clean_spec_sheet_matches_python_rules_on_random_sheets(spark):
+    import random
+
+    rnd = random.Random(11)
+    keys = ["Sec. Cam.", "Secondary Cam.", "Aux. Lens", "Auxilary4 Mic", "Min. Equiv. Focal", "Res. Density",
+            "Brand", "Cam. Res.", "Camera Res.", "Model"]
+    texts = ["8 MP", "x\n", "\n, y", "a\n, b\n", "", "plain"]
+    sheets = []
+    for i in range(60):
+        sheet = {"url": [f"u{i}", "extra"], "Brief": {"Brand": ["z"]}}
+        for cat in rnd.sample(["General", "Camera", "Display"], rnd.randint(1, 3)):
+            sheet[cat] = {k: [rnd.choice(texts) for _ in range(rnd.randint(1, 3))]
+                          for k in rnd.sample(keys, rnd.randint(1, 6))}
+        sheets.append(sheet)
+    raw = spark.createDataFrame([(i, json.dumps(s)) for i, s in enumerate(sheets)], "doc_id long, raw string")
+    got = {r.doc_id: (r.fields, r.specs) for r in clean_spec_sheet(raw, keep=["doc_id"]).collect()}
+    for i, s in enumerate(sheets):
+        assert got[i] == _clean_in_python(s), i
