@@ -10,13 +10,45 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontam, tokenout
+from sluice.llm import decontam, langid, tokenout, topk, warc
 from sluice.plans.tables import table
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = topk.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+OP1_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x AS double)) AS bigint)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, q.v AS qv, c.v AS cv,
+         cast(list_dot_product(cast(q.v AS double[]), cast(c.v AS double[])) AS bigint) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT query_id, vec_id, score,
+         cast(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS integer) AS rank
+  FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = langid.is_held_out(F.col("doc_id"))
+    model = langid.learn(docs.where(~held_out))
+    found, name = langid.identify(docs.select("doc_id", "text"), model, keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), f"{name}.lang_pred", f"{name}.score")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, name = decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
                                              keep=["doc_id"])
@@ -58,15 +90,46 @@ FROM docs LEFT JOIN hits USING (rid) LEFT JOIN per_doc USING (rid)
 """
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    read = warc.archive_and_read(table(spark, sf_dir, "pages"))
+    return read.where("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP5_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, html, octet_length(encode(html)) AS n, sha1(html) AS h,
+             min(page_id) OVER (PARTITION BY html) AS first FROM p),
+bits AS (
+  SELECT *, array_to_string(list_transform(range(1, 41), lambda i: ['0000', '0001', '0010', '0011', '0100', '0101',
+    '0110', '0111', '1000', '1001', '1010', '1011', '1100', '1101', '1110', '1111'][
+    strpos('0123456789abcdef', substr(h, cast(i AS int), 1))]), '') AS b
+  FROM d)
+SELECT page_id, n AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + cast(16 * cast(substr(b, cast(5 * j + 1 AS int), 1) AS int)
+         + 8 * cast(substr(b, cast(5 * j + 2 AS int), 1) AS int) + 4 * cast(substr(b, cast(5 * j + 3 AS int), 1) AS int)
+         + 2 * cast(substr(b, cast(5 * j + 4 AS int), 1) AS int)
+         + cast(substr(b, cast(5 * j + 5 AS int), 1) AS int) AS int), 1)), '') AS payload_digest,
+       CASE WHEN coalesce(page_id = first, first IS NULL) THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN coalesce(page_id = first, first IS NULL) THEN NULL ELSE first END AS refers_to
+FROM bits
+"""
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenout.token_output(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID)
 
 
 QUERIES = {
+    "op1_topk": op1_topk,
+    "op2_language_id": op2_language_id,
     "op4_decontamination": op4_decontamination,
+    "op5_warc": op5_warc,
     "op10_token_output": op10_token_output,
 }
 
 ORACLES = {
+    "op5_warc": OP5_SQL,
+    "op1_topk": OP1_SQL,
     "op4_decontamination": OP4_SQL,
 }
