@@ -10,9 +10,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontam, langid, tokenout, topk, warc
+from sluice.llm import decontam, jaccard, langid, mixing, tokenout, topk, urlfilter, warc
 from sluice.plans.tables import table
 
+# Temperatures of the mix: sources are evened out most, topics half as much, languages least.
+MIX_TARGETS = {"source": 0.5, "lang": 0.8, "topic": 0.7}
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"),
+             ("org", "/fr/", "allow"))
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 
@@ -49,6 +53,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), f"{name}.lang_pred", f"{name}.score")
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, name = decontam.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"),
                                              keep=["doc_id"])
@@ -116,6 +124,17 @@ FROM bits
 """
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed, name = mixing.mix(table(spark, sf_dir, "documents"), MIX_TARGETS)
+    return mixed.select("doc_id", "source", "lang", f"{name}.topic", f"{name}.n_tokens", f"{name}.weight",
+                        f"{name}.probability", f"{name}.selected")
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urlfilter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenout.token_output(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID)
 
@@ -123,8 +142,11 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_topk": op1_topk,
     "op2_language_id": op2_language_id,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_decontamination": op4_decontamination,
     "op5_warc": op5_warc,
+    "op6_mixing": op6_mixing,
+    "op7_url_filter": op7_url_filter,
     "op10_token_output": op10_token_output,
 }
 
