@@ -27,6 +27,7 @@ names.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 import struct
 import zlib
@@ -34,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -48,47 +50,103 @@ FOOTER = "<QQQ8s"
 FOOTER_BYTES = struct.calcsize(FOOTER)
 RESULT = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
-# Chunks never span these characters, and no merge, composition or pattern of the tokenizer does either, so the
-# ids of a text are the ids of its chunks one after the other.
-_GAPS = re.compile(r"[ \t\r\n]+")
-_CACHES: dict[str, ChunkEncoder] = {}
-
-
-class ChunkEncoder:
-    """Encodes texts with the tokenizers library, remembering the ids of chunks between blanks (bounded)."""
+_CACHES: dict[str, TextEncoder] = {}
+
+# The steps before the merges of the word-level vocabulary this module has a short cut for (fixed values).
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+# Characters for which those steps are plain: printable ASCII, blanks and the precomposed letters of Latin-1, which
+# are their own composed form and have one lower-case letter each. Special tokens begin with "<|".
+_UNUSUAL = re.compile("[^\t\n\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]|<\\|")
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|"
+                    "[^\\sa-z0-9\u00df-\u00f6\u00f8-\u00ff]+")
+_BLANKS = re.compile("[ \t\r\n]+")
+
+
+def _byte_letters() -> list[str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for letters from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+
+
+class Pieces(dict):
+    """piece -> its ids (little-endian unsigned 32-bit), by the tokenizer's merges; two generations of ``bound``."""
+
+    def __init__(self, model, bound: int):
+        super().__init__()
+        self.model, self.bound, self.old = model, bound, {}
+        self.letters = _byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            mapped = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
+        if len(self) >= self.bound:
+            self.old = dict(self)
+            self.clear()
+        self[piece] = ids
+        return ids
+
+
+class TextEncoder:
+    """Ids of whole texts by the tokenizers library, without special tokens added.
+
+    For a vocabulary whose normalisation and splitting are the known ones, blanks are dropped and no step looks across
+    them, so the ids of a text are those of its stretches between blanks. Equal stretches of a batch are found in
+    Arrow and encoded once: those of usual characters by the library's merges on their pieces, all others by the whole
+    tokenizer. Texts of other vocabularies, and those that hold the beginning of a special token, go through the whole
+    tokenizer as they are.
+    """
 
-    def __init__(self, path: str, bound: int = 1_000_000):
+    def __init__(self, path: str, bound: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.bound = bound
-        # Blanks inside a text may only be cut where the tokenizer itself drops them.
-        self.by_chunk = not self.tokenizer.encode(" \t\r\n ", add_special_tokens=False).ids
         self.vocabulary = self.tokenizer.get_vocab_size()
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        split = made["pre_tokenizer"]["pretokenizers"] if (made.get("pre_tokenizer") or {}).get("type") == "Sequence" else []
+        self.known = (made.get("normalizer") == _NORMALIZER and len(split) == 2 and made.get("post_processor") is None
+                      and split[0] == {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True}
+                      and (split[1]["type"], split[1]["add_prefix_space"], split[1]["use_regex"]) == ("ByteLevel", False, False)
+                      and all(t["content"].startswith("<|") for t in made["added_tokens"]))
+        self.pieces = Pieces(self.tokenizer.model, bound)
 
     @classmethod
-    def of(cls, path: str) -> ChunkEncoder:
+    def of(cls, path: str) -> TextEncoder:
         if path not in _CACHES:
             _CACHES[path] = cls(path)
         return _CACHES[path]
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each whole text as little-endian unsigned 32-bit integers."""
-        if not self.by_chunk:
-            return [np.array(e.ids, "<u4") for e in
-                    self.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
-        out = []
-        for text in texts:
-            chunks = _GAPS.split(text) if text else []
-            new = [c for c in dict.fromkeys(chunks) if c not in self.known]
-            if len(self.known) + len(new) > self.bound:
-                self.known.clear()
-                new = list(dict.fromkeys(chunks))
-            for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.known[c] = np.array(e.ids, "<u4").tobytes()
-            out.append(np.frombuffer(b"".join(map(self.known.__getitem__, chunks)), "<u4"))
-        return out
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _stretch(self, text: str) -> bytes:
+        if _UNUSUAL.search(text):
+            return self._whole(text)
+        text = text.lower()
+        if text.isalpha():
+            return self.pieces[text]
+        return b"".join([self.pieces[p] for p in _PIECE.findall(text)])
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text of a string array as little-endian unsigned 32-bit integers; null is empty."""
+        if not self.known or (pc.any(pc.match_substring(texts, "<|")).as_py() or False):
+            return [np.frombuffer(self._whole(t or ""), "<u4") for t in texts.to_pylist()]
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = lists.flatten().dictionary_encode()
+        ids = [self._stretch(w) for w in words.dictionary.to_pylist()]
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first, word = np.cumsum(size) - size, words.indices.to_numpy()
+        count = size[word]
+        ends = np.concatenate([[0], np.cumsum(count)])
+        out = flat[np.repeat(first[word] - ends[:-1], count) + np.arange(ends[-1])]
+        cuts = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])]
+        return [out[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, sample_docs: int = 1000, sample_bytes: int = 8192,
@@ -102,9 +160,9 @@ def train_dictionary(docs: DataFrame, tokenizer_path: str, sample_docs: int = 10
     width = id_width(tokenizer_path)
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder.of(tokenizer_path)
+        encoder = TextEncoder.of(tokenizer_path)
         for batch in batches:
-            ids = encoder.encode(batch.column("text").to_pylist())
+            ids = encoder.encode(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("u"), pa.array(
                 [a.astype(width).tobytes()[:sample_bytes] for a in ids], pa.binary())], names=["u", "ids"])
 
@@ -125,7 +183,7 @@ def _dictionary(data: bytes) -> zstandard.ZstdCompressionDict:
 
 
 def id_width(tokenizer_path: str) -> str:
-    return "<u2" if ChunkEncoder.of(tokenizer_path).vocabulary <= 1 << 16 else "<u4"
+    return "<u2" if TextEncoder.of(tokenizer_path).vocabulary <= 1 << 16 else "<u4"
 
 
 def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, dictionary: bytes) -> DataFrame:
@@ -135,14 +193,14 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         name = f"{folder}/shard-{context.partitionId():06d}-{context.taskAttemptId()}.tok"
-        encoder = ChunkEncoder.of(tokenizer_path)
+        encoder = TextEncoder.of(tokenizer_path)
         squeeze = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(dictionary), write_checksum=True)
         out, index, at, total = None, [], 0, 0
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            for lo in range(0, batch.num_rows, 256):
-                texts = batch.column("text").slice(lo, 256).to_pylist()
-                for doc_id, array in zip(ids[lo:lo + 256], encoder.encode(texts), strict=True):
+            for lo in range(0, batch.num_rows, 4096):
+                arrays = encoder.encode(batch.column("text").slice(lo, 4096))
+                for doc_id, array in zip(ids[lo:lo + 4096], arrays, strict=True):
                     if out is None:
                         store, path = open_folder(folder)
                         store.create_dir(path, recursive=True)
