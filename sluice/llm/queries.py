@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontam, jaccard, langid, mixing, tokenout, topk, urlfilter, warc
+from sluice.llm import decontam, jaccard, langid, licenses, mixing, pii, tokenout, topk, urlfilter, warc
 from sluice.plans.tables import table
 
 # Temperatures of the mix: sources are evened out most, topics half as much, languages least.
@@ -135,6 +135,25 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.all_spans(table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{kind}')) as bigint) as n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts,
+                        F.sha2(pii.listed(F.col("spans")).cast("binary"), 256).alias("base_sha256"),
+                        pii.listed(F.array_sort(F.concat("spans", "added"))).alias("spans"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, name = licenses.scan_licenses(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    found = f"{name}.found"
+    return docs.select(
+        "doc_id", F.size(found).cast("long").alias("n_places"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda p: p["license"]))), ",").alias("licenses"),
+        F.array_max(F.transform(found, lambda p: p["coverage"])).alias("coverage"),
+        F.array_join(F.transform(found, lambda p: F.concat_ws(":", p["license"], p["start"].cast("string"),
+                                                              p["stop"].cast("string"))), ",").alias("spans"))
+
+
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenout.token_output(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID)
 
@@ -147,6 +166,8 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_mixing": op6_mixing,
     "op7_url_filter": op7_url_filter,
+    "op8_pii": op8_pii,
+    "op9_license_scan": op9_license_scan,
     "op10_token_output": op10_token_output,
 }
 
