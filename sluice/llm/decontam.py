@@ -73,8 +73,8 @@ class WuManber:
                 end += step
                 continue
             start = end - m + 1
-            for window, items in buckets[tuple(words[end - size + 1:end + 1])].get(
-                    tuple(words[start:start + size]), ()):
+            bucket = buckets.get(tuple(words[end - size + 1:end + 1]), {})
+            for window, items in bucket.get(tuple(words[start:start + size]), ()):
                 if window == tuple(words[start:end + 1]):
                     found.append((end, items))
             end += 1
