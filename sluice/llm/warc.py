@@ -39,6 +39,7 @@ from sluice.session import materialize
 VERSION = b"WARC/1.1\r\n"
 # Fixed values of the format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+KINDS = ("warcinfo", "response", "resource", "request", "metadata", "revisit", "conversion", "continuation")
 GZIP_MAGIC = b"\x1f\x8b\x08"
 # Record ids name the page; pages without an id are named by their digest.
 PAGE_URN = "urn:x-page:"
@@ -211,6 +212,8 @@ def parse(data: bytes) -> tuple:
         raise Damaged("the block has another digest")
     http, gap, payload = block.partition(b"\r\n\r\n")
     kind = head.get("warc-type", "")
+    if kind not in KINDS:
+        raise Damaged("no record type")
     digest = head.get("warc-payload-digest", "").removeprefix("sha1:")
     if kind == "revisit":
         return kind, _page(head.get("warc-record-id")), head.get("warc-target-uri"), _length(_headers(http)), digest, \
@@ -248,7 +251,7 @@ def _next_start(window: Window, at: int, packed: bool) -> int:
 def salvage(file, path: str) -> Iterator[tuple]:
     """Rows of ``READ`` for one archive: its records and quarantined gaps, in order."""
     window = Window(file)
-    packed = window.read(0, 3) == GZIP_MAGIC or path.endswith(".gz")
+    packed = path.endswith(".gz") or not path.endswith(".warc") and window.read(0, 3) == GZIP_MAGIC
     at, gap, why = 0, None, ""
     while at < window.end:
         try:
