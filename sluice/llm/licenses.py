@@ -4,10 +4,10 @@ Templates and texts are word sequences. Fingerprints are hashes of ``gram``
 words, winnowed: of every ``window`` neighbouring hashes the least is kept,
 so a shared run of gram + window - 1 words always shares a fingerprint. An
 inverted index from fingerprint to (template, position) finds hits in a text;
-hits of one template on neighbouring diagonals are one candidate place, and a
-local alignment of the template within ``band`` words of those diagonals
-gives the matched words, their share of the template (coverage) and the span
-in the text. Only the template index is shared with the tasks; its size is
+each diagonal of a template with a hit is a candidate place, and a local
+alignment of the template within ``band`` words of it gives the matched
+words, their share of the template (coverage) and the span in the text; of
+overlapping places of a template the best stays. Only the template index is shared with the tasks; its size is
 that of the templates. There is no shuffle.
 
 Defined cases: null and empty texts and texts without a word match nothing;
@@ -105,32 +105,22 @@ class Scanner:
         if not known.any():
             return []
         at = winnow(grams, self.window)
-        hits = [(t, pos - place, pos) for pos in at[known[at]].tolist() for t, place in self.index[int(grams[pos])]]
+        places = {(t, pos - place) for pos in at[known[at]].tolist() for t, place in self.index[int(grams[pos])]}
         out = []
-        for t, low, high in self._places(hits):
-            found = self._align(self.numbered[t], numbers, low, high)
+        for t, diagonal in sorted(places):
+            found = self._align(self.numbered[t], numbers, diagonal)
             if found and found[0] >= self.coverage * len(self.numbered[t]):
-                out.append((found[1], t, found))
+                out.append((t, *found))
         return self._spans(raw, sorted(set(out))) if out else []
 
-    def _places(self, hits: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        """(template, lowest, highest diagonal) of the groups of hits: diagonals within ``band`` of the next one."""
-        places: list[tuple[int, int, int]] = []
-        for t, diagonal, _ in sorted(hits):
-            if places and places[-1][0] == t and diagonal - places[-1][2] <= self.band \
-                    and diagonal - places[-1][1] <= 4 * self.band:
-                places[-1] = (t, places[-1][1], diagonal)
-            else:
-                places.append((t, diagonal, diagonal))
-        return places
-
-    def _align(self, template: list[int], numbers: list[int], low: int, high: int) -> tuple[int, int, int] | None:
-        """(matched words, first, last word) of the best local alignment on diagonals low - band to high + band."""
-        low, wide = low - self.band, high - low + 2 * self.band + 1
+    def _align(self, template: list[int], numbers: list[int], diagonal: int) -> tuple[int, int, int] | None:
+        """(matched words, first, last word) of the best local alignment within ``band`` of a diagonal; of equal ones
+        the nearest to it."""
+        low, wide = diagonal - self.band, 2 * self.band + 1
         n = len(numbers)
         # Per diagonal offset: score, matched words, first word of the alignment that ends there.
         before = [(0, 0, -1)] * (wide + 2)
-        best = (0, 0, 0, 0)
+        best = ((0, 0, 0), 0, 0, 0)
         for i, word in enumerate(template):
             now = [(0, 0, -1)] * (wide + 2)
             for d in range(wide):
@@ -148,17 +138,21 @@ class Scanner:
                         cell = (score - 1, matched, first)
                 if cell[0] > 0:
                     now[d + 1] = cell
-                    if cell[:2] > best[:2]:
-                        best = (cell[0], cell[1], cell[2], j)
+                    rated = (*cell[:2], -abs(d - self.band))
+                    if rated > best[0]:
+                        best = (rated, cell[1], cell[2], j)
             before = now
-        return best[1:] if best[0] > 0 else None
+        return best[1:] if best[1] else None
 
     def _spans(self, raw: bytes, found: list) -> list[dict]:
         """Places with their code points; the best one of a template where several overlap."""
         bytes_at = [m.span() for m in re.finditer(rb"[^ ]+", raw.translate(_WORD_TABLE))]
         kept: list[tuple] = []
-        for first, t, (matched, _, last) in sorted(found, key=lambda f: (f[1], -f[2][0], f[0])):
-            if not any(t == x[1] and first <= x[3] and x[0] <= last for x in kept):
+        for t, matched, first, last in sorted(found, key=lambda f: (f[0], f[2], -f[1])):
+            if kept and kept[-1][1] == t and first <= kept[-1][3]:
+                if matched > kept[-1][2]:
+                    kept[-1] = (first, t, matched, last)
+            else:
                 kept.append((first, t, matched, last))
         return [{"license": self.names[t], "coverage": matched / len(self.numbered[t]), "matched": matched,
                  "first_word": first, "last_word": last, "start": len(raw[:bytes_at[first][0]].decode()),
