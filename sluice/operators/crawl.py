@@ -7,25 +7,55 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, anti_join
-from sluice.sources.html import ANY_LINK
+from sluice.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, anti_join
+from sluice.sources.html import hrefs
 
-ORIGIN = r"^(https?://[^/?#]+)"
+ORIGIN = r"^(?i)(https?://[^/?#]+)"
+SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+
+
+def _without_dot_segments(path: Column) -> Column:
+    """``/a/./b/../c`` to ``/a/c``: segments in order, ``..`` takes back the one before."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    kept = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"), lambda done, x: (
+        F.when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))))
+        .when(x == ".", done).otherwise(F.concat(done, F.array(x)))))
+    # A path that ends in a dot segment names a folder.
+    return F.concat(F.lit("/"), F.array_join(F.when(last.isin(".", ".."), F.concat(kept, F.array(F.lit(""))))
+                                             .otherwise(kept), "/"))
 
 
 def resolve_href(page_url: Column, href: Column) -> Column:
-    """Absolute URL for an ``href`` on ``page_url``: absolute links stay,
-    root-relative ones (``/x``) get the page's origin; others are NULL."""
+    """Absolute URL of an ``href`` on ``page_url``, without its fragment.
+
+    Absolute, ``//host``, ``/root``, ``?query``, relative and ``#fragment``
+    links are resolved as a browser does; other schemes (``mailto:``) and
+    pages without an http origin give NULL.
+    """
+    link = F.regexp_replace(F.trim(href), r"(?s)#.*$", "")
     origin = F.regexp_extract(page_url, ORIGIN, 1)
-    return (F.when(href.rlike(r"^https?://"), href)
-            .when(href.startswith("/") & ~href.startswith("//") & (origin != ""), F.concat(origin, href)))
+    page = F.regexp_replace(page_url, r"(?s)#.*$", "")
+    bare = F.regexp_replace(page, r"(?s)\?.*$", "")
+    path = F.substring(bare, F.length(origin) + 1, F.length(bare))
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, r"(?s)^(.*/)", 1))
+    link_path = F.regexp_extract(link, r"(?s)^([^?]*)", 1)
+    query = F.substring(link, F.length(link_path) + 1, F.length(link))
+    whole = F.when(link_path.startswith("/"), link_path).otherwise(F.concat(folder, link_path))
+    dotted = F.concat(F.lit("/"), whole).rlike(r"/\.\.?(/|$)")
+    return (F.when(link.rlike(r"^(?i)https?://"), link)
+            .when(link.rlike(SCHEME) | (origin == ""), F.lit(None).cast("string"))
+            .when(link.startswith("//"), F.concat(F.regexp_extract(page_url, r"^([^:]+:)", 1), link))
+            .when(link == "", page)
+            .when(link.startswith("?"), F.concat(bare, link))
+            .otherwise(F.concat(origin, F.when(dotted, _without_dot_segments(whole)).otherwise(whole), query)))
 
 
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Every resolvable ``<a href>`` on every page, one row each."""
-    hrefs = F.explode(F.regexp_extract_all(F.col(html_col), F.lit(ANY_LINK), 1)).alias("__h")
-    links = pages.select(F.col(url_col).alias("__page"), hrefs)
-    return links.select(resolve_href(F.col("__page"), F.col("__h")).alias("url")).where(F.col("url").isNotNull())
+    links = pages.select(F.col(url_col).alias("__page"), F.explode(hrefs(F.col(html_col))).alias("__h"))
+    # The pattern work of a link is done once: the filter reads the resolved column, not the expression.
+    return links.select(F.explode(F.array_compact(F.array(resolve_href(F.col("__page"), F.col("__h"))))).alias("url"))
 
 
 def query_number(url: Column, param: str) -> Column:
@@ -34,11 +64,11 @@ def query_number(url: Column, param: str) -> Column:
 
 
 def new_urls(candidates: DataFrame, ledger: DataFrame, url_col: str = "url",
-             max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+             max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> DataFrame:
     """Distinct candidate URLs not yet in the ledger (skip already stored pages)."""
     cand = candidates.select(F.col(url_col).alias("url")).distinct()
     led = ledger.select(F.col(url_col).alias("url"))
-    return anti_join(cand, led, "url", max_broadcast_rows)
+    return anti_join(cand, led, "url", max_broadcast_bytes)
 
 
 def read_ledger(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -50,3 +80,8 @@ def read_ledger(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 def by_page_number(urls: DataFrame, param: str = "filter", url_col: str = "url") -> DataFrame:
     """Attach the page number from the URL query, for newest-first processing."""
     return urls.withColumn("page_number", query_number(F.col(url_col), param))
+
+
+def newest_first(urls: DataFrame, param: str = "filter", url_col: str = "url") -> DataFrame:
+    """URLs in crawl order: largest page number first (the newest), then those without one, each by URL."""
+    return by_page_number(urls, param, url_col).orderBy(F.col("page_number").desc_nulls_last(), url_col)

@@ -53,15 +53,19 @@ def zips_table(zips: DataFrame, id_col: str = "_id", loc_col: str = "loc") -> Da
 # ------------------------------------------------------------------ trips
 
 def typed_trips(trips: DataFrame, time_cols: Sequence[str] = ("starttime", "stoptime"),
-                text_cols: Sequence[str] = ("start_station_id", "end_station_id", "bikeid")) -> DataFrame:
+                text_cols: Sequence[str] = ("start_station_id", "end_station_id", "bikeid"),
+                lenient: bool = False) -> DataFrame:
     """Normalise names (lower case, ``_`` for spaces), parse the time
-    columns (fractional seconds kept), and store station and bike ids as text."""
+    columns (fractional seconds kept), and store station and bike ids as text.
+    A malformed time fails the job; with ``lenient`` it becomes NULL (count
+    them with ``reshape.cast_rejects``)."""
     df = normalise_names(trips)
     out = []
     for c in df.columns:
         col = F.col(f"`{c}`")
         if c in time_cols:
-            col = F.try_to_timestamp(col).cast("timestamp_ntz")
+            # Text straight to a zone-free timestamp: no session time zone is involved.
+            col = col.try_cast("timestamp_ntz") if lenient else col.cast("timestamp_ntz")
         elif c in text_cols:
             col = col.cast("string")
         out.append(col.alias(c))
@@ -109,9 +113,24 @@ def _last_per_key(entries: Column) -> Column:
         F.slice(F.transform(entries, lambda x: x["key"]), i + 2, F.size(entries)), lambda k: k == e["key"]))
 
 
-def clean_spec_sheet(raw: DataFrame, raw_col: str = "raw", keep: Sequence[str] = ()) -> DataFrame:
+def is_spec_sheet(raw_col: str = "raw") -> Column:
+    """True for text that is one JSON object; false for NULL, empty and malformed text."""
+    return F.from_json(F.col(raw_col), "map<string,string>", _JSON_OPTS).isNotNull()
+
+
+def malformed_sheets(raw: DataFrame, raw_col: str = "raw") -> DataFrame:
+    """The rows ``clean_spec_sheet`` cannot read, unchanged: the reject output."""
+    return raw.where(~is_spec_sheet(raw_col))
+
+
+def clean_spec_sheet(raw: DataFrame, raw_col: str = "raw", keep: Sequence[str] = (),
+                     on_malformed: str = "fail") -> DataFrame:
     """Clean scraped spec sheets held as JSON text.
 
+    Text that is not a JSON object fails the job (``on_malformed='fail'``)
+    or is kept as a row of NULL maps (``'null'``); callers that store
+    sheets route it to a reject output first, see ``malformed_sheets``.
+
     Top level: ``Brief`` is dropped; a list value becomes its first item
     (``fields``); an object is a category whose attribute keys are expanded
     (``Sec.`` -> ``Secondary`` ...) and whose values are cleaned lists
@@ -125,8 +144,13 @@ def clean_spec_sheet(raw: DataFrame, raw_col: str = "raw", keep: Sequence[str] =
     """
     keep = list(keep)
     is_obj = lambda v: F.ltrim(v).startswith("{")
-    top = raw.select(*keep, F.map_filter(F.from_json(F.col(raw_col), "map<string,string>", _JSON_OPTS),
-                                         lambda k, v: k != EXCLUDED_TOP_KEY).alias("__top"))
+    if on_malformed not in ("fail", "null"):
+        raise ValueError(f"unknown on_malformed {on_malformed}")
+    parsed = F.from_json(F.col(raw_col), "map<string,string>", _JSON_OPTS)
+    if on_malformed == "fail":
+        shown = F.coalesce(F.substring(raw_col, 1, 80), F.lit("NULL"))
+        parsed = F.coalesce(parsed, F.raise_error(F.concat(F.lit("malformed spec sheet: "), shown)))
+    top = raw.select(*keep, F.map_filter(parsed, lambda k, v: k != EXCLUDED_TOP_KEY).alias("__top"))
     split = top.select(
         *keep,
         F.transform_values(F.map_filter("__top", lambda k, v: ~is_obj(v)),

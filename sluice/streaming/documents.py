@@ -2,11 +2,13 @@
 append the rest.
 
 Raw sheets arrive as JSON lines in a directory. Every micro-batch is cleaned
-in-row (``clean_spec_sheet``), de-duplicated on its URL, anti-joined against
-the URLs stored by earlier batches, and written to ``batch_id=<n>/`` under
-the output. A batch replayed after a failure overwrites only its own folder
-and compares only against earlier batches, so the output holds every URL
-exactly once.
+in-row (``clean_spec_sheet``), de-duplicated on its URL (of several sheets of
+one URL the smallest text stays, so a replay keeps the same one), anti-joined
+against the URLs stored by earlier batches, and written to ``batch_id=<n>/``
+under the output. Sheets without a URL cannot be compared and are all stored.
+Text that is no JSON object goes to ``_rejects/batch_id=<n>/``. A batch
+replayed after a failure overwrites only its own folders and compares only
+against earlier batches, so the output holds every URL exactly once.
 """
 
 from __future__ import annotations
@@ -15,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators.documents import clean_spec_sheet
+from sluice.operators.documents import clean_spec_sheet, is_spec_sheet, malformed_sheets
 from sluice.operators.joins import anti_join
+from sluice.streaming.logs import file_stream
 
 URL_FIELD = "url"
 STORED_SCHEMA = T.StructType([
@@ -27,7 +30,8 @@ STORED_SCHEMA = T.StructType([
 ])
 
 
-LEDGER = "_urls"  # hidden folder: readers of the JSON output skip it
+LEDGER = "_urls"  # hidden folders: readers of the JSON output skip them
+REJECTS = "_rejects"
 
 
 def _stored_urls(spark: SparkSession, output_dir: str, before_batch: int) -> DataFrame | None:
@@ -46,25 +50,25 @@ def store_new_sheets(batch: DataFrame, batch_id: int, output_dir: str, raw_col:
     """One micro-batch: clean, drop URLs seen before, write this batch's folder
     and its URLs to the ledger."""
     spark = batch.sparkSession
-    clean = clean_spec_sheet(batch, raw_col=raw_col)
-    keyed = (clean.withColumn("url", F.col("fields")[URL_FIELD]).where(F.col("url").isNotNull())
-             .dropDuplicates(["url"]))
+    malformed_sheets(batch, raw_col).select(raw_col).write.mode("overwrite").text(f"{output_dir}/{REJECTS}/batch_id={batch_id}")
+    clean = clean_spec_sheet(batch.where(is_spec_sheet(raw_col)), raw_col=raw_col, keep=[raw_col])
+    clean = clean.withColumn("url", F.col("fields")[URL_FIELD])
+    sheet = F.struct("fields", "specs")
+    keyed = (clean.where(F.col("url").isNotNull()).groupBy("url").agg(F.min_by(sheet, raw_col).alias("s"))
+             .select("url", "s.fields", "s.specs"))
     stored = _stored_urls(spark, output_dir, batch_id)
     fresh = keyed if stored is None else anti_join(keyed, stored, "url")
-    fresh = fresh.select("url", "fields", "specs")
-    fresh.write.mode("overwrite").json(f"{output_dir}/batch_id={batch_id}")
+    unkeyed = clean.where(F.col("url").isNull()).select("url", "fields", "specs")
+    fresh.select("url", "fields", "specs").unionByName(unkeyed).write.mode("overwrite").json(f"{output_dir}/batch_id={batch_id}")
     # The ledger is written from the stored sheets, so both hold the same URLs.
     (spark.read.schema("url string, fields map<string,string>").json(f"{output_dir}/batch_id={batch_id}")
-     .select("url").write.mode("overwrite").parquet(f"{output_dir}/{LEDGER}/batch_id={batch_id}"))
+     .where("url is not null").select("url").write.mode("overwrite").parquet(f"{output_dir}/{LEDGER}/batch_id={batch_id}"))
 
 
 def run_spec_sheet_stream(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str,
                           max_files_per_trigger: int | None = None, timeout_s: float | None = None):
     """Drain the raw sheets under ``input_dir`` (``availableNow``) into ``output_dir``."""
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    query = (reader.load(input_dir).writeStream
+    query = (file_stream(spark, input_dir, max_files_per_trigger).writeStream
              .foreachBatch(lambda df, batch_id: store_new_sheets(df, batch_id, output_dir))
              .option("checkpointLocation", checkpoint_dir)
              .trigger(availableNow=True)
@@ -73,6 +77,11 @@ def run_spec_sheet_stream(spark: SparkSession, input_dir: str, output_dir: str,
     return query
 
 
+def read_rejects(spark: SparkSession, output_dir: str) -> DataFrame:
+    """Every rejected text (``value``) with the batch it came in; count it to see what was lost."""
+    return spark.read.schema("value string, batch_id long").text(f"{output_dir}/{REJECTS}")
+
+
 def read_stored_sheets(spark: SparkSession, output_dir: str) -> DataFrame:
     """Every stored sheet with the batch that stored it (the ledger folder is skipped)."""
     return spark.read.schema(STORED_SCHEMA).json(output_dir)

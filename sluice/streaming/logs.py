@@ -22,9 +22,10 @@ LEGACY_DESCRIPTION_PATTERN = r"\]\s\w.*?\:\W(\w.*)"
 STATUS_SPLIT_LIMIT = 6
 STATUS_TOKEN = 2
 
-# Default description: the whole message after the action's ": ", so a
-# message that starts with "(" or a second space is kept intact.
-DESCRIPTION_PATTERN = r"\]\s\w.*?\:\s(.*)"
+# Default description: the whole message after the action's own colon and one
+# blank, if there is one; a message that starts with "(" or a second space, or
+# right after the colon, is kept intact.
+DESCRIPTION_PATTERN = r"\]\s\w.*?\:\s?(.*)"
 
 # The CSV writer trims leading/trailing spaces unless told not to; a message
 # may start with a space, so both sides keep them.
@@ -55,14 +56,26 @@ def parse_log_lines(lines: DataFrame, value_col: str = "value", legacy: bool = F
     return parsed.dropna(how="any", subset=["timestamp"])
 
 
-def read_log_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """File-stream source over a directory of text files; each file is read once."""
+# Input of one micro-batch: bounds what a batch has to finish before its offsets are committed.
+MAX_BYTES_PER_TRIGGER = 64 << 30
+
+
+def file_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None,
+                max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER) -> DataFrame:
+    """Text files of a directory as a stream; a micro-batch takes so many bytes, or so many files if that is given."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    else:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     return reader.load(input_dir)
 
 
+def read_log_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """File-stream source over a directory of text files; each file is read once."""
+    return file_stream(spark, input_dir, max_files_per_trigger)
+
+
 def run_log_stream(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str,
                    max_files_per_trigger: int | None = None, legacy: bool = False,
                    available_now: bool = True, timeout_s: float | None = None):
