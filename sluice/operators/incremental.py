@@ -61,24 +61,25 @@ def reconcile(source: DataFrame, target: DataFrame | None) -> DataFrame:
 
 
 def next_id_range(source: DataFrame, key: str, mark, batch: int) -> DataFrame:
-    """Rows with ``mark < key <= mark + batch``; all rows up to ``batch`` ids when ``mark`` is None.
+    """Rows of the ``batch`` ids that start at the first existing id above ``mark`` (at the first id when it is None).
 
-    Id-range semantics: gaps in the ids give a short batch, as a
-    ``where id between a and b`` extraction does.
+    Id-range semantics: gaps inside the range give a short batch, as a
+    ``where id between a and b`` extraction does. A gap right after the mark
+    is skipped, however long it is, so repeated runs always come to the end;
+    the start is one pushed-down ``min``.
     """
-    if mark is None:
-        lo = source.agg(F.min(key).alias("m")).first()["m"]
-        if lo is None:
-            return source.limit(0)
-        mark = lo - 1
-    return source.where(F.col(key).between(F.lit(mark + 1), F.lit(mark + batch)))
+    above = source if mark is None else source.where(F.col(key) > F.lit(mark))
+    lo = above.agg(F.min(key).alias("m")).first()["m"]
+    if lo is None:
+        return source.limit(0)
+    return source.where(F.col(key).between(F.lit(lo), F.lit(lo + batch - 1)))
 
 
 def id_range_batches(source: DataFrame, key: str, mark, batch: int, batch_col: str = "batch_id") -> DataFrame:
     """Every pending row (``key > mark``) tagged with its id-range batch number.
 
-    Batch ``b`` holds ids ``mark + 1 + b*batch .. mark + (b+1)*batch``, the
-    same ranges repeated single-batch runs would read, produced in one pass.
+    Batch ``b`` holds ids ``mark + 1 + b*batch .. mark + (b+1)*batch``,
+    produced in one pass; a range inside a gap has no rows.
     """
     if mark is None:
         lo = source.agg(F.min(key).alias("m")).first()["m"]
@@ -95,10 +96,11 @@ def batch_after(source: DataFrame, key: str, last_key=None, n: int | None = None
     (no n, no key): everything; (n, no key): the first n; (n, key): the next
     n after the key; (no n, key): everything after the key.
     """
-    rows = source if last_key is None else source.where(F.col(key) > F.lit(last_key))
+    column = F.col(f"`{key}`")
+    rows = source if last_key is None else source.where(column > F.lit(last_key))
     if n is None:
         return rows
-    return rows.orderBy(F.col(key).asc()).limit(n)
+    return rows.orderBy(column.asc()).limit(n)
 
 
 def latest(source: DataFrame, key: str) -> DataFrame:

@@ -12,12 +12,12 @@ from sluice.session import materialize
 
 
 def conform(df: DataFrame, columns: T.StructType | Sequence[tuple[str, str | T.DataType]],
-            strict: bool = False) -> DataFrame:
+            lenient: bool = False) -> DataFrame:
     """Select ``columns`` in order; absent ones become typed NULLs (pandas ``reindex``).
 
-    Present columns are cast to the declared type: ``try_cast`` by default
-    (free text), a strict ``cast`` that fails the job under ANSI when
-    ``strict`` is set (typed sources).
+    Present columns are cast to the declared type. A value that does not fit
+    fails the job (ANSI); with ``lenient`` it becomes NULL, and
+    ``cast_rejects`` counts how many did.
     """
     fields = [(f.name, f.dataType) for f in columns.fields] if isinstance(columns, T.StructType) else list(columns)
     have = set(df.columns)
@@ -25,12 +25,19 @@ def conform(df: DataFrame, columns: T.StructType | Sequence[tuple[str, str | T.D
     for name, dtype in fields:
         if name in have:
             c = F.col(f"`{name}`")
-            out.append((c.cast(dtype) if strict else c.try_cast(dtype)).alias(name))
+            out.append((c.try_cast(dtype) if lenient else c.cast(dtype)).alias(name))
         else:
             out.append(F.lit(None).cast(dtype).alias(name))
     return df.select(*out)
 
 
+def cast_rejects(df: DataFrame, columns: T.StructType | Sequence[tuple[str, str | T.DataType]]) -> DataFrame:
+    """One row: per present column, how many values a lenient ``conform`` turns into NULL."""
+    fields = [(f.name, f.dataType) for f in columns.fields] if isinstance(columns, T.StructType) else list(columns)
+    return df.agg(*[F.count_if(F.col(f"`{n}`").isNotNull() & F.col(f"`{n}`").try_cast(t).isNull()).alias(n)
+                    for n, t in fields if n in df.columns])
+
+
 def rename_positional(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Assign new names by position (``df.columns = [...]``)."""
     return df.toDF(*names)
@@ -114,14 +121,10 @@ def fill_constants(df: DataFrame, values: dict) -> DataFrame:
 
 
 def _range_partitions(df: DataFrame) -> int:
-    """Range partitions for a full re-sort: at least one per input split, so a
-    partition stays about the size of an input split at any scale (AQE does
-    not resize an explicit range partitioning)."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        return max(n, df.rdd.getNumPartitions())
-    except Exception:  # noqa: BLE001 - no RDD view on Spark Connect
-        return n
+    """Range partitions for a full re-sort: the session's shuffle partitions, which
+    the cluster profile sizes for the data (AQE does not resize an explicit
+    range partitioning). Nothing is run to find out."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def dense_index(df: DataFrame, order_by: Sequence[str], name: str = "index", start: int = 0,

@@ -23,27 +23,27 @@ from sluice.functions.time import hours_after, parse_init
 
 LAYER_UNIT = "mb"
 
-RH_LAYER = T.StructType([T.StructField("layer", T.StringType()), T.StructField("rh", T.IntegerType())])
+RH_LAYER = T.StructType([T.StructField("layer", T.StringType()), T.StructField("rh", T.LongType())])
 WIND_LAYER = T.StructType([T.StructField("layer", T.StringType()),
-                           T.StructField("direction", T.IntegerType()),
-                           T.StructField("speed", T.IntegerType())])
+                           T.StructField("direction", T.LongType()),
+                           T.StructField("speed", T.LongType())])
 TIMEPOINT = T.StructType([
     T.StructField("timepoint", T.IntegerType()),
-    T.StructField("cloudcover", T.IntegerType()),
-    T.StructField("highcloud", T.IntegerType()),
-    T.StructField("midcloud", T.IntegerType()),
-    T.StructField("lowcloud", T.IntegerType()),
+    T.StructField("cloudcover", T.LongType()),
+    T.StructField("highcloud", T.LongType()),
+    T.StructField("midcloud", T.LongType()),
+    T.StructField("lowcloud", T.LongType()),
     T.StructField("rh_profile", T.ArrayType(RH_LAYER)),
     T.StructField("wind_profile", T.ArrayType(WIND_LAYER)),
-    T.StructField("temp2m", T.IntegerType()),
-    T.StructField("lifted_index", T.IntegerType()),
-    T.StructField("rh2m", T.IntegerType()),
-    T.StructField("msl_pressure", T.IntegerType()),
+    T.StructField("temp2m", T.LongType()),
+    T.StructField("lifted_index", T.LongType()),
+    T.StructField("rh2m", T.LongType()),
+    T.StructField("msl_pressure", T.LongType()),
     T.StructField("prec_type", T.StringType()),
-    T.StructField("prec_amount", T.IntegerType()),
-    T.StructField("snow_depth", T.IntegerType()),
+    T.StructField("prec_amount", T.LongType()),
+    T.StructField("snow_depth", T.LongType()),
     T.StructField("wind10m", T.StructType([T.StructField("direction", T.StringType()),
-                                           T.StructField("speed", T.IntegerType())])),
+                                           T.StructField("speed", T.LongType())])),
 ])
 WEATHER_DOCUMENT = T.StructType([
     T.StructField("product", T.StringType()),
@@ -62,10 +62,11 @@ SERIES_COLUMNS = ["cloudcover", "highcloud", "midcloud", "lowcloud", "temp2m", "
                   "wind10m_speed", "snow_depth"]
 
 
-def layer_number(c) -> F.Column:
-    """``'950mb'`` -> 950 (NULL when not a number after removing the unit)."""
+def layer_number(c, lenient: bool = False) -> F.Column:
+    """``'950mb'`` -> 950; what is no number without its unit fails the job, or is NULL with ``lenient``."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.replace(c, F.lit(LAYER_UNIT), F.lit("")).try_cast("int")
+    bare = F.replace(c, F.lit(LAYER_UNIT), F.lit(""))
+    return bare.try_cast("int") if lenient else bare.cast("int")
 
 
 def _timepoints(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -75,19 +76,19 @@ def _timepoints(docs: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _series_map(d: str = "__d") -> dict[str, F.Column]:
     cols = [
-        F.col(f"{d}.cloudcover").cast("int").alias("cloudcover"),
-        F.col(f"{d}.highcloud").cast("int").alias("highcloud"),
-        F.col(f"{d}.midcloud").cast("int").alias("midcloud"),
-        F.col(f"{d}.lowcloud").cast("int").alias("lowcloud"),
-        F.col(f"{d}.temp2m").cast("int").alias("temp2m"),
-        F.col(f"{d}.lifted_index").cast("int").alias("lifted_index"),
-        F.col(f"{d}.rh2m").cast("int").alias("rh2m"),
-        F.col(f"{d}.msl_pressure").cast("int").alias("msl_pressure"),
+        F.col(f"{d}.cloudcover").cast("bigint").alias("cloudcover"),
+        F.col(f"{d}.highcloud").cast("bigint").alias("highcloud"),
+        F.col(f"{d}.midcloud").cast("bigint").alias("midcloud"),
+        F.col(f"{d}.lowcloud").cast("bigint").alias("lowcloud"),
+        F.col(f"{d}.temp2m").cast("bigint").alias("temp2m"),
+        F.col(f"{d}.lifted_index").cast("bigint").alias("lifted_index"),
+        F.col(f"{d}.rh2m").cast("bigint").alias("rh2m"),
+        F.col(f"{d}.msl_pressure").cast("bigint").alias("msl_pressure"),
         F.col(f"{d}.prec_type").alias("prec_type"),
-        F.col(f"{d}.prec_amount").cast("int").alias("prec_amount"),
-        F.col(f"{d}.wind10m.direction").try_cast("int").alias("wind10m_direction"),
-        F.col(f"{d}.wind10m.speed").cast("int").alias("wind10m_speed"),
-        F.col(f"{d}.snow_depth").cast("int").alias("snow_depth"),
+        F.col(f"{d}.prec_amount").cast("bigint").alias("prec_amount"),
+        F.col(f"{d}.wind10m.direction").cast("bigint").alias("wind10m_direction"),
+        F.col(f"{d}.wind10m.speed").cast("bigint").alias("wind10m_speed"),
+        F.col(f"{d}.snow_depth").cast("bigint").alias("snow_depth"),
     ]
     return dict(zip(SERIES_COLUMNS, cols))
 
@@ -109,10 +110,10 @@ def weather_fact(docs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     fact = {
         **_series_map(),
         "rh_layer": layer_number(F.col("__rh.layer")).alias("rh_layer"),
-        "rh": F.col("__rh.rh").cast("int").alias("rh"),
+        "rh": F.col("__rh.rh").cast("bigint").alias("rh"),
         "wind_layer": layer_number(F.col("__w.layer")).alias("wind_layer"),
-        "wind_direction": F.col("__w.direction").cast("int").alias("wind_direction"),
-        "wind_speed": F.col("__w.speed").cast("int").alias("wind_speed"),
+        "wind_direction": F.col("__w.direction").cast("bigint").alias("wind_direction"),
+        "wind_speed": F.col("__w.speed").cast("bigint").alias("wind_speed"),
     }
     return rows.select(*keys, "time_interval", *[fact[c] for c in FACT_COLUMNS])
 
@@ -128,7 +129,7 @@ def rh_profile_rows(docs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     keys = list(keys)
     pts = _timepoints(docs, keys).select(*keys, "time_interval", F.explode("__d.rh_profile").alias("__rh"))
     return pts.select(*keys, "time_interval", layer_number(F.col("__rh.layer")).alias("rh_layer"),
-                      F.col("__rh.rh").cast("int").alias("rh"))
+                      F.col("__rh.rh").cast("bigint").alias("rh"))
 
 
 def wind_profile_rows(docs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -136,8 +137,8 @@ def wind_profile_rows(docs: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     keys = list(keys)
     pts = _timepoints(docs, keys).select(*keys, "time_interval", F.explode("__d.wind_profile").alias("__w"))
     return pts.select(*keys, "time_interval", layer_number(F.col("__w.layer")).alias("wind_layer"),
-                      F.col("__w.direction").cast("int").alias("wind_direction"),
-                      F.col("__w.speed").cast("int").alias("wind_speed"))
+                      F.col("__w.direction").cast("bigint").alias("wind_direction"),
+                      F.col("__w.speed").cast("bigint").alias("wind_speed"))
 
 
 def profile_join(series: DataFrame, profile: DataFrame, on: Sequence[str] = ("time_interval",)) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.operators.incremental import batch_after
 from sluice.operators.weather import WEATHER_DOCUMENT
 
 # The sales record layout (header names, and the month/day/year
@@ -39,21 +40,39 @@ SALES_CSV_SCHEMA = T.StructType([
     T.StructField("Total Profit", MONEY),
 ])
 SALES_DATE_COLUMNS = ("Order Date", "Ship Date")
+MONEY_COLUMNS = ("Unit Price", "Unit Cost", "Total Revenue", "Total Cost", "Total Profit")
 
 
 def read_sales_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = SALES_CSV_SCHEMA,
                    date_columns: Sequence[str] = SALES_DATE_COLUMNS, date_format: str = SALES_DATE_FORMAT,
                    mode: str = "FAILFAST") -> DataFrame:
-    """Header CSV with a declared schema; the date columns parsed with ``M/d/yyyy``.
-
-    Quoted fields may contain commas. ``mode='FAILFAST'`` makes a malformed
-    row fail the job instead of silently becoming NULLs.
+    """Header CSV with declared columns found by name; the date columns parsed with ``M/d/yyyy``.
+
+    The header's order is the file's own: it is read from the first file, the
+    declared types are put in that order and the declared columns selected by
+    name. A missing column raises; further columns are left out. Files whose
+    header differs from the first one's fail the read (``enforceSchema`` is
+    off, so every file's header is compared). Quoted fields may contain
+    commas. ``mode='FAILFAST'`` makes a malformed row fail the job instead of
+    silently becoming NULLs.
     """
-    raw = (spark.read.schema(schema).option("header", True).option("mode", mode)
+    header = spark.read.option("header", True).options(**CSV_KEEP_SPACES).csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"CSV header lacks {', '.join(missing)}")
+    types = {f.name: f.dataType for f in schema.fields}
+    as_stored = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+    raw = (spark.read.schema(as_stored).option("header", True).option("mode", mode).option("enforceSchema", False)
            .options(**CSV_KEEP_SPACES).csv(path))
     return raw.select(*[
         (F.to_date(F.col(f"`{c}`"), date_format).alias(c) if c in date_columns else F.col(f"`{c}`"))
-        for c in raw.columns])
+        for c in schema.fieldNames()])
+
+
+def as_int(df: DataFrame, columns: Sequence[str] = MONEY_COLUMNS) -> DataFrame:
+    """Money as whole numbers, halves rounded to even, for loads into integer columns."""
+    return df.select(*[(F.bround(F.col(f"`{c}`"), 0).cast("bigint").alias(c) if c in columns else F.col(f"`{c}`"))
+                       for c in df.columns])
 
 
 def write_sales_csv(df: DataFrame, path: str, date_columns: Sequence[str] = SALES_DATE_COLUMNS,
@@ -65,10 +84,20 @@ def write_sales_csv(df: DataFrame, path: str, date_columns: Sequence[str] = SALE
     out.write.mode("overwrite").option("header", True).options(**CSV_KEEP_SPACES).csv(path)
 
 
-def read_csv_offset_batch(df: DataFrame, order_by: Sequence[str], offset: int, n: int) -> DataFrame:
-    """Rows ``offset .. offset+n-1`` in key order (a file line number is not
-    stable under parallel reads, a key order is)."""
-    return df.orderBy(*[F.col(f"`{c}`") for c in order_by]).offset(offset).limit(n)
+def read_csv_batches(df: DataFrame, key: str, batch: int, skip: int = 0) -> DataFrame:
+    """The batch of ``batch`` rows in key order after ``skip`` earlier ones.
+
+    Each batch starts after the last key of the one before (a filter and a
+    top-n of one batch), so no task ever holds the rows that were skipped; a
+    file line number would not be stable under parallel reads. Keys are
+    unique.
+    """
+    last = None
+    for _ in range(skip):
+        last = batch_after(df, key, last, batch).agg(F.max(F.col(f"`{key}`")).alias("m")).first()["m"]
+        if last is None:
+            return df.limit(0)
+    return batch_after(df, key, last, batch)
 
 
 def read_json_documents(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
