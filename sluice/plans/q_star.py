@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.crawl import new_urls, page_links
-from sluice.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, table_row_counts, lookup_join, role
+from sluice.operators.crawl import new_urls, newest_first, page_links, read_ledger
+from sluice.operators.joins import lookup_join, role, small_enough
 from sluice.operators.reshape import empty_to_null
 from sluice.operators.sets import symmetric_difference
 from sluice.plans.catalog import register
 from sluice.plans.tables import Tables
+from sluice.session import scratch_path
 from sluice.sources.html import html_list_links
 
 STAR_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "p_name", "p_brand", "l_suppkey", "s_name",
@@ -26,24 +27,23 @@ def star_enrich(t: Tables):
     fact meets each dimension once. Every join is a left join on a checked
     broadcast or, above the bound, a skew-aware sort-merge join.
     """
-    bound = DEFAULT_MAX_BROADCAST_ROWS
-    n = table_row_counts({"nation": t.nation, "supplier": t.supplier, "customer": t.customer,
-                          "part": t.part, "orders": t.orders})
-    small = {k: v <= bound for k, v in n.items()}
-    # Left joins on a dimension's unique key keep the left row count, so a
-    # resolved dimension is as small as its base table.
     nation = t.nation.select("n_nationkey", "n_name")
-    supp = lookup_join(t.supplier.select("s_suppkey", "s_name", "s_nationkey"),
+    supplier, customer = t.supplier.select("s_suppkey", "s_name", "s_nationkey"), t.customer.select("c_custkey", "c_name", "c_nationkey")
+    part, order = t.part.select("p_partkey", "p_name", "p_brand"), t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    # Left joins on a dimension's unique key keep the left row count, and add
+    # one name a row: the bound leaves room for that.
+    small = small_enough({"nation": nation, "supplier": supplier, "customer": customer, "part": part, "orders": order})
+    supp = lookup_join(supplier,
                        role(nation, {"n_nationkey": "sn_nationkey", "n_name": "supp_nation"}),
                        "s_nationkey", "sn_nationkey", small=small["nation"])
-    cust = lookup_join(t.customer.select("c_custkey", "c_name", "c_nationkey"),
+    cust = lookup_join(customer,
                        role(nation, {"n_nationkey": "cn_nationkey", "n_name": "cust_nation"}),
                        "c_nationkey", "cn_nationkey", small=small["nation"])
-    orders = lookup_join(t.orders.select("o_orderkey", "o_custkey", "o_orderdate"), cust, "o_custkey", "c_custkey",
+    orders = lookup_join(order, cust, "o_custkey", "c_custkey",
                          small=small["customer"])
     fact = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                              (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).alias("revenue"))
-    fact = lookup_join(fact, t.part.select("p_partkey", "p_name", "p_brand"), "l_partkey", "p_partkey",
+    fact = lookup_join(fact, part, "l_partkey", "p_partkey",
                        small=small["part"])
     fact = lookup_join(fact, supp, "l_suppkey", "s_suppkey", small=small["supplier"])
     fact = lookup_join(fact, orders, "l_orderkey", "o_orderkey", small=small["orders"])
@@ -76,12 +76,11 @@ LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 def q_inspection_zip(spark: SparkSession, sf_dir: str):
     """Parent to child on a 1:1 key, then child to a lookup table (left)."""
     t = Tables(spark, sf_dir)
-    n = table_row_counts({"customer": t.customer, "nation": t.nation})
-    addr = lookup_join(t.customer.select("c_custkey", "c_name", "c_nationkey"),
-                       t.nation.select("n_nationkey", "n_name"), "c_nationkey", "n_nationkey",
-                       small=n["nation"] <= DEFAULT_MAX_BROADCAST_ROWS)
+    customer, nation = t.customer.select("c_custkey", "c_name", "c_nationkey"), t.nation.select("n_nationkey", "n_name")
+    small = small_enough({"customer": customer, "nation": nation})
+    addr = lookup_join(customer, nation, "c_nationkey", "n_nationkey", small=small["nation"])
     return lookup_join(t.orders.select("o_orderkey", "o_custkey"), addr, "o_custkey", "c_custkey", how="inner",
-                       small=n["customer"] <= DEFAULT_MAX_BROADCAST_ROWS)
+                       small=small["customer"])
 
 
 @register("missing_dims", """
@@ -128,6 +127,26 @@ def q_frontier_new_urls(spark: SparkSession, sf_dir: str):
     return new_urls(page_links(pages), pages.select("url"))
 
 
+@register("frontier_by_page_number", r"""
+WITH links AS (
+  SELECT url AS page_url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages),
+u AS (
+  SELECT DISTINCT regexp_extract(page_url, '^(https?://[^/?#]+)', 1) || href || '?filter=' ||
+         CAST(length(href) AS VARCHAR) AS url
+  FROM links WHERE regexp_extract(page_url, '^(https?://[^/?#]+)', 1) <> '')
+SELECT url, CAST(regexp_extract(url, '[?&]filter=([0-9]+)', 1) AS BIGINT) AS page_number FROM u
+WHERE NOT EXISTS (SELECT 1 FROM pages p WHERE p.url = u.url)
+""")
+def q_frontier_by_page_number(spark: SparkSession, sf_dir: str):
+    """Links not in a text ledger of visited pages, newest first by the page number in their query."""
+    pages = Tables(spark, sf_dir).pages
+    ledger = scratch_path(spark, "ledger")
+    pages.select(F.coalesce("url", F.lit("")).alias("value")).write.text(ledger)
+    links = page_links(pages).select(
+        F.concat("url", F.lit("?filter="), F.length(F.regexp_replace("url", r"^https?://[^/?#]+", ""))).alias("url"))
+    return newest_first(new_urls(links, read_ledger(spark, ledger)))
+
+
 @register("empty_to_null", r"""
 SELECT page_id,
        NULLIF(regexp_extract(url, '\?([^#]*)', 1), '') AS query,
