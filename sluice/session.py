@@ -8,7 +8,6 @@ setting is absent, which is the case in unit tests on one machine.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -79,23 +78,29 @@ def _conf_checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def _private_dir(spark: SparkSession) -> str:
+    """A folder of this machine, for sessions whose tasks all run on it; anything else must name a shared one."""
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="sluice-ckpt-")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a private one only if unset."""
+    """The shared checkpoint folder. Only a local session may leave it unset and gets a private one."""
     conf_dir = _conf_checkpoint_dir(spark)
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: the server owns the setting
         if not conf_dir:
-            conf_dir = tempfile.mkdtemp(prefix="sluice-ckpt-")
+            conf_dir = _private_dir(spark)
             spark.conf.set("spark.checkpoint.dir", conf_dir)
         return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="sluice-ckpt-")
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    sc.setCheckpointDir(conf_dir or _private_dir(spark))
+    return sc.getCheckpointDir()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -106,12 +111,18 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared scratch root."""
-    root = scratch_root(spark)
-    path = f"{root}/sluice/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A fresh, unique path below the shared scratch root; whoever writes to it creates it.
+
+    Everything lies below ``<root>/sluice/<application id>/``. That folder
+    belongs to the application: results that are read lazily need it until
+    they have been consumed, and it can be deleted as a whole when the
+    application has ended.
+    """
+    try:
+        owner = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect
+        owner = "connect"
+    return f"{scratch_root(spark)}/sluice/{owner}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df, name: str = "materialized"):
@@ -127,23 +138,20 @@ def materialize(df, name: str = "materialized"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)  # no pass over the files to find the schema
 
 
-def spread(df):
-    """Spread rows over the cluster's cores before CPU-heavy per-row work.
+def spread(df, tasks: int | None = None):
+    """Spread rows over ``tasks`` before CPU-heavy per-row work.
 
-    A stored table with fewer input splits than cores (one file with one
-    row group, say) is read by that few tasks; a round-robin repartition
-    (deterministic on retry: Spark sorts before it) lets every core work.
-    When the input already has enough splits, as at cluster scale, the
-    plan is returned unchanged and no shuffle is added.
+    A local session reads a small table as one split; a round-robin
+    repartition (deterministic on retry: Spark sorts before it) lets every
+    core work. On a cluster the input splits are many and the plan is left
+    as it is unless ``tasks`` is given.
     """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - Spark Connect exposes neither; leave the plan alone
-        return df
-    if splits >= cores:
-        return df
-    return df.repartition(cores)
+    if tasks is None:
+        master = df.sparkSession.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            return df
+        tasks = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks)

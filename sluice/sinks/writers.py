@@ -3,11 +3,14 @@ tables, date-staged layouts, document output and star-schema loading.
 
 Tables are path-based Parquet datasets, so every write is a distributed
 Spark job committed by the file output committer: a failed job leaves no
-partial files visible to readers.
+partial files visible to readers. A load that replaces a table writes and
+checks a new folder beside it and switches the two at the end, so a failed
+load leaves the old table as it was.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -33,6 +36,32 @@ def write_parquet(df: DataFrame, path: str, compression: str | None = None, mode
     w.parquet(path)
 
 
+def replace_table(df: DataFrame, path: str, compression: str | None = None) -> None:
+    """Replace the table at ``path`` by ``df``, which may read that table.
+
+    The new table is written in full to a folder of its own first; a failing
+    write ends here and the old table stays. The switch is two renames on the
+    table's file system; should the driver die between them, the old table is
+    found beside ``path`` with the suffix ``__old``.
+    """
+    spark = df.sparkSession
+    base = path.rstrip("/")
+    new, old = f"{base}__new-{uuid.uuid4().hex[:12]}", f"{base}__old"
+    write_parquet(df, new, compression=compression, mode="errorifexists")
+    jvm = spark.sparkContext._jvm
+    at = {p: jvm.org.apache.hadoop.fs.Path(p) for p in (base, new, old)}
+    fs = at[base].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(at[base]):
+        fs.delete(at[old], True)
+        if not fs.rename(at[base], at[old]):
+            raise OSError(f"cannot set {base} aside")
+    if not fs.rename(at[new], at[base]):
+        fs.rename(at[old], at[base])
+        raise OSError(f"cannot switch {base} to {new}")
+    fs.delete(at[old], True)
+    spark.catalog.refreshByPath(base)
+
+
 def is_empty(df: DataFrame | None) -> bool:
     """A missing table or one without rows (reads at most one row)."""
     return df is None or df.limit(1).count() == 0
@@ -51,17 +80,13 @@ def load(df: DataFrame, path: str, disposition: str = WRITE_APPEND, compression:
             return "skipped"
         mode = "append"
     elif disposition == WRITE_TRUNCATE:
-        mode = "overwrite"
+        replace_table(df, path, compression)
+        return "loaded"
     elif disposition == WRITE_APPEND:
         mode = "append"
     else:
         raise ValueError(f"unknown disposition {disposition}")
-    w = df.write.mode(mode)
-    if mode == "overwrite":
-        w = w.option("partitionOverwriteMode", "static")
-    if compression:
-        w = w.option("compression", compression)
-    w.parquet(path)
+    write_parquet(df, path, compression=compression, mode=mode)
     return "loaded"
 
 
@@ -83,7 +108,7 @@ def load_with_metrics(df: DataFrame, path: str, disposition: str = WRITE_APPEND,
 def enforce_schema(df: DataFrame, schema: T.StructType, not_null: Sequence[str] = ()) -> DataFrame:
     """Cast to the declared types (ANSI: a bad value fails the job) and fail on
     NULL in a NOT NULL column, checked row by row inside the write itself."""
-    typed = conform(df, schema, strict=True)
+    typed = conform(df, schema)
     checked = []
     for f in schema.fields:
         c = F.col(f"`{f.name}`")
@@ -95,8 +120,11 @@ def enforce_schema(df: DataFrame, schema: T.StructType, not_null: Sequence[str]
 
 def write_typed_table(df: DataFrame, path: str, schema: T.StructType, not_null: Sequence[str] = (),
                       compression: str | None = None) -> None:
-    """Drop and re-create a typed table: the declared schema, enforced on write."""
-    write_parquet(enforce_schema(df, schema, not_null), path, compression=compression, mode="overwrite")
+    """Drop and re-create a typed table: the declared schema, enforced on write.
+
+    A row that breaks it fails the load and the old table stays.
+    """
+    replace_table(enforce_schema(df, schema, not_null), path, compression)
 
 
 def staged_write(df: DataFrame, root: str, load_date, date_col: str = "load_date") -> None:
@@ -140,8 +168,8 @@ def incremental_extract(source: DataFrame, target_path: str, key: str, batch: in
                         disposition: str = WRITE_APPEND) -> dict:
     """One run of an incremental load into the table at ``target_path``.
 
-    Reconcile counts; when the target is behind (or missing), read the ids
-    ``mark+1 .. mark+batch`` after the target's high-water mark and append
+    Reconcile counts; when the target is behind (or missing), read ``batch``
+    ids from the first one above the target's high-water mark and append
     them. Returns the reconcile status plus what was loaded.
     """
     spark = source.sparkSession
