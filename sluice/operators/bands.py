@@ -90,9 +90,19 @@ def _override(value, parsed: Column, other: Column, dtype: str) -> Column:
 
 def band_dimension(table: DataFrame, spec: BandSpec, variable_col: str = "Variable",
                    code_col: str = "Value", meaning_col: str = "Meaning",
-                   filter_variable: bool = True) -> DataFrame:
-    """Rows of one variable to ``(<name>, [description,] min, max)``."""
-    rows = table.filter(F.col(variable_col) == spec.variable) if filter_variable else table
+                   rows: tuple[int, int] | None = None, position_col: str = "row_idx",
+                   ends: tuple[int | None, int | None] | None = None) -> DataFrame:
+    """Rows of one variable to ``(<name>, [description,] min, max)``.
+
+    The rows are those of the spec's variable, or with ``rows`` the block of
+    positions ``rows[0] .. rows[1] - 1`` whatever their variable is called.
+    ``ends`` passes in the lowest and highest code when they are known (see
+    ``weather_band_dimensions``, which finds all variables' ends in one job).
+    """
+    if rows is None:
+        block = table.filter(F.col(variable_col) == spec.variable)
+    else:
+        block = table.filter(F.col(position_col).between(rows[0], rows[1] - 1))
     meaning = F.trim(F.col(meaning_col))
     if spec.with_description:
         desc = btrim_chars(last_token(meaning), spec.description_chars)
@@ -114,14 +124,13 @@ def band_dimension(table: DataFrame, spec: BandSpec, variable_col: str = "Variab
     lo2 = F.when(is_over, side_num).otherwise(lo)
     hi2 = F.when(is_below, side_num).otherwise(hi)
     code = F.col(code_col).try_cast("int")
-    staged = rows.select(code.alias("__code"), desc.alias("__desc") if desc is not None else F.lit(None).alias("__desc"),
+    staged = block.select(code.alias("__code"), desc.alias("__desc") if desc is not None else F.lit(None).alias("__desc"),
                          lo2.alias("__lo"), hi2.alias("__hi"))
     if spec.fill is not None:
         staged = staged.fillna({"__lo": spec.fill, "__hi": spec.fill})
-    # First and last band by code: two scalars from one aggregate row.
-    ends = staged.agg(F.min("__code").alias("first"), F.max("__code").alias("last")).first()
-    is_first = F.col("__code") == F.lit(ends["first"])
-    is_last = F.col("__code") == F.lit(ends["last"])
+    if ends is None:  # two scalars from one aggregate row
+        ends = tuple(staged.agg(F.min("__code"), F.max("__code")).first())
+    is_first, is_last = F.col("__code") == F.lit(ends[0]), F.col("__code") == F.lit(ends[1])
     lo_c, hi_c = F.col("__lo"), F.col("__hi")
     lo_out = F.when(is_first, _override(spec.first[0], lo_c, hi_c, spec.dtype)).otherwise(lo_c)
     hi_out = F.when(is_first, _override(spec.first[1], hi_c, lo_c, spec.dtype)).otherwise(hi_c)
@@ -135,8 +144,12 @@ def band_dimension(table: DataFrame, spec: BandSpec, variable_col: str = "Variab
 
 
 def weather_band_dimensions(table: DataFrame, legacy: bool = False) -> dict[str, DataFrame]:
-    """All six weather dimensions from one reference table."""
+    """All six weather dimensions from one reference table; the ends of all variables are one grouped aggregate."""
     specs = dict(WEATHER_BANDS)
     if legacy:
         specs["DIM_lifted_index"] = DIM_LIFTED_INDEX_LEGACY
-    return {name: band_dimension(table, spec) for name, spec in specs.items()}
+    code = F.col("Value").try_cast("int")
+    variables = [s.variable for s in specs.values()]  # at most one row each comes back
+    ends = {r["Variable"]: (r["first"], r["last"]) for r in table.where(F.col("Variable").isin(variables))
+            .groupBy("Variable").agg(F.min(code).alias("first"), F.max(code).alias("last")).collect()}
+    return {name: band_dimension(table, spec, ends=ends.get(spec.variable, (None, None))) for name, spec in specs.items()}

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.functions.time import stamp_date
 from sluice.session import materialize
 
 # ---------------------------------------------------------------- log lines
@@ -66,62 +67,72 @@ def _hour(ts="ts"):
 
 
 def event_grain(events: DataFrame) -> DataFrame:
-    """Events pre-aggregated per hour, type, quarter hour and user.
-
-    The hourly readings and both profiles are roll-ups of this one partial
-    aggregate; callers materialize it once (``materialize``) so ``events``
-    is scanned and shuffled once, and a hot user, type or hour is reduced
-    map-side before anything crosses the network.
-    """
+    """Events rolled up per hour, type and quarter hour: a few rows an hour,
+    whatever the number of events or users. Every reading but the distinct
+    users comes from these rows."""
     cents = F.round(F.col("value") * 100).cast("bigint")
     return events.groupBy(
-        _hour().alias("time_interval"), "event_type",
-        F.floor(F.minute("ts") / 15).cast("int").alias("quarter"), "user_id",
+        _hour().alias("time_interval"), "event_type", F.floor(F.minute("ts") / 15).cast("int").alias("quarter"),
     ).agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("vmax"), F.min("value").alias("vmin"),
-          F.sum(cents).alias("cents"))
+          F.sum(cents).alias("cents"), F.min("user_id").alias("umin"), F.max("user_id").alias("umax"))
+
+
+def event_users(events: DataFrame) -> DataFrame:
+    """Distinct users per hour and per quarter of it, one row an hour.
+
+    One row per hour and user, with the quarters it was seen in as bits, is
+    all that is shuffled; both counts come from it.
+    """
+    quarter = F.floor(F.minute("ts") / 15).cast("int")
+    bit = F.element_at(F.array(F.lit(1), F.lit(2), F.lit(4), F.lit(8)), quarter + 1)
+    seen = events.groupBy(_hour().alias("time_interval"), "user_id").agg(F.bit_or(bit).alias("seen"))
+    in_quarter = [F.count_if(F.col("seen").bitwiseAND(1 << q) > 0) for q in range(4)]
+    return seen.groupBy("time_interval").agg(F.count("user_id").alias("users"),
+                                             F.array(*in_quarter).alias("users_in_quarter"))
+
+
+def weather_rollups(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``event_grain`` and ``event_users``, each written once: some dozens of rows an hour, nothing of the events' size."""
+    return materialize(event_grain(events), "event_grain"), materialize(event_users(events), "event_users")
 
 
 def _n_of(event_type: str):
-    return F.coalesce(F.sum(F.when(F.col("event_type") == event_type, F.col("n"))), F.lit(0))
-
-
-def event_hours(events: DataFrame, grain: DataFrame | None = None) -> DataFrame:
-    """Scalar readings per hour (the ``dataseries`` entries)."""
-    g = event_grain(events) if grain is None else grain
-    return g.groupBy("time_interval").agg(
-        F.sum("n").cast("int").alias("cloudcover"),
-        _n_of("view").cast("int").alias("highcloud"),
-        _n_of("click").cast("int").alias("midcloud"),
-        _n_of("purchase").cast("int").alias("lowcloud"),
-        F.floor(F.max("vmax")).cast("int").alias("temp2m"),
-        _n_of("error").cast("int").alias("lifted_index"),
-        _n_of("signup").cast("int").alias("rh2m"),
-        F.count_distinct("user_id").cast("int").alias("msl_pressure"),
+    return F.coalesce(F.sum(F.when(F.col("event_type") == event_type, F.col("n"))), F.lit(0)).cast("bigint")
+
+
+def event_hours(grain: DataFrame, users: DataFrame) -> DataFrame:
+    """Scalar readings per hour (the ``dataseries`` entries), 64-bit whatever the hour holds."""
+    hours = grain.groupBy("time_interval").agg(
+        F.sum("n").alias("cloudcover"),
+        _n_of("view").alias("highcloud"),
+        _n_of("click").alias("midcloud"),
+        _n_of("purchase").alias("lowcloud"),
+        F.floor(F.max("vmax")).alias("temp2m"),
+        _n_of("error").alias("lifted_index"),
+        _n_of("signup").alias("rh2m"),
         # max over a small set: keeps the aggregate hash-based (a string max buffer forces a sort).
         F.array_max(F.collect_set("event_type")).alias("prec_type"),
-        F.floor(F.sum("cents") / 100).cast("int").alias("prec_amount"),
-        F.min("user_id").cast("int").alias("snow_depth"),
-        F.max("user_id").cast("string").alias("wind10m_direction"),
-        F.floor(F.min("vmin")).cast("int").alias("wind10m_speed"),
+        F.floor(F.sum("cents") / 100).cast("bigint").alias("prec_amount"),
+        F.min("umin").alias("snow_depth"),
+        F.max("umax").cast("string").alias("wind10m_direction"),
+        F.floor(F.min("vmin")).alias("wind10m_speed"),
     )
+    return hours.join(users.select("time_interval", F.col("users").alias("msl_pressure")), "time_interval")
 
 
-def event_rh_layers(events: DataFrame, grain: DataFrame | None = None) -> DataFrame:
+def event_rh_layers(grain: DataFrame) -> DataFrame:
     """Humidity profile rows: events per hour and type, layer text like ``850mb``."""
-    g = event_grain(events) if grain is None else grain
     layer = F.create_map(*[F.lit(x) for kv in EVENT_TYPE_LAYER.items() for x in kv])[F.col("event_type")]
-    agg = g.groupBy("time_interval", "event_type").agg(F.sum("n").cast("int").alias("rh"))
+    agg = grain.groupBy("time_interval", "event_type").agg(F.sum("n").alias("rh"))
     return agg.select("time_interval", layer.alias("layer"), "rh")
 
 
-def event_wind_layers(events: DataFrame, grain: DataFrame | None = None) -> DataFrame:
+def event_wind_layers(grain: DataFrame, users: DataFrame) -> DataFrame:
     """Wind profile rows: per hour and quarter hour, layer text like ``700mb``."""
-    g = event_grain(events) if grain is None else grain
-    agg = g.groupBy("time_interval", "quarter").agg(
-        F.count_distinct("user_id").cast("int").alias("direction"),
-        F.floor(F.max("vmax")).cast("int").alias("speed"))
+    agg = grain.groupBy("time_interval", "quarter").agg(F.floor(F.max("vmax")).alias("speed"))
     layer = F.concat((F.lit(900) - F.lit(100) * F.col("quarter")).cast("string"), F.lit("mb"))
-    return agg.select("time_interval", layer.alias("layer"), "direction", "speed")
+    return agg.join(users, "time_interval").select(
+        "time_interval", layer.alias("layer"), F.get("users_in_quarter", F.col("quarter")).alias("direction"), "speed")
 
 
 def event_weather_documents(events: DataFrame) -> DataFrame:
@@ -131,19 +142,19 @@ def event_weather_documents(events: DataFrame) -> DataFrame:
     and four quarter hours per hour), so every collected list is small and
     bounded whatever the event volume.
     """
-    grain = materialize(event_grain(events))
-    rh = event_rh_layers(events, grain).groupBy("time_interval").agg(
+    grain, users = weather_rollups(events)
+    rh = event_rh_layers(grain).groupBy("time_interval").agg(
         F.collect_list(F.struct("layer", "rh")).alias("rh_profile"))
-    wind = event_wind_layers(events, grain).groupBy("time_interval").agg(
+    wind = event_wind_layers(grain, users).groupBy("time_interval").agg(
         F.collect_list(F.struct("layer", "direction", "speed")).alias("wind_profile"))
-    pts = event_hours(events, grain).join(rh, "time_interval").join(wind, "time_interval")
+    pts = event_hours(grain, users).join(rh, "time_interval").join(wind, "time_interval")
     point = F.struct(
         F.hour("time_interval").alias("timepoint"),
         "cloudcover", "highcloud", "midcloud", "lowcloud", "rh_profile", "wind_profile",
         "temp2m", "lifted_index", "rh2m", "msl_pressure", "prec_type", "prec_amount", "snow_depth",
         F.struct(F.col("wind10m_direction").alias("direction"), F.col("wind10m_speed").alias("speed")).alias("wind10m"),
     )
-    day = F.date_format("time_interval", "yyyyMMdd")
+    day = stamp_date("time_interval")
     return (pts.groupBy(day.alias("day")).agg(F.collect_list(point).alias("dataseries"))
             .select(F.lit("civil").alias("product"), F.concat("day", F.lit("00")).alias("init"), "dataseries"))
 
@@ -174,6 +185,17 @@ def customer_inspection_docs(customer: DataFrame) -> DataFrame:
     )
 
 
+def customer_zip_docs(customer: DataFrame) -> DataFrame:
+    """Zip documents of the addresses above: one per zip, with ``[lon, lat]`` and the number of customers."""
+    k = F.col("c_custkey")
+    area = (F.col("c_nationkey").cast("bigint") * 1000 + k % 1000).alias("area")
+    return customer.groupBy(area).agg(F.count(F.lit(1)).alias("pop")).select(
+        F.lpad(F.col("area").cast("string"), 5, "0").alias("_id"),
+        F.concat(F.lit("City "), F.floor(F.col("area") / 1000).cast("string")).alias("city"),
+        F.concat(F.lit("State "), (F.floor(F.col("area") / 1000) % 5).cast("string")).alias("state"),
+        "pop", F.array(F.col("area") % 1000 + 0.25, F.floor(F.col("area") / 1000) + 0.5).alias("loc"))
+
+
 def event_trip_docs(events: DataFrame) -> DataFrame:
     """Bike-trip documents: times as text with four fractional digits,
     names with spaces and capitals as exported."""
@@ -234,14 +256,13 @@ def order_sales_rows(orders: DataFrame, customer: DataFrame, nation: DataFrame,
     Money is decimal(18,2) computed in decimal arithmetic; dates are dates.
     Customer, nation and region are small lookups joined to the orders.
     """
-    from sluice.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, lookup_join, table_row_counts
-
-    n = table_row_counts({"customer": customer, "nation": nation, "region": region})
-    small = {k: v <= DEFAULT_MAX_BROADCAST_ROWS for k, v in n.items()}
-    geo = lookup_join(nation.select("n_nationkey", "n_name", "n_regionkey"),
-                      region.select("r_regionkey", "r_name"), "n_regionkey", "r_regionkey", small=small["region"])
-    cust = lookup_join(customer.select("c_custkey", "c_nationkey", "c_mktsegment"), geo, "c_nationkey", "n_nationkey",
-                       small=small["nation"])
+    from sluice.operators.joins import lookup_join, small_enough
+
+    nation, region = nation.select("n_nationkey", "n_name", "n_regionkey"), region.select("r_regionkey", "r_name")
+    customer = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+    small = small_enough({"customer": customer, "nation": nation, "region": region})
+    geo = lookup_join(nation, region, "n_regionkey", "r_regionkey", small=small["region"])
+    cust = lookup_join(customer, geo, "c_nationkey", "n_nationkey", small=small["nation"])
     o = lookup_join(orders, cust, "o_custkey", "c_custkey", how="inner", small=small["customer"])
     units = (F.lit(1) + F.col("o_custkey") % 9).cast("int")
     price = F.col("o_totalprice").cast("decimal(18,2)")

@@ -5,16 +5,26 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.documents import clean_spec_sheet, normalise_inspections, spec_entries, typed_trips
+from sluice.operators.documents import clean_spec_sheet, normalise_inspections, spec_entries, typed_trips, zips_table
+from sluice.operators.joins import lookup_join
 from sluice.operators.reshape import (
     array_to_columns,
     conform,
     dense_index,
     dots_to_underscores,
+    explode_records,
+    flatten_structs,
     normalise_names,
 )
 from sluice.plans.catalog import register
-from sluice.plans.derive import customer_inspection_docs, event_trip_docs, part_spec_sheets
+from sluice.plans.derive import (
+    customer_inspection_docs,
+    customer_zip_docs,
+    event_trip_docs,
+    event_weather_documents,
+    part_spec_sheets,
+)
+from sluice.plans.q_weather import HOURS_SQL
 from sluice.plans.tables import Tables
 from sluice.session import scratch_path, spread
 from sluice.streaming.documents import read_stored_sheets, run_spec_sheet_stream
@@ -87,6 +97,41 @@ def q_inspection_split(spark: SparkSession, sf_dir: str):
     return inspection
 
 
+@register("inspection_zips", f"""
+WITH {_DOCS_SQL},
+a AS (SELECT _id, NULLIF(CASE WHEN c_acctbal < 0 THEN '' ELSE lpad(CAST(c_nationkey * 1000 + k % 1000 AS VARCHAR), 5, '0') END, '') AS zip
+      FROM d),
+z AS (SELECT lpad(CAST(c_nationkey * 1000 + k % 1000 AS VARCHAR), 5, '0') AS zip, 'City ' || CAST(c_nationkey AS VARCHAR) AS city,
+             'State ' || CAST(c_nationkey % 5 AS VARCHAR) AS state, count(*) AS pop, c_nationkey + 0.5 AS lat, k % 1000 + 0.25 AS lon
+      FROM d GROUP BY 1, 2, 3, 5, 6)
+SELECT CAST(row_number() OVER (ORDER BY a._id) - 1 AS BIGINT) AS address_id, a.zip, z.city AS zip_city, z.state, z.pop,
+       CAST(z.lat AS DOUBLE) AS lat, CAST(z.lon AS DOUBLE) AS lon
+FROM a LEFT JOIN z ON a.zip = z.zip
+""")
+def q_inspection_zips(spark: SparkSession, sf_dir: str):
+    """The three tables of the inspection load: parent, address and zips, the last two joined on the zip."""
+    customer = Tables(spark, sf_dir).customer
+    _, address = normalise_inspections(customer_inspection_docs(customer))
+    zips = zips_table(customer_zip_docs(customer)).withColumnRenamed("city", "zip_city").withColumnRenamed("zip", "z_zip")
+    return (lookup_join(address.select("address_id", "zip"), zips, "zip", "z_zip")
+            .select("address_id", "zip", "zip_city", "state", "pop", "lat", "lon"))
+
+
+@register("weather_flatten", f"""
+WITH {HOURS_SQL}
+SELECT strftime(time_interval, '%Y%m%d') || '00' AS init, CAST(hour(time_interval) AS INTEGER) AS timepoint,
+       cloudcover, temp2m, prec_type, prec_amount, CAST(wind10m_direction AS VARCHAR) AS wind10m_direction, wind10m_speed
+FROM h
+""")
+def q_weather_flatten(spark: SparkSession, sf_dir: str):
+    """Timepoints as records with their parent's stamp, nested structs flattened to ``parent.child`` columns."""
+    docs = event_weather_documents(Tables(spark, sf_dir).events)
+    points = explode_records(docs, "dataseries", keep=["init"])
+    flat = dots_to_underscores(flatten_structs(points.drop("rh_profile", "wind_profile")))
+    return flat.select("init", "timepoint", "cloudcover", "temp2m", "prec_type", "prec_amount", "wind10m_direction",
+                       "wind10m_speed")
+
+
 @register("surrogate_key", """
 SELECT o_orderkey, o_orderdate, CAST(row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS BIGINT) AS sk
 FROM orders
@@ -152,8 +197,7 @@ def q_spec_stream(spark: SparkSession, sf_dir: str):
     raw = part_spec_sheets(spread(Tables(spark, sf_dir).part)).select("raw")
     base = scratch_path(spark, "spec_stream")
     in_dir = f"{base}/in"
-    raw.write.mode("append").text(in_dir)
-    raw.write.mode("append").text(in_dir)
-    per_trigger = max(1, len(spark.read.text(in_dir).inputFiles()) // 4)
-    run_spec_sheet_stream(spark, in_dir, f"{base}/out", f"{base}/checkpoint", max_files_per_trigger=per_trigger)
+    for _ in range(2):
+        raw.write.mode("append").text(in_dir)
+        run_spec_sheet_stream(spark, in_dir, f"{base}/out", f"{base}/checkpoint")
     return spec_entries(read_stored_sheets(spark, f"{base}/out"), keep=["url"])

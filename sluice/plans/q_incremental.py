@@ -20,7 +20,7 @@ from sluice.operators.incremental import (
     resume_key,
 )
 from sluice.plans.catalog import register
-from sluice.plans.tables import Tables
+from sluice.plans.tables import TABLES, Tables
 
 RUN_DATE = "2024-01-16"
 BATCH = 1000
@@ -73,16 +73,14 @@ def q_high_water_mark(spark: SparkSession, sf_dir: str):
     return high_water_mark(Tables(spark, sf_dir).orders, "o_orderkey")
 
 
-COUNTED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "pages"]
-
 
 @register("row_count", " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in COUNTED))
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES))
 def q_row_count(spark: SparkSession, sf_dir: str):
     """Row count of each table."""
     t = Tables(spark, sf_dir)
     parts = [getattr(t, name).agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(name).alias("table_name"), "row_count") for name in COUNTED]
+             .select(F.lit(name).alias("table_name"), "row_count") for name in TABLES]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import SparkSession
 
 from sluice.plans.catalog import register
@@ -12,8 +10,6 @@ from sluice.plans.tables import Tables
 from sluice.session import scratch_path, spread
 from sluice.streaming.logs import parse_log_lines, read_parsed_logs, run_log_stream
 
-MICRO_BATCHES = 4
-
 EVENT_LOG_SQL = r"""
 SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') || ',' ||
          lpad(CAST((epoch_us(ts) % 1000000) // 1000 AS VARCHAR), 3, '0') AS "timestamp",
@@ -36,15 +32,13 @@ def log_stream(spark: SparkSession, sf_dir: str):
     """The same parse as a Structured Streaming job with a CSV sink.
 
     The rendered lines are written as text files, drained by an
-    ``availableNow`` file stream a few files per micro-batch, then the
+    ``availableNow`` file stream in micro-batches of bounded bytes, then the
     query is started a second time on the same checkpoint: it finds no new
     files and appends nothing, so the sink holds each line exactly once.
     """
     base = scratch_path(spark, "log_stream")
     in_dir, out_dir, ckpt = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
     event_log_lines(spread(Tables(spark, sf_dir).events)).write.mode("overwrite").text(in_dir)
-    # About four micro-batches whatever the number of files (listing only, no data read).
-    per_trigger = max(1, math.ceil(len(spark.read.text(in_dir).inputFiles()) / MICRO_BATCHES))
-    run_log_stream(spark, in_dir, out_dir, ckpt, max_files_per_trigger=per_trigger)
-    run_log_stream(spark, in_dir, out_dir, ckpt, max_files_per_trigger=per_trigger)
+    for _ in range(2):
+        run_log_stream(spark, in_dir, out_dir, ckpt)
     return read_parsed_logs(spark, out_dir)

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from sluice.operators.bands import band_dimension
 from sluice.operators.documents import normalise_inspections
+from sluice.operators.incremental import mark_value
 from sluice.operators.sales import load_sales
 from sluice.operators.weather import weather_fact
 from sluice.plans.catalog import register
@@ -28,14 +29,16 @@ from sluice.sinks.writers import (
     staged_write,
     table_path,
     write_documents,
+    write_parquet,
     write_typed_table,
 )
 from sluice.sources.files import (
-    read_csv_offset_batch,
+    read_csv_batches,
     read_json_documents,
     read_sales_csv,
     read_weather_json,
     write_sales_csv,
+    as_int,
     oid_to_text,
 )
 
@@ -91,8 +94,39 @@ SELECT region AS "Region", country AS "Country", item_type AS "Item Type", sales
 FROM t ORDER BY order_id LIMIT 1000 OFFSET 1000
 """)
 def q_csv_offset_batch(spark: SparkSession, sf_dir: str):
-    """Second batch of 1000 CSV records in key order (offset + limit)."""
-    return read_csv_offset_batch(read_sales_csv(spark, _sales_csv(spark, sf_dir)), ["Order ID"], 1000, 1000)
+    """Second batch of 1000 CSV records in key order: what follows the first batch's last key."""
+    return read_csv_batches(read_sales_csv(spark, _sales_csv(spark, sf_dir)), "Order ID", 1000, skip=1)
+
+
+_SALES_ROWS = """
+SELECT region AS "Region", country AS "Country", item_type AS "Item Type", sales_channel AS "Sales Channel",
+       "Order Priority", order_date AS "Order Date", order_id AS "Order ID", ship_date AS "Ship Date",
+       units_sold AS "Units Sold", unit_price AS "Unit Price", unit_cost AS "Unit Cost",
+       total_revenue AS "Total Revenue", total_cost AS "Total Cost",
+       CAST(total_revenue - total_cost AS DECIMAL(18,2)) AS "Total Profit"
+FROM t"""
+
+
+@register("csv_header_order", f"WITH {_SALES_SQL} {_SALES_ROWS}")
+def q_csv_header_order(spark: SparkSession, sf_dir: str):
+    """A sales CSV whose columns are in another order, with one more column: columns are found by header name."""
+    t = Tables(spark, sf_dir)
+    path = scratch_path(spark, "sales_csv")
+    rows = order_sales_rows(spread(t.orders), t.customer, t.nation, t.region)
+    write_sales_csv(rows.select(F.lit("x").alias("Remark"), *reversed(rows.columns)), path)
+    return read_sales_csv(spark, path)
+
+
+@register("csv_money_int", f"""
+WITH {_SALES_SQL}
+SELECT order_id AS "Order ID", CAST(round_even(unit_price, 0) AS BIGINT) AS "Unit Price",
+       CAST(round_even(total_revenue, 0) AS BIGINT) AS "Total Revenue"
+FROM t
+""")
+def q_csv_money_int(spark: SparkSession, sf_dir: str):
+    """The scanned sales with money as whole numbers."""
+    sales = as_int(read_sales_csv(spark, _sales_csv(spark, sf_dir)))
+    return sales.select("Order ID", "Unit Price", "Total Revenue")
 
 
 def _split(events):
@@ -224,6 +258,47 @@ def q_inspection_json_scan(spark: SparkSession, sf_dir: str):
     return inspection
 
 
+@register("json_array_scan", """
+SELECT CAST(c_custkey AS VARCHAR) AS certificate_number, c_name AS business_name, c_mktsegment AS sector FROM customer
+""")
+def q_json_array_scan(spark: SparkSession, sf_dir: str):
+    """Documents exported as JSON arrays, one array of at most 1000 documents a file."""
+    docs = customer_inspection_docs(Tables(spark, sf_dir).customer)
+    part = F.floor(F.col("certificate_number") / 1000).alias("part")
+    arrays = docs.groupBy(part).agg(F.to_json(F.collect_list(F.struct(*docs.columns))).alias("value"))
+    path = scratch_path(spark, "json_array")
+    arrays.write.partitionBy("part").text(path)
+    schema = "certificate_number bigint, business_name string, sector string"
+    scanned = read_json_documents(spark, path, schema)
+    return scanned.select(F.col("certificate_number").cast("string").alias("certificate_number"), "business_name", "sector")
+
+
+@register("parquet_gzip", f"SELECT {EVENT_COLS} FROM events")
+def q_parquet_gzip(spark: SparkSession, sf_dir: str):
+    """Parquet written with the gzip codec and read back."""
+    path = scratch_path(spark, "gzip") + "/events"
+    write_parquet(Tables(spark, sf_dir).events, path, compression="gzip")
+    return spark.read.parquet(path)
+
+
+_AFTER_GAP = f"(SELECT max(event_id) FROM events WHERE ts < {_RUN_TS}) + {2 * BATCH}"
+
+
+@register("incremental_gap", f"""
+SELECT {EVENT_COLS} FROM events
+WHERE ts < {_RUN_TS} OR (event_id > {_AFTER_GAP} AND event_id <= {_AFTER_GAP} + {BATCH})
+""")
+def q_incremental_gap(spark: SparkSession, sf_dir: str):
+    """An incremental run over a source whose ids have a gap of two batches after the mark."""
+    ev = Tables(spark, sf_dir).events
+    path = scratch_path(spark, "incremental_gap") + "/events"
+    target = loaded_target(ev)
+    load(target, path, WRITE_TRUNCATE)
+    resumes = mark_value(target, KEY) + 2 * BATCH
+    incremental_extract(target.unionByName(ev.where(F.col(KEY) > resumes)), path, KEY, BATCH)
+    return spark.read.parquet(path)
+
+
 @register("incremental_load", f"""
 SELECT {EVENT_COLS} FROM events
 WHERE event_id <= (SELECT max(event_id) FROM events WHERE ts < {_RUN_TS}) + {BATCH}
