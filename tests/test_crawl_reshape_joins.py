@@ -1,9 +1,10 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators.crawl import by_page_number, new_urls, page_links, read_ledger
+from sluice.operators.crawl import by_page_number, new_urls, newest_first, page_links, read_ledger
 from sluice.operators.joins import lookup_join, role
 from sluice.operators.reshape import (
     array_to_columns,
@@ -15,7 +16,7 @@ from sluice.operators.reshape import (
     normalise_names,
     remove_text,
 )
-from sluice.operators.sets import symmetric_difference
+from sluice.operators.sets import missing_from, symmetric_difference
 
 LEDGER = "\nhttps://x.net/list?m=device&filter=1218\nhttps://x.net/list?m=device&filter=1189\n"
 
@@ -36,7 +37,27 @@ def test_ledger_and_new_urls(spark, tmp_dir):
 def test_page_links_resolve(spark):
     pages = spark.createDataFrame([("https://a.example.com/en/1?x=1", '<a href="/b">b</a><a href="http://c.org/d">'
                                    '</a><a href="rel">r</a><a href="//cdn/x">x</a>')], "url string, html string")
-    assert sorted(r.url for r in page_links(pages).collect()) == ["http://c.org/d", "https://a.example.com/b"]
+    assert sorted(r.url for r in page_links(pages).collect()) == [
+        "http://c.org/d", "https://a.example.com/b", "https://a.example.com/en/rel", "https://cdn/x"]
+
+
+def test_every_kind_of_link(spark):
+    page = "https://a.example.com/en/list.php?m=1#top"
+    html = """<A class="x" HREF='b.html'>b</a> <a href=c.html>c</a> <a href="?filter=3&amp;m=2"><b>q</b></a>
+      <a data-x="a>b" href = "//cdn.org/x?y">h</a> <a href="../up/./d#frag">d</a> <a href="#top">t</a>
+      <a href="mailto:x@y.z">m</a> <a name="none">n</a> <abbr href="no">z</abbr> <a href="/a/../r/..">r</a>"""
+    pages = spark.createDataFrame([(page, html), ("not a page", '<a href="/x">x</a><a href="https://k.org/">k</a>'),
+                                   (None, "<a href='z'>z</a>"), ("http://bare.org", "<a href='z'>z</a>"), ("http://n.org", None)],
+                                  "url string, html string")
+    assert sorted(r.url for r in page_links(pages).collect()) == sorted([
+        "https://a.example.com/en/b.html", "https://a.example.com/en/c.html",
+        "https://a.example.com/en/list.php?filter=3&m=2", "https://cdn.org/x?y", "https://a.example.com/up/d",
+        "https://a.example.com/en/list.php?m=1", "https://a.example.com/", "https://k.org/", "http://bare.org/z"])
+
+
+def test_newest_first(spark):
+    urls = spark.createDataFrame([("u?filter=2",), ("u?filter=10",), ("u",)], "url string")
+    assert [r.page_number for r in newest_first(urls).collect()] == [10, 2, None]
 
 
 def test_reshape_helpers(spark):
@@ -75,11 +96,41 @@ def test_lookup_join_checked_broadcast(spark):
     dim = spark.range(10).select(F.col("id").alias("dk"), (F.col("id") * 2).alias("v"))
     small = lookup_join(fact, dim, "k", "dk")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in small
-    big = lookup_join(fact, dim, "k", "dk", max_broadcast_rows=5)
+    big = lookup_join(fact, dim, "k", "dk", max_broadcast_bytes=50)
     assert "BroadcastExchange" not in big._jdf.queryExecution().sparkPlan().toString()
     assert big.where(F.col("v").isNull()).count() == 90  # left join keeps every fact row
 
 
+def test_broadcast_bound_is_measured_in_bytes(spark):
+    from sluice.operators.joins import fits_broadcast
+
+    wide = spark.createDataFrame([(1, "x" * 5000), (2, None)], "k int, v string")
+    assert not fits_broadcast(wide, 5000) and fits_broadcast(wide, 6000) and fits_broadcast(wide.select("k"), 100)
+
+
+@pytest.mark.parametrize("how", ["full", "right", "cross"])
+def test_lookup_refuses_joins_that_keep_unmatched_dimension_rows(spark, how):
+    from sluice.operators.joins import salted_join
+
+    fact, dim = spark.range(3).withColumnRenamed("id", "k"), spark.range(3).withColumnRenamed("id", "dk")
+    with pytest.raises(ValueError):
+        lookup_join(fact, dim, "k", "dk", how=how)
+    with pytest.raises(ValueError):
+        salted_join(fact, dim, "k", "dk", [1], how=how)
+
+
+def test_equal_rows_of_a_hot_key_get_many_salts(spark):
+    from sluice.operators.joins import hot_keys, salted_join
+
+    fact = spark.range(1000).select(F.lit(7).alias("k"))
+    dim = spark.createDataFrame([(7, "v"), (8, "w")], "dk int, v string")
+    joined = salted_join(fact, dim, "k", "dk", hot_keys(fact, "k", 100), buckets=8)
+    assert joined.count() == 1000 and {r.v for r in joined.distinct().collect()} == {"v"}
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "salted_fact" in plan or "__salt" in plan
+    assert hot_keys(spark.range(30).select((F.col("id") % 3).alias("k")), "k", 1, max_keys=2) == [0, 1]
+
+
 def test_role_playing_and_symmetric_difference(spark):
     nation = spark.createDataFrame([(0, "A"), (1, "B")], "n_nationkey int, n_name string")
     r = role(nation, {"n_nationkey": "cn", "n_name": "cust_nation"})
@@ -87,6 +138,9 @@ def test_role_playing_and_symmetric_difference(spark):
     a = spark.createDataFrame([(1,), (2,), (2,)], "k int")
     b = spark.createDataFrame([(2,), (3,)], "k int")
     assert sorted(x.k for x in symmetric_difference(a, b).collect()) == [1, 3]
+    n = spark.createDataFrame([(None,), (2,)], "k int")
+    assert [x.k for x in symmetric_difference(n, b).orderBy("k").collect()] == [None, 3]
+    assert symmetric_difference(n, n).count() == 0 and [x.k for x in missing_from(a, n).collect()] == [1]
 
 
 def _skewed(spark):

@@ -8,10 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from sluice.plans import catalog
 from sluice.plans.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
-NO_ORACLE_OK = set()
 
 
 def _norm(v):
@@ -46,11 +46,11 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) - set(entry.oracle_sql()) <= NO_ORACLE_OK
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     got_cols, got = df.columns, [tuple(r) for r in df.collect()]
@@ -75,17 +75,32 @@ def test_plan_shapes(spark):
     nb = qs["incremental_next_batch"](spark, SF)
     assert "PushedFilters: [IsNotNull(event_id), GreaterThanOrEqual(event_id" in nb._jdf.queryExecution() \
         .executedPlan().toString() or "GreaterThanOrEqual(event_id" in _plan(nb)
-    # The three weather roll-ups read one materialized pre-aggregate, not events.
+    # The weather roll-ups read two small written aggregates, not events, and none is as long as events.
     pp = qs["profile_product"](spark, SF)
     pp.collect()
-    assert "events.parquet" not in _plan(pp) and "materialized" in _plan(pp)
+    assert "events.parquet" not in _plan(pp) and "event_grain" in _plan(pp) and "event_users" in _plan(pp)
+    # Two key sets compared: one shuffle, each read once.
+    md = _plan(qs["missing_dims"](spark, SF))
+    assert md.count("Exchange") == 1 and md.count("FileScan") == 2
+    # Size checks and batches put no row limit above a single partition but their own top-n.
+    for name in ("frontier_new_urls", "csv_offset_batch"):
+        plan = _plan(qs[name](spark, SF))
+        assert "GlobalLimit" not in plan and "CollectLimit" not in plan
 
 
-def test_spread_only_when_splits_are_fewer_than_cores(spark):
+def test_spread_uses_every_local_core_and_a_given_number(spark):
     from sluice.session import spread
 
-    cores = spark.sparkContext.defaultParallelism
     one = spark.range(100).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == cores
-    many = spark.range(100).repartition(cores * 2)
-    assert spread(many) is many
+    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(one, 3).rdd.getNumPartitions() == 3
+
+
+def test_scratch_must_be_shared_beyond_one_machine():
+    from types import SimpleNamespace
+
+    from sluice import session
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: "spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        session._private_dir(far)

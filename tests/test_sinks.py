@@ -112,9 +112,9 @@ def test_incremental_extract_until_up_to_date(spark, tmp_dir):
         runs.append((r["status"], r["rows_loaded"]))
         if r["status"] != "load":
             break
-    # Each run reads mark+1 .. mark+4 after the stored maximum:
-    # 1..4 -> 1,2,3; 4..7 -> 5; 6..9 -> 8,9; 10..13 -> 10; then up to date.
-    assert runs == [("load", 3), ("load", 1), ("load", 2), ("load", 1), ("up to date", 0)]
+    # Each run reads four ids from the first one above the stored maximum:
+    # 1..4 -> 1,2,3; 5..8 -> 5,8; 9..12 -> 9,10; then up to date.
+    assert runs == [("load", 3), ("load", 2), ("load", 2), ("up to date", 0)]
     assert sorted(x.id for x in spark.read.parquet(p).collect()) == [1, 2, 3, 5, 8, 9, 10]
 
 
