@@ -66,6 +66,27 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         decontam.is_contaminated(name).alias("contaminated"))
 
 
+OP3_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT rid, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS g
+  FROM (SELECT rid, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+common AS (SELECT a.rid AS x, b.rid AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.rid < b.rid GROUP BY 1, 2),
+links AS (SELECT x, y FROM common JOIN n p ON p.rid = x JOIN n q ON q.rid = y WHERE 5 * k >= 4 * (p.n + q.n - k)),
+e AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(rid, m) AS (SELECT rid, rid FROM d UNION SELECT e.y, reach.m FROM reach JOIN e ON reach.rid = e.x),
+roots AS (SELECT rid, min(m) AS root FROM reach GROUP BY rid),
+degrees AS (SELECT x AS rid, count(*) AS n_links FROM e GROUP BY x)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY root) AS class_id, coalesce(n_links, 0) AS n_links
+FROM d JOIN roots USING (rid) LEFT JOIN degrees USING (rid)
+"""
+
+
 OP4_SQL = r"""
 WITH docs AS (
   SELECT row_number() OVER () AS rid, doc_id,
@@ -174,5 +195,6 @@ QUERIES = {
 ORACLES = {
     "op5_warc": OP5_SQL,
     "op1_topk": OP1_SQL,
+    "op3_ngram_jaccard": OP3_SQL,
     "op4_decontamination": OP4_SQL,
 }
