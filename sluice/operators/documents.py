@@ -84,6 +84,7 @@ KEY_REPLACEMENTS = [
     ("Equiv.", "Equivalent"),
 ]
 EXCLUDED_TOP_KEY = "Brief"
+ABBREVIATED = r"\w..\."  # fixed value: what an abbreviated key looks like
 
 _JSON_OPTS = {"allowUnquotedControlChars": "true"}
 
@@ -94,6 +95,12 @@ def _rename_key(k: Column) -> Column:
     return k
 
 
+def _without_abbreviated(entries: Column) -> Column:
+    """Entries whose expanded key is no abbreviated key of the sheet itself."""
+    return F.filter(entries, lambda e: ~F.exists(entries, lambda o: o["key"].rlike(ABBREVIATED)
+                                                 & (o["key"] == _rename_key(e["key"]))))
+
+
 def _parsed_values(v: Column) -> Column:
     """JSON list text (or a bare scalar) to ``array<string>``."""
     return F.coalesce(F.from_json(v, "array<string>", _JSON_OPTS), F.array(v))
@@ -124,7 +131,7 @@ def malformed_sheets(raw: DataFrame, raw_col: str = "raw") -> DataFrame:
 
 
 def clean_spec_sheet(raw: DataFrame, raw_col: str = "raw", keep: Sequence[str] = (),
-                     on_malformed: str = "fail") -> DataFrame:
+                     on_malformed: str = "fail", legacy: bool = False) -> DataFrame:
     """Clean scraped spec sheets held as JSON text.
 
     Text that is not a JSON object fails the job (``on_malformed='fail'``)
@@ -135,8 +142,10 @@ def clean_spec_sheet(raw: DataFrame, raw_col: str = "raw", keep: Sequence[str] =
     (``fields``); an object is a category whose attribute keys are expanded
     (``Sec.`` -> ``Secondary`` ...) and whose values are cleaned lists
     (``specs``; a one-item list is the scalar case). Keys that look
-    abbreviated but have no expansion are kept with their values; when two
-    keys expand to the same name the later entry wins.
+    abbreviated but have no expansion are kept with their values; with
+    ``legacy`` they are deleted, and with them a key that expands to such a
+    name. When two keys expand to the same name the later entry
+    wins.
     Output: ``keep + (fields map<string,string>, specs map<string,map<string,array<string>>>)``.
 
     The work is staged in successive projections so each JSON text is
@@ -144,6 +153,7 @@ def clean_spec_sheet(raw: DataFrame, raw_col: str = "raw", keep: Sequence[str] =
     """
     keep = list(keep)
     is_obj = lambda v: F.ltrim(v).startswith("{")
+    entries = _without_abbreviated if legacy else (lambda e: e)
     if on_malformed not in ("fail", "null"):
         raise ValueError(f"unknown on_malformed {on_malformed}")
     parsed = F.from_json(F.col(raw_col), "map<string,string>", _JSON_OPTS)
@@ -158,7 +168,7 @@ def clean_spec_sheet(raw: DataFrame, raw_col: str = "raw", keep: Sequence[str] =
                            ).alias("fields"),
         F.transform_values(
             F.map_filter("__top", lambda k, v: is_obj(v)),
-            lambda k, v: F.transform(F.map_entries(F.from_json(v, "map<string,string>", _JSON_OPTS)),
+            lambda k, v: F.transform(entries(F.map_entries(F.from_json(v, "map<string,string>", _JSON_OPTS))),
                                      lambda e: F.struct(_rename_key(e["key"]).alias("key"),
                                                         _parsed_values(e["value"]).alias("arr")))
         ).alias("__cats"))

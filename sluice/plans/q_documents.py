@@ -186,6 +186,15 @@ def q_spec_clean(spark: SparkSession, sf_dir: str):
     return spec_entries(clean_spec_sheet(raw, keep=["doc_id"]), keep=["doc_id"])
 
 
+@register("spec_clean_legacy", f"""
+SELECT * FROM ({_SPEC_SQL}) WHERE attribute NOT IN ('Pix. Density', 'Camera Res.')
+""")
+def q_spec_clean_legacy(spark: SparkSession, sf_dir: str):
+    """The same sheets with abbreviated keys that have no expansion deleted."""
+    raw = part_spec_sheets(spread(Tables(spark, sf_dir).part))
+    return spec_entries(clean_spec_sheet(raw, keep=["doc_id"], legacy=True), keep=["doc_id"])
+
+
 @register("spec_stream", f"""
 SELECT 'https://parts.example.com/p/' || CAST(doc_id AS VARCHAR) AS url, category, attribute, value_index, value,
        n_values
