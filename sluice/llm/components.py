@@ -12,7 +12,7 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, spread_by: str, ways: i
     """``rows`` joined with one value a group; a hot key's rows go to ``ways`` tasks, chosen by ``spread_by``."""
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(ways)).cast("int"))
     copied = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ways - 1))))
-    return salted.join(copied, [key, "_salt"]).drop("_salt")
+    return salted.join(copied.hint("merge"), [key, "_salt"]).drop("_salt")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

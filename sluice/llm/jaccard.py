@@ -14,6 +14,9 @@
    link counts and a spanning forest leave the task.
 4. Components of the verified links are the classes.
 
+Both sides of every join grow with the input, so all of them are sort-merge
+joins at every size and nothing is broadcast.
+
 Result, one row a document: class_id, the smallest doc_id of its class, and
 n_links, the number of other documents at or above the threshold.
 
@@ -202,11 +205,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, reca
     # Written, so that the join below reads plain shuffles on both sides, whose hot partitions Spark splits.
     buckets = materialize(rows_.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("n"))
                           .where("n > 1").select("key", "least"), "jaccard-buckets")
-    candidates = connected_components(rows_.join(buckets, "key").select(F.col("node").alias("u"), F.col("least").alias("v")))
+    candidates = connected_components(rows_.join(buckets.hint("merge"), "key").select(F.col("node").alias("u"), F.col("least").alias("v")))
     candidates = candidates.withColumnRenamed("label", "comp")
     sizes = candidates.groupBy("comp").agg(F.count("*").alias("members"))
     known = nodes.select("node", "copies", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"))
-    groups = materialize(attach(candidates, sizes, "comp", "node").join(known, "node"), "jaccard-candidates")
+    groups = materialize(attach(candidates, sizes, "comp", "node").join(known.hint("merge"), "node"), "jaccard-candidates")
     total = groups.count()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,7 +223,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, reca
                                                  names=["comp", "members", "node", "copies", "grams"])
 
     own = docs.doc_id.eqNullSafe(groups.rep_id) & (docs.th == groups.rep_th)
-    sets = (docs.join(groups, own).select("comp", "members", "node", "copies", "text")
+    sets = (docs.join(groups.hint("merge"), own).select("comp", "members", "node", "copies", "text")
             .mapInArrow(gather, "comp bigint, members bigint, node bigint, copies bigint, grams binary"))
     # Small groups share a task; the blocks of a large one meet in pairs.
     parts = F.ceil(F.col("members") / block)
@@ -235,14 +238,15 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, reca
                         .applyInArrow(_verify(threshold), "node bigint, links bigint, root bigint"), "jaccard-links")
     degree = found.groupBy("node").agg(F.sum("links").alias("links"))
     labels = connected_components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
-    members = labels.join(nodes.select("node", "rep"), "node")
+    members = labels.join(nodes.select("node", "rep").hint("merge"), "node")
     least = members.groupBy("label").agg(F.min("rep").alias("class"))
     of_class = attach(members.select("node", "label"), least, "label", "node").select("node", "class")
     classes = materialize(
-        nodes.select("node", "copies", "rep").join(of_class, "node", "left").join(degree, "node", "left")
+        nodes.select("node", "copies", "rep").join(of_class.hint("merge"), "node", "left")
+        .join(degree.hint("merge"), "node", "left")
         .select("node", F.coalesce("class", "rep").alias("class"),
                 (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "jaccard-classes")
-    return (signed.select("doc_id", "th", "node").join(classes, "node", "left")
+    return (signed.select("doc_id", "th", "node").join(classes.hint("merge"), "node", "left")
             .select("doc_id", "th",
                     F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class.doc_id")).alias("class_id"),
                     F.coalesce("class.th", "th").alias("class_th"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
