@@ -46,7 +46,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         .select(F.col("doc_id").alias("s_id"), F.col("th").alias("s_th")).distinct(), "pipeline-stays")
     th = fresh_name(docs.columns, "text_hash")
     own = docs.withColumn(th, F.xxhash64("text"))
-    kept = own.join(stays, own.doc_id.eqNullSafe(stays.s_id) & (own[th] == stays.s_th), "left_semi")
+    kept = own.join(stays.hint("merge"), own.doc_id.eqNullSafe(stays.s_id) & (own[th] == stays.s_th), "left_semi")
     # Rows that repeat both id and text are one document; texts without a word are in no class and all stay.
     rank = fresh_name([*docs.columns, th], "copy")
     worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
