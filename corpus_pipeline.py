@@ -4,8 +4,10 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written
 as Parquet and read again as the next stage's ``docs``. All stages but the
 last return the columns of documents, for the rows they keep:
 
-1. language_id: documents whose language is undetermined, or whose best
-   language holds less than half of the text, go.
+1. language_id: documents whose language is undetermined, or in which no
+   language prevails (the best one holds less than 0.35 of the words), go.
+   Code-switched documents and short ones with a long key or a foreign
+   notice in them stay.
 2. near_duplicates: one document of each class of near duplicates stays, the
    one with the smallest doc_id (of equal rows, one).
 3. decontamination: documents contaminated by benchmark text go.
@@ -29,7 +31,7 @@ from sluice.llm.queries import END_ID, MIX_TARGETS, TOKENIZER
 from sluice.plans.tables import table
 from sluice.session import materialize
 
-MIN_LANGUAGE_SHARE = 0.5
+MIN_LANGUAGE_SHARE = 0.35
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
