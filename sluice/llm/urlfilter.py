@@ -12,7 +12,7 @@ pre-aggregated shuffle of the labelled URLs' grams; each order's
 probabilities come from a window over a context, which holds at most one row
 a letter, and a join with the next shorter order. Every URL's grams are
 joined with their log ratios and summed in whole millionths, so sums do not
-depend on the order of addition. Nothing is broadcast or collected but a
+depend on the order of addition. No broadcast is asked for; collected is a
 histogram with a bounded number of bins.
 
 Calibration: three quarters of the labelled URLs are counted; on the last
