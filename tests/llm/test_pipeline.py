@@ -30,7 +30,7 @@ def test_stages_in_order(spark):
 
 
 def rows_of(spark):
-    words = " ".join(f"word{i}" for i in range(40))
+    words = " ".join(f"word{i}" for i in range(120))
     rows = [(1, "the quick brown fox and the dog were in that house", "en", "a", 1), (2, None, "en", "a", 1), (3, "", None, None, 1),
             (4, "123 456", "en", "a", 1), (5, words, "en", "b", 1), (6, words, "en", "b", 1), (6, words, "en", "b", 1),
             (7, words.replace("word7 ", "other "), "en", "b", 1), (None, "the fox and that house of the dog", "en", None, 1),
