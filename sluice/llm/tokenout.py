@@ -101,7 +101,7 @@ class TextEncoder:
     tokenizer as they are.
     """
 
-    def __init__(self, path: str, bound: int = 500_000):
+    def __init__(self, path: str, bound: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -198,9 +198,9 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
         out, index, at, total = None, [], 0, 0
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
-            for lo in range(0, batch.num_rows, 4096):
-                arrays = encoder.encode(batch.column("text").slice(lo, 4096))
-                for doc_id, array in zip(ids[lo:lo + 4096], arrays, strict=True):
+            for lo in range(0, batch.num_rows, 2048):
+                arrays = encoder.encode(batch.column("text").slice(lo, 2048))
+                for doc_id, array in zip(ids[lo:lo + 2048], arrays, strict=True):
                     if out is None:
                         store, path = open_folder(folder)
                         store.create_dir(path, recursive=True)
