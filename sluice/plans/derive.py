@@ -91,18 +91,19 @@ def event_users(events: DataFrame) -> DataFrame:
                                              F.array(*in_quarter).alias("users_in_quarter"))
 
 
-def weather_rollups(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``event_grain`` and ``event_users``, each written once: some dozens of rows an hour, nothing of the events' size."""
-    return materialize(event_grain(events), "event_grain"), materialize(event_users(events), "event_users")
+def weather_rollups(events: DataFrame) -> DataFrame:
+    """``event_grain`` with the hour's ``event_users`` beside each row, written once: some dozens of rows an hour, nothing
+    of the events' size. Readings and both profiles are roll-ups of it."""
+    return materialize(event_grain(events).join(event_users(events), "time_interval"), "event_grain")
 
 
 def _n_of(event_type: str):
     return F.coalesce(F.sum(F.when(F.col("event_type") == event_type, F.col("n"))), F.lit(0)).cast("bigint")
 
 
-def event_hours(grain: DataFrame, users: DataFrame) -> DataFrame:
+def event_hours(grain: DataFrame) -> DataFrame:
     """Scalar readings per hour (the ``dataseries`` entries), 64-bit whatever the hour holds."""
-    hours = grain.groupBy("time_interval").agg(
+    return grain.groupBy("time_interval").agg(
         F.sum("n").alias("cloudcover"),
         _n_of("view").alias("highcloud"),
         _n_of("click").alias("midcloud"),
@@ -116,8 +117,8 @@ def event_hours(grain: DataFrame, users: DataFrame) -> DataFrame:
         F.min("umin").alias("snow_depth"),
         F.max("umax").cast("string").alias("wind10m_direction"),
         F.floor(F.min("vmin")).alias("wind10m_speed"),
+        F.max("users").alias("msl_pressure"),
     )
-    return hours.join(users.select("time_interval", F.col("users").alias("msl_pressure")), "time_interval")
 
 
 def event_rh_layers(grain: DataFrame) -> DataFrame:
@@ -127,12 +128,12 @@ def event_rh_layers(grain: DataFrame) -> DataFrame:
     return agg.select("time_interval", layer.alias("layer"), "rh")
 
 
-def event_wind_layers(grain: DataFrame, users: DataFrame) -> DataFrame:
+def event_wind_layers(grain: DataFrame) -> DataFrame:
     """Wind profile rows: per hour and quarter hour, layer text like ``700mb``."""
-    agg = grain.groupBy("time_interval", "quarter").agg(F.floor(F.max("vmax")).alias("speed"))
+    agg = grain.groupBy("time_interval", "quarter").agg(
+        F.floor(F.max("vmax")).alias("speed"), F.max(F.get("users_in_quarter", F.col("quarter"))).alias("direction"))
     layer = F.concat((F.lit(900) - F.lit(100) * F.col("quarter")).cast("string"), F.lit("mb"))
-    return agg.join(users, "time_interval").select(
-        "time_interval", layer.alias("layer"), F.get("users_in_quarter", F.col("quarter")).alias("direction"), "speed")
+    return agg.select("time_interval", layer.alias("layer"), "direction", "speed")
 
 
 def event_weather_documents(events: DataFrame) -> DataFrame:
@@ -142,12 +143,12 @@ def event_weather_documents(events: DataFrame) -> DataFrame:
     and four quarter hours per hour), so every collected list is small and
     bounded whatever the event volume.
     """
-    grain, users = weather_rollups(events)
+    grain = weather_rollups(events)
     rh = event_rh_layers(grain).groupBy("time_interval").agg(
         F.collect_list(F.struct("layer", "rh")).alias("rh_profile"))
-    wind = event_wind_layers(grain, users).groupBy("time_interval").agg(
+    wind = event_wind_layers(grain).groupBy("time_interval").agg(
         F.collect_list(F.struct("layer", "direction", "speed")).alias("wind_profile"))
-    pts = event_hours(grain, users).join(rh, "time_interval").join(wind, "time_interval")
+    pts = event_hours(grain).join(rh, "time_interval").join(wind, "time_interval")
     point = F.struct(
         F.hour("time_interval").alias("timepoint"),
         "cloudcover", "highcloud", "midcloud", "lowcloud", "rh_profile", "wind_profile",

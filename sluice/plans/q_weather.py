@@ -82,10 +82,10 @@ def q_profile_explode(spark: SparkSession, sf_dir: str):
 
 
 def _flat_profiles(events):
-    grain, users = weather_rollups(events)
-    series = event_hours(grain, users).withColumn("wind10m_direction", F.col("wind10m_direction").cast("bigint"))
+    grain = weather_rollups(events)
+    series = event_hours(grain).withColumn("wind10m_direction", F.col("wind10m_direction").cast("bigint"))
     rh = event_rh_layers(grain).select("time_interval", layer_number("layer").alias("rh_layer"), "rh")
-    wind = event_wind_layers(grain, users).select(
+    wind = event_wind_layers(grain).select(
         "time_interval", layer_number("layer").alias("wind_layer"),
         F.col("direction").alias("wind_direction"), F.col("speed").alias("wind_speed"))
     return series, rh, wind
