@@ -8,14 +8,15 @@ the value likely. Over the whole corpus
     PMI(term; value)  = ln(N * n(term, value) / (n(term) * n(value)))
     IC(value)         = ln(N / n(value))
 
-where N and n(term) count documents, n(value) counts distinct texts that hold
-the value and n(term, value) distinct texts that hold the term within
-``reach`` characters of it. Values are also estimated by what they share: the domain of an address, the
+where all four numbers count documents, copies included: N all of them,
+n(term) and n(value) those that hold the term or the value, n(term, value)
+those that hold the term within ``reach`` characters of the value. A group of
+copies so weighs alike in each of them. Values are also estimated by what they share: the domain of an address, the
 network of an IP address, the issuer digits of a card, the area of a phone
 number. A term whose PMI is at least ``disclose`` of the
 value's information is generalised to a placeholder, from ``remove`` of it
 on removed. Terms need ``support`` distinct texts, since a word that was
-seen once beside a value was not estimated.
+seen in copies of one text beside a value was not estimated.
 
 Everything is DataFrame and SQL functions. Positions come from the pieces
 between matches: both pieces and matches are cut by one pattern. The patterns
@@ -107,6 +108,11 @@ def find(docs: DataFrame, reach: int = 60) -> DataFrame:
     return materialize(spans.withColumn("near", F.expr(f"if(size(spans) > 0, {around}, null)")).drop("text"), "pii-spans")
 
 
+def _copies(found: DataFrame) -> DataFrame:
+    """(th, copies): the rows of every distinct text that holds a base span."""
+    return found.where("size(spans) > 0").groupBy("th").agg(F.count("*").alias("copies"))
+
+
 def _terms(found: DataFrame) -> DataFrame:
     """(doc_id, th, spans, entity, term, start, stop) of every word near a base span."""
     each = (found.where("size(spans) > 0").select("doc_id", "th", "spans", F.explode("near").alias("n"))
@@ -128,10 +134,11 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, terms: DataFrame, disclo
                      ) -> DataFrame:
     """(entity, term, action): terms whose mutual information with a value exceeds the threshold."""
     total = docs.count()
-    pairs = (terms.select("entity", "term", "th").distinct().groupBy("entity", "term")
-             .agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support))
+    copies = materialize(_copies(found), "pii-copies")
+    pairs = (terms.select("entity", "term", "th").distinct().join(copies, "th").groupBy("entity", "term")
+             .agg(F.sum("copies").alias("n_both"), F.count("*").alias("n_texts")).where(F.col("n_texts") >= support))
     values = (found.where("size(spans) > 0").select("th", F.explode(F.flatten("near.entities")).alias("entity")).distinct()
-              .groupBy("entity").agg(F.count("*").alias("n_entity")))
+              .join(copies, "th").groupBy("entity").agg(F.sum("copies").alias("n_entity")))
     words = (docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
              .groupBy("term").agg(F.count("*").alias("n_term")))
     known = pairs.join(values, "entity").join(words, "term")

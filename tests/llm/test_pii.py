@@ -76,6 +76,13 @@ def test_terms_disclose_by_mutual_information(spark):
     assert all(r[2] == [] for r in found(spark, every))
 
 
+def test_copies_do_not_switch_off_sanitising(spark):
+    rows = corpus()
+    plain = {r[0]: r[2] for r in found(spark, rows)}
+    copied = {r[0]: r[2] for r in found(spark, [*rows, *[(1000 + i, rows[0][1]) for i in range(300)]])}
+    assert plain[0] and all(copied[i] == plain[i] for i in plain) and copied[1007] == plain[0]
+
+
 @pytest.mark.parametrize("remove", [0.9, 0.71])
 def test_sanitise(spark, remove):
     rows = [*corpus(), (92, None), (0, corpus()[0][1])]
