@@ -18,6 +18,11 @@ value's information is generalised to a placeholder, from ``remove`` of it
 on removed. Terms need ``support`` distinct texts, since a word that was
 seen in copies of one text beside a value was not estimated.
 
+``reach`` is for estimating alone. In a text that holds a value, every
+occurrence of a term that discloses it is marked, however far from the value.
+In texts that do not hold the value the term stays: by itself it names no
+protected value there.
+
 Everything is DataFrame and SQL functions. Positions come from the pieces
 between matches: both pieces and matches are cut by one pattern. The patterns
 are possessive where the contract's give nothing back, so very long runs
@@ -48,6 +53,8 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 TERM = r"\p{L}{4,}"
+# The terms of the map ``actions`` as whole words in any case; they hold no character that a pattern treats otherwise.
+_ANY_OF = r"""concat(r'(?iu)(?<!\p{L})(?:', array_join(map_keys(actions), '|'), r')(?!\p{L})')"""
 
 # Places of matches from the zipped pieces and matches, lengths added up in order.
 _PLACES = """aggregate({zipped}, named_struct('at', 0L, 'out', cast(array() as array<struct<start: bigint, value: string>>)),
@@ -74,12 +81,13 @@ def _quoted(pattern: str) -> str:
     return "r'" + pattern + "'"
 
 
-def places(text: str, pattern: str) -> str:
-    """SQL for the matches of ``pattern`` in the column or expression ``text`` as an array of (start, value)."""
-    hit = f"regexp_extract_all({text}, {_quoted(pattern)}, 0)"
-    zipped = (f"zip_with(split({text}, {_quoted(pattern)}, -1), {hit}, "
-              f"(gap, hit) -> named_struct('gap', gap, 'hit', hit))")
-    return f"if({text} rlike {_quoted(pattern)}, {_PLACES.format(zipped=zipped)}, array())"
+def places(text: str, pattern: str, quoted: bool = True) -> str:
+    """SQL for the matches of ``pattern`` (an expression if not ``quoted``) in the column or expression ``text`` as an
+    array of (start, value)."""
+    pattern = _quoted(pattern) if quoted else pattern
+    hit = f"regexp_extract_all({text}, {pattern}, 0)"
+    zipped = f"zip_with(split({text}, {pattern}, -1), {hit}, (gap, hit) -> named_struct('gap', gap, 'hit', hit))"
+    return f"if({text} rlike {pattern}, {_PLACES.format(zipped=zipped)}, array())"
 
 
 def base_spans(text: str) -> Column:
@@ -94,7 +102,8 @@ def base_spans(text: str) -> Column:
 
 
 def find(docs: DataFrame, reach: int = 60) -> DataFrame:
-    """(doc_id, th, spans, near) of every row: base spans, and per span the text around it with its place.
+    """(doc_id, th, spans, near, held) of every row: base spans, per span the text around it with its place, and the
+    whole text if it has spans.
 
     ``th`` is the hash of the text. Words that ``reach`` cuts in two are left out. Written once for later steps.
     """
@@ -105,7 +114,8 @@ def find(docs: DataFrame, reach: int = 60) -> DataFrame:
       'left', substring(text, cast(greatest(s.start - {reach}, 0) + 1 as int), cast(least(s.start, {reach}) as int)),
       'right_at', s.stop, 'right', substring(text, cast(s.stop + 1 as int), {reach}),
       'left_cut', s.start > {reach}, 'right_cut', s.stop + {reach} < length(text)))"""
-    return materialize(spans.withColumn("near", F.expr(f"if(size(spans) > 0, {around}, null)")).drop("text"), "pii-spans")
+    return materialize(spans.withColumn("near", F.expr(f"if(size(spans) > 0, {around}, null)"))
+                       .withColumn("held", F.expr("if(size(spans) > 0, text, null)")).drop("text"), "pii-spans")
 
 
 def _copies(found: DataFrame) -> DataFrame:
@@ -149,22 +159,35 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, terms: DataFrame, disclo
             .select("entity", "term", F.when(share >= remove, "remove").otherwise("generalise").alias("action")))
 
 
+def _everywhere(found: DataFrame, shown: DataFrame) -> DataFrame:
+    """(th, added) of the texts that hold a value and, anywhere, a term that discloses it: the places of these terms."""
+    texts = materialize(found.where("size(spans) > 0").groupBy("th").agg(
+        F.first("held").alias("held"), F.first("spans").alias("spans"),
+        F.first(F.array_distinct(F.flatten("near.entities"))).alias("entities")), "pii-texts")
+    words = texts.select("th", "entities", F.explode(F.array_distinct(F.regexp_extract_all(
+        F.lower("held"), F.lit(TERM), F.lit(0)))).alias("term"))
+    # Words that disclose nothing go before the rest meets the text's values.
+    some = words.join(shown.select("term").distinct(), "term", "left_semi")
+    wanted = (some.select("th", "term", F.explode("entities").alias("entity")).join(shown, ["entity", "term"])
+              # One word may disclose several values: it is removed if one of them asks for that.
+              .groupBy("th", "term").agg(F.max("action").alias("action"))
+              .groupBy("th").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("actions")))
+    # Words are taken whole and compared in lower case, as they were counted.
+    placed = texts.join(wanted, "th").withColumn("found", F.expr(places("held", _ANY_OF, quoted=False)))
+    return placed.select("th", F.expr("""filter(transform(found, m -> named_struct('start', m.start, 'rank', {rank},
+        'stop', m.start + length(m.value), 'kind', 'term', 'value', actions[lower(m.value)])),
+        m -> m.value is not null and not exists(spans, s -> s.start < m.stop and m.start < s.stop))"""
+        .format(rank=len(KINDS))).alias("added"))
+
+
 def all_spans(docs: DataFrame, reach: int = 60, disclose: float = 0.7, remove: float = 0.9, support: int = 2) -> DataFrame:
     """(doc_id, th, spans, added) of every row of ``docs`` (doc_id, text): base spans and spans of disclosing terms."""
     found = find(docs, reach)
     terms = materialize(_terms(found), "pii-terms")
     # Written, so that the joins below read plain shuffles, whose hot partitions Spark splits.
     shown = materialize(disclosing_terms(docs, found, terms, disclose, remove, support), "pii-disclosing")
-    added = materialize(
-        terms.join(shown, ["entity", "term"]).groupBy("doc_id", "th", "start", "stop")
-        # One word may disclose several values: it is removed if one of them asks for that.
-        .agg(F.max("action").alias("action"))
-        .groupBy(F.col("doc_id").alias("a_id"), F.col("th").alias("a_th"))
-        .agg(F.array_sort(F.collect_list(F.struct(
-            "start", F.lit(len(KINDS)).alias("rank"), "stop", F.lit("term").alias("kind"), F.col("action").alias("value"))))
-            .alias("added")), "pii-added")
-    same = found.doc_id.eqNullSafe(added.a_id) & (found.th == added.a_th)
-    return found.select("doc_id", "th", "spans").join(added, same, "left").select(
+    added = materialize(_everywhere(found, shown), "pii-added")
+    return found.select("doc_id", "th", "spans").join(added.withColumnRenamed("th", "a_th"), F.col("th") == F.col("a_th"), "left").select(
         "doc_id", "th", "spans", F.coalesce("added", F.expr(f"cast(array() as {SPAN})")).alias("added"))
 
 

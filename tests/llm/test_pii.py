@@ -83,6 +83,16 @@ def test_copies_do_not_switch_off_sanitising(spark):
     assert plain[0] and all(copied[i] == plain[i] for i in plain) and copied[1007] == plain[0]
 
 
+def test_terms_go_from_the_whole_text_that_holds_the_value(spark):
+    rows = corpus()
+    far = "ask zebulon about it: ann@corp.example, " + "filler words go on " * 40 + "then Zebulon left, zebulons not. ZEBULON"
+    got = {r[0]: r for r in found(spark, [*rows, (80, far), (81, far.replace("ann@corp.example", "nobody"))])}
+    places = [m.span() for m in re.finditer(r"(?i)\bzebulon\b", far)]
+    assert len(places) == 3 and [p for p in places if p in [s[:2] for s in got[80][2]]] == places
+    assert far.index("zebulons") not in [s[0] for s in got[80][2]]
+    assert got[81][2] == []  # does not hold the value
+
+
 @pytest.mark.parametrize("remove", [0.9, 0.71])
 def test_sanitise(spark, remove):
     rows = [*corpus(), (92, None), (0, corpus()[0][1])]
