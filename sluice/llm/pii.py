@@ -18,6 +18,9 @@ value's information is generalised to a placeholder, from ``remove`` of it
 on removed. Terms need ``support`` distinct texts, since a word that was
 seen in copies of one text beside a value was not estimated.
 
+Terms are whole words of any length: runs of letters, marks and digits. In a
+script without blanks a run between other characters is one word.
+
 ``reach`` is for estimating alone. In a text that holds a value, every
 occurrence of a term that discloses it is marked, however far from the value.
 In texts that do not hold the value the term stays: by itself it names no
@@ -52,9 +55,10 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-TERM = r"\p{L}{4,}"
+TERM = r"[\p{L}\p{M}\p{N}]++"
 # The terms of the map ``actions`` as whole words in any case; they hold no character that a pattern treats otherwise.
-_ANY_OF = r"""concat(r'(?iu)(?<!\p{L})(?:', array_join(map_keys(actions), '|'), r')(?!\p{L})')"""
+_ANY_OF = r"""concat(r'(?iu)(?<![\p{L}\p{M}\p{N}])(?:', array_join(map_keys(actions), '|'),
+  r')(?![\p{L}\p{M}\p{N}])')"""
 
 # Places of matches from the zipped pieces and matches, lengths added up in order.
 _PLACES = """aggregate({zipped}, named_struct('at', 0L, 'out', cast(array() as array<struct<start: bigint, value: string>>)),

@@ -93,6 +93,15 @@ def test_terms_go_from_the_whole_text_that_holds_the_value(spark):
     assert got[81][2] == []  # does not hold the value
 
 
+def test_words_of_any_length_disclose(spark):
+    rows = [(i, f"Lee 李明, room b4 k\u0301: lee@corp.example, filler{i} on {i}") for i in range(3)]
+    rows += [(10 + i, f"the words go on about nothing much, other{i} topic") for i in range(60)]
+    got = {r[0]: r for r in found(spark, rows)}
+    for i in range(3):
+        gone = [rows[i][1][a:b] for a, b, _ in got[i][2]]
+        assert {"Lee", "李明", "b4", "k\u0301"} <= set(gone) and "on" not in gone
+
+
 @pytest.mark.parametrize("remove", [0.9, 0.71])
 def test_sanitise(spark, remove):
     rows = [*corpus(), (92, None), (0, corpus()[0][1])]
