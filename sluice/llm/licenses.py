@@ -7,19 +7,40 @@ inverted index from fingerprint to (template, position) finds hits in a text;
 each diagonal of a template with a hit is a candidate place, and a local
 alignment of the template within ``band`` words of it gives the matched
 words, their share of the template (coverage) and the span in the text; of
-overlapping places of a template the best stays. Only the template index is shared with the tasks; its size is
-that of the templates. There is no shuffle.
+overlapping places of a template the best stays. A notice must hold the words that tell it from its relatives
+(numbers, and MARKS such as "lesser" or "sharealike") and none of theirs.
+
+Whole license texts (``license_texts``, by SPDX identifier, without the
+copyright line) have an index of all their 5-word runs. Runs that a text
+shares with one are chained in order over gaps of at most ``GAP`` words; words
+equal inside a gap count too. Kinds of places, and their coverage:
+
+- ``text``: at least ``coverage`` of the whole license text;
+- ``part``: less, but at least ``PART`` words that fill ``coverage`` of the
+  span; the coverage is the share of the whole license text;
+- ``notice``: a template, the coverage is the share of the template. ``whole``
+  is the share of the license's text where the template is a passage of it,
+  and otherwise equal to the coverage.
+
+Of overlapping texts and parts the one that matches most stays, of equal ones
+a text with the larger coverage, or all parts; a part that a passage template
+of its license tells about as well is left out, and so is a passage template
+within the text of another license. Only the indexes are shared with the tasks; their size is
+that of the templates and texts. There is no shuffle.
 
 Defined cases: null and empty texts and texts without a word match nothing;
-a place is reported for every template that reaches ``coverage`` there, also
-when one template holds another; spans are code points, end exclusive;
+a place is reported for every notice that reaches ``coverage`` there, also
+when one notice holds another; spans are code points, end exclusive;
 repeated rows match alike; all columns are kept and the result is one struct
 column with a fresh name.
 """
 
 from __future__ import annotations
 
+import pkgutil
 import re
+from difflib import SequenceMatcher
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +49,48 @@ from pyspark.sql import DataFrame
 from sluice.llm.common import _WORD_TABLE, binary_text, fresh_name, mix64, with_struct, words_of
 
 FIELDS = ("array<struct<license: string, coverage: double, matched: bigint, first_word: bigint, last_word: bigint, "
-          "start: bigint, stop: bigint>>")
+          "start: bigint, stop: bigint, kind: string, whole: double>>")
+
+# Whole texts in license_texts.
+TEXTS = ("0BSD", "Apache-2.0", "Artistic-1.0-Perl", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "GFDL-1.2", "GFDL-1.3",
+         "GPL-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-1.1", "MPL-2.0", "Unlicense", "Zlib")
+GAP, PART, RUN = 40, 30, 5
+MARKS = frozenset(b"affero lesser library documentation noncommercial sharealike noderivatives noderivs nc sa nd mozilla eclipse"
+                  .split())
 
+
+def _gnu(what: str, name: str, version: str) -> str:
+    return (f"This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {name} as "
+            f"published by the Free Software Foundation; either version {version} of the License, or (at your option) any "
+            "later version.")
+
+
+_CC = (("BY", "Attribution"), ("BY-SA", "Attribution-ShareAlike"), ("BY-ND", "Attribution-NoDerivatives"),
+       ("BY-NC", "Attribution-NonCommercial"), ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+       ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"))
+_SHORT = (("GPL-2.0", "General Public License", "2"), ("GPL-3.0", "General Public License", "3"),
+          ("LGPL-2.1", "Lesser General Public License", "2.1"), ("LGPL-3.0", "Lesser General Public License", "3"),
+          ("AGPL-3.0", "Affero General Public License", "3"))
+# Standard notices that the licenses or their stewards recommend.
+NOTICES = (
+    *((f"CC-{short}-{v}", f"Licensed under CC {short} {v}.") for short, _ in _CC for v in ("4.0", "3.0", "2.5", "2.0")
+      if (short, v) != ("BY-NC", "4.0")),
+    *((f"CC-{short}-{v}", f"This work is licensed under a Creative Commons {long} {v} {scope} License.") for short, long in _CC
+      for v, scope in (("4.0", "International"), ("3.0", "Unported")) if (short, v) != ("BY", "4.0")),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+                "this work."),
+    *((spdx, f"This work is licensed under the GNU {name}, version {v}.") for spdx, name, v in _SHORT if spdx != "GPL-3.0"),
+    ("GPL-2.0-or-later", _gnu("program", "General Public License", "2")),
+    ("LGPL-2.0-or-later", _gnu("library", "Library General Public License", "2")),
+    ("LGPL-2.1-or-later", _gnu("library", "Lesser General Public License", "2.1")),
+    ("LGPL-3.0-or-later", _gnu("library", "Lesser General Public License", "3")),
+    ("AGPL-3.0-or-later", _gnu("program", "Affero General Public License", "3")),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+                "not distributed with this file, You can obtain one at"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+                "2.0 which is available at"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+)
 # Notices and opening passages of common licenses, by SPDX identifier.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
@@ -50,10 +111,17 @@ TEMPLATES = (
             "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    *NOTICES,
 )
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
+@cache
+def license_texts() -> tuple[tuple[str, str], ...]:
+    """(SPDX identifier, whole text), read from the package also where it is an archive."""
+    return tuple((name, pkgutil.get_data("sluice.llm", f"license_texts/{name}.txt").decode()) for name in TEXTS)
+
+
 def winnow(grams: np.ndarray, window: int) -> np.ndarray:
     """Positions of the least hash of every ``window`` neighbours (the last of equals)."""
     if len(grams) <= window:
@@ -63,13 +131,31 @@ def winnow(grams: np.ndarray, window: int) -> np.ndarray:
 
 
 class Scanner:
-    """The inverted index of the templates, and the search of a text in it."""
+    """The inverted indexes of the templates and whole texts, and the search of a text in them."""
 
-    def __init__(self, templates, gram: int, window: int, band: int, coverage: float):
+    def __init__(self, templates, gram: int, window: int, band: int, coverage: float, texts=None):
         self.gram, self.window, self.band, self.coverage = gram, window, band, coverage
         self.names = [name for name, _ in templates]
         self.words = [words_of(text.encode()) for _, text in templates]
-        self.numbers = {w: i + 1 for i, w in enumerate(sorted({w for t in self.words for w in t}))}
+        texts = license_texts() if texts is None else texts
+        self.text_names = [name for name, _ in texts]
+        text_words = [words_of(text.encode()) for _, text in texts]
+        self.numbers = {w: i + 1 for i, w in enumerate(sorted({w for t in [*self.words, *text_words] for w in t}))}
+        self.texts = [[self.numbers[w] for w in t] for t in text_words]
+        marks = {n for w, n in self.numbers.items() if w in MARKS}
+        digits = {n for w, n in self.numbers.items() if any(48 <= b <= 57 for b in w)}
+        self.marks = marks
+        self.needs = [{self.numbers[w] for w in t} & (marks | digits) for t in self.words]
+        # Templates that are passages of their license's text: the words of that text, by template.
+        whole = dict(zip(self.text_names, text_words, strict=True))
+        self.passage_of = {t: len(whole[name]) for t, name in enumerate(self.names)
+                           if b" " + b" ".join(self.words[t]) + b" " in b" " + b" ".join(whole.get(name, [])) + b" "}
+        runs = [self._grams(np.array(t, np.uint64), RUN) for t in self.texts]
+        key = np.concatenate([r[:len(t) - RUN + 1] for r, t in zip(runs, self.texts, strict=True)] or [np.empty(0, np.uint64)])
+        owner = np.concatenate([np.full(max(0, len(t) - RUN + 1), k) for k, t in enumerate(self.texts)] or [np.empty(0, np.int64)])
+        place = np.concatenate([np.arange(max(0, len(t) - RUN + 1)) for t in self.texts] or [np.empty(0, np.int64)])
+        order = np.argsort(key, kind="stable")
+        self.run_keys, self.run_text, self.run_place = key[order], owner[order], place[order]
         self.numbered = [[self.numbers[w] for w in t] for t in self.words]
         found: dict[int, list[tuple[int, int]]] = {}
         for t, numbers in enumerate(self.numbered):
@@ -79,17 +165,18 @@ class Scanner:
         self.index = found
         self.keys = np.sort(np.fromiter(found, np.uint64, len(found)))
 
-    def _grams(self, numbers: np.ndarray) -> np.ndarray:
+    def _grams(self, numbers: np.ndarray, gram: int | None = None) -> np.ndarray:
+        gram = gram or self.gram
         if not len(numbers):
             return np.empty(0, np.uint64)
-        n = max(1, len(numbers) - self.gram + 1)
+        n = max(1, len(numbers) - gram + 1)
         total = np.zeros(n, np.uint64)
         known = np.ones(n, bool)
-        for k in range(min(self.gram, len(numbers))):
+        for k in range(min(gram, len(numbers))):
             part = numbers[k:k + n]
             total = total * np.uint64(0x9E3779B97F4A7C15) + part
             known &= part > 0
-        total = mix64(total + np.uint64(min(self.gram, len(numbers))))
+        total = mix64(total + np.uint64(min(gram, len(numbers))))
         total[~known] = _NONE  # a word of no template: never the least, in no template
         return total
 
@@ -97,7 +184,14 @@ class Scanner:
         words = words_of(raw)
         get = self.numbers.get
         numbers = [get(w, 0) for w in words]
-        grams = self._grams(np.array(numbers, np.uint64))
+        own = np.array(numbers, np.uint64)
+        notices = self._notices(numbers, own)
+        texts = self._whole(numbers, own)
+        return self._spans(raw, notices, texts) if notices or texts else []
+
+    def _notices(self, numbers: list[int], own: np.ndarray) -> list[tuple]:
+        """(template, matched words, first, last word) of the templates found."""
+        grams = self._grams(own)
         if not len(grams) or not len(self.keys):
             return []
         likely = np.searchsorted(self.keys, grams)
@@ -106,12 +200,87 @@ class Scanner:
             return []
         at = winnow(grams, self.window)
         places = {(t, pos - place) for pos in at[known[at]].tolist() for t, place in self.index[int(grams[pos])]}
-        out = []
+        out = set()
         for t, diagonal in sorted(places):
-            found = self._align(self.numbered[t], numbers, diagonal)
+            # A place without the words the template needs is not aligned.
+            near = set(numbers[max(0, diagonal - self.band):diagonal + len(self.numbered[t]) + self.band])
+            found = self._align(self.numbered[t], numbers, diagonal) if self.needs[t] <= near else None
             if found and found[0] >= self.coverage * len(self.numbered[t]):
-                out.append((t, *found))
-        return self._spans(raw, sorted(set(out))) if out else []
+                inside = set(numbers[found[1]:found[2] + 1])
+                if self.needs[t] <= inside and inside & self.marks <= self.needs[t]:
+                    out.add((t, *found))
+        return sorted(out)
+
+    def _whole(self, numbers: list[int], own: np.ndarray) -> list[tuple]:
+        """(text, matched words, first, last word) of whole license texts and long passages of them."""
+        if len(own) < RUN or not len(self.run_keys):
+            return []
+        grams = self._grams(own, RUN)
+        low = np.searchsorted(self.run_keys, grams, "left")
+        many = np.where(grams == _NONE, 0, np.searchsorted(self.run_keys, grams, "right") - low)
+        at = np.flatnonzero(many)
+        if len(at) < RUN:
+            return []
+        hit = np.repeat(low[at], many[at]) + np.arange(many[at].sum()) - np.repeat(np.cumsum(many[at]) - many[at], many[at])
+        pos, text, place = np.repeat(at, many[at]), self.run_text[hit], self.run_place[hit]
+        order = np.lexsort((pos, pos - place, text))
+        pos, text, place = pos[order], text[order], place[order]
+        breaks = np.flatnonzero((np.diff(text) != 0) | (np.diff(pos - place) != 0) | (np.diff(pos) != 1)) + 1
+        first = np.concatenate([[0], breaks])
+        size = np.diff(np.concatenate([first, [len(pos)]])) + RUN - 1
+        by_text: dict[int, list[tuple[int, int, int]]] = {}
+        for t, a, b, n in zip(text[first].tolist(), pos[first].tolist(), place[first].tolist(), size.tolist(), strict=True):
+            by_text.setdefault(t, []).append((a, b, n))
+        found = []
+        for t, runs in by_text.items():
+            if sum(n for *_, n in runs) >= PART:
+                found += [(t, *f) for f in self._chains(t, sorted(runs), numbers)]
+        kept: list[tuple] = []
+        share = lambda f: f[1] / len(self.texts[f[0]])
+        for f in sorted(found, key=lambda f: (-f[1], -share(f), f)):
+            rivals = [k for k in kept if k[2] <= f[3] and f[2] <= k[3] and
+                      2 * (min(k[3], f[3]) - max(k[2], f[2]) + 1) > f[3] - f[2] + 1]
+            if all(k[1] == f[1] and share(k) < self.coverage for k in rivals):
+                kept.append(f)
+        return kept
+
+    def _chains(self, t: int, runs: list[tuple[int, int, int]], numbers: list[int]) -> list[tuple[int, int, int]]:
+        """(matched words, first, last word) of chains of runs (first word, place in the text, length) in order."""
+        score, before, active = [], [], []
+        for i, (a, b, n) in enumerate(runs):
+            best, prev = float(n), -1
+            active = [j for j in active if runs[j][0] + runs[j][2] + GAP >= a]
+            for j in active:
+                c, d, m = runs[j]
+                cut = max(0, c + m - a, d + m - b)
+                if c < a and d < b and cut < n and (now := score[j] + n - cut - min(5.0, 0.02 * abs(a - b - c + d))) > best:
+                    best, prev = now, j
+            score.append(best)
+            before.append(prev)
+            active.append(i)
+        out, used = [], set()
+        for end in sorted(range(len(runs)), key=lambda i: (-score[i], i)):
+            chain, i = [], end
+            while i >= 0 and i not in used:
+                chain.append(i)
+                i = before[i]
+            used.update(chain)
+            if not chain:
+                continue
+            chain.reverse()
+            first, place, n = runs[chain[0]]
+            matched, stop, until = n, first + n, place + n
+            for i in chain[1:]:
+                a, b, n = runs[i]
+                cut = max(0, stop - a, until - b)
+                if a > stop and b > until and (a - stop) * (b - until) <= 100 * GAP:
+                    gap = SequenceMatcher(None, numbers[stop:a], self.texts[t][until:b], autojunk=False)
+                    matched += sum(m.size for m in gap.get_matching_blocks())
+                matched, stop, until = matched + n - cut, a + n, b + n
+            if matched >= self.coverage * len(self.texts[t]) or \
+                    matched >= PART and matched >= self.coverage * (stop - first):
+                out.append((matched, first, stop - 1))
+        return out
 
     def _align(self, template: list[int], numbers: list[int], diagonal: int) -> tuple[int, int, int] | None:
         """(matched words, first, last word) of the best local alignment within ``band`` of a diagonal; of equal ones
@@ -144,20 +313,33 @@ class Scanner:
             before = now
         return best[1:] if best[1] else None
 
-    def _spans(self, raw: bytes, found: list) -> list[dict]:
+    def _spans(self, raw: bytes, notices: list, texts: list) -> list[dict]:
         """Places with their code points; the best one of a template where several overlap."""
         bytes_at = [m.span() for m in re.finditer(rb"[^ ]+", raw.translate(_WORD_TABLE))]
         kept: list[tuple] = []
-        for t, matched, first, last in sorted(found, key=lambda f: (f[0], f[2], -f[1])):
+        for t, matched, first, last in sorted(notices, key=lambda f: (f[0], f[2], -f[1])):
             if kept and kept[-1][1] == t and first <= kept[-1][3]:
                 if matched > kept[-1][2]:
                     kept[-1] = (first, t, matched, last)
             else:
                 kept.append((first, t, matched, last))
-        return [{"license": self.names[t], "coverage": matched / len(self.numbered[t]), "matched": matched,
-                 "first_word": first, "last_word": last, "start": len(raw[:bytes_at[first][0]].decode()),
-                 "stop": len(raw[:bytes_at[last][1]].decode())}
-                for first, t, matched, last in sorted(kept)]
+        sure = [(f[2], f[3], self.text_names[f[0]]) for f in texts if f[1] >= self.coverage * len(self.texts[f[0]])]
+        # A passage that two licenses share belongs to the one whose text is there.
+        kept = [k for k in kept if k[1] not in self.passage_of
+                or not (around := [name for a, b, name in sure if a <= k[0] and k[3] <= b]) or self.names[k[1]] in around]
+        told = [k for k in kept if k[1] in self.passage_of]
+        out = [(first, last, self.names[t], "notice", matched, matched / len(self.numbered[t]),
+                matched / self.passage_of.get(t, len(self.numbered[t]))) for first, t, matched, last in kept]
+        for t, matched, first, last in texts:
+            share, name = matched / len(self.texts[t]), self.text_names[t]
+            if share < self.coverage and any(self.names[k] == name and a <= last and first <= b and matched < m + PART
+                                             for a, k, m, b in told):
+                continue
+            out.append((first, last, name, "text" if share >= self.coverage else "part", matched, share, share))
+        return [{"license": name, "coverage": share, "matched": matched, "first_word": first, "last_word": last,
+                 "start": len(raw[:bytes_at[first][0]].decode()), "stop": len(raw[:bytes_at[last][1]].decode()),
+                 "kind": kind, "whole": whole}
+                for first, last, name, kind, matched, share, whole in sorted(out)]
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, gram: int = 3, window: int = 2, band: int = 6,
@@ -165,10 +347,12 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, gram: int = 3, window: i
     """``docs`` (text) with a struct column whose field ``found`` lists the matched places."""
     into = fresh_name(docs.columns, into)
     place = pa.struct([("license", pa.string()), ("coverage", pa.float64()), ("matched", pa.int64()),
-                       ("first_word", pa.int64()), ("last_word", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
+                       ("first_word", pa.int64()), ("last_word", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()),
+                       ("kind", pa.string()), ("whole", pa.float64())])
+    texts = docs.sparkSession.sparkContext.broadcast(license_texts())  # of fixed size
 
     def make():
-        scanner = Scanner(templates, gram, window, band, coverage)
+        scanner = Scanner(templates, gram, window, band, coverage, texts.value)
 
         def compute(batch: pa.RecordBatch) -> list[pa.Array]:
             rows = []

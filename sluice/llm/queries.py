@@ -170,7 +170,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(
         "doc_id", F.size(found).cast("long").alias("n_places"),
         F.array_join(F.array_sort(F.array_distinct(F.transform(found, lambda p: p["license"]))), ",").alias("licenses"),
-        F.array_max(F.transform(found, lambda p: p["coverage"])).alias("coverage"),
+        F.array_max(F.transform(found, lambda p: p["whole"])).alias("coverage"),
         F.array_join(F.transform(found, lambda p: F.concat_ws(":", p["license"], p["start"].cast("string"),
                                                               p["stop"].cast("string"))), ",").alias("spans"))
 

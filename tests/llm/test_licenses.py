@@ -63,3 +63,25 @@ def test_rows(spark):
     assert len(got) == len(rows) and got.count((5, ["GPL-3.0"])) == 2 and got.count((None, ["MIT"])) == 2
     assert got.count((1, ["CC-BY-NC-4.0"])) == 2 and sum(1 for _, f in got if f) == 6
     assert licenses.scan_licenses(docs.limit(0))[0].count() == 0
+
+
+def test_whole_texts_and_bodies_without_their_opening():
+    texts = dict(licenses.license_texts())
+    for name, text in texts.items():
+        found = [f for f in SCANNER.scan(("vorab ünnütz " + text + " and after").encode()) if f["kind"] == "text"]
+        assert [(f["license"], f["coverage"]) for f in found] == [(name, 1.0)], name
+    assert {f["license"] for f in SCANNER.scan(texts["BSD-2-Clause"].encode())} == {"BSD-2-Clause"}
+    for name, start in (("MIT", "THE SOFTWARE IS"), ("BSD-3-Clause", "1. Redist"), ("Apache-2.0", "2. Grant"), ("GPL-2.0", "4. You may")):
+        body = texts[name][texts[name].index(start):]
+        body = body[:len(body) // 2] if len(body) > 5000 else body
+        found = [f for f in SCANNER.scan(body.encode()) if f["license"] == name and f["kind"] != "notice"]
+        assert len(found) == 1 and found[0]["coverage"] < 1, name
+    opening = SCANNER.scan(MIT.encode())
+    assert opening[0]["kind"] == "notice" and opening[0]["coverage"] == 1 and opening[0]["whole"] < 0.5
+
+
+def test_notices_tell_versions_and_relatives_apart():
+    assert names("Licensed under CC BY-SA 4.0.") == [("CC-BY-SA-4.0", 1.0)]
+    assert names("Licensed under CC BY-NC 1.0.") == []
+    assert names("This work is licensed under the GNU General Public License, version 2.")[0] == ("GPL-2.0", 1.0)
+    assert {n for n, _ in names("This work is licensed under the GNU Lesser General Public License, version 3.")} == {"LGPL-3.0"}
