@@ -15,7 +15,9 @@ is lost that way.
 
 Cells are few next to documents. Up to ``max_cells`` they are raked on the
 driver; above that by Spark, in rounds written to the scratch folder. Both
-ways give the same ratios to rounding.
+ways run until the largest error of a marginal share is below one tolerance,
+and take the exact common factor; they differ by the rounding of sums. Targets
+that are not reached in the rounds allowed are reported by a warning.
 
 Defined cases: null source, language and text have a category of their own
 (the topic of a null text is ``empty``); a text without tokens has weight 0
@@ -27,6 +29,8 @@ and the result is one struct column with a fresh name.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -37,6 +41,7 @@ from sluice.session import materialize
 
 MARGINS = ("source", "lang", "topic")
 _NULL = "\x00null"  # stands for null in keys
+TOLERANCE, ROUNDS = 1e-10, 1000
 
 # Topics by the first pattern that is found; otherwise "prose".
 TOPICS = (("legal", r"(?i)licen[sc]e|copyright|warrant(y|ies)"), ("contact", r"[0-9A-Za-z]@[0-9A-Za-z]|\+[0-9]"),
@@ -68,8 +73,8 @@ def target_shares(totals: pd.Series, target: float | dict) -> pd.Series:
     return shares / shares.sum()
 
 
-def rake(cells: pd.DataFrame, targets: dict[str, float | dict], tolerance: float = 1e-10, rounds: int = 1000
-         ) -> np.ndarray:
+def rake(cells: pd.DataFrame, targets: dict[str, float | dict], tolerance: float = TOLERANCE,
+         rounds: int = ROUNDS) -> np.ndarray:
     """Raked tokens of the cells (columns of ``MARGINS`` and ``tokens``); their sum is 1."""
     weight = cells["tokens"].to_numpy(float)
     if not weight.sum():
@@ -81,18 +86,23 @@ def rake(cells: pd.DataFrame, targets: dict[str, float | dict], tolerance: float
         axes.append((code, target_shares(totals, targets[m]).to_numpy()))
     weight = weight / weight.sum()
     for _ in range(rounds):
-        moved = 0.0
         for code, share in axes:
             now = np.bincount(code, weight, len(share))
             factor = np.divide(share, now, out=np.zeros_like(share), where=now > 0)
-            moved = max(moved, float(np.abs(now - share).max()))
             weight = weight * factor[code]
-        if moved < tolerance:
-            break
+        error = max((float(np.abs(np.bincount(code, weight, len(share)) - share).max()) for code, share in axes), default=0.0)
+        if error < tolerance:
+            return weight
+    _unreached(error, rounds)
     return weight
 
 
-def rake_frames(cells: DataFrame, targets: dict[str, float | dict], rounds: int = 30) -> DataFrame:
+def _unreached(error: float, rounds: int) -> None:
+    warnings.warn(f"mixing: targets missed by up to {error:.3g} of all tokens after {rounds} rounds", stacklevel=3)
+
+
+def rake_frames(cells: DataFrame, targets: dict[str, float | dict], rounds: int = ROUNDS,
+                tolerance: float = TOLERANCE) -> DataFrame:
     """The same on a DataFrame of cells: adds the column ``raked``."""
     spark = cells.sparkSession
     total = cells.agg(F.sum("tokens")).first()[0] or 0
@@ -114,6 +124,15 @@ def rake_frames(cells: DataFrame, targets: dict[str, float | dict], rounds: int
                       .select(m, F.coalesce(F.when(F.col("s") > 0, F.col("share") / F.col("s")), F.lit(0.0)).alias("f")))
             now = now.join(factor, m).withColumn("raked", F.col("raked") * F.col("f")).drop("f")
         now = materialize(now, "mixing-cells")
+        errors = None
+        for m in targets:
+            each = (now.groupBy(m).agg(F.sum("raked").alias("s")).join(shares[m], m, "left")
+                    .select(F.abs(F.col("s") - F.coalesce("share", F.lit(0.0))).alias("e")))
+            errors = each if errors is None else errors.unionAll(each)
+        error = (errors.agg(F.max("e")).first()[0] or 0.0) if total and errors is not None else 0.0
+        if error < tolerance:
+            return now
+    _unreached(error, rounds)
     return now
 
 
@@ -130,6 +149,33 @@ def scale(ratio: np.ndarray, raked: np.ndarray, clip: float) -> float:
     return float(1 / r[fits[-1]])
 
 
+def scale_frames(cells: DataFrame, clip: float, ways: int = 4096) -> float:
+    """``scale`` of the columns weight and raked of a DataFrame: the range that holds the factor is cut into ``ways``
+    parts until a part holds one ratio."""
+    some = cells.where("weight > 0")
+    low, high, total = some.agg(F.min("weight"), F.max("weight"), F.sum("raked")).first()
+    if low is None:
+        return 0.0
+    w = q = 0.0  # raked and original tokens of the cells above the range
+    best = high
+    while True:
+        at = F.least(F.lit(ways - 1), F.floor((F.lit(high) - F.col("weight")) / F.lit((high - low) or 1.0) * ways))
+        parts = (some.where(F.col("weight").between(low, high)).groupBy(at.alias("part"))
+                 .agg(F.sum("raked").alias("w"), F.sum(F.col("raked") / F.col("weight")).alias("q"),
+                      F.min("weight").alias("low"), F.max("weight").alias("high")).orderBy("part").collect())
+        for part in parts:
+            # Cells as large as the ratio lose nothing, so only those above count.
+            if w - q * part["high"] > clip * total:
+                return float(1 / best)
+            best = part["high"]
+            if part["low"] < part["high"] and w + part["w"] - (q + part["q"]) * part["low"] > clip * total:
+                low, high = part["low"], part["high"]
+                break
+            best, w, q = part["low"], w + part["w"], q + part["q"]
+        else:
+            return float(1 / best)
+
+
 def mix(docs: DataFrame, targets: dict[str, float | dict], clip: float = 0.01, max_cells: int = 200_000,
         into: str = "mixing", topic_of: Column | None = None) -> tuple[DataFrame, str]:
     """``docs`` (doc_id, text, lang, source) with a struct column (topic, n_tokens, weight, probability, selected).
@@ -163,10 +209,7 @@ def mix(docs: DataFrame, targets: dict[str, float | dict], clip: float = 0.01, m
         total = float(raked_cells.agg(F.sum("tokens")).first()[0])
         ratios = raked_cells.withColumn("weight", F.when(F.col("tokens") > 0, F.col("raked") * total / F.col("tokens"))
                                         .otherwise(0.0))
-        # The factor from a histogram of the ratios in steps of a thousandth of their logarithm.
-        steps = (ratios.where("weight > 0").groupBy(F.ceil(F.log("weight") * 1000).alias("b"))
-                 .agg(F.sum("raked").alias("w")).orderBy("b").toPandas())
-        c = scale(np.exp(steps["b"].to_numpy(float) / 1000), steps["w"].to_numpy(float), clip)
+        c = scale_frames(materialize(ratios.select("weight", "raked"), "mixing-ratios"), clip)
         factors = ratios.select(*MARGINS, "weight", F.when(F.col("tokens") > 0, F.least(F.lit(1.0), F.col("weight") * c))
                                 .otherwise(1.0).alias("probability"))
     factors = factors.select(*[F.col(m).alias(f"_{m}_cell") for m in MARGINS],

@@ -80,3 +80,30 @@ def test_edges(spark):
     assert mixing.mix(docs.limit(0), {"source": 0.5})[0].count() == 0
     none = mixing.mix(docs.where("doc_id in (2, 3)"), {"source": 0.5})[0]
     assert none.count() == 2
+
+
+def test_missed_targets_are_reported_at_every_size(spark):
+    own = pd.DataFrame([("a", "x", "t", 1000), ("b", "y", "t", 1000)], columns=[*mixing.MARGINS, "tokens"])
+    targets = {"source": {"a": 0.55, "b": 0.45}, "lang": {"x": 0.45, "y": 0.55}}  # no table has both
+    with pytest.warns(UserWarning, match="missed"):
+        mixing.rake(own, targets, rounds=20)
+    with pytest.warns(UserWarning, match="missed"):
+        mixing.rake_frames(spark.createDataFrame(own), targets, rounds=2)
+
+
+def test_scale_of_frames_is_exact(spark):
+    dice = np.random.default_rng(5)
+    for n, clip in ((300, 0.01), (5, 0.2), (1, 0.0)):
+        ratio = np.repeat(dice.lognormal(0, 1, n), 2)
+        raked = dice.random(2 * n)
+        frame = spark.createDataFrame(pd.DataFrame({"weight": ratio, "raked": raked}))
+        for ways in (4, 4096):
+            assert mixing.scale_frames(frame, clip, ways) == pytest.approx(mixing.scale(ratio, raked, clip), rel=1e-12)
+
+
+def test_documents_get_the_same_chances_at_every_size(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    near, far = (mixing.mix(docs, {"source": 0.5}, max_cells=m)[0].select("doc_id", "mixing.*").orderBy("doc_id")
+                 .toPandas() for m in (1000, 1))
+    assert np.allclose(far["weight"], near["weight"], rtol=1e-8) and np.allclose(far["probability"], near["probability"], rtol=1e-8)
+    assert (far["selected"] == near["selected"]).all()
