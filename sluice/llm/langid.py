@@ -272,16 +272,19 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def learn(docs: DataFrame, docs_per_language: int = 150, max_langs: int = 64) -> Model:
+def learn(docs: DataFrame, docs_per_language: int = 150, max_langs: int = 256) -> Model:
     """Fit on a bounded sample of the labelled rows of ``docs`` (doc_id, text, lang).
 
     Each language gives about ``docs_per_language`` documents, however many rows it has: a row is taken if its hash,
-    scaled by the language's rows, falls below that number. ``max_langs`` bounds the labels; the most frequent stay.
+    scaled by the language's rows, falls below that number. Every label is fitted. The model's size grows with the
+    labels, so more than ``max_langs`` of them are an error; none is left out.
     """
     rows = (docs.where((F.length("lang") > 0) & F.col("text").rlike(r"\p{L}"))
             .select("doc_id", "text", F.col("lang").alias("label")))
     counts = (docs.where(F.length("lang") > 0).groupBy(F.col("lang").alias("label")).count()
-              .orderBy(F.col("count").desc(), "label").limit(max_langs).collect())
+              .orderBy(F.col("count").desc(), "label").limit(max_langs + 1).collect())
+    if len(counts) > max_langs:
+        raise ValueError(f"more than {max_langs} labels in lang; raise max_langs (and the driver's memory) to fit them all")
     if not counts:
         return Model([], np.zeros((1, 0), np.float32), np.zeros((0, 0), np.float32))
     weight = F.create_map(*[F.lit(x) for r in counts for x in (r["label"], float(r["count"]))])

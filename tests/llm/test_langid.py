@@ -1,6 +1,7 @@
 """Language identification: held-out accuracy, code-switched words, edge rows."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sluice.llm import langid
@@ -74,3 +75,11 @@ def test_memory_of_words_is_bounded_without_changing_results():
     large, small = langid.Tagger(model), langid.Tagger(model, bound=3, chain_words=4)
     for a, b in zip(large.predict(texts), [small.predict([t])[0] for t in texts], strict=True):
         assert a[0] == b[0] and np.isclose(a[1], b[1])
+
+
+def test_every_label_is_fitted(spark):
+    rows = [(i, f"wort{chr(97 + i % 26)}{chr(97 + i // 26)} " * 4, f"l{i:02d}") for i in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert langid.learn(docs).langs == [r[2] for r in rows]
+    with pytest.raises(ValueError, match="labels"):
+        langid.learn(docs, max_langs=69)
