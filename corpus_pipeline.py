@@ -62,7 +62,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    mixed, name = mixing.mix(docs, MIX_TARGETS)
+    mixed, name = mixing.mix(docs, MIX_TARGETS, tokenizer=public_tokenizers.path(TOKENIZER))
     return mixed.where(F.col(f"{name}.selected")).select(*docs.columns)
 
 

@@ -7,6 +7,10 @@ cell's weight ratio (raked by original tokens), scaled so that it is a
 probability, is the chance that each of its documents is kept; a document is
 kept if its hash falls below that, so a run can be repeated.
 
+Tokens are the ids of ``tokenizer``, the one the corpus is written with,
+counted once and kept with the row. Without a tokenizer they are stretches
+between blanks and line ends, which is right only for scripts with blanks.
+
 Targets are shares given by category, or tempered from the corpus: a
 category's share is proportional to its tokens to the power ``temperature``
 (1 keeps the mix, 0 makes it even). Probabilities above 1 are cut to 1; the
@@ -33,10 +37,12 @@ import warnings
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import fresh_name, unit_hash
+from sluice.llm.common import fresh_name, unit_hash, with_struct
+from sluice.llm.tokenout import TextEncoder
 from sluice.session import materialize
 
 MARGINS = ("source", "lang", "topic")
@@ -61,6 +67,24 @@ def tokens(text: Column) -> Column:
     return F.when(F.length(text) > 0, F.length(text) - F.length(bare) + 1).otherwise(0).cast("long")
 
 
+def with_ids(docs: DataFrame, tokenizer: str) -> tuple[DataFrame, str]:
+    """``docs`` with the number of ids of each text (none for null), written once."""
+    made = fresh_name(docs.columns, "id_count")
+
+    def make():
+        encoder = TextEncoder.of(tokenizer)
+
+        def compute(batch: pa.RecordBatch) -> list[pa.Array]:
+            sizes = []
+            for lo in range(0, batch.num_rows, 512):
+                sizes += [len(ids) for ids in encoder.encode(batch.column("text").slice(lo, 512))]
+            return [pa.array(sizes, pa.int64())]
+        return compute
+
+    counted = with_struct(docs, made, "struct<n: bigint>", make)
+    return materialize(counted.withColumn(made, F.col(made)["n"]), "mixing-ids"), made
+
+
 def target_shares(totals: pd.Series, target: float | dict) -> pd.Series:
     """Shares of the categories of ``totals`` (tokens by category): tempered, or the given ones scaled to 1."""
     if isinstance(target, dict):
@@ -177,7 +201,7 @@ def scale_frames(cells: DataFrame, clip: float, ways: int = 4096) -> float:
 
 
 def mix(docs: DataFrame, targets: dict[str, float | dict], clip: float = 0.01, max_cells: int = 200_000,
-        into: str = "mixing", topic_of: Column | None = None) -> tuple[DataFrame, str]:
+        into: str = "mixing", topic_of: Column | None = None, tokenizer: str | None = None) -> tuple[DataFrame, str]:
     """``docs`` (doc_id, text, lang, source) with a struct column (topic, n_tokens, weight, probability, selected).
 
     ``targets`` maps source, lang and topic to a temperature or to shares by category. ``weight`` is the raked share
@@ -186,10 +210,14 @@ def mix(docs: DataFrame, targets: dict[str, float | dict], clip: float = 0.01, m
     spark = docs.sparkSession
     into = fresh_name(docs.columns, into)
     text = F.col("text")
+    columns, count_of = docs.columns, tokens(text)
+    if tokenizer is not None:
+        docs, made = with_ids(docs, tokenizer)
+        count_of = F.col(made)
     key = {"source": F.coalesce(F.col("source").cast("string"), F.lit(_NULL)),
            "lang": F.coalesce(F.col("lang").cast("string"), F.lit(_NULL)),
            "topic": topic(text) if topic_of is None else topic_of}
-    cells = materialize(docs.select(*[key[m].alias(m) for m in MARGINS], tokens(text).alias("tokens"))
+    cells = materialize(docs.select(*[key[m].alias(m) for m in MARGINS], count_of.alias("tokens"))
                         .groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "mixing-cells")
     if (count := cells.count()) <= max_cells:
         local = cells.orderBy(*MARGINS).toPandas()
@@ -218,7 +246,7 @@ def mix(docs: DataFrame, targets: dict[str, float | dict], clip: float = 0.01, m
     for m in MARGINS:
         now = key[m] == F.col(f"_{m}_cell")
         same = now if same is None else same & now
-    chosen = F.struct(F.col("_topic_cell").alias("topic"), tokens(text).alias("n_tokens"),
+    chosen = F.struct(F.col("_topic_cell").alias("topic"), count_of.alias("n_tokens"),
                       F.col("_weight_cell").alias("weight"), F.col("_probability_cell").alias("probability"),
                       (unit_hash(F.col("doc_id"), text) < F.col("_probability_cell")).alias("selected"))
-    return docs.join(factors, same, "left").select(*docs.columns, chosen.alias(into)), into
+    return docs.join(factors, same, "left").select(*columns, chosen.alias(into)), into

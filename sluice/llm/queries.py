@@ -146,7 +146,8 @@ FROM bits
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed, name = mixing.mix(table(spark, sf_dir, "documents"), MIX_TARGETS)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    mixed, name = mixing.mix(docs, MIX_TARGETS, tokenizer=public_tokenizers.path(TOKENIZER))
     return mixed.select("doc_id", "source", "lang", f"{name}.topic", f"{name}.n_tokens", f"{name}.weight",
                         f"{name}.probability", f"{name}.selected")
 

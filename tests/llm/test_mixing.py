@@ -107,3 +107,18 @@ def test_documents_get_the_same_chances_at_every_size(spark):
                  .toPandas() for m in (1000, 1))
     assert np.allclose(far["weight"], near["weight"], rtol=1e-8) and np.allclose(far["probability"], near["probability"], rtol=1e-8)
     assert (far["selected"] == near["selected"]).all()
+
+
+def test_documents_weigh_by_their_ids(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = [(1, "\u4e2d\u6587\u6587\u672c" * 50, "zh", "s", 1, ""), (2, "a " + " " * 300 + "b", "en", "s", 1, ""),
+            (3, None, "en", "s", 1, "")]
+    docs = spark.createDataFrame(rows, DOCS)
+    mixed, name = mixing.mix(docs, {"lang": 0.0}, tokenizer=path)
+    assert mixed.columns == [*docs.columns, name]
+    got = {r[0]: r[1] for r in mixed.select("doc_id", f"{name}.n_tokens").collect()}
+    whole = Tokenizer.from_file(path)
+    assert got == {i: len(whole.encode(t or "", add_special_tokens=False).ids) for i, t, *_ in rows}
+    assert got[1] > 100 > got[2]
