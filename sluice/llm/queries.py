@@ -10,7 +10,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontam, jaccard, langid, licenses, mixing, pii, tokenout, topk, urlfilter, warc
+from sluice.llm import (ballmeans, decontam, jaccard, langid, licenses, merkle, mixing, pii, secrets, tokenout, topk, urlfilter,
+                        warc)
+from sluice.operators.joins import checked_broadcast
 from sluice.plans.tables import table
 
 # Temperatures of the mix: sources are evened out most, topics half as much, languages least.
@@ -180,6 +182,128 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenout.token_output(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID)
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.all_spans(table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{kind}')) as bigint) as n_{kind}") for kind in secrets.KINDS]
+    return found.select("doc_id", *counts,
+                        F.sha2(secrets.listed(F.col("spans")).cast("binary"), 256).alias("base_sha256"),
+                        secrets.listed(F.array_sort(F.concat("spans", "added"))).alias("spans"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = merkle.leaf_digest([urlfilter.lower_ascii(F.col(c)) if c == "text" else F.col(c) for c in merkle.FIELDS])
+    made = merkle.manifest(docs, seen=F.when(tampered, lowered))
+    return made.select("doc_id", "leaf", "subroot", "root", F.col("proof").alias("proof_sha256"), "folded_root", "verified")
+
+
+def _op12_sql(deep: int = 7, wide: int = 4) -> str:
+    """The levels written out: enough for 16^deep rows a source and 16^wide sources."""
+    def value(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(cast({c} AS varchar))) || ':' || {c} END"
+
+    def leaf(text: str) -> str:
+        return f"sha256({' || '.join(value(c) for c in ('doc_id', 'source', 'lang', 'n_chars'))} || {value(text)})"
+
+    def climb(n: str, r: str, count: int) -> str:
+        return ",\n".join(f"""{r}{k} AS (SELECT tree, idx // 16 AS run, any_value(size) AS size, list(h ORDER BY idx) AS hs
+  FROM {n}{k} WHERE size > 1 GROUP BY tree, idx // 16),
+{n}{k + 1} AS (SELECT tree, run AS idx, (size + 15) // 16 AS size, sha256(array_to_string(hs, '')) AS h FROM {r}{k})"""
+                           for k in range(count))
+
+    # One step of every path at a time: the digest folded so far and the siblings met.
+    steps = [(f"r{k}", "tree", f"idx // {16 ** k}") for k in range(deep)] + [
+        (f"u{k}", "''", f"top // {16 ** k}") for k in range(wide)]
+    folds = ",\n".join(f"""f{i + 1} AS (SELECT f.* REPLACE (
+  CASE WHEN hs IS NULL THEN now ELSE sha256(array_to_string(hs[1:({at}) % 16], '') || now
+    || array_to_string(hs[({at}) % 16 + 2:], '')) END AS now,
+  CASE WHEN hs IS NULL THEN beside ELSE beside || array_to_string(hs[1:({at}) % 16], '')
+    || array_to_string(hs[({at}) % 16 + 2:], '') END AS beside)
+  FROM f{i} f LEFT JOIN {r} ON {r}.tree = {tree if tree == "''" else 'f.tree'} AND {r}.run = ({at}) // 16)"""
+                        for i, (r, tree, at) in enumerate(steps))
+    subroots = " UNION ALL ".join(f"SELECT tree, h FROM n{k} WHERE size = 1" for k in range(deep + 1))
+    root = " UNION ALL ".join(f"SELECT h FROM t{k} WHERE size = 1" for k in range(wide + 1))
+    return f"""
+WITH leaves AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, {leaf('text')} AS h,
+    {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS lowered,
+    xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(cast(doc_id AS varchar), ''),
+      lambda c: [cast(ascii(c) AS bigint), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END), 4294967295) AS crc
+  FROM documents),
+n0 AS MATERIALIZED (
+  SELECT doc_id, tree, h, CASE WHEN crc % 5 = 0 THEN lowered ELSE h END AS now, count(*) OVER (PARTITION BY tree) AS size,
+    row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS idx
+  FROM leaves),
+{climb('n', 'r', deep)},
+subroots AS ({subroots}),
+t0 AS (SELECT '' AS tree, tree AS name, h, count(*) OVER () AS size, row_number() OVER (ORDER BY tree) - 1 AS idx FROM subroots),
+{climb('t', 'u', wide)},
+root AS ({root}),
+f0 AS (SELECT n0.doc_id, n0.tree, n0.idx, n0.h AS leaf, t0.h AS subroot, t0.idx AS top, n0.now, '' AS beside
+  FROM n0 JOIN t0 ON t0.name = n0.tree),
+{folds}
+SELECT doc_id, leaf, subroot, root.h AS root, sha256(beside) AS proof_sha256, now AS folded_root, now = root.h AS verified
+FROM f{len(steps)}, root
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = ballmeans.encode(table(spark, sf_dir, "embeddings"), keep=["label"])
+    totals = checked_broadcast(coded.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error")))
+    return coded.join(totals, coded["label"].eqNullSafe(totals["of"]), "left").select(
+        "vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+def _op13_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    def turn(k: int) -> str:
+        """Assignment k + 1 to the entries after k rounds."""
+        return f"""a{k + 1} AS MATERIALIZED (
+  SELECT x.rid, x.p, any_value(x.w) AS w, min({{'d': x.n - 2 * list_dot_product(x.f, e.f) + e.n, 'e': e.e}}) AS best
+  FROM parts x JOIN e{k} e ON e.p = x.p GROUP BY x.rid, x.p)"""
+
+    def move(k: int) -> str:
+        """The entries after round k."""
+        return f"""m{k} AS (
+  SELECT p, e, list(c ORDER BY i) AS w FROM (
+    SELECT p, best.e AS e, i, cast(floor(cast(sum(w[i]) AS double) / count(*)) AS bigint) AS c
+    FROM a{k}, LATERAL (SELECT unnest(range(1, len(w) + 1)) AS i) GROUP BY p, best.e, i) GROUP BY p, e),
+e{k} AS MATERIALIZED (
+  SELECT p, e, w, cast(w AS double[]) AS f, list_dot_product(cast(w AS double[]), cast(w AS double[])) AS n
+  FROM (SELECT o.p, o.e, coalesce(m.w, o.w) AS w FROM e{k - 1} o LEFT JOIN m{k} m ON m.p = o.p AND m.e = o.e))"""
+
+    steps = ",\n".join(f"{turn(k)},\n{move(k + 1)}" for k in range(rounds)) + ",\n" + turn(rounds)
+    return f"""
+WITH x AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, label,
+         list_transform(embedding, lambda x: cast(floor(256 * cast(x AS double)) AS bigint)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT rid, vec_id, v, p, w, cast(w AS double[]) AS f, list_dot_product(cast(w AS double[]), cast(w AS double[])) AS n
+  FROM (SELECT rid, vec_id, v, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS w
+        FROM x, (SELECT unnest(range({parts})) AS p))),
+e0 AS MATERIALIZED (
+  SELECT p, e, w, f, n FROM (
+    SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id NULLS LAST, v) - 1 AS e, w, f, n FROM parts)
+  WHERE e < {entries}),
+{steps},
+coded AS (
+  SELECT rid, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, cast(sum(best.d) AS bigint) AS error
+  FROM a{rounds + 1} GROUP BY rid),
+books AS (SELECT sha256(string_agg(array_to_string(w, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM e{rounds})
+SELECT vec_id, code, error, cast(sum(error) OVER (PARTITION BY label) AS bigint) AS label_error, codebooks_sha256
+FROM coded JOIN x USING (rid), books
+"""
+
+
+OP13_SQL = _op13_sql()
+
+
 QUERIES = {
     "op1_topk": op1_topk,
     "op2_language_id": op2_language_id,
@@ -191,9 +315,14 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_license_scan": op9_license_scan,
     "op10_token_output": op10_token_output,
+    "op11_secret_scan": op11_secret_scan,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLES = {
+    "op12_merkle_manifest": OP12_SQL,
+    "op13_vector_codes": OP13_SQL,
     "op5_warc": OP5_SQL,
     "op1_topk": OP1_SQL,
     "op3_ngram_jaccard": OP3_SQL,
