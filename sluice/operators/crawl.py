@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators.joins import DEFAULT_MAX_BROADCAST_BYTES, anti_join
-from sluice.sources.html import hrefs
+from sluice.sources.pages import page_parts
 
 ORIGIN = r"^(?i)(https?://[^/?#]+)"
 SCHEME = r"^[A-Za-z][A-Za-z0-9+.-]*:"
+DOTS = r"/\.\.?(/|$)"
 
 
 def _without_dot_segments(path: Column) -> Column:
@@ -30,8 +31,9 @@ def resolve_href(page_url: Column, href: Column) -> Column:
     """Absolute URL of an ``href`` on ``page_url``, without its fragment.
 
     Absolute, ``//host``, ``/root``, ``?query``, relative and ``#fragment``
-    links are resolved as a browser does; other schemes (``mailto:``) and
-    pages without an http origin give NULL.
+    links are resolved as a browser does, dot segments too; other schemes
+    (``mailto:``) and pages without an http origin give NULL. Characters stay
+    as they are written: no percent-encoding is added or taken away.
     """
     link = F.regexp_replace(F.trim(href), r"(?s)#.*$", "")
     origin = F.regexp_extract(page_url, ORIGIN, 1)
@@ -42,20 +44,46 @@ def resolve_href(page_url: Column, href: Column) -> Column:
     link_path = F.regexp_extract(link, r"(?s)^([^?]*)", 1)
     query = F.substring(link, F.length(link_path) + 1, F.length(link))
     whole = F.when(link_path.startswith("/"), link_path).otherwise(F.concat(folder, link_path))
-    dotted = F.concat(F.lit("/"), whole).rlike(r"/\.\.?(/|$)")
-    return (F.when(link.rlike(r"^(?i)https?://"), link)
+    dotted = F.concat(F.lit("/"), whole).rlike(DOTS)
+    return (F.when(link.rlike(r"^(?i)https?://"), _without_dots(link))
             .when(link.rlike(SCHEME) | (origin == ""), F.lit(None).cast("string"))
-            .when(link.startswith("//"), F.concat(F.regexp_extract(page_url, r"^([^:]+:)", 1), link))
+            .when(link.startswith("//"), _without_dots(F.concat(F.regexp_extract(page_url, r"^([^:]+:)", 1), link)))
             .when(link == "", page)
             .when(link.startswith("?"), F.concat(bare, link))
             .otherwise(F.concat(origin, F.when(dotted, _without_dot_segments(whole)).otherwise(whole), query)))
 
 
+def _without_dots(url: Column) -> Column:
+    """An absolute URL without the dot segments of its path."""
+    origin = F.regexp_extract(url, ORIGIN, 1)
+    bare = F.regexp_extract(url, r"(?s)^([^?]*)", 1)
+    path = F.substring(bare, F.length(origin) + 1, F.length(bare))
+    return F.when(path.rlike(DOTS), F.concat(origin, _without_dot_segments(path), F.substring(
+        url, F.length(bare) + 1, F.length(url)))).otherwise(url)
+
+
+def link_events(pages: DataFrame, keys: Sequence[str] = ("page_id",), url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """Every ``<a href>`` of every page: ``keys + (pos, href, text, item, list, depth, url)``.
+
+    ``item``, ``list`` and ``depth`` say in which list item a link stands (NULL outside lists). ``url`` is the absolute
+    URL, resolved against the page's ``<base href>`` if it has one, NULL for other schemes.
+    """
+    keys = list(keys)
+    parts = page_parts(pages.withColumn("__page", F.col(url_col)), [*keys, "__page"], html_col, ["base", "links"])
+    based = F.when(F.col("base").isNull(), F.col("__page")).otherwise(
+        F.coalesce(resolve_href(F.col("__page"), F.col("base")), F.col("__page")))
+    each = parts.select(*keys, based.alias("__base"), F.explode("links").alias("__l")).select(*keys, "__base", "__l.*")
+    return each.select(*each.drop("__base").columns, resolve_href(F.col("__base"), F.col("href")).alias("url"))
+
+
 def page_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Every resolvable ``<a href>`` on every page, one row each."""
-    links = pages.select(F.col(url_col).alias("__page"), F.explode(hrefs(F.col(html_col))).alias("__h"))
+    parts = page_parts(pages.select(F.col(url_col).alias("__page"), html_col), ["__page"], html_col, ["base", "links"])
+    based = F.when(F.col("base").isNull(), F.col("__page")).otherwise(
+        F.coalesce(resolve_href(F.col("__page"), F.col("base")), F.col("__page")))
+    links = parts.select(based.alias("__base"), F.explode("links.href").alias("__h"))
     # The pattern work of a link is done once: the filter reads the resolved column, not the expression.
-    return links.select(F.explode(F.array_compact(F.array(resolve_href(F.col("__page"), F.col("__h"))))).alias("url"))
+    return links.select(F.explode(F.array_compact(F.array(resolve_href(F.col("__base"), F.col("__h"))))).alias("url"))
 
 
 def query_number(url: Column, param: str) -> Column:

@@ -286,3 +286,26 @@ def order_sales_rows(orders: DataFrame, customer: DataFrame, nation: DataFrame,
         total_cost.alias("Total Cost"),
         (revenue - total_cost).cast("decimal(18,2)").alias("Total Profit"),
     )
+
+
+# ------------------------------------------------------------- stored pages
+
+def hard_pages(pages: DataFrame) -> DataFrame:
+    """The stored pages' URLs with markup of the kinds that real pages have and patterns over the text get wrong: nested
+    markup in list items, items and links without end tags, references in attributes, a base, and links that are none
+    because they stand in comments, scripts, styles, templates or plain text. Every third page has no base."""
+    n = F.col("page_id").cast("string")
+    base = F.when(F.col("page_id") % 3 == 0, F.lit("")).otherwise(
+        F.concat(F.lit('<base target=x><BASE href="/base'), n, F.lit('/sub/"><base href="/second/">')))
+    return pages.select("page_id", "url", F.concat(
+        F.lit('<!DOCTYPE html><HTML><head><title><a href="/title">t</a></title>'), base,
+        F.lit("""<script>var s='<li><a href="/script">x</a></li>';</script><style>a{content:"<a href=/style>"}</style>
+<!-- <li><a href="/comment">c</a></li> --></head><body><ul class=nav><li><b><a class="a>b" href="item"""), n,
+        F.lit(""".html"><i>Item</i> &amp; """), n, F.lit("""</a></b>
+<LI>text <a HREF='&#47;e"""), n, F.lit("""&lt;?a=1&amp;b=2#frag'>entity
+<li data-x="<a href=/quoted>"><span><a href=unquoted?x="""), n, F.lit("""&copy=1 href=/twice>un</a></span>
+<ol><li><a href="//cdn.example.org/./x/../"""), n, F.lit("""">deep</a></ol></ul>
+<p><a href=" /sp
+ace/"""), n, F.lit("""/.. ">outside</a> <a name=none>none</a> <template><li><a href="/template">t</a></li></template>
+<a href="mailto:x@y.example">mail</a> <textarea><a href="/text"></textarea> <a href="#top">top</a> <a href="/open"""), n)
+        .alias("html"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.crawl import new_urls, newest_first, page_links, read_ledger
+from sluice.operators.crawl import link_events, new_urls, newest_first, page_links, read_ledger
 from sluice.operators.joins import lookup_join, role, small_enough
 from sluice.operators.reshape import empty_to_null
 from sluice.operators.sets import symmetric_difference
 from sluice.plans.catalog import register
+from sluice.plans.derive import hard_pages
 from sluice.plans.tables import Tables
 from sluice.session import scratch_path
 from sluice.sources.html import html_list_links
@@ -109,6 +110,37 @@ def q_html_links(spark: SparkSession, sf_dir: str):
     return html_list_links(Tables(spark, sf_dir).pages)
 
 
+@register("hard_page_links", r"""
+WITH p AS (
+  SELECT page_id, cast(page_id AS varchar) AS n, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS origin,
+         CASE WHEN page_id % 3 = 0 THEN regexp_extract(url, '^([^?#]*/)', 1)
+              ELSE regexp_extract(url, '^(https?://[^/?#]+)', 1) || '/base' || page_id || '/sub/' END AS folder,
+         CASE WHEN page_id % 3 = 0 THEN regexp_extract(url, '^([^#]*)', 1) END AS page
+  FROM pages),
+e AS (
+  SELECT page_id, unnest([
+    {'pos': 0, 'item': 0, 'list': 0, 'depth': 1, 'href': 'item' || n || '.html', 'text': 'Item & ' || n,
+     'url': folder || 'item' || n || '.html'},
+    {'pos': 1, 'item': 1, 'list': 0, 'depth': 1, 'href': '/e' || n || '<?a=1&b=2#frag', 'text': 'entity' || chr(10),
+     'url': origin || '/e' || n || '<?a=1&b=2'},
+    {'pos': 2, 'item': 2, 'list': 0, 'depth': 1, 'href': 'unquoted?x=' || n || '&copy=1', 'text': 'un',
+     'url': folder || 'unquoted?x=' || n || '&copy=1'},
+    {'pos': 3, 'item': 3, 'list': 1, 'depth': 2, 'href': '//cdn.example.org/./x/../' || n, 'text': 'deep',
+     'url': regexp_extract(origin, '^([^:]+:)', 1) || '//cdn.example.org/' || n},
+    {'pos': 4, 'item': NULL, 'list': NULL, 'depth': NULL, 'href': '/space/' || n || '/..', 'text': 'outside',
+     'url': origin || '/space/'},
+    {'pos': 5, 'item': NULL, 'list': NULL, 'depth': NULL, 'href': 'mailto:x@y.example', 'text': 'mail', 'url': NULL},
+    {'pos': 6, 'item': NULL, 'list': NULL, 'depth': NULL, 'href': '#top', 'text': 'top', 'url': coalesce(page, folder)}
+  ]) AS l FROM p)
+SELECT page_id, cast(l.pos AS integer) AS pos, l.href AS href, l.text AS text, cast(l.item AS integer) AS item,
+       cast(l.list AS integer) AS list, cast(l.depth AS integer) AS depth, l.url AS url
+FROM e
+""")
+def q_hard_page_links(spark: SparkSession, sf_dir: str):
+    """Links of pages with nested markup, missing end tags, a base, and text that only looks like links."""
+    return link_events(hard_pages(Tables(spark, sf_dir).pages))
+
+
 @register("frontier_new_urls", """
 WITH links AS (
   SELECT url AS page_url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages),

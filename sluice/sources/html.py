@@ -1,133 +1,41 @@
-"""Stored HTML pages to rows: links, list links and reference tables.
+"""Stored HTML pages to rows: list links and reference tables.
 
-Pages are rows of a ``(key, html)`` table; nothing is fetched. Links are
-``regexp_extract_all`` inside each row. Tables nest and their cells span, which
-patterns cannot follow, so a page's tables are read by a small parser in
-Arrow batches where the page is stored. Neither needs a shuffle.
+Both read the parts that one pass over a page finds (``sources.pages``), where
+the page is stored; neither needs a shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from html.parser import HTMLParser
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# An attribute's value is quoted by " or ' or not at all; names are in any case and order.
-_HREF = r"""\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-ANY_LINK = rf"""(?is)<a\s(?:[^>"']|"[^"]*"|'[^']*')*?{_HREF}"""
-LIST_LINK = rf"""(?is)<li\b[^>]*>\s*<a\s(?:[^>"']|"[^"]*"|'[^']*')*?{_HREF}[^>]*>(.*?)</a\s*>"""
-TAG = r"(?s)<[^>]*>"
-
-
-def _unquoted(value: Column) -> Column:
-    bare = F.regexp_replace(value, r"""(?s)^["'](.*)["']$""", "$1")
-    return F.replace(bare, F.lit("&amp;"), F.lit("&"))
-
-
-def hrefs(html: Column) -> Column:
-    """The ``href`` values of every ``<a>`` of a page, in order."""
-    return F.transform(F.regexp_extract_all(html, F.lit(ANY_LINK), 1), _unquoted)
+from sluice.sources.pages import Page, page_parts
 
 
 def html_list_links(pages: DataFrame, keys: Sequence[str] = ("page_id",), html_col: str = "html") -> DataFrame:
-    """``<li><a href=..>text</a>`` items: ``keys + (pos, href, text)``, pos from 0; tags inside the text are dropped."""
+    """Links inside list items: ``keys + (pos, href, text)``, pos from 0 within the page.
+
+    Whatever markup stands between the item and its links or inside the link's text is passed over.
+    """
     keys = list(keys)
-    found = F.regexp_extract_all(F.col(html_col), F.lit(LIST_LINK), 1)
-    texts = F.regexp_extract_all(F.col(html_col), F.lit(LIST_LINK), 2)
-    zipped = F.arrays_zip(F.transform(found, _unquoted).alias("href"),
-                          F.transform(texts, lambda t: F.regexp_replace(t, TAG, "")).alias("text"))
-    return (pages.select(*keys, F.posexplode(zipped).alias("pos", "__l"))
+    links = F.filter("links", lambda x: x["item"].isNotNull())
+    return (page_parts(pages, keys, html_col, ["links"]).select(*keys, F.posexplode(links).alias("pos", "__l"))
             .select(*keys, "pos", F.col("__l.href").alias("href"), F.col("__l.text").alias("text")))
 
 
-class _Tables(HTMLParser):
-    """Collects every table of a page as rows of (text, rowspan, colspan), in the order in which tables open."""
-
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.tables: list[list[list[list]]] = []
-        self.open: list[tuple[int, bool]] = []  # tables around the place, and whether a cell is open in each
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "table":
-            self.tables.append([])
-            self.open.append((len(self.tables) - 1, False))
-        elif self.open and tag in ("tr", "td", "th"):
-            table = self.tables[self.open[-1][0]]
-            if tag == "tr" or not table:
-                table.append([])
-            if tag != "tr":
-                span = {k: int(v) for k, v in attrs if k in ("rowspan", "colspan") and (v or "").isdigit()}
-                table[-1].append(["", span.get("rowspan", 1), max(1, min(span.get("colspan", 1), 1000))])
-            self.open[-1] = (self.open[-1][0], tag != "tr")
-
-    def handle_endtag(self, tag):
-        if self.open and tag == "table":
-            self.open.pop()
-        elif self.open and tag in ("td", "th", "tr"):
-            self.open[-1] = (self.open[-1][0], False)
-
-    def handle_data(self, data):
-        if self.open and self.open[-1][1]:
-            self.tables[self.open[-1][0]][-1][-1][0] += data
-
-    def grid(self, index: int) -> list[list[str]]:
-        """Rows of a table with spanning cells repeated in every place they cover."""
-        rows, held = [], {}  # held: column -> (rows left, text)
-        table = self.tables[index]
-        for i, cells in enumerate(table):
-            row, waiting, column = [], iter(cells), 0
-            cell = next(waiting, None)
-            while cell is not None or column in held:
-                if column in held:
-                    left, text = held.pop(column)
-                    if left > 1:
-                        held[column] = (left - 1, text)
-                    row.append(text)
-                    column += 1
-                    continue
-                text, down, across = cell
-                text = " ".join(text.split())
-                down = len(table) - i if down == 0 else down  # 0 spans the rest of the table
-                for _ in range(across):
-                    if column in held:
-                        break
-                    if down > 1:
-                        held[column] = (down - 1, text)
-                    row.append(text)
-                    column += 1
-                cell = next(waiting, None)
-            rows.append(row)
-        return rows
-
-
 def page_table(html: str | None, index: int) -> list[list[str]]:
     """The ``index``-th table of a page (nested tables count, negative from the end), or no rows."""
-    parser = _Tables()
-    parser.feed(html or "")
-    parser.close()
-    return parser.grid(index) if -len(parser.tables) <= index < len(parser.tables) else []
+    return Page(html).grid(index)
 
 
 def _table_rows(pages: DataFrame, table_index: int, keys: list[str], html_col: str) -> DataFrame:
     """``keys + (row_idx, cells, names)``: the rows of each page's table; ``names`` is the page's first row."""
-    schema = T.StructType([pages.schema[k] for k in keys] + [
-        T.StructField("row_idx", T.IntegerType()), T.StructField("cells", T.ArrayType(T.StringType())),
-        T.StructField("names", T.ArrayType(T.StringType()))])
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = []
-            for *key, html in batch.itertuples(index=False, name=None):
-                rows = page_table(html, table_index)
-                found += [(*key, i, cells, rows[0]) for i, cells in enumerate(rows)]
-            yield pd.DataFrame(found, columns=[*keys, "row_idx", "cells", "names"])
-
-    return pages.select(*keys, html_col).mapInPandas(read, schema)
+    at = F.lit(table_index) if table_index >= 0 else F.size("tables") + table_index
+    table = F.when(at >= 0, F.get("tables", at))
+    rows = page_parts(pages, keys, html_col, ["tables"]).select(*keys, table.alias("__t"))
+    return rows.select(*keys, F.posexplode("__t").alias("row_idx", "cells"), F.get("__t", F.lit(0)).alias("names"))
 
 
 def html_table_cells(pages: DataFrame, table_index: int, keys: Sequence[str] = ("page_id",),
