@@ -31,8 +31,25 @@ def mark_value(target: DataFrame | None, key: str):
     return target.agg(F.max(key).alias("m")).first()["m"]
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Put back a table that a replacing load had set aside when its driver died before the switch (``path__old``).
+
+    Where ``path`` exists the switch was finished, and nothing is done.
+    """
+    base = path.rstrip("/")
+    jvm = spark.sparkContext._jvm
+    at, old = jvm.org.apache.hadoop.fs.Path(base), jvm.org.apache.hadoop.fs.Path(f"{base}__old")
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(at) and fs.exists(old) and not fs.rename(old, at):
+        raise OSError(f"cannot put {base}__old back")
+
+
 def read_target(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """The stored target table, or None when it does not exist yet."""
+    """The stored target table, or None when it does not exist yet.
+
+    A table that was set aside when a replacing load died is found and put back.
+    """
+    recover(spark, path)
     try:
         return spark.read.format(fmt).load(path)
     except Exception as e:  # noqa: BLE001 - AnalysisException for a missing path

@@ -18,6 +18,7 @@ from sluice.plans.q_incremental import BATCH, KEY, RUN_DATE, loaded_target
 from sluice.plans.q_weather import FACT_SQL, VALUE_BAND_SPEC, value_band_table
 from sluice.plans.tables import Tables
 from sluice.session import scratch_path, spread
+from sluice.sinks.versioned import commit_load, load_star_run, read_star, read_table
 from sluice.sinks.writers import (
     WRITE_APPEND,
     WRITE_EMPTY,
@@ -229,6 +230,46 @@ def q_load_star(spark: SparkSession, sf_dir: str):
     return counts[0].unionByName(counts[1])
 
 
+@register("versioned_truncate", f"SELECT {EVENT_COLS} FROM events WHERE ts >= {_RUN_TS}")
+def q_versioned_truncate(spark: SparkSession, sf_dir: str):
+    """A versioned table replaced by a truncating load that reads the version it replaces."""
+    path = scratch_path(spark, "versioned_truncate") + "/events"
+    commit_load(Tables(spark, sf_dir).events, path, WRITE_TRUNCATE, "full")
+    _, after = _split(read_table(spark, path))
+    commit_load(after, path, WRITE_TRUNCATE, "cut")
+    return read_table(spark, path)
+
+
+@register("repeated_append", f"SELECT {EVENT_COLS} FROM events")
+def q_repeated_append(spark: SparkSession, sf_dir: str):
+    """Two runs appended to a versioned table, the second one twice and the first once more: every row once."""
+    before, after = _split(Tables(spark, sf_dir).events)
+    path = scratch_path(spark, "repeated_append") + "/events"
+    for rows, run in ((before, "day1"), (after, "day2"), (after, "day2"), (before, "day1")):
+        commit_load(rows, path, WRITE_APPEND, run)
+    return read_table(spark, path)
+
+
+@register("repeated_star", f"""
+WITH f AS ({FACT_SQL}),
+b AS (SELECT DISTINCT least(CAST(floor(value / 50.0) AS INTEGER) + 1, 10) AS code FROM events)
+SELECT 'FACT_weather' AS table_name, 2 * count(*) AS row_count FROM f
+UNION ALL SELECT 'DIM_value_band' AS table_name, count(*) AS row_count FROM b
+""")
+def q_repeated_star(spark: SparkSession, sf_dir: str):
+    """Two runs of a versioned star load, the second one repeated after its fact was loaded but not shown."""
+    ev = Tables(spark, sf_dir).events
+    root = scratch_path(spark, "repeated_star")
+    fact = weather_fact(event_weather_documents(ev))
+    dims = {"DIM_value_band": band_dimension(value_band_table(ev), VALUE_BAND_SPEC)}
+    load_star_run(spark, root, "FACT_weather", fact, dims, "day1")
+    commit_load(fact, table_path(root, "FACT_weather"), WRITE_APPEND, "day2")  # the run dies here
+    load_star_run(spark, root, "FACT_weather", fact, dims, "day2")
+    counts = [t.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
+              for n, t in sorted(read_star(spark, root).items())]
+    return counts[0].unionByName(counts[1])
+
+
 @register("weather_json_scan", FACT_SQL)
 def q_weather_json_scan(spark: SparkSession, sf_dir: str):
     """Forecast documents written as JSON and scanned back with the declared schema."""

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators.incremental import STATUS_LOAD, mark_value, next_id_range, read_target, reconcile
+from sluice.operators.incremental import STATUS_LOAD, mark_value, next_id_range, read_target, reconcile, recover
 from sluice.operators.reshape import conform
 
 WRITE_APPEND = "WRITE_APPEND"
@@ -41,11 +41,14 @@ def replace_table(df: DataFrame, path: str, compression: str | None = None) -> N
 
     The new table is written in full to a folder of its own first; a failing
     write ends here and the old table stays. The switch is two renames on the
-    table's file system; should the driver die between them, the old table is
-    found beside ``path`` with the suffix ``__old``.
+    table's file system; should the driver die between them, the old table lies
+    beside ``path`` with the suffix ``__old``, and the next load or
+    ``read_target`` puts it back. ``sinks.versioned`` has tables that are not
+    missing for a moment either.
     """
     spark = df.sparkSession
     base = path.rstrip("/")
+    recover(spark, base)
     new, old = f"{base}__new-{uuid.uuid4().hex[:12]}", f"{base}__old"
     write_parquet(df, new, compression=compression, mode="errorifexists")
     jvm = spark.sparkContext._jvm
@@ -86,6 +89,7 @@ def load(df: DataFrame, path: str, disposition: str = WRITE_APPEND, compression:
         mode = "append"
     else:
         raise ValueError(f"unknown disposition {disposition}")
+    recover(spark, path)
     write_parquet(df, path, compression=compression, mode=mode)
     return "loaded"
 

@@ -1,0 +1,171 @@
+"""Versioned tables: stopped after every step, repeated, and written by two at once."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.sinks import versioned, writers
+from sluice.sinks.versioned import commit_load, current, load_star_run, read_star, read_table, vacuum
+from sluice.sinks.writers import WRITE_APPEND, WRITE_EMPTY, WRITE_TRUNCATE
+
+
+def ids(df):
+    return None if df is None else sorted(r[0] for r in df.collect())
+
+
+def frame(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "id long")
+
+
+class Stopped(Exception):
+    pass
+
+
+def stop_at(monkeypatch, step):
+    """The ``step``-th step (writing data, before and after publishing) raises; returns how many steps were passed."""
+    passed = [0]
+
+    def count():
+        passed[0] += 1
+        if passed[0] == step:
+            raise Stopped
+
+    real_write, real_publish = versioned.write_parquet, versioned.publish
+
+    def write(*args, **options):
+        count()
+        real_write(*args, **options)
+        count()
+
+    def publish(*args):
+        count()
+        done = real_publish(*args)
+        count()
+        return done
+    monkeypatch.setattr(versioned, "write_parquet", write)
+    monkeypatch.setattr(versioned, "publish", publish)
+    return passed
+
+
+def test_dispositions(spark, tmp_dir):
+    p = tmp_dir + "/t"
+    assert read_table(spark, p) is None and current(spark, p) is None
+    assert commit_load(frame(spark, [1, 2]), p) == "loaded"
+    assert commit_load(frame(spark, [3]), p, WRITE_APPEND, "r") == "loaded"
+    assert commit_load(frame(spark, [4]), p, WRITE_APPEND, "r") == "loaded"  # the run again: replaced, not doubled
+    assert ids(read_table(spark, p)) == [1, 2, 4]
+    assert commit_load(frame(spark, [7]), p, WRITE_EMPTY) == "skipped"
+    assert commit_load(frame(spark, [9]), p, WRITE_TRUNCATE) == "loaded"
+    assert ids(read_table(spark, p)) == [9] and ids(read_table(spark, p, 2)) == [1, 2, 3]
+    assert commit_load(read_table(spark, p).select((F.col("id") + 1).alias("id")), p, WRITE_TRUNCATE) == "loaded"
+    assert ids(read_table(spark, p)) == [10]  # a load may read the table it replaces
+    assert commit_load(frame(spark, []), p, WRITE_TRUNCATE) == "loaded" and ids(read_table(spark, p)) == []
+    assert commit_load(frame(spark, [5]), p, WRITE_EMPTY, "e") == "loaded"
+    assert commit_load(frame(spark, [6]), p, WRITE_EMPTY, "e") == "loaded"  # the same run: its own rows do not count
+    assert ids(read_table(spark, p)) == [6]
+    with pytest.raises(ValueError):
+        commit_load(spark.createDataFrame([("x",)], "id string"), p)
+    with pytest.raises(ValueError):
+        commit_load(frame(spark, [1]), p, "OTHER")
+
+
+@pytest.mark.parametrize("disposition, before, after", [(WRITE_TRUNCATE, [1, 2], [3]), (WRITE_APPEND, [1, 2], [1, 2, 3])])
+def test_stopped_after_every_step_old_or_new_is_there(spark, tmp_dir, monkeypatch, disposition, before, after):
+    for step in range(1, 6):
+        p = f"{tmp_dir}/t{step}"
+        commit_load(frame(spark, before), p, run="first")
+        with monkeypatch.context() as patched:
+            passed = stop_at(patched, step)
+            try:
+                commit_load(frame(spark, [3]), p, disposition, "second")
+                assert step == 5 and passed[0] == 4  # four steps: every one of them was tried
+            except Stopped:
+                assert ids(read_table(spark, p)) == (before if step < 4 else after)
+        # The table goes on: append and truncate, and the run again.
+        assert commit_load(frame(spark, [8]), p, run="third") == "loaded"
+        assert ids(read_table(spark, p)) == [*(before if step < 4 else after), 8]
+        assert commit_load(frame(spark, [3]), p, disposition, "second") == "loaded"
+        assert ids(read_table(spark, p)) == ([3] if disposition == WRITE_TRUNCATE else [*after, 8])
+        assert commit_load(frame(spark, [0]), p, WRITE_TRUNCATE) == "loaded" and ids(read_table(spark, p)) == [0]
+
+
+def test_a_failing_load_leaves_the_table(spark, tmp_dir):
+    p = tmp_dir + "/t"
+    commit_load(frame(spark, [1]), p)
+    bad = frame(spark, [2]).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        commit_load(bad, p, WRITE_TRUNCATE)
+    assert ids(read_table(spark, p)) == [1] and current(spark, p).number == 1
+
+
+def test_two_writers_keep_each_others_rows(spark, tmp_dir, monkeypatch):
+    p = tmp_dir + "/t"
+    commit_load(frame(spark, [1]), p)
+    real, raced = versioned.publish, []
+
+    def publish(session, folder, number, content):
+        if not raced:
+            raced.append(number)
+            assert commit_load(frame(spark, [2]), p) == "loaded"  # the other writer takes the number
+        return real(session, folder, number, content)
+
+    monkeypatch.setattr(versioned, "publish", publish)
+    assert commit_load(frame(spark, [3]), p) == "loaded"
+    assert ids(read_table(spark, p)) == [1, 2, 3] and current(spark, p).number == 3
+    assert not real(spark, p + "/_commits", 3, {})  # a number is given once
+    assert ids(read_table(spark, p)) == [1, 2, 3]
+
+
+def test_star_run_repeated_after_every_step(spark, tmp_dir, monkeypatch):
+    fact, dim = frame(spark, [1, 2]), frame(spark, [7])
+    step = 0
+    while True:
+        step += 1
+        root = f"{tmp_dir}/star{step}"
+        load_star_run(spark, root, "FACT", fact, {"DIM_a": dim}, "day1")
+        with monkeypatch.context() as patched:
+            stop_at(patched, step)
+            try:
+                load_star_run(spark, root, "FACT", frame(spark, [3]), {"DIM_a": dim, "DIM_b": dim}, "day2")
+                finished = True
+            except Stopped:
+                finished = False
+                seen = {n: ids(t) for n, t in read_star(spark, root).items()}
+                assert seen in ({"FACT": [1, 2], "DIM_a": [7]}, {"FACT": [1, 2, 3], "DIM_a": [7], "DIM_b": [7]})
+        for _ in range(2):
+            load_star_run(spark, root, "FACT", frame(spark, [3]), {"DIM_a": dim, "DIM_b": dim}, "day2")
+            assert {n: ids(t) for n, t in read_star(spark, root).items()} == {"FACT": [1, 2, 3], "DIM_a": [7], "DIM_b": [7]}
+        if finished:
+            break
+    assert step == 11  # two folders and two table commits, one star commit, each stopped before and after
+    assert read_star(spark, tmp_dir + "/none") == {}
+
+
+def test_vacuum_deletes_only_what_no_version_names(spark, tmp_dir):
+    p = tmp_dir + "/t"
+    for i in range(4):
+        commit_load(frame(spark, [i]), p, WRITE_TRUNCATE)
+    assert vacuum(spark, p, keep_versions=2) == 0  # too young
+    assert vacuum(spark, p, keep_versions=2, older_than_seconds=0) == 2
+    assert len(os.listdir(p + "/_data")) == 2 and ids(read_table(spark, p)) == [3] and ids(read_table(spark, p, 3)) == [2]
+
+
+def test_plain_tables_are_found_again_after_a_crash_between_the_renames(spark, tmp_dir):
+    from sluice.operators.incremental import read_target
+
+    p = tmp_dir + "/t"
+    writers.load(frame(spark, range(10)), p)
+    os.rename(p, p + "__old")  # what a driver that died between the renames leaves
+    assert ids(read_target(spark, p)) == list(range(10))
+    os.rename(p, p + "__old")
+    writers.load(frame(spark, [10]), p)
+    assert ids(spark.read.parquet(p)) == list(range(11))
+    os.rename(p, p + "__old")
+    assert writers.load(frame(spark, [1]), p, WRITE_EMPTY) == "skipped"
+    os.rename(p, p + "__old")
+    writers.load(read_target(spark, p).where("id > 8"), p, WRITE_TRUNCATE)
+    assert ids(spark.read.parquet(p)) == [9, 10] and not os.path.exists(p + "__old")
+    # The switch was finished, only its clean-up was not: the new table counts.
+    writers.load(frame(spark, [1]), p + "__old")
+    assert ids(read_target(spark, p)) == [9, 10]
