@@ -1,9 +1,9 @@
 """Incremental extraction: high-water marks, id ranges, batches after a key.
 
 The reference walks cursors and pulls whole result sets to the driver.
-Here every step is a DataFrame: marks are one-row aggregates (a parquet
-or JDBC scan can answer ``max`` from statistics), ranges are pushed-down
-filters, and a backfill of many batches is one job that tags each pending
+Here every step is a DataFrame: marks are one-row aggregates (of a stored
+Parquet table from its footers, see ``stored_mark``), ranges are pushed-down
+filters, the next n rows are a filter too, and a backfill of many batches is one job that tags each pending
 row with its batch number instead of one driver round trip per batch.
 """
 
@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.operators.selection import first_rows
+
 STATUS_UP_TO_DATE = "up to date"
 STATUS_LOAD = "load"
 STATUS_TARGET_AHEAD = "target ahead"
@@ -31,6 +33,40 @@ def mark_value(target: DataFrame | None, key: str):
     return target.agg(F.max(key).alias("m")).first()["m"]
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application in which Parquet answers ``min``, ``max`` and ``count`` from its footers."""
+    session = spark.newSession()
+    for key, value in (("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text"),  # Parquet by the v2 reader
+                       ("spark.sql.parquet.aggregatePushdown", "true")):
+        session.conf.set(key, value)
+    return session
+
+
+def footer_mark(spark: SparkSession, path: str | list[str], key: str) -> DataFrame:
+    """One row, one column ``high_water_mark``: ``max(key)`` of a stored Parquet table, from row-group statistics.
+
+    No column is read: the plan's scan has a pushed-down aggregate. Spark does
+    so for whole numbers, floats, booleans and dates; other types are scanned.
+    Files without statistics make it fail, see ``stored_mark``.
+    """
+    table = footer_session(spark).read.parquet(*([path] if isinstance(path, str) else path))
+    return table.agg(F.max(F.col(f"`{key}`")).alias("high_water_mark"))
+
+
+def stored_mark(spark: SparkSession, path: str | list[str], key: str):
+    """The high-water mark of a stored Parquet table as a Python scalar: from its footers, by a scan where a file has no
+    statistics; None for a missing or empty table."""
+    try:
+        return footer_mark(spark, path, key).first()["high_water_mark"]
+    except Exception as e:  # noqa: BLE001 - a Java exception
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        if "FAILED_READ_FILE" not in str(e):
+            raise
+        # A file that cannot be read at all fails here again.
+        return mark_value(spark.read.parquet(*([path] if isinstance(path, str) else path)), key)
+
+
 def recover(spark: SparkSession, path: str) -> None:
     """Put back a table that a replacing load had set aside when its driver died before the switch (``path__old``).
 
@@ -108,16 +144,16 @@ def id_range_batches(source: DataFrame, key: str, mark, batch: int, batch_col: s
 
 
 def batch_after(source: DataFrame, key: str, last_key=None, n: int | None = None) -> DataFrame:
-    """Documents after ``last_key`` in key order, at most ``n`` of them.
+    """Documents after ``last_key`` in key order, ``n`` of them.
 
     (no n, no key): everything; (n, no key): the first n; (n, key): the next
-    n after the key; (no n, key): everything after the key.
+    n after the key; (no n, key): everything after the key. The n-th key is
+    found by counting (``operators.selection``), so the result is a plain
+    filter whatever n is. Rows that share the n-th key all belong to the batch.
     """
     column = F.col(f"`{key}`")
-    rows = source if last_key is None else source.where(column > F.lit(last_key))
-    if n is None:
-        return rows
-    return rows.orderBy(column.asc()).limit(n)
+    rows = source if last_key is None else source.where(column > F.lit(last_key).cast(source.schema[key].dataType))
+    return rows if n is None else first_rows(rows, key, n)
 
 
 def latest(source: DataFrame, key: str) -> DataFrame:

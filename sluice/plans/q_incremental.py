@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.incremental import (
     batch_after,
+    footer_mark,
     high_water_mark,
     id_range_batches,
     latest,
@@ -74,6 +75,12 @@ def q_high_water_mark(spark: SparkSession, sf_dir: str):
 
 
 
+@register("stored_mark", "SELECT max(o_orderkey) AS high_water_mark FROM orders")
+def q_stored_mark(spark: SparkSession, sf_dir: str):
+    """Latest id of a stored Parquet table, from its footers: no column is read."""
+    return footer_mark(spark, f"{sf_dir.rstrip('/')}/orders.parquet", "o_orderkey")
+
+
 @register("row_count", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in TABLES))
 def q_row_count(spark: SparkSession, sf_dir: str):
@@ -93,11 +100,18 @@ def q_batch_first(spark: SparkSession, sf_dir: str):
     return batch_after(Tables(spark, sf_dir).events, KEY, None, BATCH)
 
 
+@register("batch_half", f"SELECT {EVENT_COLS} FROM events ORDER BY event_id LIMIT (SELECT count(*) // 2 FROM events)")
+def q_batch_half(spark: SparkSession, sf_dir: str):
+    """A first batch of half the table: its last key is found by counting, its rows are a filter."""
+    ev = Tables(spark, sf_dir).events
+    return batch_after(ev, KEY, None, ev.count() // 2)
+
+
 @register("batch_after_id", f"""
 SELECT {EVENT_COLS} FROM events WHERE event_id > {_MARK} ORDER BY event_id LIMIT {BATCH}
 """)
 def q_batch_after_id(spark: SparkSession, sf_dir: str):
-    """The next ``n`` documents after the last stored key (top-n, no full sort)."""
+    """The next ``n`` documents after the last stored key (a filter up to the n-th key, no sort)."""
     ev = Tables(spark, sf_dir).events
     return batch_after(ev, KEY, mark_value(loaded_target(ev), KEY), BATCH)
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators.incremental import STATUS_LOAD, mark_value, next_id_range, read_target, reconcile, recover
+from sluice.operators.incremental import STATUS_LOAD, next_id_range, read_target, reconcile, recover, stored_mark
 from sluice.operators.reshape import conform
 
 WRITE_APPEND = "WRITE_APPEND"
@@ -180,8 +180,8 @@ def incremental_extract(source: DataFrame, target_path: str, key: str, batch: in
     target = read_target(spark, target_path)
     status = reconcile(source, target).first()
     if status["status"] != STATUS_LOAD:
-        return {"status": status["status"], "rows_loaded": 0, "mark": mark_value(target, key)}
-    mark = mark_value(target, key)
+        return {"status": status["status"], "rows_loaded": 0, "mark": None if target is None else stored_mark(spark, target_path, key)}
+    mark = None if target is None else stored_mark(spark, target_path, key)
     m = load_with_metrics(next_id_range(source, key, mark, batch), target_path, disposition)
     return {"status": status["status"], "rows_loaded": m["rows_loaded"], "mark": mark}
 

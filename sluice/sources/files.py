@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.incremental import batch_after
+from sluice.operators.selection import nth_key
 from sluice.operators.weather import WEATHER_DOCUMENT
 
 # The sales record layout (header names, and the month/day/year
@@ -84,20 +85,21 @@ def write_sales_csv(df: DataFrame, path: str, date_columns: Sequence[str] = SALE
     out.write.mode("overwrite").option("header", True).options(**CSV_KEEP_SPACES).csv(path)
 
 
-def read_csv_batches(df: DataFrame, key: str, batch: int, skip: int = 0) -> DataFrame:
-    """The batch of ``batch`` rows in key order after ``skip`` earlier ones.
+def read_csv_batches(df: DataFrame, key: str, batch: int, skip: int = 0, last_key=None) -> DataFrame:
+    """The batch of ``batch`` rows in key order after ``last_key``, or after ``skip`` earlier batches.
 
-    Each batch starts after the last key of the one before (a filter and a
-    top-n of one batch), so no task ever holds the rows that were skipped; a
+    A caller that remembers where it stopped passes ``last_key``; ``skip``
+    finds the last skipped key by counting, in a few scans however many
+    batches are skipped. No task ever holds the rows that were skipped; a
     file line number would not be stable under parallel reads. Keys are
     unique.
     """
-    last = None
-    for _ in range(skip):
-        last = batch_after(df, key, last, batch).agg(F.max(F.col(f"`{key}`")).alias("m")).first()["m"]
-        if last is None:
+    rows = batch_after(df, key, last_key)
+    if skip:
+        last_key = nth_key(rows, key, skip * batch)
+        if last_key is None:
             return df.limit(0)
-    return batch_after(df, key, last, batch)
+    return batch_after(df, key, last_key, batch)
 
 
 def read_json_documents(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
