@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from sluice.operators.crawl import link_events, new_urls, newest_first, page_links, read_ledger
 from sluice.operators.joins import lookup_join, role, small_enough
+from sluice.operators.ledger import store_urls, unseen
 from sluice.operators.reshape import empty_to_null
 from sluice.operators.sets import symmetric_difference
 from sluice.plans.catalog import register
 from sluice.plans.derive import hard_pages
 from sluice.plans.tables import Tables
-from sluice.session import scratch_path
+from sluice.session import materialize, scratch_path
 from sluice.sources.html import html_list_links
 
 STAR_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "p_name", "p_brand", "l_suppkey", "s_name",
@@ -159,6 +160,29 @@ def q_frontier_new_urls(spark: SparkSession, sf_dir: str):
     return new_urls(page_links(pages), pages.select("url"))
 
 
+@register("ledger_new_urls", """
+WITH links AS (
+  SELECT url AS page_url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages),
+r AS (
+  SELECT CASE WHEN regexp_matches(href, '^https?://') THEN href
+              WHEN starts_with(href, '/') AND NOT starts_with(href, '//')
+                   AND regexp_extract(page_url, '^(https?://[^/?#]+)', 1) <> ''
+              THEN regexp_extract(page_url, '^(https?://[^/?#]+)', 1) || href END AS url
+  FROM links)
+SELECT DISTINCT url FROM r
+WHERE url IS NOT NULL AND NOT EXISTS (SELECT 1 FROM pages p WHERE p.url = r.url AND p.page_id % 3 < 2)
+  AND NOT contains(url, '/the')
+""")
+def q_ledger_new_urls(spark: SparkSession, sf_dir: str):
+    """Links that a bucketed ledger of two batches does not hold: two thirds of the pages' URLs, and some links."""
+    pages = Tables(spark, sf_dir).pages
+    links = materialize(page_links(pages).distinct(), "ledger-links")
+    path = scratch_path(spark, "ledger_urls")
+    store_urls(pages.where("page_id % 3 < 2").select("url"), path, 0)
+    store_urls(links.where(F.col("url").contains("/the")), path, 1)
+    return unseen(links, path)
+
+
 @register("frontier_by_page_number", r"""
 WITH links AS (
   SELECT url AS page_url, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages),

@@ -3,10 +3,12 @@ append the rest.
 
 Raw sheets arrive as JSON lines in a directory. Every micro-batch is cleaned
 in-row (``clean_spec_sheet``), de-duplicated on its URL (of several sheets of
-one URL the smallest text stays, so a replay keeps the same one), anti-joined
-against the URLs stored by earlier batches, and written to ``batch_id=<n>/``
+one URL the smallest text stays, so a replay keeps the same one), compared with
+the URLs stored by earlier batches through a ledger that reads only the
+batch's own hash buckets (``operators.ledger``), and written to ``batch_id=<n>/``
 under the output. Sheets without a URL cannot be compared and are all stored.
-Text that is no JSON object goes to ``_rejects/batch_id=<n>/``. A batch
+Text that is no JSON object goes to ``_rejects/batch_id=<n>/``, the other sheets
+of a batch's URL to ``_duplicates/batch_id=<n>/``. A batch
 replayed after a failure overwrites only its own folders and compares only
 against earlier batches, so the output holds every URL exactly once.
 """
@@ -17,8 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators.documents import clean_spec_sheet, is_spec_sheet, malformed_sheets
-from sluice.operators.joins import anti_join
+from sluice.operators.documents import clean_spec_sheet, is_spec_sheet
+from sluice.operators.ledger import store_urls, unseen
+from sluice.session import materialize
 from sluice.streaming.logs import file_stream
 
 URL_FIELD = "url"
@@ -32,37 +35,30 @@ STORED_SCHEMA = T.StructType([
 
 LEDGER = "_urls"  # hidden folders: readers of the JSON output skip them
 REJECTS = "_rejects"
-
-
-def _stored_urls(spark: SparkSession, output_dir: str, before_batch: int) -> DataFrame | None:
-    """URLs stored by earlier batches, from the compact Parquet ledger
-    (one column, pruned to ``batch_id < before_batch`` by partition)."""
-    try:
-        ledger = spark.read.schema("url string, batch_id long").parquet(f"{output_dir}/{LEDGER}")
-    except Exception as e:  # noqa: BLE001 - nothing stored yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return None
-        raise
-    return ledger.where(F.col("batch_id") < F.lit(before_batch)).select("url")
+DUPLICATES = "_duplicates"
 
 
 def store_new_sheets(batch: DataFrame, batch_id: int, output_dir: str, raw_col: str = "value") -> None:
-    """One micro-batch: clean, drop URLs seen before, write this batch's folder
-    and its URLs to the ledger."""
-    spark = batch.sparkSession
-    malformed_sheets(batch, raw_col).select(raw_col).write.mode("overwrite").text(f"{output_dir}/{REJECTS}/batch_id={batch_id}")
-    clean = clean_spec_sheet(batch.where(is_spec_sheet(raw_col)), raw_col=raw_col, keep=[raw_col])
-    clean = clean.withColumn("url", F.col("fields")[URL_FIELD])
-    sheet = F.struct("fields", "specs")
-    keyed = (clean.where(F.col("url").isNotNull()).groupBy("url").agg(F.min_by(sheet, raw_col).alias("s"))
-             .select("url", "s.fields", "s.specs"))
-    stored = _stored_urls(spark, output_dir, batch_id)
-    fresh = keyed if stored is None else anti_join(keyed, stored, "url")
-    unkeyed = clean.where(F.col("url").isNull()).select("url", "fields", "specs")
-    fresh.select("url", "fields", "specs").unionByName(unkeyed).write.mode("overwrite").json(f"{output_dir}/batch_id={batch_id}")
-    # The ledger is written from the stored sheets, so both hold the same URLs.
-    (spark.read.schema("url string, fields map<string,string>").json(f"{output_dir}/batch_id={batch_id}")
-     .where("url is not null").select("url").write.mode("overwrite").parquet(f"{output_dir}/{LEDGER}/batch_id={batch_id}"))
+    """One micro-batch: clean, drop URLs seen before, write this batch's folders and its URLs to the ledger.
+
+    The batch is read and parsed once, into a written copy that all outputs
+    are taken from.
+    """
+    readable = F.when(is_spec_sheet(raw_col), F.col(raw_col))
+    clean = clean_spec_sheet(batch.select(raw_col, readable.alias("__sheet")), raw_col="__sheet", keep=[raw_col, "__sheet"],
+                             on_malformed="null")
+    rows = materialize(clean.withColumn("url", F.col("fields")[URL_FIELD]), "sheet-batch")
+    sheets = rows.where(F.col("__sheet").isNotNull())
+    first = sheets.where(F.col("url").isNotNull()).groupBy("url").agg(F.min(raw_col).alias("__first"))
+    unkeyed = sheets.where(F.col("url").isNull()).select("url", "fields", "specs")
+    # Equal texts are one sheet; of different ones of a URL the smallest text is stored and the others are set aside.
+    chosen = materialize(sheets.join(first, "url").withColumn("__chosen", F.col(raw_col) == F.col("__first")), "sheet-chosen")
+    for folder, lost in ((REJECTS, rows.where(F.col("__sheet").isNull())), (DUPLICATES, chosen.where(~F.col("__chosen")))):
+        lost.select(raw_col).write.mode("overwrite").text(f"{output_dir}/{folder}/batch_id={batch_id}")
+    keyed = chosen.where("__chosen").groupBy("url").agg(F.first(F.struct("fields", "specs")).alias("s")).select("url", "s.*")
+    fresh = materialize(unseen(keyed, f"{output_dir}/{LEDGER}", before_batch=batch_id), "sheet-fresh")
+    fresh.unionByName(unkeyed).write.mode("overwrite").json(f"{output_dir}/batch_id={batch_id}")
+    store_urls(fresh, f"{output_dir}/{LEDGER}", batch_id)
 
 
 def run_spec_sheet_stream(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str,
@@ -82,6 +78,11 @@ def read_rejects(spark: SparkSession, output_dir: str) -> DataFrame:
     return spark.read.schema("value string, batch_id long").text(f"{output_dir}/{REJECTS}")
 
 
+def read_duplicates(spark: SparkSession, output_dir: str) -> DataFrame:
+    """Sheets (``value``) that lost to another sheet of their URL in the same batch."""
+    return spark.read.schema("value string, batch_id long").text(f"{output_dir}/{DUPLICATES}")
+
+
 def read_stored_sheets(spark: SparkSession, output_dir: str) -> DataFrame:
     """Every stored sheet with the batch that stored it (the ledger folder is skipped)."""
     return spark.read.schema(STORED_SCHEMA).json(output_dir)
