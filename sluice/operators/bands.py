@@ -20,6 +20,7 @@ from sluice.functions.text import before_last_token, btrim_chars, last_token
 FIRST_MARKERS = r"(?i)^\s*(below|under|less than|<)"
 LAST_MARKERS = r"(?i)^\s*(over|above|more than|>)"
 NUMBER = r"(-?\d+(?:\.\d+)?)"
+NO_BOUND = r"(?i)^\s*(none|nan|n/a)?\s*$"  # text that says there is no bound, as in "None"
 
 
 @dataclass(frozen=True)
@@ -78,6 +79,14 @@ def _bound(text: Column, unit: str, dtype: str) -> Column:
     return t.try_cast(dtype)
 
 
+def _checked(value: Column, text: Column, allowed: Column, lenient: bool) -> Column:
+    """``value``, parsed from ``text``; text that is no number fails the job unless ``allowed`` or ``lenient``."""
+    if lenient:
+        return value
+    bad = text.isNotNull() & value.isNull() & ~text.rlike(NO_BOUND) & ~F.coalesce(allowed, F.lit(False))
+    return F.when(bad, F.raise_error(F.concat(F.lit("no number in a band table: "), text))).otherwise(value)
+
+
 def _override(value, parsed: Column, other: Column, dtype: str) -> Column:
     if value is None:
         return parsed
@@ -91,13 +100,17 @@ def _override(value, parsed: Column, other: Column, dtype: str) -> Column:
 def band_dimension(table: DataFrame, spec: BandSpec, variable_col: str = "Variable",
                    code_col: str = "Value", meaning_col: str = "Meaning",
                    rows: tuple[int, int] | None = None, position_col: str = "row_idx",
-                   ends: tuple[int | None, int | None] | None = None) -> DataFrame:
+                   ends: tuple[int | None, int | None] | None = None, lenient: bool = False) -> DataFrame:
     """Rows of one variable to ``(<name>, [description,] min, max)``.
 
     The rows are those of the spec's variable, or with ``rows`` the block of
     positions ``rows[0] .. rows[1] - 1`` whatever their variable is called.
     ``ends`` passes in the lowest and highest code when they are known (see
     ``weather_band_dimensions``, which finds all variables' ends in one job).
+
+    A code or bound that is text but no number fails the job; ``lenient``
+    makes it NULL, and so the fill value if the spec has one. A bound that is
+    missing, or says so ("None"), is the fill value either way.
     """
     if rows is None:
         block = table.filter(F.col(variable_col) == spec.variable)
@@ -121,9 +134,10 @@ def band_dimension(table: DataFrame, spec: BandSpec, variable_col: str = "Variab
     side_num = F.regexp_extract(ranged, NUMBER, 1).try_cast(spec.dtype)
     is_below = ranged.rlike(FIRST_MARKERS) & lo.isNull()
     is_over = ranged.rlike(LAST_MARKERS) & lo.isNull()
-    lo2 = F.when(is_over, side_num).otherwise(lo)
-    hi2 = F.when(is_below, side_num).otherwise(hi)
-    code = F.col(code_col).try_cast("int")
+    sided = (is_below | is_over) & side_num.isNotNull()
+    lo2 = F.when(is_over, side_num).otherwise(_checked(lo, lo_txt, sided, lenient))
+    hi2 = F.when(is_below, side_num).otherwise(_checked(hi, hi_txt, sided, lenient))
+    code = _checked(F.col(code_col).try_cast("int"), F.col(code_col).cast("string"), F.lit(False), lenient)
     staged = block.select(code.alias("__code"), desc.alias("__desc") if desc is not None else F.lit(None).alias("__desc"),
                          lo2.alias("__lo"), hi2.alias("__hi"))
     if spec.fill is not None:
@@ -143,7 +157,7 @@ def band_dimension(table: DataFrame, spec: BandSpec, variable_col: str = "Variab
     return staged.select(*cols)
 
 
-def weather_band_dimensions(table: DataFrame, legacy: bool = False) -> dict[str, DataFrame]:
+def weather_band_dimensions(table: DataFrame, legacy: bool = False, lenient: bool = False) -> dict[str, DataFrame]:
     """All six weather dimensions from one reference table; the ends of all variables are one grouped aggregate."""
     specs = dict(WEATHER_BANDS)
     if legacy:
@@ -152,4 +166,5 @@ def weather_band_dimensions(table: DataFrame, legacy: bool = False) -> dict[str,
     variables = [s.variable for s in specs.values()]  # at most one row each comes back
     ends = {r["Variable"]: (r["first"], r["last"]) for r in table.where(F.col("Variable").isin(variables))
             .groupBy("Variable").agg(F.min(code).alias("first"), F.max(code).alias("last")).collect()}
-    return {name: band_dimension(table, spec, ends=ends.get(spec.variable, (None, None))) for name, spec in specs.items()}
+    return {name: band_dimension(table, spec, ends=ends.get(spec.variable, (None, None)), lenient=lenient)
+            for name, spec in specs.items()}

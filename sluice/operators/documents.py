@@ -196,3 +196,41 @@ def spec_entries(clean: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     vals = rows.select(*keep, F.col("__e.category").alias("category"), F.col("__e.attribute").alias("attribute"),
                        F.size("__e.vals").alias("n_values"), F.posexplode("__e.vals").alias("value_index", "value"))
     return vals.select(*keep, "category", "attribute", "value_index", "value", "n_values")
+
+
+def _json_string(value: Column) -> Column:
+    """A text as a JSON string."""
+    whole = F.to_json(F.array(value))
+    return F.substring(whole, F.lit(2), F.length(whole) - 2)
+
+
+def variant_sheets(clean: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Cleaned sheets as one VARIANT each (``keep + sheet``), in the shape in which documents are stored: top-level fields
+    are strings, categories are objects, and an attribute is a string when it has one value and a list when it has more.
+    """
+    one = lambda v: F.when(F.size(v) == 1, _json_string(F.get(v, 0))).otherwise(F.to_json(v))
+    fields = F.transform_values("fields", lambda k, v: F.parse_json(F.coalesce(_json_string(v), F.lit("null"))))
+    specs = F.transform_values("specs", lambda k, attributes: F.to_variant_object(F.transform_values(
+        attributes, lambda a, v: F.parse_json(F.coalesce(one(v), F.lit("null"))))))
+    return clean.select(*keep, F.to_variant_object(F.map_concat(fields, specs)).alias("sheet"))
+
+
+def variant_entries(sheets: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``keep + (category, attribute, kind, value)`` of VARIANT sheets: ``kind`` is the attribute's type as it is stored,
+    ``value`` its JSON; top-level strings have no category."""
+    keep = list(keep)
+    tvf = sheets.sparkSession.tvf
+    tops = (sheets.lateralJoin(tvf.variant_explode(F.col("sheet").outer()))
+            .select(*keep, F.col("key").alias("__k"), F.col("value").alias("__v"), F.schema_of_variant("value").alias("__s")))
+    nested = F.col("__s").startswith("OBJECT")
+    flat = tops.where(~nested).select(*keep, F.lit(None).cast("string").alias("category"), F.col("__k").alias("attribute"),
+                                      F.col("__s").alias("kind"), F.to_json("__v").alias("value"))
+    deep = (tops.where(nested).lateralJoin(tvf.variant_explode(F.col("__v").outer()))
+            .select(*keep, F.col("__k").alias("category"), F.col("key").alias("attribute"),
+                    F.schema_of_variant("value").alias("kind"), F.to_json("value").alias("value")))
+    return flat.unionByName(deep)
+
+
+def sheet_schema(sheets: DataFrame) -> str:
+    """The schema that all VARIANT sheets fit, found by one aggregate."""
+    return sheets.agg(F.schema_of_variant_agg("sheet").alias("s")).first()["s"]

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from sluice.operators.reshape import dense_index, rename_positional
+from sluice.sinks.numbered import commit_numbered
 from sluice.sinks.writers import enforce_schema, write_typed_table
 from sluice.sources.files import MONEY, read_sales_csv
 
@@ -48,3 +49,13 @@ def load_sales(spark: SparkSession, csv_path: str, table_path: str) -> DataFrame
     """Drop and re-create the sales table from a sales CSV; returns the stored table."""
     write_typed_table(sales_table(read_sales_csv(spark, csv_path)), table_path, SALES_TABLE_SCHEMA)
     return spark.read.parquet(table_path)
+
+
+def append_sales(spark: SparkSession, csv_path: str, table_path: str, run: str) -> dict:
+    """Append a sales CSV to a versioned sales table as run ``run``; ids go on where the last load ended.
+
+    A run that is loaded again keeps its rows' ids and adds none. Returns the
+    run's block of ids.
+    """
+    renamed = rename_positional(read_sales_csv(spark, csv_path), SALES_TABLE_COLUMNS)
+    return commit_numbered(renamed, table_path, ["order_id"], "id", run, finish=lambda rows: enforce_schema(rows, SALES_TABLE_SCHEMA))

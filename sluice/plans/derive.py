@@ -288,6 +288,20 @@ def order_sales_rows(orders: DataFrame, customer: DataFrame, nation: DataFrame,
     )
 
 
+def faulty_sales_lines(sales: DataFrame) -> DataFrame:
+    """Sales rows as CSV text lines (one column, named as the header line), four in ten broken by the last digit of their
+    order id: 0 a date that is none, 1 a word for the units, 2 the last field missing, 3 a field too many."""
+    digit = F.col("Order ID") % 10
+    date = lambda c: F.date_format(f"`{c}`", "M/d/yyyy")
+    fields = [F.when(digit == 0, "13/45/2012").otherwise(date(c)) if c == "Order Date" else date(c) if c == "Ship Date"
+              else F.when(digit == 1, "many").otherwise(F.col(f"`{c}`").cast("string")) if c == "Units Sold"
+              else F.col(f"`{c}`").cast("string") for c in sales.columns]
+    whole = F.concat_ws(",", *fields[:-1])
+    line = F.when(digit == 2, whole).when(digit == 3, F.concat(whole, F.lit(","), fields[-1], F.lit(",x"))).otherwise(
+        F.concat(whole, F.lit(","), fields[-1]))
+    return sales.select(line.alias(",".join(sales.columns)))
+
+
 # ------------------------------------------------------------- stored pages
 
 def hard_pages(pages: DataFrame) -> DataFrame:

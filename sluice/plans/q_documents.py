@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.documents import clean_spec_sheet, normalise_inspections, spec_entries, typed_trips, zips_table
+from sluice.operators.documents import (
+    clean_spec_sheet,
+    normalise_inspections,
+    spec_entries,
+    typed_trips,
+    variant_entries,
+    variant_sheets,
+    zips_table,
+)
 from sluice.operators.joins import lookup_join
 from sluice.operators.reshape import (
     array_to_columns,
@@ -26,7 +34,7 @@ from sluice.plans.derive import (
 )
 from sluice.plans.q_weather import HOURS_SQL
 from sluice.plans.tables import Tables
-from sluice.session import scratch_path, spread
+from sluice.session import materialize, scratch_path, spread
 from sluice.streaming.documents import read_stored_sheets, run_spec_sheet_stream
 
 
@@ -186,6 +194,19 @@ def q_spec_clean(spark: SparkSession, sf_dir: str):
     return spec_entries(clean_spec_sheet(raw, keep=["doc_id"]), keep=["doc_id"])
 
 
+@register("spec_variant", f"""
+SELECT doc_id, category, attribute, CASE WHEN any_value(n_values) = 1 THEN 'STRING' ELSE 'ARRAY<STRING>' END AS kind,
+       CASE WHEN any_value(n_values) = 1 THEN CAST(to_json(any_value(value)) AS VARCHAR)
+            ELSE CAST(to_json(list(value ORDER BY value_index)) AS VARCHAR) END AS value
+FROM ({_SPEC_SQL}) GROUP BY doc_id, category, attribute
+""")
+def q_spec_variant(spark: SparkSession, sf_dir: str):
+    """Cleaned sheets stored as VARIANT documents: attributes of one value are strings, of several lists."""
+    raw = part_spec_sheets(spread(Tables(spark, sf_dir).part))
+    sheets = materialize(variant_sheets(clean_spec_sheet(raw, keep=["doc_id"]), keep=["doc_id"]), "spec-variant")
+    return variant_entries(sheets, keep=["doc_id"])
+
+
 @register("spec_clean_legacy", f"""
 SELECT * FROM ({_SPEC_SQL}) WHERE attribute NOT IN ('Pix. Density', 'Camera Res.')
 """)

@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from sluice.plans.catalog import register
 from sluice.plans.derive import event_log_lines
 from sluice.plans.tables import Tables
 from sluice.session import scratch_path, spread
-from sluice.streaming.logs import parse_log_lines, read_parsed_logs, run_log_stream
+from sluice.streaming.logs import (
+    parse_log_lines,
+    read_parsed_logs,
+    read_stream_metrics,
+    run_counted_log_stream,
+    run_log_stream,
+)
 
 EVENT_LOG_SQL = r"""
 SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') || ',' ||
@@ -42,3 +49,20 @@ def log_stream(spark: SparkSession, sf_dir: str):
     for _ in range(2):
         run_log_stream(spark, in_dir, out_dir, ckpt)
     return read_parsed_logs(spark, out_dir)
+
+
+@register("log_metrics", """
+SELECT CAST(count(*) + count(*) FILTER (event_type = 'error') AS BIGINT) AS rows_read, CAST(count(*) AS BIGINT) AS rows_parsed,
+       CAST(count(*) FILTER (event_type = 'error') AS BIGINT) AS rows_dropped
+FROM events
+""")
+def log_metrics(spark: SparkSession, sf_dir: str):
+    """Lines read, parsed and dropped, as the stream counted them batch by batch; its files are archived, and the query is
+    started once more and finds nothing."""
+    base = scratch_path(spark, "log_metrics")
+    event_log_lines(spread(Tables(spark, sf_dir).events)).write.mode("overwrite").text(f"{base}/in")
+    for _ in range(2):
+        run_counted_log_stream(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", max_files_per_trigger=3,
+                               archive_dir=f"{base}/archive")
+    return read_stream_metrics(spark, f"{base}/out").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("rows_read", "rows_parsed", "rows_dropped")])

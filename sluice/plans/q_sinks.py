@@ -10,10 +10,15 @@ from pyspark.sql import types as T
 from sluice.operators.bands import band_dimension
 from sluice.operators.documents import normalise_inspections
 from sluice.operators.incremental import mark_value
-from sluice.operators.sales import load_sales
+from sluice.operators.sales import append_sales, load_sales
 from sluice.operators.weather import weather_fact
 from sluice.plans.catalog import register
-from sluice.plans.derive import customer_inspection_docs, event_weather_documents, order_sales_rows
+from sluice.plans.derive import (
+    customer_inspection_docs,
+    event_weather_documents,
+    faulty_sales_lines,
+    order_sales_rows,
+)
 from sluice.plans.q_incremental import BATCH, KEY, RUN_DATE, loaded_target
 from sluice.plans.q_weather import FACT_SQL, VALUE_BAND_SPEC, value_band_table
 from sluice.plans.tables import Tables
@@ -41,6 +46,7 @@ from sluice.sources.files import (
     write_sales_csv,
     as_int,
     oid_to_text,
+    split_sales_csv,
 )
 
 EVENT_COLS = "event_id, ts, user_id, event_type, value, props"
@@ -130,6 +136,39 @@ def q_csv_money_int(spark: SparkSession, sf_dir: str):
     return sales.select("Order ID", "Unit Price", "Total Revenue")
 
 
+@register("csv_rejects", """
+SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 10 < 4 THEN 'malformed' END AS reason FROM orders
+""")
+def q_csv_rejects(spark: SparkSession, sf_dir: str):
+    """A sales CSV with four kinds of bad lines: good rows and bad lines written apart, every line once."""
+    t = Tables(spark, sf_dir)
+    base = scratch_path(spark, "csv_rejects")
+    lines = faulty_sales_lines(order_sales_rows(spread(t.orders), t.customer, t.nation, t.region))
+    # One column whose name is the header line; no character of the data quotes or separates.
+    lines.write.option("header", True).option("quote", "").option("sep", "\u0001").csv(f"{base}/in")
+    split_sales_csv(spark, f"{base}/in", f"{base}/good", f"{base}/bad")
+    good = spark.read.parquet(f"{base}/good").select(F.col("Order ID").alias("order_id"), F.lit(None).cast("string").alias("reason"))
+    bad = spark.read.parquet(f"{base}/bad").select(F.get(F.split("line", ","), 6).cast("long").alias("order_id"), "reason")
+    return good.unionByName(bad)
+
+
+@register("continued_ids", f"""
+WITH {_SALES_SQL}
+SELECT CAST(row_number() OVER (ORDER BY order_id % 2, order_id) AS BIGINT) AS id, order_id, region, order_date, total_revenue
+FROM t
+""")
+def q_continued_ids(spark: SparkSession, sf_dir: str):
+    """Two sales loads with auto-increment ids, the second one going on from the first, both of them repeated."""
+    t = Tables(spark, sf_dir)
+    base = scratch_path(spark, "continued_ids")
+    rows = order_sales_rows(spread(t.orders), t.customer, t.nation, t.region)
+    for i in range(2):
+        write_sales_csv(rows.where(F.col("Order ID") % 2 == i), f"{base}/csv{i}")
+    for i in (0, 1, 1, 0):
+        append_sales(spark, f"{base}/csv{i}", f"{base}/sales", f"load{i}")
+    return read_table(spark, f"{base}/sales").select("id", "order_id", "region", "order_date", "total_revenue")
+
+
 def _split(events):
     before = loaded_target(events)
     after = events.where(F.col("ts") >= F.lit(RUN_DATE).cast("timestamp_ntz"))

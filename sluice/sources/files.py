@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.incremental import batch_after
 from sluice.operators.selection import nth_key
 from sluice.operators.weather import WEATHER_DOCUMENT
+from sluice.session import scratch_path
 
 # The sales record layout (header names, and the month/day/year
 # date layout, which must accept one-digit months and days).
@@ -44,6 +45,16 @@ SALES_DATE_COLUMNS = ("Order Date", "Ship Date")
 MONEY_COLUMNS = ("Unit Price", "Unit Cost", "Total Revenue", "Total Cost", "Total Profit")
 
 
+def _declared_in_file_order(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> T.StructType:
+    """The header of the (first) file with the declared types; columns that are not declared are text."""
+    header = spark.read.option("header", True).options(**CSV_KEEP_SPACES).csv(path).columns
+    missing = [f.name for f in schema.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"CSV header lacks {', '.join(missing)}")
+    types = {f.name: f.dataType for f in schema.fields}
+    return T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+
+
 def read_sales_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType = SALES_CSV_SCHEMA,
                    date_columns: Sequence[str] = SALES_DATE_COLUMNS, date_format: str = SALES_DATE_FORMAT,
                    mode: str = "FAILFAST") -> DataFrame:
@@ -57,12 +68,7 @@ def read_sales_csv(spark: SparkSession, path: str | Sequence[str], schema: T.Str
     commas. ``mode='FAILFAST'`` makes a malformed row fail the job instead of
     silently becoming NULLs.
     """
-    header = spark.read.option("header", True).options(**CSV_KEEP_SPACES).csv(path).columns
-    missing = [f.name for f in schema.fields if f.name not in header]
-    if missing:
-        raise ValueError(f"CSV header lacks {', '.join(missing)}")
-    types = {f.name: f.dataType for f in schema.fields}
-    as_stored = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+    as_stored = _declared_in_file_order(spark, path, schema)
     raw = (spark.read.schema(as_stored).option("header", True).option("mode", mode).option("enforceSchema", False)
            .options(**CSV_KEEP_SPACES).csv(path))
     return raw.select(*[
@@ -70,6 +76,52 @@ def read_sales_csv(spark: SparkSession, path: str | Sequence[str], schema: T.Str
         for c in schema.fieldNames()])
 
 
+CORRUPT = "_corrupt_record"
+
+
+def split_sales_csv(spark: SparkSession, path: str | Sequence[str], good_path: str, reject_path: str,
+                    schema: T.StructType = SALES_CSV_SCHEMA, date_columns: Sequence[str] = SALES_DATE_COLUMNS,
+                    date_format: str = SALES_DATE_FORMAT, required: Sequence[str] = ()) -> dict[str, int]:
+    """Read a sales CSV once and write its good rows (Parquet) and its bad lines, each line to exactly one of the two.
+
+    A line is bad when it has too few or too many fields, an unbalanced quote,
+    a field that is not of its column's type, or no value in a ``required``
+    column. ``reject_path`` gets the line as it stands in the file (column
+    ``line``) and why (``reason``). Returns ``rows``, ``good`` and ``bad``,
+    counted while the lines are written.
+    """
+    spark_schema = _declared_in_file_order(spark, path, schema)
+    dated = T.StructType([T.StructField(f.name, T.DateType() if f.name in date_columns else f.dataType) for f in spark_schema]
+                         + [T.StructField(CORRUPT, T.StringType())])
+    raw = (spark.read.schema(dated).option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+           .option("columnNameOfCorruptRecord", CORRUPT).option("dateFormat", date_format).options(**CSV_KEEP_SPACES).csv(path))
+    # A line that lacks a required value was read in full, so it is written as its fields.
+    lacks = F.lit(False)
+    for c in required:
+        lacks = lacks | F.col(f"`{c}`").isNull()
+    fields = F.to_json(F.struct(*[F.col(f"`{f.name}`") for f in dated if f.name != CORRUPT]))
+    reason = F.when(F.col(CORRUPT).isNotNull(), "malformed").when(lacks, "missing value")
+    seen = Observation("csv")
+    judged = raw.select("*", reason.alias("__reason")).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("__reason").isNull()).alias("good"),
+        F.count_if(F.col("__reason").isNotNull()).alias("bad"))
+    staged = scratch_path(spark, "csv-split")
+    # One pass over the file: both kinds are written by the same job, to two folders.
+    (judged.select(*[F.col(f"`{c}`") for c in schema.fieldNames()], "__reason",
+                   F.when(F.col("__reason").isNotNull(), F.coalesce(F.col(CORRUPT), fields)).alias("__line"),
+                   F.col("__reason").isNotNull().alias("__bad"))
+     .write.partitionBy("__bad").parquet(staged))
+    counts = dict(seen.get)
+    stored = T.StructType([*[f for f in dated if f.name != CORRUPT], T.StructField("__reason", T.StringType()),
+                           T.StructField("__line", T.StringType()), T.StructField("__bad", T.BooleanType())])
+    both = spark.read.schema(stored).parquet(staged)
+    (both.where("not __bad").select(*[F.col(f"`{c}`") for c in schema.fieldNames()])
+     .write.mode("overwrite").parquet(good_path))
+    (both.where("__bad").select(F.col("__line").alias("line"), F.col("__reason").alias("reason"))
+     .write.mode("overwrite").parquet(reject_path))
+    return counts
+
+
 def as_int(df: DataFrame, columns: Sequence[str] = MONEY_COLUMNS) -> DataFrame:
     """Money as whole numbers, halves rounded to even, for loads into integer columns."""
     return df.select(*[(F.bround(F.col(f"`{c}`"), 0).cast("bigint").alias(c) if c in columns else F.col(f"`{c}`"))

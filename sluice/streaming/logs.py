@@ -9,7 +9,9 @@ sink's metadata log gives exactly-once output across restarts.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,13 +63,24 @@ MAX_BYTES_PER_TRIGGER = 64 << 30
 
 
 def file_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int | None = None,
-                max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER) -> DataFrame:
-    """Text files of a directory as a stream; a micro-batch takes so many bytes, or so many files if that is given."""
+                max_bytes_per_trigger: int = MAX_BYTES_PER_TRIGGER, archive_dir: str | None = None,
+                max_file_age: str | None = None) -> DataFrame:
+    """Text files of a directory as a stream; a micro-batch takes so many bytes, or so many files if that is given.
+
+    ``archive_dir``: files whose batch is done are moved there (below their own
+    path), so that the listing does not grow for ever; it must not lie under
+    ``input_dir``. ``max_file_age`` (``"7d"``): files so much older than the
+    newest one are taken for done, which bounds what the stream remembers.
+    """
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     else:
         reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    if max_file_age:
+        reader = reader.option("maxFileAge", max_file_age)
     return reader.load(input_dir)
 
 
@@ -98,6 +111,51 @@ def run_log_stream(spark: SparkSession, input_dir: str, output_dir: str, checkpo
     return query
 
 
+METRICS = "_metrics"  # a hidden folder: readers of the output skip it
+METRIC_FIELDS = ("rows_read", "rows_parsed", "rows_dropped")
+
+
+def _counted(parsed: DataFrame, name) -> DataFrame:
+    """``parsed`` (unparsed lines kept) with its lines counted under the observation ``name`` while they pass."""
+    return parsed.observe(name, F.count(F.lit(1)).alias("rows_read"), F.count_if(F.col("timestamp").isNotNull()).alias("rows_parsed"),
+                          F.count_if(F.col("timestamp").isNull()).alias("rows_dropped"))
+
+
+def run_counted_log_stream(spark: SparkSession, input_dir: str, output_dir: str, checkpoint_dir: str,
+                           max_files_per_trigger: int | None = None, legacy: bool = False, archive_dir: str | None = None,
+                           max_file_age: str | None = None, timeout_s: float | None = None):
+    """The log stream with its metrics: lines read, parsed and dropped by every micro-batch.
+
+    Batch n writes ``batch_id=n/`` (CSV) and, in the same pass over its lines,
+    its counts, which are stored as ``_metrics/batch_id=n/``. A batch that is
+    replayed after a failure replaces both, so after a restart the metrics
+    still say what the output holds. The same counts are in the query's
+    progress (``lastProgress["observedMetrics"]["log_lines"]``).
+    """
+    lines = file_stream(spark, input_dir, max_files_per_trigger, archive_dir=archive_dir, max_file_age=max_file_age)
+    parsed = _counted(parse_log_lines(lines, legacy=legacy, keep_unparsed=True), "log_lines")
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation(f"batch-{batch_id}-{uuid.uuid4().hex}")
+        (_counted(batch, seen).where(F.col("timestamp").isNotNull()).write.mode("overwrite").options(**CSV_KEEP_SPACES)
+         .csv(f"{output_dir}/batch_id={batch_id}"))
+        counts = seen.get
+        row = batch.sparkSession.createDataFrame([tuple(counts[f] for f in METRIC_FIELDS)],
+                                                 ", ".join(f"{f} long" for f in METRIC_FIELDS))
+        row.coalesce(1).write.mode("overwrite").json(f"{output_dir}/{METRICS}/batch_id={batch_id}")
+
+    query = (parsed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint_dir)
+             .trigger(availableNow=True).start())
+    query.awaitTermination(timeout_s)
+    return query
+
+
+def read_stream_metrics(spark: SparkSession, output_dir: str) -> DataFrame:
+    """(rows_read, rows_parsed, rows_dropped, batch_id) of every micro-batch."""
+    schema = ", ".join([*[f"{f} long" for f in METRIC_FIELDS], "batch_id long"])
+    return spark.read.schema(schema).json(f"{output_dir}/{METRICS}")
+
+
 def read_parsed_logs(spark: SparkSession, output_dir: str) -> DataFrame:
     """Batch view of the CSV sink; only files committed in its metadata log are read."""
     return spark.read.schema(PARSED_SCHEMA).options(**CSV_KEEP_SPACES).csv(output_dir)
