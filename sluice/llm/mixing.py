@@ -49,15 +49,21 @@ MARGINS = ("source", "lang", "topic")
 _NULL = "\x00null"  # stands for null in keys
 TOLERANCE, ROUNDS = 1e-10, 1000
 
-# Topics by the first pattern that is found; otherwise "prose".
-TOPICS = (("legal", r"(?i)licen[sc]e|copyright|warrant(y|ies)"), ("contact", r"[0-9A-Za-z]@[0-9A-Za-z]|\+[0-9]"),
-          ("table", r"\|[^|\n]*\|"), ("web", r"https?://"))
+# Topics by the first sign that is found; otherwise "prose". A sign is one of the words (in any case), or a pattern that is
+# only looked for where one of its characters stands.
+TOPICS = (("legal", ("license", "licence", "copyright", "warranty", "warranties"), None),
+          ("contact", ("@", "+"), r"[0-9A-Za-z]@[0-9A-Za-z]|\+[0-9]"),
+          ("table", ("|",), r"\|[^|\n]*\|"), ("web", ("http://", "https://"), None))
 
 
 def topic(text: Column, topics: tuple = TOPICS) -> Column:
     out = F.when(text.isNull() | (text == ""), F.lit("empty"))
-    for name, pattern in topics:
-        out = out.when(text.rlike(pattern), F.lit(name))
+    for name, words, pattern in topics:
+        there = None
+        for w in words:
+            now = F.contains(text if w == w.upper() or "/" in w else F.lower(text), F.lit(w))
+            there = now if there is None else there | now
+        out = out.when(there if pattern is None else there & text.rlike(pattern), F.lit(name))
     return out.otherwise("prose")
 
 
@@ -67,22 +73,27 @@ def tokens(text: Column) -> Column:
     return F.when(F.length(text) > 0, F.length(text) - F.length(bare) + 1).otherwise(0).cast("long")
 
 
-def with_ids(docs: DataFrame, tokenizer: str) -> tuple[DataFrame, str]:
-    """``docs`` with the number of ids of each text (none for null), written once."""
-    made = fresh_name(docs.columns, "id_count")
+def with_cells(docs: DataFrame, tokenizer: str | None, topic_of: Column | None, keep: list[str]) -> tuple[DataFrame, str]:
+    """The columns ``keep`` of ``docs`` and, in a struct, what the mix needs of a row: its cell, its tokens and its place
+    in the draw. With a tokenizer the ids of each text (none for null) are counted. Written once: no text is read or
+    searched a second time, and none is written unless it is kept."""
+    made = fresh_name(docs.columns, "mixing_row")
+    text, n = F.col("text"), fresh_name([*docs.columns, made], "mixing_ids")
 
     def make():
         encoder = TextEncoder.of(tokenizer)
-
-        def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-            sizes = []
-            for lo in range(0, batch.num_rows, 512):
-                sizes += [len(ids) for ids in encoder.encode(batch.column("text").slice(lo, 512))]
-            return [pa.array(sizes, pa.int64())]
-        return compute
-
-    counted = with_struct(docs, made, "struct<n: bigint>", make)
-    return materialize(counted.withColumn(made, F.col(made)["n"]), "mixing-ids"), made
+        return lambda batch: [pa.array(encoder.counts(batch.column("text")), pa.int64())]
+
+    row = F.struct(F.coalesce(F.col("source").cast("string"), F.lit(_NULL)).alias("source"),
+                   F.coalesce(F.col("lang").cast("string"), F.lit(_NULL)).alias("lang"),
+                   (topic(text) if topic_of is None else topic_of).alias("topic"),
+                   unit_hash(F.col("doc_id"), text).alias("u"))
+    rows = docs.withColumn(made, row)
+    if tokenizer is None:
+        rows, count = rows.withColumn(n, F.struct(tokens(text).alias("n"))), n
+    else:
+        rows, count = with_struct(rows, n, "struct<n: bigint>", make, keep=[*keep, made]), n
+    return materialize(rows.select(*keep, F.col(made).withField("tokens", F.col(count)["n"]).alias(made)), "mixing-rows"), made
 
 
 def target_shares(totals: pd.Series, target: float | dict) -> pd.Series:
@@ -201,24 +212,19 @@ def scale_frames(cells: DataFrame, clip: float, ways: int = 4096) -> float:
 
 
 def mix(docs: DataFrame, targets: dict[str, float | dict], clip: float = 0.01, max_cells: int = 200_000,
-        into: str = "mixing", topic_of: Column | None = None, tokenizer: str | None = None) -> tuple[DataFrame, str]:
-    """``docs`` (doc_id, text, lang, source) with a struct column (topic, n_tokens, weight, probability, selected).
+        into: str = "mixing", topic_of: Column | None = None, tokenizer: str | None = None,
+        keep: list[str] | None = None) -> tuple[DataFrame, str]:
+    """``docs`` (doc_id, text, lang, source; its columns ``keep``, all by default) with a struct column (topic, n_tokens,
+    weight, probability, selected).
 
     ``targets`` maps source, lang and topic to a temperature or to shares by category. ``weight`` is the raked share
     of a cell's tokens by their original share.
     """
     spark = docs.sparkSession
+    keep = list(docs.columns) if keep is None else list(keep)
     into = fresh_name(docs.columns, into)
-    text = F.col("text")
-    columns, count_of = docs.columns, tokens(text)
-    if tokenizer is not None:
-        docs, made = with_ids(docs, tokenizer)
-        count_of = F.col(made)
-    key = {"source": F.coalesce(F.col("source").cast("string"), F.lit(_NULL)),
-           "lang": F.coalesce(F.col("lang").cast("string"), F.lit(_NULL)),
-           "topic": topic(text) if topic_of is None else topic_of}
-    cells = materialize(docs.select(*[key[m].alias(m) for m in MARGINS], count_of.alias("tokens"))
-                        .groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "mixing-cells")
+    docs, row = with_cells(docs, tokenizer, topic_of, keep)
+    cells = materialize(docs.select(f"{row}.*").groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "mixing-cells")
     if (count := cells.count()) <= max_cells:
         local = cells.orderBy(*MARGINS).toPandas()
         raked = rake(local, targets) if count else np.zeros(0)
@@ -244,9 +250,9 @@ def mix(docs: DataFrame, targets: dict[str, float | dict], clip: float = 0.01, m
                              F.col("weight").alias("_weight_cell"), F.col("probability").alias("_probability_cell"))
     same = None
     for m in MARGINS:
-        now = key[m] == F.col(f"_{m}_cell")
+        now = F.col(row)[m] == F.col(f"_{m}_cell")
         same = now if same is None else same & now
-    chosen = F.struct(F.col("_topic_cell").alias("topic"), count_of.alias("n_tokens"),
+    chosen = F.struct(F.col("_topic_cell").alias("topic"), F.col(row)["tokens"].alias("n_tokens"),
                       F.col("_weight_cell").alias("weight"), F.col("_probability_cell").alias("probability"),
-                      (unit_hash(F.col("doc_id"), text) < F.col("_probability_cell")).alias("selected"))
-    return docs.join(factors, same, "left").select(*columns, chosen.alias(into)), into
+                      (F.col(row)["u"] < F.col("_probability_cell")).alias("selected"))
+    return docs.join(factors, same, "left").select(*keep, chosen.alias(into)), into

@@ -149,7 +149,7 @@ FROM bits
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    mixed, name = mixing.mix(docs, MIX_TARGETS, tokenizer=public_tokenizers.path(TOKENIZER))
+    mixed, name = mixing.mix(docs, MIX_TARGETS, tokenizer=public_tokenizers.path(TOKENIZER), keep=["doc_id", "source", "lang"])
     return mixed.select("doc_id", "source", "lang", f"{name}.topic", f"{name}.n_tokens", f"{name}.weight",
                         f"{name}.probability", f"{name}.selected")
 

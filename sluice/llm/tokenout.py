@@ -114,6 +114,7 @@ class TextEncoder:
                       and (split[1]["type"], split[1]["add_prefix_space"], split[1]["use_regex"]) == ("ByteLevel", False, False)
                       and all(t["content"].startswith("<|") for t in made["added_tokens"]))
         self.pieces = Pieces(self.tokenizer.model, bound)
+        self.bound, self.stretches = bound, {}  # stretch -> number of ids, forgotten beyond the bound
 
     @classmethod
     def of(cls, path: str) -> TextEncoder:
@@ -132,6 +133,38 @@ class TextEncoder:
             return self.pieces[text]
         return b"".join([self.pieces[p] for p in _PIECE.findall(text)])
 
+    def counts(self, texts: pa.Array, chunk_bytes: int = 8 << 20) -> list[int]:
+        """The number of ids of each text of a string array; none for null.
+
+        As :meth:`encode`, but what is remembered of a stretch is its count, and a chunk of a batch is as large as
+        ``chunk_bytes`` of text, so that few stretches are met twice.
+        """
+        out, lo = [], 0
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        while lo < len(texts):
+            before = int(sizes[lo - 1]) if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(sizes, before + chunk_bytes, side="right")))
+            out += self._counts(texts.slice(lo, hi - lo))
+            lo = hi
+        return out
+
+    def _counts(self, texts: pa.Array) -> list[int]:
+        if not self.known or (pc.any(pc.match_substring(texts, "<|")).as_py() or False):
+            return [len(self._whole(t or "")) // 4 for t in texts.to_pylist()]
+        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = lists.flatten().dictionary_encode()
+        known, count = self.stretches, []
+        if len(known) > self.bound:
+            known.clear()
+        for w in words.dictionary.to_pylist():
+            n = known.get(w)
+            if n is None:
+                n = known[w] = len(self._stretch(w)) // 4
+            count.append(n)
+        ends = np.concatenate([[0], np.cumsum(np.array(count, np.int64)[words.indices.to_numpy()])]) if count else np.zeros(1, np.int64)
+        cuts = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])]
+        return np.diff(cuts).tolist()
+
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text of a string array as little-endian unsigned 32-bit integers; null is empty."""
         if not self.known or (pc.any(pc.match_substring(texts, "<|")).as_py() or False):

@@ -122,3 +122,61 @@ def test_documents_weigh_by_their_ids(spark):
     whole = Tokenizer.from_file(path)
     assert got == {i: len(whole.encode(t or "", add_special_tokens=False).ids) for i, t, *_ in rows}
     assert got[1] > 100 > got[2]
+
+
+def test_counts_are_the_lengths_of_the_ids():
+    import pyarrow as pa
+    import public_tokenizers
+    from sluice.llm.tokenout import TextEncoder
+    encoder = TextEncoder(public_tokenizers.path("word_bpe_49k.json"), bound=50)
+    texts = pa.array(["a b\tc", None, "", "don't stop 123", "ÄÖ 👍 中文", "word " * 3000, " ", "x<|y", "É" * 40] * 7 + ["tail end"])
+    want = [len(ids) for ids in encoder.encode(texts)]
+    assert encoder.counts(texts) == want and encoder.counts(texts, chunk_bytes=100) == want
+    assert encoder.counts(pa.array([], pa.string())) == []
+    plain = pa.array(["some words here", None, "and more words"])
+    assert encoder.counts(plain, 1) == [len(ids) for ids in encoder.encode(plain)]
+
+
+def test_draws_against_an_independent_mix(spark):
+    """Probability and selection recomputed from the result's own cells, without the module's raking or scaling."""
+    docs = table(spark, SF_SMALL, "documents")
+    targets = {"source": 0.5, "lang": 0.8, "topic": 0.7}
+    rows = [r.asDict() for r in mixing.mix(docs, targets)[0].select("doc_id", "source", "lang", "text", "mixing.*").collect()]
+    cells = {}
+    for r in rows:
+        cells[r["source"], r["lang"], r["topic"]] = cells.get((r["source"], r["lang"], r["topic"]), 0) + r["n_tokens"]
+    total = sum(cells.values())
+    weight = {k: v / total for k, v in cells.items()}
+    for _ in range(400):
+        for axis, power in enumerate(targets.values()):
+            names = {k[axis] for k in cells}
+            own = {n: sum(v for k, v in cells.items() if k[axis] == n) ** power for n in names}
+            now = {n: sum(v for k, v in weight.items() if k[axis] == n) for n in names}
+            weight = {k: v * own[k[axis]] / sum(own.values()) / now[k[axis]] for k, v in weight.items()}
+    ratio = {k: weight[k] * total / cells[k] for k in cells}
+    best = 0.0
+    for c in sorted(1 / r for r in ratio.values()):
+        if sum(weight[k] * (1 - 1 / (c * ratio[k])) for k in cells if c * ratio[k] > 1) <= 0.01 + 1e-12:
+            best = c
+    from pyspark.sql import functions as F
+    from sluice.llm.common import unit_hash
+    draw = {r[0]: r[1] for r in docs.select("doc_id", unit_hash(F.col("doc_id"), F.col("text"))).collect()}
+    for r in rows:
+        chance = min(1.0, best * ratio[r["source"], r["lang"], r["topic"]])
+        assert r["probability"] == pytest.approx(chance, rel=1e-6) and r["selected"] == (draw[r["doc_id"]] < r["probability"])
+
+
+def test_topics_are_found_as_the_patterns_say(spark):
+    import re
+    from pyspark.sql import functions as F
+    texts = ["a LICENSE", "LiCeNcE", "wArranTies", "a@b", "@b", "+1", "1+", "|x|", "|\n|", "HTTP://x", "http://", "https://", "ſ", "", None, "plain"]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(mixing.topic(F.col("t"))).collect()]
+    rules = (("legal", r"(?i)licen[sc]e|copyright|warrant(y|ies)"), ("contact", r"[0-9A-Za-z]@[0-9A-Za-z]|\+[0-9]"),
+             ("table", r"\|[^|\n]*\|"), ("web", r"https?://"))
+    assert got == [next((n for n, p in rules if re.search(p, t, re.A)), "prose") if t else "empty" for t in texts]
+
+
+def test_only_kept_columns_are_written(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    mixed, name = mixing.mix(docs, {"source": 0.5}, keep=["doc_id"])
+    assert mixed.columns == ["doc_id", name] and "text" not in mixed._jdf.queryExecution().executedPlan().toString()
