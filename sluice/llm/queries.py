@@ -30,18 +30,18 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP1_SQL = """
 WITH vectors AS (
-  SELECT vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x AS double)) AS bigint)) AS v
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x AS double)) AS bigint)) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, q.v AS qv, c.v AS cv,
+  SELECT q.rid, q.vec_id AS query_id, c.vec_id,
          cast(list_dot_product(cast(q.v AS double[]), cast(c.v AS double[])) AS bigint) AS score
-  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  FROM vectors q JOIN vectors c ON q.rid <> c.rid AND len(q.v) = len(c.v)
   WHERE q.vec_id % 50 = 0),
 ranked AS (
   SELECT query_id, vec_id, score,
-         cast(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS integer) AS rank
+         cast(row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS integer) AS rank
   FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
