@@ -7,11 +7,17 @@ and digest, no payload). Each task writes archives of its own, one gzip
 member a record; only files named in the committed manifest are read, so a
 task that is run again leaves no duplicates.
 
-Reading: a member is checked for its CRC, version line, header, length and
-block digest. After a failed check the reader searches byte by byte for the
+Reading: a member is checked for its CRC, its records for version line, header,
+length, type and digests. A block digest decides; a payload digest does where
+no block digest could be checked. Digests may be in base32 or hexadecimal and
+of any algorithm of ``ALGORITHMS``; others are not checked. HTTP headers are
+taken off the block of HTTP messages only: the payload of any other record
+(resource, metadata, conversion ...) is its whole block. A revisit may have an
+empty block; the size of its payload is then not known (null). A member may
+hold several records. After a failed check the reader searches byte by byte for the
 next member (or, in plain files, version line) that starts a record, carries
 on there, and logs the skipped bytes as a quarantined gap. Files are read in
-windows; memory is bounded by the largest record.
+windows; memory is bounded by the largest record or member.
 
 Defined cases: null html is an empty payload; a null url has no target URI,
 line breaks in a url are percent-encoded; rows that repeat both page_id and
@@ -40,6 +46,7 @@ VERSION = b"WARC/1.1\r\n"
 # Fixed values of the format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 KINDS = ("warcinfo", "response", "resource", "request", "metadata", "revisit", "conversion", "continuation")
+ALGORITHMS = ("md5", "sha1", "sha256", "sha384", "sha512")  # digests that can be checked
 GZIP_MAGIC = b"\x1f\x8b\x08"
 # Record ids name the page; pages without an id are named by their digest.
 PAGE_URN = "urn:x-page:"
@@ -195,33 +202,77 @@ def _length(head: dict[str, str]) -> int:
     return int(value)
 
 
-def parse(data: bytes) -> tuple:
-    """The fields of one record from its bytes, after all checks."""
-    if not re.match(rb"WARC/1\.[01]\r\n", data):
+def _digests(stated: str, data: bytes) -> bool | None:
+    """Whether ``data`` has the stated digest (``algorithm:value``, the value in base32 or hexadecimal); None if that is
+    not known: nothing is stated, or an algorithm this reader does not have."""
+    name, colon, value = stated.partition(":")
+    if not colon or name.lower() not in ALGORITHMS:
+        return None
+    found = hashlib.new(name.lower(), data).digest()
+    return value.lower() == found.hex() or value.upper().rstrip("=") == base64.b32encode(found).decode().rstrip("=")
+
+
+def extent(data: bytes, at: int = 0) -> tuple[dict[str, str], int, int]:
+    """(header, start and end of the block) of the record at ``at``, after the checks of its frame."""
+    if not re.compile(rb"WARC/1\.[01]\r\n").match(data, at):
         raise Damaged("no version line")
-    end = data.find(b"\r\n\r\n")
+    end = data.find(b"\r\n\r\n", at)
     if end < 0:
         raise Damaged("the header does not end")
-    head = _headers(data[10:end])
-    length = _length(head)
-    block = data[end + 4:end + 4 + length]
-    if len(block) != length or data[end + 4 + length:] != b"\r\n\r\n":
+    head = _headers(data[at + 10:end])
+    to = end + 4 + _length(head)
+    if len(data) < to or data[to:to + 4] != b"\r\n\r\n":
         raise Damaged("the block has another length")
-    stated = head.get("warc-block-digest")
-    if stated is not None and stated != "sha1:" + base32_sha1(block):
-        raise Damaged("the block has another digest")
-    http, gap, payload = block.partition(b"\r\n\r\n")
+    return head, end + 4, to
+
+
+def parse(head: dict[str, str], block: bytes) -> tuple:
+    """The fields of one record, after the checks of its type and digests."""
     kind = head.get("warc-type", "")
     if kind not in KINDS:
         raise Damaged("no record type")
-    digest = head.get("warc-payload-digest", "").removeprefix("sha1:")
+    sound = _digests(head.get("warc-block-digest", ""), block)
+    if sound is False:
+        raise Damaged("the block has another digest")
+    # Only an HTTP message has HTTP headers before its payload; the block of any other record is the payload.
+    http, payload = b"", block
+    if head.get("content-type", "application/http" if block.startswith(b"HTTP/") else "").lower().startswith("application/http"):
+        http, _, payload = block.partition(b"\r\n\r\n")
+    stated = head.get("warc-payload-digest", "")
+    named = _page(head.get("warc-record-id")), head.get("warc-target-uri")
     if kind == "revisit":
-        return kind, _page(head.get("warc-record-id")), head.get("warc-target-uri"), _length(_headers(http)), digest, \
+        size = _headers(http).get("content-length", "")
+        return kind, *named, int(size) if size.isascii() and size.isdigit() else None, stated.removeprefix("sha1:"), \
             _page(head.get("warc-refers-to")), None
-    found = base32_sha1(payload)
-    if digest and digest != found:
+    # A block that was verified is whole, whatever its writer took for the payload (chunks, encodings).
+    if sound is None and _digests(stated, payload) is False:
         raise Damaged("the payload has another digest")
-    return kind, _page(head.get("warc-record-id")), head.get("warc-target-uri"), len(payload), found, None, payload
+    return kind, *named, len(payload), base32_sha1(payload), None, payload
+
+
+def records_of(data: bytes) -> Iterator[tuple | Damaged]:
+    """The records of an expanded member in order, each one's fields or what is wrong; after damage the next version
+    line that starts a record is searched for."""
+    at, hurt = 0, None
+    while at < len(data):
+        try:
+            head, start, to = extent(data, at)
+            fields = parse(head, data[start:to])
+        except Damaged as e:
+            hurt = hurt or e
+            at = data.find(b"WARC/1.", at + 1)
+            if at < 0:
+                break
+            continue
+        if hurt is not None:
+            yield hurt
+            hurt = None
+        yield fields
+        at = to + 4
+    if hurt is not None:
+        yield hurt
+    elif not data:
+        yield Damaged("the member is empty")
 
 
 def _plain(window: Window, at: int) -> tuple[bytes, int]:
@@ -249,26 +300,41 @@ def _next_start(window: Window, at: int, packed: bool) -> int:
 
 
 def salvage(file, path: str) -> Iterator[tuple]:
-    """Rows of ``READ`` for one archive: its records and quarantined gaps, in order."""
+    """Rows of ``READ`` for one archive: its records and quarantined gaps, in order.
+
+    A damaged record beside sound ones in one gzip member is a gap of the member's bytes.
+    """
     window = Window(file)
     packed = path.endswith(".gz") or not path.endswith(".warc") and window.read(0, 3) == GZIP_MAGIC
     at, gap, why = 0, None, ""
+
+    def row_of(start: int, to: int, problem: str) -> tuple:
+        return "gap", path, start, to, problem, None, None, None, None, None, None, None
+
     while at < window.end:
         try:
-            data, to = (_member if packed else _plain)(window, at)
-            fields = parse(data)
+            if packed:
+                data, to = _member(window, at)
+                found = list(records_of(data))
+                if all(isinstance(f, Damaged) for f in found):
+                    raise found[0]
+            else:
+                data, to = _plain(window, at)
+                head, start, end = extent(data)
+                found = [parse(head, data[start:end])]
         except Damaged as e:
             if gap is None:
                 gap, why = at, str(e)
             at = _next_start(window, at + 1, packed)
             continue
         if gap is not None:
-            yield "gap", path, gap, at, why, None, None, None, None, None, None, None
+            yield row_of(gap, at, why)
             gap = None
-        yield "record", path, at, to, None, *fields
+        for f in found:
+            yield row_of(at, to, str(f)) if isinstance(f, Damaged) else ("record", path, at, to, None, *f)
         at = to
     if gap is not None:
-        yield "gap", path, gap, window.end, why, None, None, None, None, None, None, None
+        yield row_of(gap, window.end, why)
 
 
 def read_archives(spark: SparkSession, paths: list[str], payloads: bool = True) -> DataFrame:

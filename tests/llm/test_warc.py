@@ -112,3 +112,75 @@ def test_gaps_are_rows(spark):
         ("record", 0, len(parts[0])), ("gap", len(parts[0]), len(parts[0]) + 2),
         ("record", len(parts[0]) + 2, len(parts[0]) + 2 + len(parts[1]))]
     assert rows[1].problem
+
+
+def foreign(kind, block, *lines):
+    head = [f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:1>", "WARC-Target-URI: http://f/", *lines, f"Content-Length: {len(block)}"]
+    return b"WARC/1.0\r\n" + "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+BODY = b"line one\r\n\r\nline two"
+HTTP = b"HTTP/1.1 200 OK\r\nContent-Length: 5\r\n\r\nhello"
+
+
+def sha(name, data, form="hex"):
+    import base64
+    import hashlib
+    found = hashlib.new(name, data).digest()
+    return f"{name}:" + (found.hex() if form == "hex" else base64.b32encode(found).decode())
+
+
+@pytest.mark.parametrize("record, want", [
+    (foreign("resource", BODY, "Content-Type: text/plain", "WARC-Payload-Digest: " + sha("sha1", BODY, "b32")), BODY),
+    (foreign("resource", BODY, "Content-Type: text/plain"), BODY),
+    (foreign("metadata", b"", "Content-Type: application/warc-fields"), b""),
+    (foreign("conversion", BODY), BODY),
+    (foreign("response", HTTP, "Content-Type: application/http; msgtype=response", "WARC-Block-Digest: " + sha("sha256", HTTP)), b"hello"),
+    (foreign("response", HTTP, "Content-Type: APPLICATION/HTTP", "WARC-Block-Digest: " + sha("md5", HTTP, "b32"),
+             "WARC-Payload-Digest: sha1:OFSOMETHINGELSE"), b"hello"),
+    (foreign("response", HTTP, "WARC-Block-Digest: blake9:zzzz", "WARC-Payload-Digest: " + sha("sha1", b"hello")), b"hello"),
+    (foreign("response", HTTP), b"hello"),
+    (foreign("revisit", b"", "Content-Type: application/http", "WARC-Payload-Digest: " + sha("sha1", b"x", "b32")), None),
+    (foreign("revisit", HTTP[:-5], "Content-Type: application/http"), None)])
+@pytest.mark.parametrize("packed", [True, False])
+def test_valid_foreign_records_are_read(record, want, packed):
+    squeeze = zlib.compressobj(3, zlib.DEFLATED, 31)
+    data = squeeze.compress(record) + squeeze.flush() if packed else record
+    rows = list(warc.salvage(File(data), "f.warc.gz" if packed else "f.warc"))
+    assert [(r[0], r[11]) for r in rows] == [("record", want)]
+    if want is not None:
+        assert rows[0][8:10] == (len(want), warc.base32_sha1(want))
+    else:
+        assert rows[0][8] == (5 if HTTP[:-5] in record else None)
+
+
+@pytest.mark.parametrize("record", [
+    foreign("resource", BODY, "Content-Type: text/plain", "WARC-Payload-Digest: " + sha("sha1", b"other", "b32")),
+    foreign("resource", BODY, "WARC-Block-Digest: " + sha("sha512", b"other")),
+    foreign("response", HTTP, "WARC-Payload-Digest: " + sha("sha256", b"other")),
+    foreign("strange", BODY), foreign("resource", BODY).replace(b"Content-Length: 20", b"Content-Length: 19"),
+    foreign("resource", BODY).replace(b"Content-Length", b"Content-Size")])
+def test_damage_is_quarantined(record):
+    sound = foreign("resource", BODY)
+    for path in ("f.warc", "f.warc.gz"):
+        parts = [sound, record, sound]
+        if path.endswith("gz"):
+            parts = [(lambda s, r: s.compress(r) + s.flush())(zlib.compressobj(3, zlib.DEFLATED, 31), r) for r in parts]
+        rows = list(warc.salvage(File(b"".join(parts)), path))
+        assert [r[0] for r in rows] == ["record", "gap", "record"]
+        assert (rows[1][2], rows[1][3]) == (len(parts[0]), len(parts[0]) + len(parts[1]))
+
+
+def test_members_of_several_records():
+    sound, bad = foreign("resource", BODY), foreign("resource", BODY, "WARC-Block-Digest: " + sha("sha1", b"other"))
+
+    def packed(data):
+        squeeze = zlib.compressobj(3, zlib.DEFLATED, 31)
+        return squeeze.compress(data) + squeeze.flush()
+
+    for inside, want in (([sound, sound], ["record"] * 2), ([sound, bad, bad, sound], ["record", "gap", "record"]),
+                         ([bad, sound], ["gap", "record"]), ([sound, b"cut WARC/1.0"], ["record", "gap"])):
+        member = packed(b"".join(inside))
+        rows = list(warc.salvage(File(member + packed(sound)), "m.warc.gz"))
+        assert [r[0] for r in rows] == [*want, "record"]
+        assert {(r[2], r[3]) for r in rows[:-1]} == {(0, len(member))}
