@@ -11,12 +11,18 @@ overlapping places of a template the best stays. A notice must hold the words th
 (numbers, and MARKS such as "lesser" or "sharealike") and none of theirs.
 
 Whole license texts (``license_texts``, by SPDX identifier, without the
-copyright line) have an index of all their 5-word runs. Runs that a text
-shares with one are chained in order over gaps of at most ``GAP`` words; words
-equal inside a gap count too. Kinds of places, and their coverage:
+copyright line) stand in an inverted index of their own winnowed fingerprints.
+The fingerprints that a text shares with one are its anchors. Anchors are
+chained in order by a score that gains the words they match and loses ``SKIP``
+for every word passed over on either side, so a chain goes on over any change
+that it outweighs, whatever its length, and ends where it does not. Along a
+chain the alignment's band follows the anchors: between two of them it is as
+wide as the words inserted or left out there and ``band`` more on both sides,
+and the words equal inside it count as matched. At both ends words are added
+while they match better than they miss. Kinds of places, and their coverage:
 
 - ``text``: at least ``coverage`` of the whole license text;
-- ``part``: less, but at least ``PART`` words that fill ``coverage`` of the
+- ``part``: less, but at least ``PART`` words that fill ``FILL`` of the
   span; the coverage is the share of the whole license text;
 - ``notice``: a template, the coverage is the share of the template. ``whole``
   is the share of the license's text where the template is a passage of it,
@@ -39,7 +45,7 @@ from __future__ import annotations
 
 import pkgutil
 import re
-from difflib import SequenceMatcher
+from bisect import bisect_left
 from functools import cache
 
 import numpy as np
@@ -54,7 +60,7 @@ FIELDS = ("array<struct<license: string, coverage: double, matched: bigint, firs
 # Whole texts in license_texts.
 TEXTS = ("0BSD", "Apache-2.0", "Artistic-1.0-Perl", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "GFDL-1.2", "GFDL-1.3",
          "GPL-1.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-1.1", "MPL-2.0", "Unlicense", "Zlib")
-GAP, PART, RUN = 40, 30, 5
+PART, FILL, SKIP = 30, 0.6, 0.25
 MARKS = frozenset(b"affero lesser library documentation noncommercial sharealike noderivatives noderivs nc sa nd mozilla eclipse"
                   .split())
 
@@ -130,6 +136,40 @@ def winnow(grams: np.ndarray, window: int) -> np.ndarray:
     return np.unique(np.arange(len(views)) + window - 1 - np.argmin(views[:, ::-1], axis=1))
 
 
+def _common(a: list[int], b: list[int], band: int) -> int:
+    """The number of words in the longest common subsequence of ``a`` and ``b`` that stays in the band between their
+    corners: as wide as they differ in length, and ``band`` more on both sides."""
+    if len(a) == len(b) == 1:
+        return int(a[0] == b[0])
+    if len(a) > len(b):
+        a, b = b, a
+    long = np.array(b)
+    wide = len(b) - len(a) + 2 * band + 1
+    # Row i holds the columns from i - band on; entry k is the best up to the column before its column k.
+    before = np.zeros(wide + 1, np.int64)
+    for i, word in enumerate(a):
+        columns = np.arange(i - band, i - band + wide)
+        inside = (columns >= 0) & (columns < len(b))
+        equal = np.zeros(wide, np.int64)
+        equal[inside] = long[columns[inside]] == word
+        # The row above begins one column to the left (all rows' first entries are 0 in the first row).
+        above = np.append(before[1:], before[-1]) if i else before
+        now = np.maximum(above[:-1] + equal, above[1:])
+        before = np.maximum.accumulate(np.concatenate([above[:1], now]))
+    return int(before[-1])
+
+
+class Places:
+    """Places (first, last word, ...) in order, and those of them that may meet a stretch of words."""
+
+    def __init__(self, places: list[tuple]):
+        self.places = sorted(places)
+        self.longest = max((p[1] - p[0] for p in places), default=0)
+
+    def near(self, first: int, last: int) -> list[tuple]:
+        return self.places[bisect_left(self.places, (first - self.longest,)):bisect_left(self.places, (last + 1,))]
+
+
 class Scanner:
     """The inverted indexes of the templates and whole texts, and the search of a text in them."""
 
@@ -150,10 +190,12 @@ class Scanner:
         whole = dict(zip(self.text_names, text_words, strict=True))
         self.passage_of = {t: len(whole[name]) for t, name in enumerate(self.names)
                            if b" " + b" ".join(self.words[t]) + b" " in b" " + b" ".join(whole.get(name, [])) + b" "}
-        runs = [self._grams(np.array(t, np.uint64), RUN) for t in self.texts]
-        key = np.concatenate([r[:len(t) - RUN + 1] for r, t in zip(runs, self.texts, strict=True)] or [np.empty(0, np.uint64)])
-        owner = np.concatenate([np.full(max(0, len(t) - RUN + 1), k) for k, t in enumerate(self.texts)] or [np.empty(0, np.int64)])
-        place = np.concatenate([np.arange(max(0, len(t) - RUN + 1)) for t in self.texts] or [np.empty(0, np.int64)])
+        grams = [self._grams(np.array(t, np.uint64)) for t in self.texts]
+        kept = [winnow(g, window) for g in grams]
+        none = [np.empty(0, np.int64)]
+        key = np.concatenate([g[k] for g, k in zip(grams, kept, strict=True)] or [np.empty(0, np.uint64)])
+        owner = np.concatenate([np.full(len(k), t) for t, k in enumerate(kept)] or none)
+        place = np.concatenate(kept or none)
         order = np.argsort(key, kind="stable")
         self.run_keys, self.run_text, self.run_place = key[order], owner[order], place[order]
         self.numbered = [[self.numbers[w] for w in t] for t in self.words]
@@ -165,8 +207,8 @@ class Scanner:
         self.index = found
         self.keys = np.sort(np.fromiter(found, np.uint64, len(found)))
 
-    def _grams(self, numbers: np.ndarray, gram: int | None = None) -> np.ndarray:
-        gram = gram or self.gram
+    def _grams(self, numbers: np.ndarray) -> np.ndarray:
+        gram = self.gram
         if not len(numbers):
             return np.empty(0, np.uint64)
         n = max(1, len(numbers) - gram + 1)
@@ -213,28 +255,40 @@ class Scanner:
 
     def _whole(self, numbers: list[int], own: np.ndarray) -> list[tuple]:
         """(text, matched words, first, last word) of whole license texts and long passages of them."""
-        if len(own) < RUN or not len(self.run_keys):
+        grams = self._grams(own)
+        if not len(grams) or not len(self.run_keys):
             return []
-        grams = self._grams(own, RUN)
-        low = np.searchsorted(self.run_keys, grams, "left")
-        many = np.where(grams == _NONE, 0, np.searchsorted(self.run_keys, grams, "right") - low)
-        at = np.flatnonzero(many)
-        if len(at) < RUN:
+        likely = np.searchsorted(self.run_keys, grams)
+        shared = self.run_keys[np.minimum(likely, len(self.run_keys) - 1)] == grams
+        if not shared.any():
             return []
-        hit = np.repeat(low[at], many[at]) + np.arange(many[at].sum()) - np.repeat(np.cumsum(many[at]) - many[at], many[at])
-        pos, text, place = np.repeat(at, many[at]), self.run_text[hit], self.run_place[hit]
-        order = np.lexsort((pos, pos - place, text))
-        pos, text, place = pos[order], text[order], place[order]
-        breaks = np.flatnonzero((np.diff(text) != 0) | (np.diff(pos - place) != 0) | (np.diff(pos) != 1)) + 1
-        first = np.concatenate([[0], breaks])
-        size = np.diff(np.concatenate([first, [len(pos)]])) + RUN - 1
-        by_text: dict[int, list[tuple[int, int, int]]] = {}
-        for t, a, b, n in zip(text[first].tolist(), pos[first].tolist(), place[first].tolist(), size.tolist(), strict=True):
-            by_text.setdefault(t, []).append((a, b, n))
+        at = winnow(grams, self.window)
+        at = at[shared[at]]
+        low = likely[at]
+        many = np.searchsorted(self.run_keys, grams[at], "right") - low
+        if not len(at):
+            return []
+        hit = np.repeat(low, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        pos, text, place = np.repeat(at, many), self.run_text[hit], self.run_place[hit]
+        # A place of PART words has more than a few fingerprints.
+        enough = np.flatnonzero(np.bincount(text, minlength=len(self.texts)) * (self.gram + self.window) >= PART)
         found = []
-        for t, runs in by_text.items():
-            if sum(n for *_, n in runs) >= PART:
-                found += [(t, *f) for f in self._chains(t, sorted(runs), numbers)]
+        for t in enough.tolist():
+            mine = text == t
+            order = np.lexsort((-place[mine], pos[mine]))
+            found += [(t, *f) for f in self._chains(t, pos[mine][order].tolist(), place[mine][order].tolist(), numbers)]
+        out: list[tuple] = []
+        group, reach = [], -1
+        for f in sorted(found, key=lambda f: (f[2], f)):  # places that overlap, directly or by others, are rivals
+            if group and f[2] > reach:
+                out += self._best(group)
+                group, reach = [], -1
+            group.append(f)
+            reach = max(reach, f[3])
+        return out + self._best(group)
+
+    def _best(self, found: list[tuple]) -> list[tuple]:
+        """Of overlapping places the one that matches most; of equal ones a text with the larger coverage, or all parts."""
         kept: list[tuple] = []
         share = lambda f: f[1] / len(self.texts[f[0]])
         for f in sorted(found, key=lambda f: (-f[1], -share(f), f)):
@@ -244,44 +298,86 @@ class Scanner:
                 kept.append(f)
         return kept
 
-    def _chains(self, t: int, runs: list[tuple[int, int, int]], numbers: list[int]) -> list[tuple[int, int, int]]:
-        """(matched words, first, last word) of chains of runs (first word, place in the text, length) in order."""
-        score, before, active = [], [], []
-        for i, (a, b, n) in enumerate(runs):
-            best, prev = float(n), -1
-            active = [j for j in active if runs[j][0] + runs[j][2] + GAP >= a]
-            for j in active:
-                c, d, m = runs[j]
-                cut = max(0, c + m - a, d + m - b)
-                if c < a and d < b and cut < n and (now := score[j] + n - cut - min(5.0, 0.02 * abs(a - b - c + d))) > best:
-                    best, prev = now, j
-            score.append(best)
-            before.append(prev)
-            active.append(i)
-        out, used = [], set()
-        for end in sorted(range(len(runs)), key=lambda i: (-score[i], i)):
+    def _chains(self, t: int, pos: list[int], place: list[int], numbers: list[int]) -> list[tuple[int, int, int]]:
+        """(matched words, first, last word) of the chains of anchors, given by ascending word and descending place."""
+        n, words = len(pos), self.texts[t]
+        # Best chain that ends at a place or before: a prefix maximum tree over places. A chain's score is kept with the
+        # loss of the words before it taken back, so that it can be compared wherever the next anchor stands.
+        tree: list[tuple[float, int]] = [(-1.0, -1)] * (len(words) + 1)
+        score, before, last = [0.0] * n, [-1] * n, {}
+        waiting: list[int] = []
+        for i in range(n):
+            if waiting and pos[waiting[0]] != pos[i]:  # anchors of one word are no predecessors of each other
+                for j in waiting:
+                    value = (score[j] + SKIP / 2 * (pos[j] + place[j]), j)
+                    k = place[j] + 1
+                    while k <= len(words):
+                        if tree[k][0] < value[0]:
+                            tree[k] = value
+                        k += k & -k
+                waiting = []
+            diagonal = pos[i] - place[i]
+            gain = min(self.gram, pos[i] - last.get(diagonal, -self.gram))  # words that the anchor before does not hold
+            last[diagonal] = pos[i]
+            best, k = (-1.0, -1), place[i]
+            while k > 0:
+                if tree[k][0] > best[0]:
+                    best = tree[k]
+                k -= k & -k
+            ahead = best[0] - SKIP / 2 * (pos[i] + place[i])
+            score[i], before[i] = (gain + ahead, best[1]) if best[1] >= 0 and ahead > 0 else (float(self.gram), -1)
+            waiting.append(i)
+        out, used = [], [False] * n
+        for end in sorted(range(n), key=lambda i: (-score[i], i)):
             chain, i = [], end
-            while i >= 0 and i not in used:
+            while i >= 0 and not used[i]:
+                used[i] = True
                 chain.append(i)
                 i = before[i]
-            used.update(chain)
-            if not chain:
+            if not chain or (self.gram + self.window) * len(chain) < PART:
                 continue
             chain.reverse()
-            first, place, n = runs[chain[0]]
-            matched, stop, until = n, first + n, place + n
-            for i in chain[1:]:
-                a, b, n = runs[i]
-                cut = max(0, stop - a, until - b)
-                if a > stop and b > until and (a - stop) * (b - until) <= 100 * GAP:
-                    gap = SequenceMatcher(None, numbers[stop:a], self.texts[t][until:b], autojunk=False)
-                    matched += sum(m.size for m in gap.get_matching_blocks())
-                matched, stop, until = matched + n - cut, a + n, b + n
-            if matched >= self.coverage * len(self.texts[t]) or \
-                    matched >= PART and matched >= self.coverage * (stop - first):
+            place_of = self._along([(pos[i], place[i]) for i in chain], numbers, words)
+            matched, first, stop = place_of
+            if matched >= self.coverage * len(words) or matched >= PART and matched >= FILL * (stop - first):
                 out.append((matched, first, stop - 1))
         return out
 
+    def _along(self, anchors: list[tuple[int, int]], numbers: list[int], words: list[int]) -> tuple[int, int, int]:
+        """(matched words, first word, word after the last) of the banded alignment along a chain of anchors."""
+        a, b = anchors[0]
+        matched = 0
+        first, start = a, b
+        # Before the first anchor: as long as equal words outweigh the others.
+        score = best = 0.0
+        kept = taken = 0
+        for k in range(1, min(a, b) + 1):
+            same = numbers[a - k] == words[b - k]
+            kept += same
+            score += 1 if same else -1
+            if score > best:
+                best, taken, first, start = score, kept, a - k, b - k
+        matched += taken
+        stop, until = a, b
+        for a, b in anchors:
+            gap_a, gap_b = a - stop, b - until
+            if gap_a > 0 and gap_b > 0:
+                matched += _common(numbers[stop:a], words[until:b], self.band)
+            # Words that the anchor shares with the one before count once.
+            cut = max(0, -gap_a, -gap_b)
+            matched += max(0, self.gram - cut)
+            stop, until = max(stop, a + self.gram), max(until, b + self.gram)
+        stop, until = min(stop, len(numbers)), min(until, len(words))
+        score = best = 0.0
+        kept = taken = far = 0
+        for k in range(min(len(numbers) - stop, len(words) - until)):
+            same = numbers[stop + k] == words[until + k]
+            kept += same
+            score += 1 if same else -1
+            if score > best:
+                best, taken, far = score, kept, k + 1
+        return matched + taken, first, stop + far
+
     def _align(self, template: list[int], numbers: list[int], diagonal: int) -> tuple[int, int, int] | None:
         """(matched words, first, last word) of the best local alignment within ``band`` of a diagonal; of equal ones
         the nearest to it."""
@@ -323,22 +419,28 @@ class Scanner:
                     kept[-1] = (first, t, matched, last)
             else:
                 kept.append((first, t, matched, last))
-        sure = [(f[2], f[3], self.text_names[f[0]]) for f in texts if f[1] >= self.coverage * len(self.texts[f[0]])]
+        sure = Places([(f[2], f[3], self.text_names[f[0]]) for f in texts if f[1] >= self.coverage * len(self.texts[f[0]])])
         # A passage that two licenses share belongs to the one whose text is there.
         kept = [k for k in kept if k[1] not in self.passage_of
-                or not (around := [name for a, b, name in sure if a <= k[0] and k[3] <= b]) or self.names[k[1]] in around]
-        told = [k for k in kept if k[1] in self.passage_of]
+                or not (around := [name for a, b, name in sure.near(k[0], k[3]) if a <= k[0] and k[3] <= b])
+                or self.names[k[1]] in around]
+        told = Places([(k[0], k[3], k[1], k[2]) for k in kept if k[1] in self.passage_of])
         out = [(first, last, self.names[t], "notice", matched, matched / len(self.numbered[t]),
                 matched / self.passage_of.get(t, len(self.numbered[t]))) for first, t, matched, last in kept]
         for t, matched, first, last in texts:
             share, name = matched / len(self.texts[t]), self.text_names[t]
             if share < self.coverage and any(self.names[k] == name and a <= last and first <= b and matched < m + PART
-                                             for a, k, m, b in told):
+                                             for a, b, k, m in told.near(first, last)):
                 continue
             out.append((first, last, name, "text" if share >= self.coverage else "part", matched, share, share))
+        # Code points before every place that is reported, counted once through the text.
+        wanted = sorted({bytes_at[first][0] for first, *_ in out} | {bytes_at[o[1]][1] for o in out})
+        points, at, count = {}, 0, 0
+        for byte in wanted:
+            count += len(raw[at:byte].decode())
+            points[byte], at = count, byte
         return [{"license": name, "coverage": share, "matched": matched, "first_word": first, "last_word": last,
-                 "start": len(raw[:bytes_at[first][0]].decode()), "stop": len(raw[:bytes_at[last][1]].decode()),
-                 "kind": kind, "whole": whole}
+                 "start": points[bytes_at[first][0]], "stop": points[bytes_at[last][1]], "kind": kind, "whole": whole}
                 for first, last, name, kind, matched, share, whole in sorted(out)]
 
 

@@ -85,3 +85,89 @@ def test_notices_tell_versions_and_relatives_apart():
     assert names("Licensed under CC BY-NC 1.0.") == []
     assert names("This work is licensed under the GNU General Public License, version 2.")[0] == ("GPL-2.0", 1.0)
     assert {n for n, _ in names("This work is licensed under the GNU Lesser General Public License, version 3.")} == {"LGPL-3.0"}
+
+
+def longest_common(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        row = _next_row(row, x, b)
+    return row[-1]
+
+
+def _next_row(row, x, b):
+    now = [0]
+    for j, y in enumerate(b):
+        now.append(max(now[-1], row[j + 1], row[j] + (x == y)))
+    return now
+
+
+def test_common_words_against_the_full_table():
+    dice = random.Random(8)
+    for _ in range(300):
+        a, b = ([dice.randrange(6) for _ in range(dice.randrange(1, 25))] for _ in range(2))
+        assert licenses._common(a, b, 30) == longest_common(a, b)
+        assert licenses._common(a, b, 2) <= longest_common(a, b)
+    assert licenses._common([1], [1], 6) == 1 and licenses._common([1, 2], [2], 6) == 1
+
+
+def whole(name, text, prose=("vorab " * 30, " und danach " * 20)):
+    """The places of whole texts and parts in a text amid prose."""
+    found = SCANNER.scan((prose[0] + text + prose[1]).encode())
+    return [f for f in found if f["kind"] != "notice"]
+
+
+def test_insertions_of_any_length_keep_one_place():
+    dice = random.Random(9)
+    for name in ("MIT", "BSD-3-Clause", "Apache-2.0", "GPL-2.0"):
+        words = dict(licenses.license_texts())[name].split()
+        for extra in (1, 45, 60):
+            at = len(words) // 2
+            changed = words[:at] + [f"inserted{dice.randrange(99)}" for _ in range(extra)] + words[at:]
+            found = whole(name, " ".join(changed))
+            assert [(f["license"], f["kind"], f["coverage"]) for f in found] == [(name, "text", 1.0)], (name, extra)
+            assert found[0]["last_word"] - found[0]["first_word"] + 1 >= found[0]["matched"] + extra
+
+
+def test_changed_words_keep_one_place():
+    for name in ("MIT", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "MPL-2.0"):
+        words = [w.decode() for w in words_of(dict(licenses.license_texts())[name].encode())]
+        changed = ["changed" if i % 5 == 4 else w for i, w in enumerate(words)]
+        right = sum(a == b for a, b in zip(words, changed, strict=True)) / len(words)
+        found = [f for f in whole(name, " ".join(changed)) if f["license"] == name]
+        assert len(found) == 1 and abs(found[0]["coverage"] - right) < 0.01, (name, found)
+
+
+def test_random_edits_against_the_full_alignment():
+    dice = random.Random(10)
+    for name in ("MIT", "ISC", "Zlib", "BSD-2-Clause"):
+        words = [w.decode() for w in words_of(dict(licenses.license_texts())[name].encode())]
+        for _ in range(6):
+            own = list(words)
+            for _ in range(len(words) // 20):
+                at = dice.randrange(len(own))
+                what = dice.randrange(3)
+                own[at:at + (what != 0)] = [f"new{dice.randrange(50)}" for _ in range(dice.randrange(1, 4))] if what != 1 else []
+            found = [f for f in whole(name, " ".join(own)) if f["license"] == name]
+            want = longest_common(own, words)
+            assert len(found) == 1 and want - 6 <= found[0]["matched"] <= want, (name, found, want)  # ends are extended without gaps
+
+
+def test_copies_in_one_text_are_places_of_their_own():
+    text = dict(licenses.license_texts())["ISC"]
+    found = whole("ISC", " something else ".join([text] * 40))
+    assert [(f["license"], f["coverage"]) for f in found] == [("ISC", 1.0)] * 40
+
+
+def test_notices_and_texts_take_linear_time():
+    import time
+
+    def seconds(piece, n):
+        start = time.perf_counter()
+        found = SCANNER.scan((piece * n).encode())
+        assert len([f for f in found if f["kind"] != "part"]) >= n
+        return time.perf_counter() - start
+
+    notice = "Released under the MIT License. And some other words here. "
+    assert seconds(notice, 100_000) < 15 * seconds(notice, 10_000)
+    mit = dict(licenses.license_texts())["MIT"] + " Something else in between. "
+    assert seconds(mit, 1000) < 15 * seconds(mit, 100)
