@@ -44,6 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import fresh_name
+from sluice.llm.scan import apart, cut, pieces_of, places, replaced, scanned
 from sluice.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -56,15 +57,6 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 TERM = r"[\p{L}\p{M}\p{N}]++"
-# The terms of the map ``actions`` as whole words in any case; they hold no character that a pattern treats otherwise.
-_ANY_OF = r"""concat(r'(?iu)(?<![\p{L}\p{M}\p{N}])(?:', array_join(map_keys(actions), '|'),
-  r')(?![\p{L}\p{M}\p{N}])')"""
-
-# Places of matches from the zipped pieces and matches, lengths added up in order.
-_PLACES = """aggregate({zipped}, named_struct('at', 0L, 'out', cast(array() as array<struct<start: bigint, value: string>>)),
-  (a, x) -> named_struct('at', a.at + length(x.gap) + coalesce(length(x.hit), 0),
-    'out', if(x.hit is null, a.out, concat(a.out, array(named_struct('start', a.at + length(x.gap), 'value', x.hit))))),
-  a -> a.out)"""
 _DIGITS = "length(regexp_replace(m.value, '[^0-9]', ''))"
 # The Luhn sum, from the last digit on.
 _LUHN = """aggregate(transform(split(reverse(regexp_replace(m.value, '[^0-9]', '')), ''),
@@ -78,22 +70,16 @@ CHECKS = {"email": "true", "ip": _IP, "card": f"if({_DIGITS} between 12 and 19,
 _SHARED = """case s.kind when 'email' then concat('domain:', lower(substring_index(s.value, '@', -1)))
   when 'ip' then concat('network:', substring_index(s.value, '.', 2))
   else concat(s.kind, '-range:', left(regexp_replace(s.value, '[^0-9]', ''), if(s.kind = 'card', 6, 5))) end"""
+_MARK = "\\u0001"
+# The spans merged where they overlap, in order.
+_MERGED = scanned("concat(spans, array(null))",
+                  "cast(null as struct<start: bigint, stop: bigint>)",
+                  """if(x is null or a.state is null or x.start >= a.state.stop, named_struct('start', x.start, 'stop', x.stop),
+                     named_struct('start', a.state.start, 'stop', greatest(a.state.stop, x.stop)))""",
+                  "a.state is not null and (x is null or x.start >= a.state.stop)", "a.state", "struct<start: bigint, stop: bigint>")
 SPAN = "array<struct<start: bigint, rank: int, stop: bigint, kind: string, value: string>>"
 
 
-def _quoted(pattern: str) -> str:
-    return "r'" + pattern + "'"
-
-
-def places(text: str, pattern: str, quoted: bool = True) -> str:
-    """SQL for the matches of ``pattern`` (an expression if not ``quoted``) in the column or expression ``text`` as an
-    array of (start, value)."""
-    pattern = _quoted(pattern) if quoted else pattern
-    hit = f"regexp_extract_all({text}, {pattern}, 0)"
-    zipped = f"zip_with(split({text}, {pattern}, -1), {hit}, (gap, hit) -> named_struct('gap', gap, 'hit', hit))"
-    return f"if({text} rlike {pattern}, {_PLACES.format(zipped=zipped)}, array())"
-
-
 def base_spans(text: str) -> Column:
     """All base spans of a text, by start, then kind as listed."""
     parts = []
@@ -113,13 +99,18 @@ def find(docs: DataFrame, reach: int = 60) -> DataFrame:
     """
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     spans = text.withColumn("th", F.xxhash64("text")).withColumn("spans", base_spans("text"))
+    # The text with a mark in the place of every character of a base span: a word that differs there overlaps one.
+    masked = replaced("text", _MERGED, f"repeat('{_MARK}', cast(x.stop - x.start as int))")
+    held = spans.withColumn("masked", F.expr(f"if(size(spans) > 0, {pieces_of(masked)}, null)")).withColumn(
+        "pieces", F.expr(f"if(size(spans) > 0, {pieces_of('text')}, null)")).withColumn("size", F.length("text").cast("long"))
+    left, right = f"greatest(s.start - {reach}, 0)", f"least(s.stop + {reach}, size)"
     around = f"""transform(spans, s -> named_struct('entities', array(concat(s.kind, ':', lower(s.value)), {_SHARED}),
-      'left_at', greatest(s.start - {reach}, 0),
-      'left', substring(text, cast(greatest(s.start - {reach}, 0) + 1 as int), cast(least(s.start, {reach}) as int)),
-      'right_at', s.stop, 'right', substring(text, cast(s.stop + 1 as int), {reach}),
-      'left_cut', s.start > {reach}, 'right_cut', s.stop + {reach} < length(text)))"""
-    return materialize(spans.withColumn("near", F.expr(f"if(size(spans) > 0, {around}, null)"))
-                       .withColumn("held", F.expr("if(size(spans) > 0, text, null)")).drop("text"), "pii-spans")
+      'left_at', {left}, 'left', {cut('pieces', left, 's.start')}, 'left_masked', {cut('masked', left, 's.start')},
+      'right_at', s.stop, 'right', {cut('pieces', 's.stop', right)}, 'right_masked', {cut('masked', 's.stop', right)},
+      'left_cut', s.start > {reach}, 'right_cut', s.stop + {reach} < size))"""
+    return materialize(held.withColumn("near", F.expr(f"if(size(spans) > 0, {around}, null)"))
+                       .withColumn("held", F.expr("if(size(spans) > 0, text, null)"))
+                       .drop("text", "masked", "pieces", "size"), "pii-spans")
 
 
 def _copies(found: DataFrame) -> DataFrame:
@@ -128,20 +119,21 @@ def _copies(found: DataFrame) -> DataFrame:
 
 
 def _terms(found: DataFrame) -> DataFrame:
-    """(doc_id, th, spans, entity, term, start, stop) of every word near a base span."""
-    each = (found.where("size(spans) > 0").select("doc_id", "th", "spans", F.explode("near").alias("n"))
-            .select("doc_id", "th", "spans", "n.*").withColumn("entity", F.explode("entities")))
+    """(doc_id, th, entity, term, start, stop) of every word near a base span that overlaps none."""
+    each = (found.where("size(spans) > 0").select("doc_id", "th", F.explode("near").alias("n"))
+            .select("doc_id", "th", "n.*").withColumn("entity", F.explode("entities")))
     sides = None
     for side, edge in (("left", "start = 0"), ("right", "start + length(value) = length(around)")):
-        now = (each.select("doc_id", "th", "spans", "entity", F.col(f"{side}_at").alias("at"), F.col(side).alias("around"),
-                           F.col(f"{side}_cut").alias("cut"))
+        now = (each.select("doc_id", "th", "entity", F.col(f"{side}_at").alias("at"), F.col(side).alias("around"),
+                           F.col(f"{side}_masked").alias("masked"), F.col(f"{side}_cut").alias("cut"))
                .withColumn("words", F.expr(places("around", TERM)))
-               .select("*", F.inline("words")).where(~(F.col("cut") & F.expr(edge))))
-        now = now.select("doc_id", "th", "spans", "entity", F.lower("value").alias("term"),
+               .select("*", F.inline("words")).where(~(F.col("cut") & F.expr(edge)))
+               .where("substring(masked, cast(start as int) + 1, length(value)) = value"))
+        now = now.select("doc_id", "th", "entity", F.lower("value").alias("term"),
                          (F.col("at") + F.col("start")).alias("start"),
                          (F.col("at") + F.col("start") + F.length("value")).alias("stop"))
         sides = now if sides is None else sides.unionAll(now)
-    return sides.where("not exists(spans, s -> s.start < stop and start < s.stop)").drop("spans")
+    return sides
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, terms: DataFrame, disclose: float, remove: float, support: int
@@ -168,20 +160,23 @@ def _everywhere(found: DataFrame, shown: DataFrame) -> DataFrame:
     texts = materialize(found.where("size(spans) > 0").groupBy("th").agg(
         F.first("held").alias("held"), F.first("spans").alias("spans"),
         F.first(F.array_distinct(F.flatten("near.entities"))).alias("entities")), "pii-texts")
-    words = texts.select("th", "entities", F.explode(F.array_distinct(F.regexp_extract_all(
+    words = texts.select("th", F.explode(F.array_distinct(F.regexp_extract_all(
         F.lower("held"), F.lit(TERM), F.lit(0)))).alias("term"))
     # Words that disclose nothing go before the rest meets the text's values.
     some = words.join(shown.select("term").distinct(), "term", "left_semi")
-    wanted = (some.select("th", "term", F.explode("entities").alias("entity")).join(shown, ["entity", "term"])
-              # One word may disclose several values: it is removed if one of them asks for that.
-              .groupBy("th", "term").agg(F.max("action").alias("action"))
-              .groupBy("th").agg(F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("actions")))
+    wanted = materialize(texts.select("th", F.explode("entities").alias("entity")).join(shown, "entity")
+                         # One word may disclose several values: it is removed if one of them asks for that.
+                         .groupBy("th", "term").agg(F.max("action").alias("action")).join(some, ["th", "term"], "left_semi"),
+                         "pii-wanted")
     # Words are taken whole and compared in lower case, as they were counted.
-    placed = texts.join(wanted, "th").withColumn("found", F.expr(places("held", _ANY_OF, quoted=False)))
-    return placed.select("th", F.expr("""filter(transform(found, m -> named_struct('start', m.start, 'rank', {rank},
-        'stop', m.start + length(m.value), 'kind', 'term', 'value', actions[lower(m.value)])),
-        m -> m.value is not null and not exists(spans, s -> s.start < m.stop and m.start < s.stop))"""
-        .format(rank=len(KINDS))).alias("added"))
+    hit = texts.join(wanted.select("th").distinct(), "th", "left_semi")
+    placed = (hit.select("th", F.expr(f"inline({places('held', TERM)})")).withColumn("term", F.lower("value"))
+              .join(wanted, ["th", "term"])
+              .groupBy("th").agg(F.collect_list(F.struct("start", (F.col("start") + F.length("value")).alias("stop"),
+                                                         F.col("action").alias("value"))).alias("found")))
+    return placed.join(hit.select("th", "spans"), "th").select("th", F.expr(f"""transform({apart('spans', 'found')},
+        m -> named_struct('start', m.start, 'rank', {len(KINDS)}, 'stop', m.stop, 'kind', 'term', 'value', m.value))""")
+        .alias("added"))
 
 
 def all_spans(docs: DataFrame, reach: int = 60, disclose: float = 0.7, remove: float = 0.9, support: int = 2) -> DataFrame:
@@ -207,11 +202,9 @@ def sanitise(docs: DataFrame, into: str = "sanitised", **options) -> tuple[DataF
     into = fresh_name(docs.columns, into)
     spans = all_spans(docs, **options).select(F.col("doc_id").alias("_s_id"), "th", F.array_sort(
         F.concat("spans", "added")).alias("_s_spans")).dropDuplicates(["_s_id", "th"])
-    clean = F.expr("""aggregate(_s_spans, named_struct('at', 0L, 'out', ''),
-      (a, s) -> if(s.start < a.at, a, named_struct('at', s.stop, 'out', concat(a.out,
-        substring(text, cast(a.at + 1 as int), cast(s.start - a.at as int)),
-        case when s.kind = 'term' and s.value = 'remove' then '' else concat('[', s.kind, ']') end))),
-      a -> concat(a.out, substring(text, cast(a.at + 1 as int))))""")
+    clean = F.when(F.size("_s_spans") > 0, F.expr(replaced(
+        "text", "_s_spans", "case when x.kind = 'term' and x.value = 'remove' then '' else concat('[', x.kind, ']') end"))
+        ).otherwise(F.col("text"))
     own = docs.withColumn("_s_th", F.xxhash64(F.coalesce("text", F.lit(""))))
     joined = own.join(spans, own.doc_id.eqNullSafe(spans["_s_id"]) & (own["_s_th"] == spans["th"]), "left")
     return joined.select(*[own[c] for c in docs.columns], clean.alias(into)), into

@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import fresh_name
-from sluice.llm.scan import let, places, quoted, scanned
+from sluice.llm.scan import apart, places, quoted, replaced
 from sluice.session import materialize
 
 KINDS = ("assign", "access", "hex")
@@ -76,10 +76,11 @@ def base_spans(text: str) -> Column:
 
 
 def find(docs: DataFrame, least: int = 16) -> DataFrame:
-    """(doc_id, spans, runs) of every row: base spans, and (start, value) of the runs to judge. Written once."""
+    """(doc_id, spans, runs) of every row: base spans, and (start, stop, value) of the runs to judge. Written once."""
     run = rf"(?<![\p{{L}}\p{{M}}\p{{N}}+/_=-])[A-Za-z0-9+/_=-]{{{least},}}+(?![\p{{L}}\p{{M}}\p{{N}}])"
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return materialize(text.select("doc_id", base_spans("text").alias("spans"), F.expr(places("text", run)).alias("runs")),
+    return materialize(text.select("doc_id", base_spans("text").alias("spans"), F.expr(f"""transform(
+        {places("text", run)}, r -> named_struct('start', r.start, 'stop', r.start + length(r.value), 'value', r.value))""").alias("runs")),
                        "secret-spans")
 
 
@@ -139,21 +140,6 @@ def log_ratio(value: str, model: list[int]) -> str:
       (s, c) -> named_struct('b', c, 'sum', s.sum + element_at({ratios}, s.b * {len(CHARACTERS) + 1} + c + 1)), s -> s.sum)"""
 
 
-def _apart(spans: str, runs: str) -> str:
-    """SQL for the runs (start, value) that overlap no span, in one scan of both in order of their start."""
-    kind = "struct<start: bigint, is_run: int, stop: bigint, value: string>"
-    items = f"""array_sort(concat(
-      transform({spans}, s -> named_struct('start', s.start, 'is_run', 0, 'stop', s.stop, 'value', '')),
-      transform({runs}, r -> named_struct('start', r.start, 'is_run', 1, 'stop', r.start + length(r.value), 'value', r.value)),
-      array(named_struct('start', {2 ** 62}L, 'is_run', 1, 'stop', {2 ** 62}L, 'value', ''))))"""
-    # The state: the furthest end of a span so far, and the last run, which the next span may still meet.
-    step = f"""if(x.is_run = 1,
-        named_struct('top', a.state.top, 'held', if(a.state.top > x.start, cast(null as {kind}), x)),
-        named_struct('top', greatest(a.state.top, x.stop), 'held', if(x.start < a.state.held.stop, cast(null as {kind}), a.state.held)))"""
-    return scanned(items, f"named_struct('top', 0L, 'held', cast(null as {kind}))", step,
-                   "x.is_run = 1 and a.state.held is not null", "a.state.held", kind)
-
-
 def all_spans(docs: DataFrame, odds: float = 1e-6, rate: float = 2.0, least: int = 16, distinct: int = 8,
               samples: DataFrame | None = None) -> DataFrame:
     """(doc_id, spans, added) of every row of ``docs`` (doc_id, text): base spans and random strings.
@@ -164,7 +150,7 @@ def all_spans(docs: DataFrame, odds: float = 1e-6, rate: float = 2.0, least: int
     found = find(docs, least)
     model = train(labelled(docs, found, least) if samples is None else samples)
     bar = round(-1e6 * math.log(odds))
-    added = f"""transform(filter({_apart('spans', 'runs')}, r -> size(array_distinct(split(r.value, ''))) >= {distinct}
+    added = f"""transform(filter({apart('spans', 'runs')}, r -> size(array_distinct(split(r.value, ''))) >= {distinct}
         and {log_ratio('r.value', model)} >= greatest({bar}, {round(1e6 * rate)} * length(r.value))), r -> named_struct('start', r.start, 'rank', {len(KINDS)},
         'stop', r.stop, 'kind', '{ADDED}', 'value', r.value))"""
     return found.select("doc_id", "spans", F.expr(f"cast(if(size(runs) = 0, array(), {added}) as array<{SPAN}>)").alias("added"))
@@ -184,13 +170,6 @@ def redact(docs: DataFrame, into: str = "redacted", **options) -> tuple[DataFram
     kept = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "secret-rows")
     spans = all_spans(kept.select(F.col(row).alias("doc_id"), "text"), **options).select(
         F.col("doc_id").alias("_s_row"), F.array_sort(F.concat("spans", "added")).alias("_s_spans"))
-    chosen = scanned("_s_spans", "0L", "if(x.start >= a.state, x.stop, a.state)", "x.start >= a.state",
-                     "named_struct('after', a.state, 'start', x.start, 'stop', x.stop, 'kind', x.kind)",
-                     "struct<after: bigint, start: bigint, stop: bigint, kind: string>")
-    clean = let(chosen, "c", """concat(
-        array_join(transform(c, s -> concat(substring(text, cast(s.after + 1 as int), cast(s.start - s.after as int)),
-                                            '[', s.kind, ']')), ''),
-        substring(text, cast(element_at(c, -1).stop + 1 as int)))""")
     joined = kept.join(spans, kept[row] == spans["_s_row"])
     return joined.select(*[kept[c] for c in docs.columns], F.expr(
-        f"if(size(_s_spans) = 0, text, {clean})").alias(into)), into
+        replaced("text", "_s_spans", "concat('[', x.kind, ']')")).alias(into)), into

@@ -72,8 +72,11 @@ def rule_verdict(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Col
 
 def grams(text: Column, order: int) -> Column:
     """Per letter of the text and for its end, the letter with the ``order`` letters before it."""
-    padded = F.concat(F.lit(START * order), text, F.lit(END))
-    return F.transform(F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substr(padded, i, F.lit(order + 1)))
+    # The letters are cut once: taking the i-th piece of a text again and again reads it from its start every time.
+    letters = F.split(F.concat(F.lit(START * order), text, F.lit(END)), "")
+    return F.transform(F.array(F.struct(letters.alias("letters"))), lambda s: F.transform(
+        F.sequence(F.lit(1), F.size(s["letters"]) - order),
+        lambda i: F.array_join(F.slice(s["letters"], i, order + 1), "")))[0]
 
 
 def log_ratios(counts: DataFrame, order: int) -> DataFrame:
