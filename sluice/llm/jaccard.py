@@ -9,9 +9,10 @@
    components of these edges are groups of candidates.
 3. The full shingle sets of the candidates only are gathered by group and
    every pair of nodes in a group is verified: a matrix product counts common
-   shingles. A group of more than ``block`` nodes is split into blocks and
-   each pair of blocks is a task of bounded size, so nothing is capped. Only
-   link counts and a spanning forest leave the task.
+   shingles. A group of more than ``block`` nodes or ``block_shingles``
+   shingles is split into blocks and each pair of blocks is a task of bounded
+   size, so nothing is capped. Only link counts and a spanning forest leave
+   the task.
 4. Components of the verified links are the classes.
 
 Both sides of every join grow with the input, so all of them are sort-merge
@@ -26,7 +27,9 @@ those that do not but are joined through others.
 Defined cases: null texts and texts without a word have no links and are
 classes of their own; a class whose doc_ids are all null has a null class_id;
 repeated rows are copies of each other; an empty table gives no rows; other
-columns are ignored. Node ids are 64-bit hashes of the shingle sets.
+columns are ignored. Very long texts are read whole; a text's shingle set is
+held by one task. Shingle sets are told apart by 128-bit hashes, and every
+distinct one gets a number of its own.
 """
 
 from __future__ import annotations
@@ -98,33 +101,33 @@ class Signer:
         return key.view(np.int64)
 
 
-def node_of(grams: np.ndarray) -> int:
-    value = xxhash.xxh64_intdigest(grams.tobytes())
-    return value - (1 << 64) if value >> 63 else value
+def set_hash(grams: np.ndarray) -> bytes:
+    """128-bit hash of a shingle set."""
+    return xxhash.xxh3_128_digest(grams.tobytes())
 
 
 def _signatures(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, th, node, bands) of every document; node is null without words."""
+    """(doc_id, th, set, n, bands) of every document: the hash of its shingle set (null without words) and its size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, signer = HashCache(), Signer(bands, rows)
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                nodes, some, minima = [], [], []
+                sets, sizes, minima = [], [], []
                 for raw in binary_text(part):
                     grams = shingles(words_of(raw), size, cache)
-                    nodes.append(node_of(grams) if len(grams) else None)
-                    some.append(len(grams) > 0)
+                    sets.append(set_hash(grams) if len(grams) else None)
+                    sizes.append(len(grams))
                     if len(grams):
                         minima.append(signer.minima(grams))
                 keys = signer.keys(np.array(minima)) if minima else np.empty((0, bands), np.int64)
-                offsets = np.concatenate([[0], np.cumsum(np.array(some, np.int64) * bands)])
+                offsets = np.concatenate([[0], np.cumsum((np.array(sizes, np.int64) > 0) * bands)])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("th"), pa.array(nodes, pa.int64()),
+                    [part.column("doc_id"), part.column("th"), pa.array(sets, pa.binary()), pa.array(sizes, pa.int64()),
                      pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.ravel()))],
-                    names=["doc_id", "th", "node", "bands"])
+                    names=["doc_id", "th", "set", "n", "bands"])
 
-    return docs.mapInArrow(run, "doc_id bigint, th bigint, node bigint, bands array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, th bigint, set binary, n bigint, bands array<bigint>")
 
 
 def common_counts(sets: list[np.ndarray], cells: int = 1 << 23) -> np.ndarray:
@@ -139,9 +142,10 @@ def common_counts(sets: list[np.ndarray], cells: int = 1 << 23) -> np.ndarray:
     column, owner = column[order], owner[order]
     wide = max(1, cells // n)
     total = np.zeros((n, n), np.float64)
-    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, wide):
+    columns = int(column[-1]) + 1 if len(column) else 0
+    for lo in range(0, columns, wide):
         a, b = np.searchsorted(column, [lo, lo + wide])
-        matrix = np.zeros((n, wide), np.float32)
+        matrix = np.zeros((n, min(wide, columns - lo)), np.float32)
         matrix[owner[a:b], column[a:b] - lo] = 1
         total += matrix @ matrix.T
     return total
@@ -174,6 +178,8 @@ def _verify(threshold: float):
         comp, block = table.column("comp").to_numpy(), table.column("block").to_numpy()
         node, copies = table.column("node").to_numpy(), table.column("copies").to_numpy().astype(np.float64)
         raw = table.column("grams").to_pylist()
+        # A block may have no node, so what the task is for is not seen from the nodes.
+        two_blocks = bool(table.num_rows) and table.column("lo")[0].as_py() != table.column("hi")[0].as_py()
         order = np.lexsort((node, comp))
         # A node is there once a document that repeats its representative row.
         same = np.concatenate([[False], (node[order][1:] == node[order][:-1]) & (comp[order][1:] == comp[order][:-1])])
@@ -181,36 +187,41 @@ def _verify(threshold: float):
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for own in np.split(order, np.flatnonzero(np.diff(comp[order])) + 1):
             links = linked([np.frombuffer(raw[i], "<u8") for i in own], threshold)
-            if (part := block[own]).min() != part.max():
-                links &= part[:, None] != part[None, :]  # the pairs within a block belong to its own task
+            if two_blocks:
+                links &= block[own][:, None] != block[own][None, :]  # the pairs within a block belong to its own task
             out.append((node[own], (links @ copies[own]).astype(np.int64), node[own][_roots(links)]))
         return pa.table([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], schema=schema)
     return verify
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, recall: float = 0.998, block: int = 256
-                    ) -> DataFrame:
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, recall: float = 0.998, block: int = 256,
+                    block_shingles: int = 1 << 21) -> DataFrame:
     """(doc_id, th, class_id, class_th, n_links) for every row of ``docs`` (doc_id, text).
 
-    ``th`` is the hash of the text; (class_id, class_th) names the class's representative row.
+    ``th`` is the hash of the text; (class_id, class_th) names the class's representative row. ``block`` nodes and about
+    ``block_shingles`` shingles bound a block of a large group, two of which meet in a task.
     """
     bands, rows = choose_bands(threshold, recall)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
     signed = materialize(_signatures(docs, size, bands, rows), "jaccard-signatures")
     # One row a node: its representative row (nulls last), its copies and its bands, which all copies share.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), "doc_id", "th")).alias("rep")
-    nodes = materialize(signed.where("node is not null").groupBy("node").agg(first, F.count("*").alias("copies"),
-                                                                            F.min("bands").alias("bands")), "jaccard-nodes")
+    nodes = materialize(signed.where("set is not null").groupBy("set").agg(
+        first, F.count("*").alias("copies"), F.min("n").alias("n"), F.min("bands").alias("bands"))
+        .withColumn("node", F.monotonically_increasing_id()), "jaccard-nodes")
     rows_ = nodes.select("node", F.explode("bands").alias("key"))
     # Written, so that the join below reads plain shuffles on both sides, whose hot partitions Spark splits.
     buckets = materialize(rows_.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("n"))
                           .where("n > 1").select("key", "least"), "jaccard-buckets")
     candidates = connected_components(rows_.join(buckets.hint("merge"), "key").select(F.col("node").alias("u"), F.col("least").alias("v")))
     candidates = candidates.withColumnRenamed("label", "comp")
-    sizes = candidates.groupBy("comp").agg(F.count("*").alias("members"))
+    candidates = candidates.join(nodes.select("node", "n").hint("merge"), "node")
+    sizes = candidates.groupBy("comp").agg(F.count("*").alias("members"), F.sum("n").alias("weight"))
     known = nodes.select("node", "copies", F.col("rep.doc_id").alias("rep_id"), F.col("rep.th").alias("rep_th"))
-    groups = materialize(attach(candidates, sizes, "comp", "node").join(known.hint("merge"), "node"), "jaccard-candidates")
-    total = groups.count()
+    parts = F.greatest(F.ceil(F.col("members") / block), F.ceil(F.col("weight") / block_shingles)).alias("parts")
+    groups = materialize(attach(candidates, sizes, "comp", "node").join(known.hint("merge"), "node")
+                         .select("comp", "node", "n", "copies", "rep_id", "rep_th", parts), "jaccard-candidates")
+    total, weight = groups.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = HashCache()
@@ -218,17 +229,16 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, reca
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 grams = [shingles(words_of(raw), size, cache).tobytes() for raw in binary_text(part)]
-                yield pa.RecordBatch.from_arrays([part.column(c) for c in ("comp", "members", "node", "copies")]
+                yield pa.RecordBatch.from_arrays([part.column(c) for c in ("comp", "parts", "node", "copies")]
                                                  + [pa.array(grams, pa.binary())],
-                                                 names=["comp", "members", "node", "copies", "grams"])
+                                                 names=["comp", "parts", "node", "copies", "grams"])
 
     own = docs.doc_id.eqNullSafe(groups.rep_id) & (docs.th == groups.rep_th)
-    sets = (docs.join(groups.hint("merge"), own).select("comp", "members", "node", "copies", "text")
-            .mapInArrow(gather, "comp bigint, members bigint, node bigint, copies bigint, grams binary"))
+    sets = (docs.join(groups.hint("merge"), own).select("comp", "parts", "node", "copies", "text")
+            .mapInArrow(gather, "comp bigint, parts bigint, node bigint, copies bigint, grams binary"))
     # Small groups share a task; the blocks of a large one meet in pairs.
-    parts = F.ceil(F.col("members") / block)
-    shared = max(1, total // (4 * block))
-    sets = (sets.withColumn("parts", parts).withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")))
+    shared = max(1, total // (4 * block), weight // block_shingles)
+    sets = (sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("parts")))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
             .withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
             .withColumn("task", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("comp"), F.lit(shared)))
@@ -242,11 +252,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, reca
     least = members.groupBy("label").agg(F.min("rep").alias("class"))
     of_class = attach(members.select("node", "label"), least, "label", "node").select("node", "class")
     classes = materialize(
-        nodes.select("node", "copies", "rep").join(of_class.hint("merge"), "node", "left")
+        nodes.select("set", "node", "copies", "rep").join(of_class.hint("merge"), "node", "left")
         .join(degree.hint("merge"), "node", "left")
-        .select("node", F.coalesce("class", "rep").alias("class"),
+        .select("set", F.coalesce("class", "rep").alias("class"),
                 (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "jaccard-classes")
-    return (signed.select("doc_id", "th", "node").join(classes.hint("merge"), "node", "left")
+    return (signed.select("doc_id", "th", "set").join(classes.hint("merge"), "set", "left")
             .select("doc_id", "th",
                     F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class.doc_id")).alias("class_id"),
                     F.coalesce("class.th", "th").alias("class_th"), F.coalesce("n_links", F.lit(0)).alias("n_links")))

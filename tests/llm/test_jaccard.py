@@ -81,3 +81,27 @@ def test_components(spark):
     labels = dict(connected_components(spark.createDataFrame(chain, "u bigint, v bigint")).collect())
     assert all(labels[i] == 0 for i in range(61)) and labels[102] == 100 and labels[300] == -5 and 200 not in labels
     assert connected_components(spark.createDataFrame([], "u bigint, v bigint")).count() == 0
+
+
+def test_blocks_are_cut_by_shingles_too(spark):
+    dice = random.Random(7)
+    base = [f"w{i}" for i in range(3000)]
+    rows = []
+    for i in range(12):
+        text = list(base)
+        text[dice.randrange(3000)] = f"n{i}"
+        rows.append((i, " ".join(text)))
+    rows += [(20, "a b c d e f"), (21, "a b c d e f"), (22, "a b c d e g")]
+    assert found(spark, rows, block_shingles=5000) == brute(rows)
+
+
+def test_small_groups_take_small_matrices():
+    import time
+
+    import numpy as np
+    sets = [np.sort(np.random.default_rng(i).integers(0, 400, 300, dtype=np.uint64)) for i in range(2)]
+    sets = [np.unique(s) for s in sets]
+    start = time.perf_counter()
+    for _ in range(200):
+        assert jaccard.common_counts(sets)[0, 1] == len(np.intersect1d(*sets))
+    assert time.perf_counter() - start < 1
