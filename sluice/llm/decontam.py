@@ -11,8 +11,9 @@ window length m there is
   block, so few windows are compared at a position of shift 0;
 * the direct comparison of all m words, which confirms an occurrence.
 
-The tables are sent to the executors in chunks of at most ``chunk_bytes`` of
-benchmark text. One chunk is the usual case. With more, the texts are
+Items are sent to the executors in chunks of at most ``chunk_bytes`` of
+benchmark text; a worker process builds a chunk's tables once, in about 30
+times that memory. One chunk is the usual case. With more, the texts are
 searched once a chunk and the occurrences are united per row by a shuffle;
 the result is the same.
 
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,53 +42,90 @@ FIELDS = ("struct<n_words: bigint, n_hit: bigint, item_ids: array<string>, "
 
 
 class WuManber:
-    """Multi-pattern search for word windows of one length."""
-
-    def __init__(self, length: int, windows: dict[tuple, set]):
-        self.length = length
-        self.block = min(2, length)
-        self.shift: dict[tuple, int] = {}
-        self.buckets: dict[tuple, dict[tuple, list]] = {}
-        for window, items in windows.items():
-            for end in range(self.block, length + 1):
-                block = window[end - self.block:end]
-                self.shift[block] = min(self.shift.get(block, length), length - end)
-            first = self.buckets.setdefault(window[-self.block:], {})
-            first.setdefault(window[:self.block], []).append((window, tuple(items)))
-
-    def search(self, words: list) -> list[tuple[int, tuple]]:
-        """(last position, items) of every occurrence; ``words`` holds None for words of no window."""
-        m, size, shift, buckets = self.length, self.block, self.shift, self.buckets
+    """Multi-pattern search for word windows of one length, over numbers of words.
+
+    The items stand one after the other in one array; a window is a place in it. What grows with the benchmark are that
+    array, a few numbers a window, and one table from blocks to their shift, or to their bucket where the shift is 0.
+    """
+
+    def __init__(self, length: int, items: list[np.ndarray], owners: list[int], words: int):
+        """``items`` are the items' word numbers below ``words``, ``owners`` their places in the caller's list."""
+        self.length, self.block, self.words = length, min(2, length), words
+        self.flat = np.concatenate(items).astype(np.int32)
+        sizes = np.array([len(i) for i in items], np.int64)
+        first = np.cumsum(sizes) - sizes
+        within = np.arange(len(self.flat)) - np.repeat(first, sizes)
+        left = np.repeat(sizes, sizes) - within  # words from here to the item's end
+        starts = np.flatnonzero(left >= length)
+        owner = np.repeat(np.array(owners, np.int64), sizes)[starts]
+        # Equal windows become one, with all items that hold it.
+        rows = np.ascontiguousarray(self.flat[starts[:, None] + np.arange(length)])
+        _, place, same = np.unique(rows.view(np.dtype((np.void, rows.itemsize * length))).ravel(), return_index=True, return_inverse=True)
+        pairs = np.unique(np.stack([same, owner], axis=1), axis=0)
+        at = starts[place]
+        last, head = self._keys(at + length - self.block), self._keys(at)
+        order = np.lexsort((head, last))
+        self.at, self.head = at[order].astype(np.int64), head[order]
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        pairs = pairs[np.argsort(rank[pairs[:, 0]], kind="stable")]
+        self.owners = pairs[:, 1]
+        self.owner_from = np.searchsorted(rank[pairs[:, 0]], np.arange(len(order) + 1))
+        # Within an item a block that ends k words after its start ends a window as soon as a window fits before it.
+        blocks = np.flatnonzero(left >= self.block)
+        keys, shift = self._keys(blocks), np.maximum(0, length - self.block - within[blocks])
+        by = np.lexsort((shift, keys))
+        least = np.concatenate([[True], np.diff(keys[by]) != 0])
+        keys, shift = keys[by][least], shift[by][least]
+        bucket_keys, self.bucket_from = np.unique(last[order], return_index=True)
+        self.bucket_from = np.append(self.bucket_from, len(order))
+        zero = shift == 0
+        shift[zero] = -1 - np.searchsorted(bucket_keys, keys[zero])  # bucket b as -1 - b
+        self.table = dict(zip(keys.tolist(), shift.tolist(), strict=True))
+
+    def _keys(self, places: np.ndarray) -> np.ndarray:
+        key = self.flat[places].astype(np.int64)
+        return key if self.block == 1 else key * self.words + self.flat[places + 1]
+
+    def search(self, words: list) -> list[tuple[int, list[int]]]:
+        """(last position, owners) of every occurrence; ``words`` holds None for words of no window."""
+        m, size, table, base = self.length, self.block, self.table, self.words
         found, end, n = [], m - 1, len(words)
         while end < n:
-            if words[end] is None:
+            now = words[end]
+            if now is None:
                 end += m
                 continue
             if size == 2:
-                if words[end - 1] is None:
+                before = words[end - 1]
+                if before is None:
                     end += m - 1
                     continue
-                step = shift.get((words[end - 1], words[end]), m - 1)
+                step = table.get(before * base + now, m - 1)
             else:
-                step = 0
-            if step:
+                step = table.get(now, 1)
+            if step > 0:
                 end += step
                 continue
             start = end - m + 1
-            bucket = buckets.get(tuple(words[end - size + 1:end + 1]), {})
-            for window, items in bucket.get(tuple(words[start:start + size]), ()):
-                if window == tuple(words[start:end + 1]):
-                    found.append((end, items))
+            head = words[start]
+            if head is not None and (size == 1 or words[start + 1] is not None):
+                lo, hi = self.bucket_from[-1 - step], self.bucket_from[-step]
+                key = head if size == 1 else head * base + words[start + 1]
+                window = None
+                for k in range(lo + int(np.searchsorted(self.head[lo:hi], key)), hi):
+                    if self.head[k] != key:
+                        break
+                    window = window or words[start:end + 1]
+                    if self.flat[self.at[k]:self.at[k] + m].tolist() == window:
+                        found.append((end, self.owners[self.owner_from[k]:self.owner_from[k + 1]].tolist()))
             end += 1
         return found
 
-
-def windows_of(raw: bytes | None, size: int) -> set[tuple]:
-    words = words_of(raw)
-    if not words:
-        return set()
-    size = min(size, len(words))
-    return {tuple(words[i:i + size]) for i in range(len(words) - size + 1)}
+    def bytes(self) -> int:
+        """About what the tables hold in memory."""
+        arrays = (self.flat, self.at, self.head, self.owners, self.owner_from, self.bucket_from)
+        return sum(a.nbytes for a in arrays) + 100 * len(self.table)
 
 
 class Matcher:
@@ -94,12 +133,16 @@ class Matcher:
 
     def __init__(self, items: list[tuple[str | None, bytes | None]], size: int):
         self.numbers: dict[bytes, int] = {}
-        lengths: dict[int, dict[tuple, set]] = {}
-        for item_id, raw in items:
-            for window in windows_of(raw, size):
-                numbered = tuple(self.numbers.setdefault(w, len(self.numbers)) for w in window)
-                lengths.setdefault(len(window), {}).setdefault(numbered, set()).add(item_id)
-        self.tables = [WuManber(length, windows) for length, windows in sorted(lengths.items())]
+        self.names = [item_id for item_id, _ in items]
+        lengths: dict[int, tuple[list, list]] = {}
+        for k, (_, raw) in enumerate(items):
+            words = words_of(raw)
+            if words:
+                own = np.array([self.numbers.setdefault(w, len(self.numbers)) for w in words], np.int64)
+                arrays, owners = lengths.setdefault(min(size, len(words)), ([], []))
+                arrays.append(own)
+                owners.append(k)
+        self.tables = [WuManber(length, arrays, owners, len(self.numbers)) for length, (arrays, owners) in sorted(lengths.items())]
 
     def match(self, words: list[bytes]) -> tuple[set, list[tuple[int, int]]]:
         """Items that occur and the merged word spans (first, last) of their occurrences."""
@@ -107,10 +150,24 @@ class Matcher:
         items: set = set()
         spans = []
         for table in self.tables:
-            for end, found in table.search(numbered):
-                items.update(found)
+            for end, owners in table.search(numbered):
+                items.update(owners)
                 spans.append((end - table.length + 1, end))
-        return items, merge(spans)
+        return {self.names[k] for k in items}, merge(spans)
+
+    def bytes(self) -> int:
+        return sum(t.bytes() for t in self.tables) + sum(len(w) + 120 for w in self.numbers)
+
+
+_BUILT: dict[bytes, Matcher] = {}  # the chunk a worker process has built last
+
+
+def built(items: list[tuple], size: int, key: bytes) -> Matcher:
+    """The matcher of a chunk, built once in a worker process however many tasks it runs."""
+    if key not in _BUILT:
+        _BUILT.clear()
+        _BUILT[key] = Matcher(items, size)
+    return _BUILT[key]
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -125,9 +182,10 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def _search(docs: DataFrame, items: list[tuple], size: int, into: str, keep: list[str] | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
+    key = hashlib.sha256(repr((size, items)).encode()).digest()
 
     def make():
-        matcher = Matcher(shared.value, size)
+        matcher = built(shared.value, size, key)
 
         def compute(batch: pa.RecordBatch) -> list[pa.Array]:
             rows = []
@@ -148,7 +206,7 @@ def _search(docs: DataFrame, items: list[tuple], size: int, into: str, keep: lis
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, into: str = "contamination",
-                       keep: list[str] | None = None, chunk_bytes: int = 32 << 20) -> tuple[DataFrame, str]:
+                       keep: list[str] | None = None, chunk_bytes: int = 8 << 20) -> tuple[DataFrame, str]:
     """``docs`` with a struct column (n_words, n_hit, item_ids, spans) and that column's name.
 
     ``docs`` has ``text``, ``benchmark`` has ``item_id`` and ``text``. ``chunk_bytes`` bounds what is broadcast at

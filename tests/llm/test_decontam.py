@@ -67,3 +67,19 @@ def test_share_rule(spark):
     judged = values.select(F.struct("n_hit", "n_words").alias("c")).select(decontam.is_contaminated("c")).collect()
     assert [r[0] for r in judged] == [False, True, False, False, True]
     assert "op4_decontamination" in ORACLES
+
+
+def test_tables_stay_small_and_are_built_once():
+    import time
+    dice = random.Random(9)
+    vocabulary = [f"word{i}" for i in range(40_000)]
+    items = [(str(i), " ".join(dice.choices(vocabulary, k=400)).encode()) for i in range(900)]
+    size = sum(len(raw) for _, raw in items)
+    assert size > 3_000_000
+    start = time.perf_counter()
+    matcher = decontam.built(items, 13, b"key")
+    assert time.perf_counter() - start < 10 and matcher.bytes() < 40 * size
+    assert decontam.built([], 13, b"key") is matcher
+    text = items[7][1][:300] + b" something else entirely " + items[8][1]
+    ids, spans = matcher.match(words_of(text))
+    assert ids == {"7", "8"} and len(spans) == 2
