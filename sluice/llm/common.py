@@ -29,7 +29,7 @@ def words_of(raw: bytes | None) -> list[bytes]:
 class HashCache(dict):
     """word -> 64-bit hash, remembered up to a bound and then forgotten."""
 
-    def __init__(self, bound: int = 1_000_000):
+    def __init__(self, bound: int = 400_000):
         super().__init__()
         self.bound = bound
 
@@ -94,6 +94,11 @@ def fresh_name(columns: list[str], wanted: str) -> str:
     return wanted
 
 
+def release() -> None:
+    """Give memory that Arrow no longer uses back to the machine: a worker process lives on after its task."""
+    pa.default_memory_pool().release_unused()
+
+
 def with_struct(docs: DataFrame, into: str, fields: str, make, reads: tuple[str, ...] = ("text",),
                 keep: list[str] | None = None) -> DataFrame:
     """``docs`` (its columns ``keep``, all by default) with a struct column computed per row in Arrow batches.
@@ -113,5 +118,6 @@ def with_struct(docs: DataFrame, into: str, fields: str, make, reads: tuple[str,
             if batch.num_rows:
                 made = pa.StructArray.from_arrays(compute(batch), names=names)
                 yield pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + [made], names=[*keep, into])
+        release()
 
     return docs.select(*keep, *extra).mapInArrow(run, schema)

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import HashCache, binary_text, mix64, words_of
+from sluice.llm.common import HashCache, binary_text, mix64, release, words_of
 from sluice.llm.components import attach, connected_components
 from sluice.session import materialize
 
@@ -126,6 +126,7 @@ def _signatures(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
                     [part.column("doc_id"), part.column("th"), pa.array(sets, pa.binary()), pa.array(sizes, pa.int64()),
                      pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.ravel()))],
                     names=["doc_id", "th", "set", "n", "bands"])
+        release()
 
     return docs.mapInArrow(run, "doc_id bigint, th bigint, set binary, n bigint, bands array<bigint>")
 
@@ -232,6 +233,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, size: int = 5, reca
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in ("comp", "parts", "node", "copies")]
                                                  + [pa.array(grams, pa.binary())],
                                                  names=["comp", "parts", "node", "copies", "grams"])
+        release()
 
     own = docs.doc_id.eqNullSafe(groups.rep_id) & (docs.th == groups.rep_th)
     sets = (docs.join(groups.hint("merge"), own).select("comp", "parts", "node", "copies", "text")

@@ -213,10 +213,15 @@ def fit(rows: list[tuple[str, str]], buckets: int = 1 << 17, piece: int = 50, ep
 
 
 class Tagger:
-    """Predicts whole texts; remembers the emission scores of up to ``bound`` words."""
+    """Predicts whole texts; remembers the emission scores of up to ``bound`` words and lays out chains of about
+    ``chain_words`` words at a time. By default both fall with the number of labels, so that memory does not grow with it.
+    """
 
-    def __init__(self, model: Model, bound: int = 400_000, chain_words: int = 1_500_000):
-        self.model, self.bound, self.chain_words = model, bound, chain_words
+    def __init__(self, model: Model, bound: int | None = None, chain_words: int | None = None):
+        labels = max(1, len(model.langs))
+        self.model = model
+        self.bound = bound or min(250_000, max(10_000, 4_000_000 // labels))
+        self.chain_words = chain_words or min(600_000, max(10_000, 2_400_000 // labels))
         self.rows: dict[str, int] = {}
         self.table = np.empty((0, len(model.langs)), np.float32)
         self.used = 0
@@ -244,14 +249,15 @@ class Tagger:
     def predict(self, texts: list[str | None]) -> list[tuple[str, float, int, list[float]]]:
         out: list = []
         held: list[np.ndarray] = []
-        self._flushed = 0
-        for lo in range(0, len(texts), 256):
-            numbers = self._numbers([words_in(t) for t in texts[lo:lo + 256]])
+        waiting = 0
+        for lo in range(0, len(texts), 128):
+            numbers = self._numbers([words_in(t) for t in texts[lo:lo + 128]])
             # The scores are taken now: the memory of words may be cleared later.
             held += [self.table[n] for n in numbers]
-            if sum(map(len, held)) >= self.chain_words:
+            waiting += sum(map(len, numbers))
+            if waiting >= self.chain_words:
                 out += self._chains(held)
-                held = []
+                held, waiting = [], 0
         return out + self._chains(held)
 
     def _chains(self, held: list[np.ndarray]) -> list[tuple[str, float, int, list[float]]]:

@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import empty_frame, open_folder, shared_folder, unit_hash
+from sluice.llm.common import empty_frame, open_folder, release, shared_folder, unit_hash
 from sluice.session import materialize
 
 MAGIC = b"SLCTOK01"
@@ -101,7 +101,7 @@ class TextEncoder:
     tokenizer as they are.
     """
 
-    def __init__(self, path: str, bound: int = 250_000):
+    def __init__(self, path: str, bound: int = 150_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -133,7 +133,7 @@ class TextEncoder:
             return self.pieces[text]
         return b"".join([self.pieces[p] for p in _PIECE.findall(text)])
 
-    def counts(self, texts: pa.Array, chunk_bytes: int = 8 << 20) -> list[int]:
+    def counts(self, texts: pa.Array, chunk_bytes: int = 2 << 20) -> list[int]:
         """The number of ids of each text of a string array; none for null.
 
         As :meth:`encode`, but what is remembered of a stretch is its count, and a chunk of a batch is as large as
@@ -154,7 +154,7 @@ class TextEncoder:
         lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words = lists.flatten().dictionary_encode()
         known, count = self.stretches, []
-        if len(known) > self.bound:
+        if len(known) > min(self.bound, 100_000):
             known.clear()
         for w in words.dictionary.to_pylist():
             n = known.get(w)
@@ -247,6 +247,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
             return
         out.write(np.array(index, INDEX).tobytes() + struct.pack(FOOTER, at, len(index), total, MAGIC))
         out.close()
+        release()
         yield pa.RecordBatch.from_arrays([pa.array([context.partitionId()], pa.int32()), pa.array([name]),
                                           pa.array([len(index)], pa.int64()), pa.array([total], pa.int64())],
                                          names=["shard", "path", "docs", "ids"])

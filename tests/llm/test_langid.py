@@ -83,3 +83,10 @@ def test_every_label_is_fitted(spark):
     assert langid.learn(docs).langs == [r[2] for r in rows]
     with pytest.raises(ValueError, match="labels"):
         langid.learn(docs, max_langs=69)
+
+
+def test_memory_does_not_grow_with_the_labels():
+    import numpy as np
+    few, many = (langid.Tagger(langid.Model([f"l{i}" for i in range(n)], np.zeros((8, n), np.float32), np.zeros((n, n), np.float32)))
+                 for n in (4, 200))
+    assert many.bound * 200 <= few.bound * 4 * 4 and many.chain_words * 200 <= few.chain_words * 4
