@@ -6,8 +6,8 @@ Above the bound the join is left to the planner: a shuffled sort-merge join
 whose skewed partitions AQE splits at run time
 (``spark.sql.adaptive.skewJoin.enabled``), so a fact key that holds a third of
 all rows is spread over many tasks instead of one. Large facts that meet the
-same large dimension again and again are best stored bucketed with it
-(``sinks.writers.write_bucketed_table``), which needs no shuffle.
+same large dimension again and again are best stored beside it
+(``sinks.colocated``), which needs no shuffle.
 """
 
 from __future__ import annotations

@@ -14,21 +14,15 @@ from sluice.plans.catalog import register
 from sluice.plans.derive import hard_pages
 from sluice.plans.tables import Tables
 from sluice.session import materialize, scratch_path
+from sluice.sinks.colocated import colocated_join, open_colocated, store_colocated
 from sluice.sources.html import html_list_links
 
 STAR_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "p_name", "p_brand", "l_suppkey", "s_name",
                 "supp_nation", "o_custkey", "c_name", "cust_nation", "o_orderdate", "l_quantity", "revenue"]
 
 
-def star_enrich(t: Tables):
-    """lineitem with part, supplier, order and customer attributes; ``nation``
-    plays two roles (supplier nation, customer nation).
-
-    Dimension chains are resolved on the small side first (supplier with
-    its nation, customer with its nation, orders with the customer), so the
-    fact meets each dimension once. Every join is a left join on a checked
-    broadcast or, above the bound, a skew-aware sort-merge join.
-    """
+def _star_sides(t: Tables):
+    """The fact, part, supplier with its nation and orders with their customer, and which dimensions are small."""
     nation = t.nation.select("n_nationkey", "n_name")
     supplier, customer = t.supplier.select("s_suppkey", "s_name", "s_nationkey"), t.customer.select("c_custkey", "c_name", "c_nationkey")
     part, order = t.part.select("p_partkey", "p_name", "p_brand"), t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
@@ -45,6 +39,19 @@ def star_enrich(t: Tables):
                          small=small["customer"])
     fact = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
                              (F.col("l_extendedprice") * (F.lit(1) - F.col("l_discount"))).alias("revenue"))
+    return fact, part, supp, orders, small
+
+
+def star_enrich(t: Tables):
+    """lineitem with part, supplier, order and customer attributes; ``nation``
+    plays two roles (supplier nation, customer nation).
+
+    Dimension chains are resolved on the small side first (supplier with
+    its nation, customer with its nation, orders with the customer), so the
+    fact meets each dimension once. Every join is a left join on a checked
+    broadcast or, above the bound, a skew-aware sort-merge join.
+    """
+    fact, part, supp, orders, small = _star_sides(t)
     fact = lookup_join(fact, part, "l_partkey", "p_partkey",
                        small=small["part"])
     fact = lookup_join(fact, supp, "l_suppkey", "s_suppkey", small=small["supplier"])
@@ -52,7 +59,7 @@ def star_enrich(t: Tables):
     return fact.select(*STAR_COLUMNS)
 
 
-@register("star_enrich", """
+STAR_SQL = """
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_name, p.p_brand, l.l_suppkey, s.s_name,
        sn.n_name AS supp_nation, o.o_custkey, c.c_name, cn.n_name AS cust_nation, o.o_orderdate,
        l.l_quantity, l.l_extendedprice * (1 - l.l_discount) AS revenue
@@ -63,12 +70,31 @@ LEFT JOIN nation sn ON s.s_nationkey = sn.n_nationkey
 LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
 LEFT JOIN customer c ON o.o_custkey = c.c_custkey
 LEFT JOIN nation cn ON c.c_nationkey = cn.n_nationkey
-""")
+"""
+
+
+@register("star_enrich", STAR_SQL)
 def q_star_enrich(spark: SparkSession, sf_dir: str):
     """lineitem enriched with part, supplier, order and customer; nation in two roles."""
     return star_enrich(Tables(spark, sf_dir))
 
 
+STAR_BUCKETS = 64  # at 100 TB some 100,000, for buckets of a task's size
+
+
+@register("star_colocated", STAR_SQL)
+def q_star_colocated(spark: SparkSession, sf_dir: str):
+    """The same star with the fact stored beside orders, its largest dimension, in buckets of the order key: stored once,
+    then every enrichment meets orders without a shuffle of either."""
+    fact, part, supp, orders, small = _star_sides(Tables(spark, sf_dir))
+    path = scratch_path(spark, "star_colocated")
+    store_colocated(fact, orders, "l_orderkey", "o_orderkey", path, STAR_BUCKETS)
+    joined = colocated_join(open_colocated(spark, path))
+    joined = lookup_join(joined, part, "l_partkey", "p_partkey", small=small["part"])
+    joined = lookup_join(joined, supp, "l_suppkey", "s_suppkey", small=small["supplier"])
+    return joined.select(*STAR_COLUMNS)
+
+
 @register("inspection_zip", """
 SELECT o.o_orderkey, o.o_custkey, c.c_name, c.c_nationkey, n.n_name
 FROM orders o
