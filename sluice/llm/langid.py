@@ -4,7 +4,11 @@ Every word (a run of letters, lower-cased) has affix, character n-gram and
 lexicon features, hashed to a table of fixed size; learned transitions link
 neighbouring words. Forward-backward gives each word's probability of every
 language, also in code-switched text; a document's language is the one with
-the largest share of these probabilities, and the share is the score.
+the largest share of these probabilities, and the share is the score. On
+request the labelled words leave the operator too, as spans: longest runs of
+words whose most probable language is the same, from the first word's start to
+the last one's end in code points of the text (end exclusive), with the number
+of words and their mean probability of that language.
 
 Fitting: on a bounded sample of labelled rows, about ``docs_per_language``
 whole documents of each language, chosen by a hash (the sample is a
@@ -17,7 +21,7 @@ distinct word (remembered up to a bound) and the chains of many documents run
 side by side, longest first, as array steps.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
-without a labelled row every text is ``und``; labels that are empty strings
+without a labelled row every text is ``und``; such texts have no spans; labels that are empty strings
 are null labels; ties go to the language that sorts first; repeated rows are
 predicted alike; all columns are kept, the result is one struct column with a
 fresh name.
@@ -37,6 +41,7 @@ from sluice.llm.common import fresh_name, mix64, unit_hash, with_struct
 
 UNKNOWN = "und"
 FIELDS = "struct<lang_pred: string, score: double, n_words: bigint, shares: array<double>>"
+SPANS = "array<struct<lang: string, start: bigint, end: bigint, n_words: bigint, score: double>>"
 _WORD = re.compile(r"[^\W\d_]+")
 _EDGE = 1  # stands before and after every word
 
@@ -93,6 +98,19 @@ def words_in(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
+def words_at(text: str | None) -> tuple[list[str], np.ndarray]:
+    """The words of ``words_in`` and their places in the text: starts and ends in code points, one row a word."""
+    if not text:
+        return [], np.empty((0, 2), np.int64)
+    low = text.lower()
+    found = list(_WORD.finditer(low))
+    places = np.array([m.span() for m in found], np.int64).reshape(-1, 2)
+    if len(low) != len(text):  # a few letters are two when lower-cased
+        own = np.repeat(np.arange(len(text)), [len(c.lower()) for c in text])
+        places = np.stack([own[places[:, 0]], own[places[:, 1] - 1] + 1], axis=1)
+    return [m.group() for m in found], places
+
+
 def has_letter(word: str) -> bool:
     return any(map(str.isalpha, word))
 
@@ -136,8 +154,8 @@ def marginals(emissions: np.ndarray, sizes: np.ndarray, transitions: np.ndarray)
     return both / both.sum(axis=1, keepdims=True), counts
 
 
-def shares_of(emissions: np.ndarray, sizes: np.ndarray, transitions: np.ndarray) -> np.ndarray:
-    """Per chain the mean label probabilities, by the same recursions without the transition counts."""
+def chances_of(emissions: np.ndarray, sizes: np.ndarray, transitions: np.ndarray) -> np.ndarray:
+    """Each word's label probabilities, by the same recursions without the transition counts."""
     order = np.argsort(-sizes, kind="stable")
     first, longest = (np.cumsum(sizes) - sizes)[order], sizes[order]
     move = np.exp(transitions - transitions.max()).astype(emissions.dtype)
@@ -161,7 +179,22 @@ def shares_of(emissions: np.ndarray, sizes: np.ndarray, transitions: np.ndarray)
         back[:n] = fresh
         forward[at] *= fresh  # from here on the product of both directions
     forward /= forward.sum(axis=1, keepdims=True)
-    return np.add.reduceat(forward.astype(np.float64), np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
+    return forward
+
+
+def shares_of(chances: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per chain the mean label probabilities."""
+    return np.add.reduceat(chances.astype(np.float64), np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
+
+
+def spans_of(chances: np.ndarray, places: np.ndarray, langs: list[str]) -> list[dict]:
+    """Longest runs of words of one most probable label in a chain, as the fields of ``SPANS``."""
+    label = chances.argmax(axis=1)
+    first = np.flatnonzero(np.diff(label, prepend=-1))
+    last = np.append(first[1:], len(label)) - 1
+    sums = np.add.reduceat(chances[np.arange(len(label)), label].astype(np.float64), first)
+    return [{"lang": langs[label[i]], "start": int(places[i, 0]), "end": int(places[j, 1]), "n_words": int(j - i + 1),
+             "score": min(1.0, float(total) / int(j - i + 1))} for i, j, total in zip(first, last, sums, strict=True)]
 
 
 def fit(rows: list[tuple[str, str]], buckets: int = 1 << 17, piece: int = 50, epochs: int = 4, batch: int = 256,
@@ -226,7 +259,8 @@ class Tagger:
         self.table = np.empty((0, len(model.langs)), np.float32)
         self.used = 0
 
-    def _numbers(self, texts: list[list[str]]) -> list[np.ndarray]:
+    def _rows(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """Rows of ``table`` that hold the words' scores; -1 for what is no word."""
         new = list(dict.fromkeys(w for t in texts for w in set(t) if w not in self.rows))
         if len(self.rows) + len(new) > self.bound:
             self.rows, self.used = {}, 0
@@ -243,34 +277,45 @@ class Tagger:
             self.table[self.used:need] = scores
             self.rows.update(zip(part, range(self.used, need), strict=True))
             self.used = need
-        found = [np.fromiter(map(self.rows.__getitem__, t), np.int64, len(t)) for t in texts]
-        return [f[f >= 0] for f in found]
+        return [np.fromiter(map(self.rows.__getitem__, t), np.int64, len(t)) for t in texts]
 
-    def predict(self, texts: list[str | None]) -> list[tuple[str, float, int, list[float]]]:
+    def predict(self, texts: list[str | None], spans: bool = False) -> list[tuple]:
+        """(language, score, words, shares), and with ``spans`` the spans, of every text."""
         out: list = []
         held: list[np.ndarray] = []
+        places: list[np.ndarray] = []
         waiting = 0
         for lo in range(0, len(texts), 128):
-            numbers = self._numbers([words_in(t) for t in texts[lo:lo + 128]])
+            some = texts[lo:lo + 128]
+            if spans:
+                found = [words_at(t) for t in some]
+                rows = self._rows([words for words, _ in found])
+                places += [at[r >= 0] for (_, at), r in zip(found, rows, strict=True)]
+            else:
+                rows = self._rows([words_in(t) for t in some])
+            numbers = [r[r >= 0] for r in rows]
             # The scores are taken now: the memory of words may be cleared later.
             held += [self.table[n] for n in numbers]
             waiting += sum(map(len, numbers))
             if waiting >= self.chain_words:
-                out += self._chains(held)
-                held, waiting = [], 0
-        return out + self._chains(held)
+                out += self._chains(held, places if spans else None)
+                held, places, waiting = [], [], 0
+        return out + self._chains(held, places if spans else None)
 
-    def _chains(self, held: list[np.ndarray]) -> list[tuple[str, float, int, list[float]]]:
+    def _chains(self, held: list[np.ndarray], places: list[np.ndarray] | None) -> list[tuple]:
         langs = self.model.langs
         sizes = np.array([len(h) for h in held], np.int64)
         some = np.flatnonzero(sizes) if langs else np.array([], np.int64)
-        out = [(UNKNOWN, 0.0, int(n), []) for n in sizes]
+        none = () if places is None else ([],)
+        out = [(UNKNOWN, 0.0, int(n), [], *none) for n in sizes]
         if len(some):
-            shares = shares_of(np.concatenate([held[i] for i in some]), sizes[some],
-                               self.model.transitions.astype(np.float32))
-            for i, share in zip(some.tolist(), shares, strict=True):
+            chances = chances_of(np.concatenate([held[i] for i in some]), sizes[some],
+                                 self.model.transitions.astype(np.float32))
+            end = np.cumsum(sizes[some])
+            for i, share, stop in zip(some.tolist(), shares_of(chances, sizes[some]), end.tolist(), strict=True):
                 best = int(np.argmax(share))
-                out[i] = (langs[best], min(1.0, float(share[best])), int(sizes[i]), share.tolist())
+                own = () if places is None else (spans_of(chances[stop - sizes[i]:stop], places[i], langs),)
+                out[i] = (langs[best], min(1.0, float(share[best])), int(sizes[i]), share.tolist(), *own)
         return out
 
 
@@ -300,19 +345,23 @@ def learn(docs: DataFrame, docs_per_language: int = 150, max_langs: int = 256) -
     return fit([(r["text"], r["label"]) for r in taken.collect()])
 
 
-def identify(docs: DataFrame, model: Model, into: str = "language", keep: list[str] | None = None
-             ) -> tuple[DataFrame, str]:
-    """``docs`` with a struct column (lang_pred, score, n_words, shares in the order of ``model.langs``)."""
+def identify(docs: DataFrame, model: Model, into: str = "language", keep: list[str] | None = None,
+             spans: bool = False) -> tuple[DataFrame, str]:
+    """``docs`` with a struct column (lang_pred, score, n_words, shares in the order of ``model.langs``), and in it, with
+    ``spans``, the labelled runs of words (``SPANS``)."""
     into = fresh_name(docs.columns, into)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: buckets x languages
+    fields = f"{FIELDS[:-1]}, spans: {SPANS}>" if spans else FIELDS
+    run = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("n_words", pa.int64()),
+                              ("score", pa.float64())]))
+    kinds = [pa.string(), pa.float64(), pa.int64(), pa.list_(pa.float64())] + [run] * spans
 
     def make():
         tagger = Tagger(shared.value)
 
         def compute(batch: pa.RecordBatch) -> list[pa.Array]:
-            lang, score, words, shares = zip(*tagger.predict(batch.column("text").to_pylist()), strict=True)
-            return [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(words, pa.int64()),
-                    pa.array(shares, pa.list_(pa.float64()))]
+            columns = zip(*tagger.predict(batch.column("text").to_pylist(), spans), strict=True)
+            return [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
         return compute
 
-    return with_struct(docs, into, FIELDS, make, keep=keep), into
+    return with_struct(docs, into, fields, make, keep=keep), into

@@ -51,8 +51,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = langid.is_held_out(F.col("doc_id"))
     model = langid.learn(docs.where(~held_out))
-    found, name = langid.identify(docs.select("doc_id", "text"), model, keep=["doc_id"])
-    return found.select("doc_id", held_out.alias("held_out"), f"{name}.lang_pred", f"{name}.score")
+    found, name = langid.identify(docs.select("doc_id", "text"), model, keep=["doc_id"], spans=True)
+    spans = F.transform(f"{name}.spans", lambda s: F.concat_ws(":", s["lang"], s["start"], s["end"]))
+    return found.select("doc_id", held_out.alias("held_out"), f"{name}.lang_pred", f"{name}.score",
+                        F.concat_ws(",", spans).alias("spans"))
 
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Language identification: held-out accuracy, code-switched words, edge rows."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -29,7 +31,9 @@ def test_forward_backward_equals_enumeration():
                     pairs[p[t], p[t + 1]] += c
         at += n
     assert np.allclose(got, want) and np.allclose(counts, pairs)
-    shares = langid.shares_of(emissions, sizes, moves)
+    chances = langid.chances_of(emissions, sizes, moves)
+    assert np.allclose(chances, want)
+    shares = langid.shares_of(chances, sizes)
     assert np.allclose(shares, [want[0:1].mean(0), want[1:5].mean(0), want[5:8].mean(0)])
 
 
@@ -90,3 +94,65 @@ def test_memory_does_not_grow_with_the_labels():
     few, many = (langid.Tagger(langid.Model([f"l{i}" for i in range(n)], np.zeros((8, n), np.float32), np.zeros((n, n), np.float32)))
                  for n in (4, 200))
     assert many.bound * 200 <= few.bound * 4 * 4 and many.chain_words * 200 <= few.chain_words * 4
+
+
+def plain_prediction(text, model):
+    """One document alone, word by word: forward and backward sums in plain loops."""
+    words = [(m.group(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_]+", text.lower()) if any(map(str.isalpha, m.group()))]
+    seen = [np.exp(langid.Features([w], len(model.weights)).scores(model.weights)[0].astype(float)) for w, _, _ in words]
+    move = np.exp(model.transitions.astype(float))
+    ahead, back = [seen[0] / seen[0].sum()], [np.ones(len(move))]
+    for now in seen[1:]:
+        ahead.append((ahead[-1] @ move) * now)
+        ahead[-1] = ahead[-1] / ahead[-1].sum()
+    for now in seen[:0:-1]:
+        back.append(move @ (now * back[-1]))
+        back[-1] = back[-1] / back[-1].sum()
+    chance = np.array(ahead) * np.array(back[::-1])
+    chance /= chance.sum(axis=1, keepdims=True)
+    spans = []
+    for (_, start, end), c in zip(words, chance, strict=True):
+        lang = model.langs[int(c.argmax())]
+        if spans and spans[-1][0] == lang:
+            spans[-1] = (lang, spans[-1][1], end, spans[-1][3] + 1)
+        else:
+            spans.append((lang, start, end, 1))
+    return chance.mean(axis=0), spans
+
+
+def test_predictions_and_spans_equal_a_plain_version(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    model = langid.learn(docs, docs_per_language=30)
+    found, name = langid.identify(docs, model, spans=True)
+    rows = found.where("length(text) > 0").select("text", f"{name}.*").collect()
+    for r in rows[:40]:
+        share, spans = plain_prediction(r.text, model)
+        assert np.allclose(r.shares, share, atol=1e-4) and r.lang_pred == model.langs[int(share.argmax())]
+        assert [(s["lang"], s["start"], s["end"], s["n_words"]) for s in r.spans] == spans
+        assert all(0 < s["score"] <= 1 for s in r.spans) and sum(s["n_words"] for s in r.spans) == r.n_words
+
+
+def test_switches_between_languages_are_found(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    model = langid.learn(docs, docs_per_language=40)
+    texts = {r.lang: r.text for r in docs.where("length(text) > 800").collect()}
+    parts = [" ".join(texts[lang].split()[:40]) for lang in ("en", "de", "en")]
+    mixed = "  ".join(parts)
+    _, _, _, _, spans = langid.Tagger(model).predict([mixed], spans=True)[0]
+    truth = np.repeat([0, 1, 0], [len(parts[0]) + 1, len(parts[1]) + 2, len(parts[2]) + 1])
+    right = sum((truth[s["start"]:s["end"]] == (s["lang"] == "de")).sum() for s in spans if s["lang"] in ("en", "de"))
+    assert {s["lang"] for s in spans} >= {"en", "de"} and right >= 0.9 * sum(map(len, parts))
+
+
+def test_spans_of_odd_texts():
+    model = langid.fit([("the cat and the dog sat on a mat", "en"), ("der hund und die katze im haus", "de")] * 5)
+    tagger = langid.Tagger(model)
+    texts = [None, "", "12 34 --- ½", "\u0130\u0130 the cat, der hund", "the " * 30000]
+    plain, found = tagger.predict(texts), tagger.predict(texts, spans=True)
+    assert [f[:4] for f in found] == plain and [f[4] for f in found[:3]] == [[], [], []]
+    # A capital dotted I is two characters when lower-cased; places are those of the text.
+    assert found[3][4][0]["start"] == 0 and found[3][4][-1]["end"] == len(texts[3])
+    assert [texts[3][s["start"]:s["end"]] for s in found[3][4]][-1] == "der hund"
+    assert found[4][4] == [{"lang": "en", "start": 0, "end": 4 * 30000 - 1, "n_words": 30000, "score": found[4][4][0]["score"]}]
+    # Without a label nothing is labelled.
+    assert langid.Tagger(langid.fit([])).predict(["the cat"], spans=True) == [("und", 0.0, 2, [], [])]
