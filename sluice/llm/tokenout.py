@@ -83,13 +83,31 @@ class Pieces(dict):
         ids = self.old.get(piece)
         if ids is None:
             mapped = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
-            ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
+            ids = self.made(self.model.tokenize(mapped))
         if len(self) >= self.bound:
             self.old = dict(self)
             self.clear()
         self[piece] = ids
         return ids
 
+    def made(self, tokens: list) -> bytes:
+        return b"".join([t.id.to_bytes(4, "little") for t in tokens])
+
+
+class Sizes(Pieces):
+    """piece -> the number of its ids, remembered in the same way."""
+
+    def made(self, tokens: list) -> int:
+        return len(tokens)
+
+
+def _list_sums(lists: pa.Array, sizes) -> np.ndarray:
+    """For each list of strings the sum of ``sizes`` of its strings; ``sizes`` is asked once, for the distinct ones."""
+    strings = lists.flatten().dictionary_encode()
+    ends = np.zeros(len(strings) + 1, np.int64)
+    np.cumsum(sizes(strings.dictionary)[strings.indices.to_numpy()], out=ends[1:])
+    return np.diff(ends[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])])
+
 
 class TextEncoder:
     """Ids of whole texts by the tokenizers library, without special tokens added.
@@ -114,7 +132,8 @@ class TextEncoder:
                       and (split[1]["type"], split[1]["add_prefix_space"], split[1]["use_regex"]) == ("ByteLevel", False, False)
                       and all(t["content"].startswith("<|") for t in made["added_tokens"]))
         self.pieces = Pieces(self.tokenizer.model, bound)
-        self.bound, self.stretches = bound, {}  # stretch -> number of ids, forgotten beyond the bound
+        self.sizes = Sizes(self.tokenizer.model, bound)
+        self.bound, self.stretches = bound, {}  # stretch of unusual characters -> number of ids, forgotten beyond the bound
 
     @classmethod
     def of(cls, path: str) -> TextEncoder:
@@ -136,8 +155,9 @@ class TextEncoder:
     def counts(self, texts: pa.Array, chunk_bytes: int = 2 << 20) -> list[int]:
         """The number of ids of each text of a string array; none for null.
 
-        As :meth:`encode`, but what is remembered of a stretch is its count, and a chunk of a batch is as large as
-        ``chunk_bytes`` of text, so that few stretches are met twice.
+        As :meth:`encode`, but the distinct stretches of a chunk are lower-cased and cut into pieces in Arrow too, so that
+        Python sees each distinct piece of a chunk once. A chunk of a batch is as large as ``chunk_bytes`` of text, so that
+        few are met twice.
         """
         out, lo = [], 0
         sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
@@ -151,19 +171,27 @@ class TextEncoder:
     def _counts(self, texts: pa.Array) -> list[int]:
         if not self.known or (pc.any(pc.match_substring(texts, "<|")).as_py() or False):
             return [len(self._whole(t or "")) // 4 for t in texts.to_pylist()]
-        lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-        words = lists.flatten().dictionary_encode()
+        return _list_sums(pc.ascii_split_whitespace(pc.fill_null(texts, "")), self._stretch_sizes).tolist()
+
+    def _stretch_sizes(self, stretches: pa.Array) -> np.ndarray:
+        unusual = pc.match_substring_regex(stretches, _UNUSUAL.pattern)
+        cut = pc.replace_substring_regex(pc.utf8_lower(stretches.filter(pc.invert(unusual))), f"({_PIECE.pattern})", r"\1 ")
+        odd = unusual.to_numpy(zero_copy_only=False)
+        out = np.zeros(len(stretches), np.int64)
+        out[~odd] = _list_sums(pc.ascii_split_whitespace(cut), self._piece_sizes)
         known, count = self.stretches, []
         if len(known) > min(self.bound, 100_000):
             known.clear()
-        for w in words.dictionary.to_pylist():
+        for w in stretches.filter(unusual).to_pylist():
             n = known.get(w)
             if n is None:
-                n = known[w] = len(self._stretch(w)) // 4
+                n = known[w] = len(self._whole(w)) // 4
             count.append(n)
-        ends = np.concatenate([[0], np.cumsum(np.array(count, np.int64)[words.indices.to_numpy()])]) if count else np.zeros(1, np.int64)
-        cuts = ends[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])]
-        return np.diff(cuts).tolist()
+        out[odd] = count
+        return out
+
+    def _piece_sizes(self, pieces: pa.Array) -> np.ndarray:
+        return np.fromiter(map(self.sizes.__getitem__, pieces.to_numpy(zero_copy_only=False)), np.int64, len(pieces))
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text of a string array as little-endian unsigned 32-bit integers; null is empty."""

@@ -137,6 +137,37 @@ def test_counts_are_the_lengths_of_the_ids():
     assert encoder.counts(plain, 1) == [len(ids) for ids in encoder.encode(plain)]
 
 
+def test_every_usual_character_is_counted_as_the_tokenizer_does():
+    import pyarrow as pa
+    import public_tokenizers
+    from sluice.llm.tokenout import TextEncoder
+    encoder = TextEncoder(public_tokenizers.path("word_bpe_49k.json"), bound=50)
+    usual = [chr(c) for c in [9, 10, 11, 12, 13, *range(32, 127), *range(0xa0, 0x180)]]
+    texts = [f"{c} a{c} {c}b {c}{c}It's{c}12 d'{c}LLe'RE" for c in usual] + ["", " ", "\v x\f\x1cy\x85z ", None]
+    want = [len(encoder.tokenizer.encode(t or "", add_special_tokens=False).ids) for t in texts]
+    assert encoder.counts(pa.array(texts)) == want and encoder.counts(pa.array(texts, pa.large_string()).slice(3)) == want[3:]
+    none = pa.array([None, ""], pa.string())
+    assert encoder.counts(none) == [0, 0] and encoder.counts(none.slice(2)) == []
+
+
+def test_stretches_of_the_same_pieces_cost_no_call_each():
+    import sys
+    import pyarrow as pa
+    import public_tokenizers
+    from sluice.llm.tokenout import TextEncoder
+    encoder = TextEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    words = [f"{w}{a}{v}{b}" for w in ("Some", "some", "OTHER", "wörd") for v in ("and", "Or", "é")
+             for a in ",.;:!?-(" for b in ("", ".", ",", "...", "!", "?!", ")", "),")]
+    texts, calls = pa.array([" ".join(words)] * 3), []
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event == "call" else None)
+    try:
+        got = encoder.counts(texts)
+    finally:
+        sys.setprofile(None)
+    assert len(set(words)) == 768 and len(calls) < 500
+    assert got == [len(encoder.tokenizer.encode(" ".join(words), add_special_tokens=False).ids)] * 3
+
+
 def test_draws_against_an_independent_mix(spark):
     """Probability and selection recomputed from the result's own cells, without the module's raking or scaling."""
     docs = table(spark, SF_SMALL, "documents")
